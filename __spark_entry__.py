@@ -17,9 +17,12 @@ from tidal.operators.join import user_action_join, user_action_join_sql
 from tidal.operators.pairing import pair_user_action
 from tidal.operators.rules import rule_filter, rule_filter_single
 from tidal.operators.views import project_action, project_user, register_views
-from tidal.session import apply_runtime_conf
+from tidal.session import apply_runtime_conf, shared_dir
 from tidal.sources.tables import (action_records_from_events, actions_from_events, pairing_inputs,
                                   read_table, users_from_customer)
+from tidal.streaming.pairing import pair_user_action_stream
+from tidal.streaming.rules import rule_filter_stream
+from tidal.streaming.runner import run_to_table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -126,6 +129,34 @@ def q_topic_rows(spark, sf_dir):
     return to_topic_rows(user_action_join(users, actions), ["userId", "name", "action"])
 
 
+def _stream(spark, sf_dir, name):
+    """A table read as a file stream (explicit schema from the parquet footer)."""
+    schema = read_table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}*.parquet")
+
+
+def q_user_action_join_stream(spark, sf_dir):
+    users = users_from_customer(_stream(spark, sf_dir, "customer"))
+    actions = actions_from_events(_stream(spark, sf_dir, "events"), ordered=True)
+    return run_to_table(user_action_join(users, actions, extra=("seq",)), "user_action_join")
+
+
+def q_pair_user_action_stream(spark, sf_dir):
+    users, actions = pairing_inputs(_stream(spark, sf_dir, "events"))
+    out = run_to_table(pair_user_action_stream(users, actions), "pair_user_action")
+    return out.select("userId", "name", "action", "seq")
+
+
+def q_rule_filter_stream(spark, sf_dir):
+    actions = action_records_from_events(_stream(spark, sf_dir, "events"))
+    rules_dir = shared_dir(spark, "rules")
+    static_rules = rules_frame(spark)
+    static_rules.coalesce(1).write.parquet(rules_dir)
+    rules = spark.readStream.schema(static_rules.schema).parquet(rules_dir)
+    out = run_to_table(rule_filter_stream(actions, rules), "rule_filter")
+    return out.select("actionId", "userId", "action", "seq")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "project_user": q_project_user,
@@ -138,6 +169,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_round_trip": q_json_round_trip,
         "json_decode": q_json_decode,
         "topic_rows": q_topic_rows,
+        "user_action_join_stream": q_user_action_join_stream,
+        "pair_user_action_stream": q_pair_user_action_stream,
+        "rule_filter_stream": q_rule_filter_stream,
     }
 
 
@@ -233,7 +267,7 @@ def oracle_sql() -> dict[str, str]:
     join = ("SELECT CAST(c.c_custkey AS VARCHAR) AS \"userId\", c.c_name AS name, "
             "e.event_type AS action{extra} FROM customer c, events e "
             "WHERE CAST(c.c_custkey AS VARCHAR) = CAST(e.user_id AS VARCHAR)")
-    return {
+    sql = {
         "project_user": 'SELECT CAST(c_custkey AS VARCHAR) AS "userId", c_name AS name FROM customer',
         "project_action": 'SELECT CAST(user_id AS VARCHAR) AS "userId", event_type AS action FROM events',
         "user_action_join": join.format(extra=", e.event_id AS seq"),
@@ -255,3 +289,7 @@ def oracle_sql() -> dict[str, str]:
             "|| '\",\"name\":\"' || c.c_name || '\",\"action\":\"' || e.event_type || '\"}' AS j "
             "FROM customer c, events e WHERE CAST(c.c_custkey AS VARCHAR) = CAST(e.user_id AS VARCHAR))"),
     }
+    # streaming forms compute the same results as the batch forms
+    for name in ("user_action_join", "pair_user_action", "rule_filter"):
+        sql[f"{name}_stream"] = sql[name]
+    return sql
