@@ -7,13 +7,19 @@ bounds cut inside a hot key, so every block holds about ``rows / blocks`` rows a
 many blocks. Block ids increase with the sort order, so the per-block results can be stitched
 together by a scan over the (tiny) table of block summaries, one row per block.
 
-The block assignment comes from sampled bounds, which differ between two executions of the same
-plan. The tagged rows are therefore materialised once with ``checkpoint()`` (reliable, in the
-shared checkpoint folder) before they feed both the summaries and the main pass.
+The block assignment comes from sampled bounds, which differ between two *separate* executions
+of the same plan (the sample seed follows the RDD id), and column pruning makes the summary branch
+and the main branch different plans, so Spark does not reuse one exchange for both. The tagged
+rows are therefore materialised once before they feed both: by default persisted
+(``MEMORY_AND_DISK``); a lost cached partition is recomputed through the same shuffle dependency,
+whose range bounds are fixed when it is created, so the blocks come out the same. With
+``durable=True`` the rows are written as a reliable checkpoint in the shared checkpoint folder
+instead (cuts the lineage; costs a write and a read of the rows).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +35,12 @@ def ordered_blocks(df: DataFrame, order: list[str], keys: list[str] | tuple = ()
     return df.repartitionByRange(n, *keys, *order).withColumn(BLOCK, F.spark_partition_id())
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder (cuts lineage; survives executor loss)."""
+def materialize(df: DataFrame, durable: bool = False) -> DataFrame:
+    """Fix one execution of ``df`` for several consumers (see the module notes)."""
+    if not durable:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)           # written from the cache, not recomputed
+    df.unpersist()
+    return out

@@ -57,7 +57,8 @@ def _local_scan(blocked: DataFrame) -> DataFrame:
         F.lag("_rank").over(w).alias("_pk"),
         F.lag("action").over(w).alias("_pa"),
         F.last(F.when(is_u, F.struct("name")), ignorenulls=True).over(upto).alias("_lu"),
-        F.first("_rank").over(upto).alias("_fk"))
+        F.first("_rank").over(upto).alias("_fk"),
+        F.lead("_rank").over(w).isNull().alias("_end"))
     # locking events after the group's first row (the first row depends on the previous block)
     inner_lock = (is_u & (F.col("_pk") == USER_RANK)).cast("int")
     return step1.select(
@@ -71,12 +72,15 @@ def _carry(local: DataFrame) -> DataFrame:
 
     One row per block at most: (block, userId, pk_in, pa_in, lu_in, lock_in).
     """
+    # Only the last row of each (user, block) group matters: the block's first user is the least
+    # user among them, its last row the one of the greatest user.
     last_row = F.max_by(
         F.struct(F.col("userId").alias("user"), F.col("_rank").alias("kind"),
                  F.col("action").alias("act"), F.col("_lu").alias("lu"),
                  F.col("_fk").alias("fk"), F.col("_lock_upto").alias("lock")),
-        F.struct("userId", *ORDER))
-    summary = local.groupBy(BLOCK).agg(F.min("userId").alias("fu"), last_row.alias("last"))
+        F.col("userId"))
+    summary = local.where("_end").groupBy(BLOCK).agg(F.min("userId").alias("fu"),
+                                                     last_row.alias("last"))
     by_block = Window.orderBy(BLOCK)         # over one row per block: bounded, tiny
     s = summary.select(
         BLOCK, "fu", "last",
@@ -101,15 +105,19 @@ def _carry(local: DataFrame) -> DataFrame:
         F.col("lock_in").alias("_lock_in"))
 
 
-def pair_user_action(users: DataFrame, actions: DataFrame, blocks: int | None = None) -> DataFrame:
+def pair_user_action(users: DataFrame, actions: DataFrame, blocks: int | None = None,
+                     durable: bool = False) -> DataFrame:
     """Pair actions with remembered users per ``userId``.
 
     ``users``: ``userId, name, ts, seq``; ``actions``: ``userId, action, ts, seq``. Order is
     ``(ts, user before action, seq)``. Output ``userId, name, action, ts, seq`` where ``ts``/``seq``
-    are those of the record that triggered the output.
+    are those of the record that triggered the output. ``blocks`` bounds the rows per task to
+    about ``rows / blocks`` (default: the shuffle partition count); ``durable`` checkpoints the
+    blocked rows instead of persisting them.
     """
     ev = _tagged(users, actions)
-    local = materialize(_local_scan(ordered_blocks(ev, ORDER, keys=["userId"], blocks=blocks)))
+    local = materialize(_local_scan(ordered_blocks(ev, ORDER, keys=["userId"], blocks=blocks)),
+                        durable)
     carry = _carry(local)
     j = local.join(F.broadcast(carry),
                    (F.col(BLOCK) == F.col("_cblk")) & (F.col("userId") == F.col("_cu")), "left")

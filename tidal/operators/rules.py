@@ -5,15 +5,25 @@ action passes, unchanged, when the rule held at its arrival lists its action nam
 an action that arrives before any rule is dropped; a new rule never re-examines earlier actions.
 On equal ``ts`` a rule sorts before an action, and later rules (by ``seq``) win.
 
-In join terms this is a backward as-of left-semi join on arrival order, without a key. The rules
-and actions are merged into one ordered sequence and cut into ordered blocks
-(``tidal.operators.blocks``); within a block a running ``last`` gives the current rule, and the
-rule carried in from earlier blocks comes from a one-row-per-block table (broadcast: bounded by
-the block count). No window ever holds more than one block, so no task holds the whole sequence.
+In join terms this is a backward as-of left-semi join on arrival order, without a key. Since the
+decision depends on the rule stream only, each rule becomes a validity interval ``[ts, next ts)``
+(a rule followed by one with the same ``ts`` gets an empty interval: the later one wins). The
+closed intervals are exploded into time buckets, the bucket width chosen from the rules alone so
+that there are about ``4 x`` as many buckets as rules; an action then meets its interval through
+an equi-join on its bucket plus a range check. The open last interval is one row, applied as a
+literal. This is a single pass over the actions, deterministic, with no shuffle of the actions
+when the exploded table (row count checked first) fits the broadcast limit; beyond it the join
+shuffles on the bucket and AQE's skew join splits a hot bucket.
+
+For rule tables too large to sort in one task, the rules and actions are merged into one ordered
+sequence and cut into ordered blocks instead (``tidal.operators.blocks``): a running ``last``
+within each block, and the rule carried in from earlier blocks from a one-row-per-block table.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +34,14 @@ RULE_RANK, ACTION_RANK = 0, 1
 ORDER = ["ts", "_rank", "seq"]
 OUTPUT = ["actionId", "userId", "action", "ts", "seq"]
 
+RULES_SORT_LIMIT = 1_000_000        # rules ordered in one task to form intervals
+BROADCAST_ROW_LIMIT = 2_000_000     # exploded interval rows sent to every task
+BUCKETS_PER_RULE = 4
+
+
+def _micros(ts):
+    return F.unix_micros(ts.cast("timestamp"))
+
 
 def _tagged(actions: DataFrame, rules: DataFrame) -> DataFrame:
     null = F.lit(None).cast("string")
@@ -35,21 +53,76 @@ def _tagged(actions: DataFrame, rules: DataFrame) -> DataFrame:
     return r.unionByName(a)
 
 
-def rule_filter(actions: DataFrame, rules: DataFrame, blocks: int | None = None) -> DataFrame:
+def rule_filter(actions: DataFrame, rules: DataFrame, blocks: int | None = None,
+                method: str = "auto") -> DataFrame:
     """Keep the actions allowed by the rule current at their arrival.
 
     ``actions``: ``actionId, userId, action, ts, seq``; ``rules``: ``ruleId, allowedActions, ts,
-    seq``. Output: the passing actions with the same columns.
+    seq``. Output: the passing actions with the same columns. ``method``: ``"intervals"``,
+    ``"blocks"`` or ``"auto"`` (intervals unless the rule count exceeds ``RULES_SORT_LIMIT``).
     """
+    rules = rules.where(F.col("ts").isNotNull())
+    if method == "blocks":
+        return _rule_filter_blocked(actions, rules, blocks)
+    # one aggregate over the (small) rule side: size, time span and the last rule
+    stats = rules.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(_micros(F.col("ts"))).alias("lo"),
+        F.max(_micros(F.col("ts"))).alias("hi"),
+        F.max_by(F.struct("ts", "ruleId", "allowedActions"), F.struct("ts", "seq")).alias("tail"),
+    ).first()
+    if stats["n"] == 0:
+        return actions.where(F.lit(False)).select(*OUTPUT)
+    if method == "auto" and stats["n"] > RULES_SORT_LIMIT:
+        return _rule_filter_blocked(actions, rules, blocks)
+    return _rule_filter_intervals(actions, rules, stats)
+
+
+def _literal_rule(tail) -> F.Column:
+    allowed = tail["allowedActions"]
+    items = (F.array(*[F.lit(a).cast("string") for a in allowed]) if allowed is not None
+             else F.lit(None).cast("array<string>"))
+    return F.struct(F.lit(tail["ruleId"]).cast("string").alias("ruleId"),
+                    items.alias("allowedActions"))
+
+
+def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats) -> DataFrame:
+    tail = stats["tail"]
+    # the open last interval: one rule, applied as a literal
+    tail_rule = F.when(F.col("ts") >= F.lit(tail["ts"]), _literal_rule(tail))
+    if stats["n"] == 1 or stats["hi"] == stats["lo"]:
+        rule, kept = tail_rule, actions
+    else:
+        # Any bucket function monotone in time is exact here: an action inside [from, to) has a
+        # bucket between those of ``from`` and ``to - 1us``, which the interval is exploded over.
+        width = max(1, math.ceil((stats["hi"] - stats["lo"]) / (BUCKETS_PER_RULE * stats["n"])))
+        by_time = Window.orderBy("ts", "seq")        # one task; rule count checked above
+        iv = rules.select(F.struct("ruleId", "allowedActions").alias("_rule"),
+                          F.col("ts").alias("_from"), F.lead("ts").over(by_time).alias("_to"))
+        exploded = iv.where(F.col("_to") > F.col("_from")).select(
+            "_rule", "_from", "_to",
+            F.explode(F.sequence(F.floor(_micros(F.col("_from")) / width),
+                                 F.floor((_micros(F.col("_to")) - 1) / width))).alias("_b"))
+        est_rows = stats["n"] + (stats["hi"] - stats["lo"]) // width + 1
+        side = F.broadcast(exploded) if est_rows <= BROADCAST_ROW_LIMIT else exploded
+        bucketed = actions.withColumn("_ab", F.floor(_micros(F.col("ts")) / width))
+        kept = bucketed.join(side, (F.col("_ab") == F.col("_b")) & (F.col("ts") >= F.col("_from"))
+                             & (F.col("ts") < F.col("_to")), "left")
+        rule = F.coalesce(F.col("_rule"), tail_rule)
+    return kept.where(rule.isNotNull() & null_safe_contains(rule["allowedActions"], F.col("action"))) \
+        .select(*OUTPUT)
+
+
+def _rule_filter_blocked(actions: DataFrame, rules: DataFrame, blocks: int | None) -> DataFrame:
     ev = _tagged(actions, rules)
     blocked = ordered_blocks(ev, ORDER, blocks=blocks)
     w = Window.partitionBy(BLOCK).orderBy(*ORDER).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = materialize(blocked.select(
-        "*", F.last("_rule", ignorenulls=True).over(w).alias("_cur")))
+        "*", F.last("_rule", ignorenulls=True).over(w).alias("_cur"),
+        F.lead("_rank").over(Window.partitionBy(BLOCK).orderBy(*ORDER)).isNull().alias("_last")))
     # the rule held at the end of each block (local), then carried forward across blocks
-    summary = local.groupBy(BLOCK).agg(
-        F.max_by("_cur", F.struct(*ORDER)).alias("_end"))
+    summary = local.where("_last").select(BLOCK, F.col("_cur").alias("_end"))
     prior = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)   # tiny: per block
     carry = summary.select(F.col(BLOCK).alias("_cblk"),
                            F.last("_end", ignorenulls=True).over(prior).alias("_in"))

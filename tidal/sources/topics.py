@@ -17,9 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidal.functions.codec import decode_json, to_topic_rows
 
+# A file-backed topic holds the record text plus its arrival time and position, which the Kafka
+# source provides as ``timestamp`` and ``offset``.
 FILE_TOPIC_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
-    T.StructField("offset", T.LongType())])
+    T.StructField("ts", T.TimestampNTZType()), T.StructField("seq", T.LongType())])
 
 
 def kafka_source_options(servers: str, topic: str, bounded: bool = False,
@@ -50,15 +52,17 @@ def topic_path(root: str, topic: str) -> str:
 def read_topic(spark: SparkSession, topic: str, servers: str | None = None,
                decode: str = "binary", fmt: str = "kafka", root: str | None = None,
                streaming: bool = False) -> DataFrame:
-    """Read a whole topic from the earliest record.
+    """Read a whole topic from the earliest record: ``key, value, ts, seq``.
 
     Batch reads stop at the current end offsets; ``decode="string"`` turns key and value into
-    UTF-8 text, ``"binary"`` keeps the bytes.
+    UTF-8 text, ``"binary"`` keeps the bytes. ``ts``/``seq`` are the record's time and offset.
     """
     if fmt == "kafka":
         reader = spark.readStream if streaming else spark.read
         opts = kafka_source_options(servers, topic, bounded=not streaming, read_committed=True)
-        df = reader.format("kafka").options(**opts).load()
+        df = reader.format("kafka").options(**opts).load().select(
+            "key", "value", F.col("timestamp").cast("timestamp_ntz").alias("ts"),
+            F.col("offset").alias("seq"))
     else:
         reader = spark.readStream if streaming else spark.read
         df = reader.format(fmt).schema(FILE_TOPIC_SCHEMA).load(topic_path(root, topic))
@@ -68,19 +72,27 @@ def read_topic(spark: SparkSession, topic: str, servers: str | None = None,
 
 def write_topic(df: DataFrame, topic: str, servers: str | None = None, fmt: str = "kafka",
                 root: str | None = None) -> None:
-    """Append ``key, value`` rows to a topic (batch)."""
-    rows = df.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    """Append ``key, value`` rows to a topic (batch).
+
+    File topics also store ``ts``/``seq`` when ``df`` has them (a broker assigns them itself).
+    """
+    cols = [F.col("key").cast("string"), F.col("value").cast("string")]
     if fmt == "kafka":
-        rows.write.format("kafka").options(**kafka_sink_options(servers, topic)).save()
-    else:
-        rows.write.mode("append").format(fmt).save(topic_path(root, topic))
+        df.select(*cols).write.format("kafka").options(**kafka_sink_options(servers, topic)).save()
+        return
+    has = set(df.columns)
+    cols.append(F.col("ts").cast("timestamp_ntz") if "ts" in has
+                else F.current_timestamp().cast("timestamp_ntz").alias("ts"))
+    cols.append(F.col("seq").cast("long") if "seq" in has
+                else F.monotonically_increasing_id().alias("seq"))
+    df.select(*cols).write.mode("append").format(fmt).save(topic_path(root, topic))
 
 
 def read_json_topic(spark: SparkSession, schema: T.StructType, topic: str,
                     servers: str | None = None, fmt: str = "kafka", root: str | None = None,
-                    streaming: bool = True, keep: tuple[str, ...] = (),
+                    streaming: bool = True, keep: tuple[str, ...] = ("ts", "seq"),
                     required: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """A topic of JSON records, strictly decoded: ``(accepted, rejected)``."""
+    """A topic of JSON records, strictly decoded: ``(accepted, rejected)``, with ``keep`` columns."""
     raw = read_topic(spark, topic, servers, decode="string", fmt=fmt, root=root,
                      streaming=streaming)
     return decode_json(raw, schema, "value", required=required, keep=keep)
@@ -92,6 +104,9 @@ def write_json_topic(df: DataFrame, topic: str, checkpoint: str, servers: str |
                      available_now: bool = False) -> StreamingQuery:
     """Stream records to a topic as JSON (key = whole record by default). At-least-once."""
     rows = to_topic_rows(df, cols, key=key)
+    if fmt != "kafka":
+        rows = rows.select("key", "value", F.current_timestamp().cast("timestamp_ntz").alias("ts"),
+                           F.lit(None).cast("long").alias("seq"))
     writer = rows.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     if name:
         writer = writer.queryName(name)
