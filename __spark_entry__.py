@@ -18,8 +18,8 @@ from tidal.operators.pairing import pair_user_action
 from tidal.operators.rules import rule_filter, rule_filter_single
 from tidal.operators.views import project_action, project_user, register_views
 from tidal.session import apply_runtime_conf, shared_dir
-from tidal.sources.tables import (action_records_from_events, actions_from_events, pairing_inputs,
-                                  read_table, users_from_customer)
+from tidal.sources.tables import (action_records_from_events, actions_from_events, as_text_ids,
+                                  pairing_inputs, read_table, users_from_customer)
 from tidal.streaming.pairing import pair_user_action_stream
 from tidal.streaming.rules import rule_filter_stream
 from tidal.streaming.runner import run_to_table
@@ -62,9 +62,9 @@ def q_project_action(spark, sf_dir):
 
 
 def q_user_action_join(spark, sf_dir):
-    users = users_from_customer(_customer(spark, sf_dir))
-    actions = actions_from_events(_events(spark, sf_dir), ordered=True)
-    return user_action_join(users, actions, extra=("seq",))
+    users = users_from_customer(_customer(spark, sf_dir), text_ids=False)
+    actions = actions_from_events(_events(spark, sf_dir), ordered=True, text_ids=False)
+    return as_text_ids(user_action_join(users, actions, extra=("seq",)), "userId")
 
 
 def q_user_action_join_sql(spark, sf_dir):
@@ -75,8 +75,9 @@ def q_user_action_join_sql(spark, sf_dir):
 
 
 def q_pair_user_action(spark, sf_dir):
-    users, actions = pairing_inputs(_events(spark, sf_dir))
-    return pair_user_action(users, actions).select("userId", "name", "action", "seq")
+    users, actions = pairing_inputs(_events(spark, sf_dir), text_ids=False)
+    out = pair_user_action(users, actions).select("userId", "name", "action", "seq")
+    return as_text_ids(out, "userId")
 
 
 def q_rule_filter(spark, sf_dir):
@@ -124,9 +125,10 @@ def q_json_decode(spark, sf_dir):
 
 
 def q_topic_rows(spark, sf_dir):
-    users = users_from_customer(_customer(spark, sf_dir))
-    actions = actions_from_events(_events(spark, sf_dir))
-    return to_topic_rows(user_action_join(users, actions), ["userId", "name", "action"])
+    users = users_from_customer(_customer(spark, sf_dir), text_ids=False)
+    actions = actions_from_events(_events(spark, sf_dir), text_ids=False)
+    joined = as_text_ids(user_action_join(users, actions), "userId")
+    return to_topic_rows(joined, ["userId", "name", "action"])
 
 
 def _stream(spark, sf_dir, name):

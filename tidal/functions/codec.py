@@ -60,7 +60,8 @@ def _field_ok(value: Column, name: str, dtype: T.DataType, parsed: Column) -> Co
             _variant_is_scalar(sub))
     if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StringType):
         elems = F.try_variant_get(doc, f"$.{name}", "array<variant>")
-        suspicious = F.exists(field, lambda e: _looks_nested(e))
+        # any element starting with a bracket (elements joined by a control character)
+        suspicious = F.array_join(field, "\u0001").rlike("(^|\u0001)[\\[{]")
         return F.when(field.isNull() | ~suspicious, F.lit(True)).otherwise(
             F.coalesce(F.forall(elems, lambda e: e.isNull() | _variant_is_scalar(e)), F.lit(True)))
     return F.lit(True)
@@ -71,15 +72,21 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
     """Decode ``value_col`` (string or UTF-8 binary) into ``schema``.
 
     Returns ``(accepted, rejected)``. ``accepted`` has the schema's columns (plus ``keep``);
-    ``rejected`` has ``keep``, the raw ``value`` text and a ``reason``. Both come from one
-    projection of the input, so the parse runs once per row when the caller caches or streams.
+    ``rejected`` has ``keep``, the raw ``value`` text and a ``reason``. Each parses the text once
+    per row (the variant parse only runs for values that look nested).
     ``required`` names fields that must be present and not null.
     """
-    value = _text(F.col(value_col))
     parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(value, parse_schema, STRICT_OPTIONS)
     names = [f.name for f in schema.fields]
-    keys_ok = F.forall(F.json_object_keys(value), lambda k: k.isin(*names))
+    # The parse gets its own projection and the checks refer to its result column: the optimizer
+    # does not inline a costly expression that is referenced several times, so each row is
+    # parsed once and the (codegen-friendly) checks run on the parsed struct.
+    value, parsed = F.col("_raw"), F.col("_rec")
+    raw = df.select(*[F.col(k) for k in keep], _text(F.col(value_col)).alias("_raw"))
+    with_rec = raw.select("*", F.from_json(value, parse_schema, STRICT_OPTIONS).alias("_rec"))
+    # lambda-free checks keep the projection in whole-stage codegen
+    keys_ok = F.size(F.array_except(F.json_object_keys(value),
+                                    F.array(*[F.lit(n) for n in names]))) == 0
     nested_ok = reduce(lambda a, b: a & b,
                        [_field_ok(value, f.name, f.dataType, parsed) for f in schema.fields],
                        F.lit(True))
@@ -90,12 +97,20 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
               .when(~F.coalesce(keys_ok, F.lit(False)), F.lit(REASON_UNKNOWN_FIELD))
               .when(~nested_ok, F.lit(REASON_NESTED))
               .when(~required_ok, F.lit(REASON_REQUIRED)))
-    staged = df.select(*[F.col(k) for k in keep], value.alias("_raw"), parsed.alias("_rec"),
-                       reason.alias("_reason"))
-    accepted = staged.where(F.col("_reason").isNull()).select(
-        *[F.col(k) for k in keep], *[F.col("_rec")[n].alias(n) for n in names])
-    rejected = staged.where(F.col("_reason").isNotNull()).select(
-        *[F.col(k) for k in keep], F.col("_raw").alias("value"), F.col("_reason").alias("reason"))
+    staged = with_rec.select("*", reason.alias("_reason"))
+    # Split with a generator over a 0- or 1-element array rather than a filter: a filter on
+    # ``_reason`` would be pushed below this projection with the parse inlined once per reference.
+    # A generator is not pushed through, so the text is parsed once per row.
+    accepted = staged.select(
+        *[F.col(k) for k in keep],
+        F.explode(F.when(F.col("_reason").isNull(), F.array(F.col("_rec"))))
+        .alias("_ok")).select(*[F.col(k) for k in keep], *[F.col("_ok")[n].alias(n) for n in names])
+    rejected = staged.select(
+        *[F.col(k) for k in keep],
+        F.explode(F.when(F.col("_reason").isNotNull(),
+                         F.array(F.struct(F.col("_raw").alias("value"),
+                                          F.col("_reason").alias("reason")))))
+        .alias("_bad")).select(*[F.col(k) for k in keep], "_bad.value", "_bad.reason")
     return accepted, rejected
 
 

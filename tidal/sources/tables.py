@@ -4,7 +4,12 @@
 actions (``user_id`` as userId, ``event_type`` as action, ``event_id`` as actionId and as the
 tie-breaking sequence). For the pairing, ``signup`` events act as user records, so users and
 actions interleave per id; the signup's ``props`` text stands in for the user's name, so that
-which user record was paired stays visible in the output. Ids are cast to text, the record type.
+which user record was paired stays visible in the output.
+
+Ids are text in the record type. With ``text_ids=False`` they keep the table's integer type:
+joins, range partitioning and windows then work on 8-byte keys, and null checks on the key reach
+the parquet scan; ``as_text_ids`` casts them in the final projection (the cast is injective, so
+equality and grouping are unchanged).
 """
 
 from __future__ import annotations
@@ -19,13 +24,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def users_from_customer(customer: DataFrame) -> DataFrame:
-    return customer.select(F.col("c_custkey").cast("string").alias("userId"),
+def _id(col: str, text: bool):
+    return F.col(col).cast("string") if text else F.col(col)
+
+
+def as_text_ids(df: DataFrame, *cols: str) -> DataFrame:
+    """Cast id columns to text (the record type) in place."""
+    return df.withColumns({c: F.col(c).cast("string") for c in cols})
+
+
+def users_from_customer(customer: DataFrame, text_ids: bool = True) -> DataFrame:
+    return customer.select(_id("c_custkey", text_ids).alias("userId"),
                            F.col("c_name").alias("name"))
 
 
-def actions_from_events(events: DataFrame, ordered: bool = False) -> DataFrame:
-    cols = [F.col("user_id").cast("string").alias("userId"), F.col("event_type").alias("action")]
+def actions_from_events(events: DataFrame, ordered: bool = False, text_ids: bool = True) -> DataFrame:
+    cols = [_id("user_id", text_ids).alias("userId"), F.col("event_type").alias("action")]
     if ordered:
         cols += [F.col("ts"), F.col("event_id").alias("seq")]
     return events.select(*cols)
@@ -39,13 +53,13 @@ def action_records_from_events(events: DataFrame) -> DataFrame:
                          F.col("ts"), F.col("event_id").alias("seq"))
 
 
-def pairing_inputs(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+def pairing_inputs(events: DataFrame, text_ids: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(users, actions)`` for the pairing: signups are user records, the rest actions."""
     is_signup = F.col("event_type") == SIGNUP
     users = events.where(is_signup).select(
-        F.col("user_id").cast("string").alias("userId"), F.col("props").alias("name"),
+        _id("user_id", text_ids).alias("userId"), F.col("props").alias("name"),
         F.col("ts"), F.col("event_id").alias("seq"))
     actions = events.where(~is_signup).select(
-        F.col("user_id").cast("string").alias("userId"), F.col("event_type").alias("action"),
+        _id("user_id", text_ids).alias("userId"), F.col("event_type").alias("action"),
         F.col("ts"), F.col("event_id").alias("seq"))
     return users, actions
