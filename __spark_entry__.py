@@ -67,6 +67,20 @@ def q_user_action_join(spark, sf_dir):
     return as_text_ids(user_action_join(users, actions, extra=("seq",)), "userId")
 
 
+def q_user_action_join_salted(spark, sf_dir):
+    """The same join with explicit salting of ids above 1/1000 of the actions."""
+    users = users_from_customer(_customer(spark, sf_dir), text_ids=False)
+    events = _events(spark, sf_dir)
+    actions = actions_from_events(events, ordered=True, text_ids=False)
+    out = user_action_join(users, actions, extra=("seq",), hot_key_rows=hot_threshold(events))
+    return as_text_ids(out, "userId")
+
+
+def hot_threshold(events) -> int:
+    """Ids with more than 1/1000 of all actions count as hot (a count over the input)."""
+    return max(1, events.count() // 1000)
+
+
 def q_user_action_join_sql(spark, sf_dir):
     users = users_from_customer(_customer(spark, sf_dir))
     actions = actions_from_events(_events(spark, sf_dir))
@@ -164,6 +178,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "project_user": q_project_user,
         "project_action": q_project_action,
         "user_action_join": q_user_action_join,
+        "user_action_join_salted": q_user_action_join_salted,
         "user_action_join_sql": q_user_action_join_sql,
         "pair_user_action": q_pair_user_action,
         "rule_filter": q_rule_filter,
@@ -292,6 +307,7 @@ def oracle_sql() -> dict[str, str]:
             "FROM customer c, events e WHERE CAST(c.c_custkey AS VARCHAR) = CAST(e.user_id AS VARCHAR))"),
     }
     # streaming forms compute the same results as the batch forms
+    sql["user_action_join_salted"] = sql["user_action_join"]
     for name in ("user_action_join", "pair_user_action", "rule_filter"):
         sql[f"{name}_stream"] = sql[name]
     return sql

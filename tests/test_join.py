@@ -75,3 +75,12 @@ def test_streaming_join(spark, tmpdir_path):
     acts = spark.readStream.schema(schemas.ACTION).parquet(f"{tmpdir_path}/a")
     out = run_to_table(user_action_join(us, acts), "join-test")
     assert rows(out) == [("j", "o", "y"), ("k", "m", "x"), ("k", "n", "x")]
+
+
+def test_salted_hot_key_join(spark):
+    users = [("hot", "h1"), ("hot", "h2"), ("cold", "c"), ("none", "x")]
+    actions = [("hot", f"a{i}") for i in range(300)] + [("cold", "b"), ("cold", "b"), (None, "z")]
+    u, a = frames(spark, users, actions)
+    plain = rows(user_action_join(u, a))
+    salted = rows(user_action_join(u, a, hot_key_rows=50, salt=7))
+    assert salted == plain and len(plain) == 602

@@ -5,6 +5,12 @@ physical join: broadcast when the user side's measured size is under the broadca
 sort-merge otherwise; AQE's skew join splits a hot ``userId`` on the action side into several
 tasks. On streams the same plan runs as a symmetric hash join without a watermark (both sides are
 kept, as in the source: no expiry).
+
+``hot_key_rows`` salts hot ids explicitly instead of relying on runtime statistics: ids with more
+actions than that are found by a partial aggregate (at most ``rows / hot_key_rows`` of them, so
+the list is broadcast with a proven bound); their actions spread over ``salt`` sub-keys by a hash
+of the row (deterministic, so a retried task routes rows the same way) and their user records
+are copied to every sub-key. Other ids keep sub-key 0.
 """
 
 from __future__ import annotations
@@ -14,24 +20,46 @@ from pyspark.sql import functions as F
 
 from tidal import schemas
 from tidal.operators.views import ACTION_VIEW, USER_VIEW, conform
+from tidal.session import default_blocks
 
 JOIN_SQL = ("SELECT U.userId, U.name, A.action "
             "FROM {users} U, {actions} A "
             "WHERE U.userId = A.userId")
 
 
-def user_action_join(users: DataFrame, actions: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+def user_action_join(users: DataFrame, actions: DataFrame, extra: tuple[str, ...] = (),
+                     hot_key_rows: int | None = None, salt: int | None = None) -> DataFrame:
     """``(userId, name, action)`` for every user/action pair with the same id.
 
     ``extra`` names action columns to carry along (e.g. ``ts``, ``seq``).
     """
-    u = users.select("userId", "name").alias("U")
-    a = actions.select("userId", "action", *extra).alias("A")
-    return u.join(a, F.col("U.userId") == F.col("A.userId"), "inner").select(
+    u = users.select("userId", "name")
+    a = actions.select("userId", "action", *extra)
+    cond = F.col("U.userId") == F.col("A.userId")
+    if hot_key_rows:
+        u, a = _salted(u, a, hot_key_rows, salt or default_blocks(actions.sparkSession))
+        cond = cond & (F.col("U._salt") == F.col("A._salt"))
+    u, a = u.alias("U"), a.alias("A")
+    return u.join(a, cond, "inner").select(
         F.col("U.userId").alias("userId"), F.col("U.name").alias("name"),
         F.col("A.action").alias("action"), *[F.col(f"A.{c}").alias(c) for c in extra])
 
 
+def _salted(users: DataFrame, actions: DataFrame, hot_key_rows: int, salt: int):
+    hot = (actions.groupBy("userId").count().where(F.col("count") > hot_key_rows)
+           .select("userId", F.lit(True).alias("_hot")))
+    hot = F.broadcast(hot)      # at most rows / hot_key_rows ids
+    a = actions.join(hot, "userId", "left").select(
+        *actions.columns,
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(*actions.columns), F.lit(salt)))
+        .otherwise(F.lit(0)).cast("int").alias("_salt"))
+    u = users.join(hot, "userId", "left").select(
+        *users.columns,
+        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt - 1)))
+                  .otherwise(F.array(F.lit(0)))).alias("_salt"))
+    return u, a
+
+
 def user_action_join_sql(spark: SparkSession, user_view: str = USER_VIEW,
                          action_view: str = ACTION_VIEW) -> DataFrame:
     """The same join as SQL text over two registered views, conformed to the output record."""
