@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from tidal import schemas
 from tidal.functions.codec import decode_json, encode_json, to_topic_rows
 from tidal.operators.join import user_action_join, user_action_join_sql
-from tidal.operators.pairing import pair_user_action
+from tidal.operators.pairing import pair_tagged
 from tidal.operators.rules import rule_filter, rule_filter_single
 from tidal.operators.views import project_action, project_user, register_views
 from tidal.session import apply_runtime_conf, shared_dir
 from tidal.sources.tables import (action_records_from_events, actions_from_events, as_text_ids,
-                                  pairing_inputs, read_table, users_from_customer)
-from tidal.streaming.pairing import pair_user_action_stream
+                                  pairing_events, read_table, users_from_customer)
+from tidal.streaming.pairing import pair_tagged_stream
 from tidal.streaming.rules import rule_filter_stream
 from tidal.streaming.runner import run_to_table
 
@@ -89,8 +89,8 @@ def q_user_action_join_sql(spark, sf_dir):
 
 
 def q_pair_user_action(spark, sf_dir):
-    users, actions = pairing_inputs(_events(spark, sf_dir), text_ids=False)
-    out = pair_user_action(users, actions).select("userId", "name", "action", "seq")
+    ev = pairing_events(_events(spark, sf_dir), text_ids=False)     # users and actions, one scan
+    out = pair_tagged(ev).select("userId", "name", "action", "seq")
     return as_text_ids(out, "userId")
 
 
@@ -158,8 +158,8 @@ def q_user_action_join_stream(spark, sf_dir):
 
 
 def q_pair_user_action_stream(spark, sf_dir):
-    users, actions = pairing_inputs(_stream(spark, sf_dir, "events"))
-    out = run_to_table(pair_user_action_stream(users, actions), "pair_user_action")
+    ev = pairing_events(_stream(spark, sf_dir, "events"))
+    out = run_to_table(pair_tagged_stream(ev), "pair_user_action")
     return out.select("userId", "name", "action", "seq")
 
 

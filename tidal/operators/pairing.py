@@ -36,6 +36,15 @@ ORDER = ["ts", "_rank", "seq"]
 OUTPUT = ["userId", "name", "action", "ts", "seq"]
 
 
+TAGGED_COLUMNS = ["userId", "_rank", "ts", "seq", "name", "action"]
+
+
+def tag_events(users: DataFrame, actions: DataFrame) -> DataFrame:
+    """Users and actions as one sequence: ``userId, _rank (0 user, 1 action), ts, seq, name,
+    action``. Inputs that come from one table can be tagged in a single scan instead."""
+    return _tagged(users, actions)
+
+
 def _tagged(users: DataFrame, actions: DataFrame) -> DataFrame:
     null = F.lit(None).cast("string")
     u = users.select("userId", F.lit(USER_RANK).alias("_rank"), "ts", "seq", "name",
@@ -115,7 +124,12 @@ def pair_user_action(users: DataFrame, actions: DataFrame, blocks: int | None =
     about ``rows / blocks`` (default: the shuffle partition count); ``durable`` checkpoints the
     blocked rows instead of persisting them.
     """
-    ev = _tagged(users, actions)
+    return pair_tagged(_tagged(users, actions), blocks, durable)
+
+
+def pair_tagged(ev: DataFrame, blocks: int | None = None, durable: bool = False) -> DataFrame:
+    """``pair_user_action`` over an already tagged sequence (``TAGGED_COLUMNS``)."""
+    ev = ev.where(F.col("userId").isNotNull())
     local = materialize(_local_scan(ordered_blocks(ev, ORDER, keys=["userId"], blocks=blocks)),
                         durable)
     carry = _carry(local)

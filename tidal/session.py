@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -76,3 +77,32 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def default_blocks(spark: SparkSession) -> int:
     """Number of ordered blocks for segmented scans: one per shuffle partition."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidal`` importable by Python workers (stateful processors are pickled by reference).
+
+    Zips the package once per application and adds it with ``addPyFile``, which serves it from
+    the driver to every executor, as ``--py-files`` would. The driver-side Python process that
+    ``transformWithState`` starts to read the processor's state schema takes its environment
+    from the function, so the zip also goes on that ``PYTHONPATH``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="tidal-pkg-"), "tidal.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(path)
+    current = sc.environment.get("PYTHONPATH", "")
+    sc.environment["PYTHONPATH"] = os.pathsep.join(p for p in (path, current) if p)
+    _SHIPPED.add(sc.applicationId)

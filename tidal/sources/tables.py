@@ -63,3 +63,14 @@ def pairing_inputs(events: DataFrame, text_ids: bool = True) -> tuple[DataFrame,
         _id("user_id", text_ids).alias("userId"), F.col("event_type").alias("action"),
         F.col("ts"), F.col("event_id").alias("seq"))
     return users, actions
+
+
+def pairing_events(events: DataFrame, text_ids: bool = True) -> DataFrame:
+    """The pairing's tagged sequence in one scan of ``events`` (see ``pairing.TAGGED_COLUMNS``)."""
+    is_signup = F.col("event_type") == SIGNUP
+    return events.select(
+        _id("user_id", text_ids).alias("userId"),
+        F.when(is_signup, F.lit(0)).otherwise(F.lit(1)).alias("_rank"),
+        F.col("ts"), F.col("event_id").alias("seq"),
+        F.when(is_signup, F.col("props")).alias("name"),
+        F.when(~is_signup, F.col("event_type")).alias("action"))

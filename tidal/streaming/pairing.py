@@ -12,9 +12,11 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidal.operators.pairing import USER_RANK, _tagged
+from tidal.session import ship_package
 
 OUTPUT_SCHEMA = "userId string, name string, action string, ts timestamp_ntz, seq long"
 _MIN_TS = _dt.datetime.min
@@ -62,5 +64,11 @@ class PairingProcessor(StatefulProcessor):
 
 def pair_user_action_stream(users: DataFrame, actions: DataFrame) -> DataFrame:
     """Streaming pairing; same inputs and output columns as the batch ``pair_user_action``."""
-    return _tagged(users, actions).groupBy("userId").transformWithState(
+    return pair_tagged_stream(_tagged(users, actions))
+
+
+def pair_tagged_stream(ev: DataFrame) -> DataFrame:
+    """Streaming pairing over an already tagged sequence (``TAGGED_COLUMNS``)."""
+    ship_package(ev.sparkSession)
+    return ev.where(F.col("userId").isNotNull()).groupBy("userId").transformWithState(
         PairingProcessor(), OUTPUT_SCHEMA, "Append", "None")
