@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidal import schemas
-from tidal.functions.codec import decode_json, encode_json, to_topic_rows
+from tidal.functions.codec import decode_json, decode_json_report, encode_json, to_topic_rows
 from tidal.operators.join import user_action_join, user_action_join_sql
 from tidal.operators.pairing import pair_tagged
 from tidal.operators.rules import rule_filter, rule_filter_single
 from tidal.operators.views import project_action, project_user, register_views
+from tidal.plans.topologies import enrich_topology, rule_gate_topology, table_join_topology
 from tidal.session import apply_runtime_conf, shared_dir
+from tidal.sources.topics import read_topic, write_topic
 from tidal.sources.tables import (action_records_from_events, actions_from_events, as_text_ids,
                                   pairing_events, read_table, users_from_customer)
 from tidal.streaming.pairing import pair_tagged_stream
@@ -131,11 +133,7 @@ def json_variants(events: DataFrame) -> DataFrame:
 
 def q_json_decode(spark, sf_dir):
     texts = json_variants(_events(spark, sf_dir))
-    accepted, rejected = decode_json(texts, schemas.ACTION_RECORD, keep=("seq",))
-    null = F.lit(None).cast("string")
-    return accepted.select("seq", "actionId", "userId", "action", null.alias("reason")).unionByName(
-        rejected.select("seq", null.alias("actionId"), null.alias("userId"), null.alias("action"),
-                        "reason"))
+    return decode_json_report(texts, schemas.ACTION_RECORD, keep=("seq",))
 
 
 def q_topic_rows(spark, sf_dir):
@@ -173,6 +171,70 @@ def q_rule_filter_stream(spark, sf_dir):
     return out.select("actionId", "userId", "action", "seq")
 
 
+# -- end-to-end topologies over file-folder topics derived from the tables ---------------------
+
+TOPIC_FMT = "parquet"
+
+
+def _topic(df: DataFrame, root: str, name: str, *cols, ts="ts", seq="seq") -> None:
+    rows = df.select(F.lit(None).cast("string").alias("key"), encode_json(*cols).alias("value"),
+                     F.col(ts).alias("ts"), F.col(seq).alias("seq"))
+    write_topic(rows, name, fmt=TOPIC_FMT, root=root)
+
+
+def _event_topics(spark, sf_dir, root, users_from_signups=True):
+    ev = _events(spark, sf_dir)
+    uid = F.col("user_id").cast("string").alias("userId")
+    signup = F.col("event_type") == "signup"
+    if users_from_signups:
+        users = ev.where(signup).select(uid, F.col("props").alias("name"), "ts",
+                                        F.col("event_id").alias("seq"))
+        _topic(users, root, "users", "userId", "name")
+        acts = ev.where(~signup)
+    else:
+        acts = ev
+    actions = acts.select(F.col("event_id").cast("string").alias("actionId"), uid,
+                          F.col("event_type").alias("action"), "ts", F.col("event_id").alias("seq"))
+    return actions
+
+
+def _output_topic(spark, root, name):
+    return read_topic(spark, name, fmt=TOPIC_FMT, root=root, decode="string").select("key", "value")
+
+
+def q_enrich_topics(spark, sf_dir):
+    """Users and actions as JSON topics -> strict decode -> streaming pairing -> JSON topic."""
+    root = shared_dir(spark, "enrich-topics")
+    _topic(_event_topics(spark, sf_dir, root), root, "actions", "userId", "action")
+    q = enrich_topology(spark, fmt=TOPIC_FMT, root=root, streaming=True, available_now=True)
+    q.awaitTermination()
+    return _output_topic(spark, root, "user-actions")
+
+
+def q_table_join_topics(spark, sf_dir):
+    """Customer users and event actions as JSON topics -> views + SQL join (batch) -> JSON topic."""
+    root = shared_dir(spark, "join-topics")
+    users = _customer(spark, sf_dir).select(
+        F.col("c_custkey").cast("string").alias("userId"), F.col("c_name").alias("name"),
+        F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")).alias("ts"), F.col("c_custkey").alias("seq"))
+    _topic(users, root, "users", "userId", "name")
+    _topic(_event_topics(spark, sf_dir, root, users_from_signups=False), root, "actions",
+           "userId", "action")
+    table_join_topology(spark, fmt=TOPIC_FMT, root=root, streaming=False,
+                        user_view="UserTopic", action_view="ActionTopic")
+    return _output_topic(spark, root, "user-actions")
+
+
+def q_rule_gate_topics(spark, sf_dir):
+    """Rules and actions as JSON topics -> strict decode -> latest-rule filter (batch) -> topic."""
+    root = shared_dir(spark, "rule-topics")
+    _topic(rules_frame(spark), root, "rules", "ruleId", "allowedActions")
+    _topic(_event_topics(spark, sf_dir, root, users_from_signups=False), root, "actions",
+           "actionId", "userId", "action")
+    rule_gate_topology(spark, fmt=TOPIC_FMT, root=root, streaming=False)
+    return _output_topic(spark, root, "actions-filtered")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "project_user": q_project_user,
@@ -189,6 +251,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_action_join_stream": q_user_action_join_stream,
         "pair_user_action_stream": q_pair_user_action_stream,
         "rule_filter_stream": q_rule_filter_stream,
+        "enrich_topics": q_enrich_topics,
+        "table_join_topics": q_table_join_topics,
+        "rule_gate_topics": q_rule_gate_topics,
     }
 
 
@@ -308,6 +373,16 @@ def oracle_sql() -> dict[str, str]:
     }
     # streaming forms compute the same results as the batch forms
     sql["user_action_join_salted"] = sql["user_action_join"]
+    # topologies: the operator's result as JSON text, the whole record as key and value
+    sql["enrich_topics"] = (
+        "SELECT j AS key, j AS value FROM (SELECT json_object('userId', \"userId\", 'name', name, "
+        "'action', action)::VARCHAR AS j FROM (" + _SQL_PAIR + "))")
+    sql["table_join_topics"] = (
+        "SELECT j AS key, j AS value FROM (SELECT json_object('userId', \"userId\", 'name', name, "
+        "'action', action)::VARCHAR AS j FROM (" + sql["user_action_join_sql"] + "))")
+    sql["rule_gate_topics"] = (
+        "SELECT j AS key, j AS value FROM (SELECT json_object('actionId', \"actionId\", "
+        "'userId', \"userId\", 'action', action)::VARCHAR AS j FROM (" + sql["rule_filter"] + "))")
     for name in ("user_action_join", "pair_user_action", "rule_filter"):
         sql[f"{name}_stream"] = sql[name]
     return sql

@@ -67,15 +67,9 @@ def _field_ok(value: Column, name: str, dtype: T.DataType, parsed: Column) -> Co
     return F.lit(True)
 
 
-def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
-                required: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Decode ``value_col`` (string or UTF-8 binary) into ``schema``.
-
-    Returns ``(accepted, rejected)``. ``accepted`` has the schema's columns (plus ``keep``);
-    ``rejected`` has ``keep``, the raw ``value`` text and a ``reason``. Each parses the text once
-    per row (the variant parse only runs for values that look nested).
-    ``required`` names fields that must be present and not null.
-    """
+def _staged(df: DataFrame, schema: T.StructType, value_col: str, required: tuple[str, ...],
+            keep: tuple[str, ...]) -> DataFrame:
+    """``keep..., _raw, _rec, _reason``: the text, its parse and why it is rejected (or null)."""
     parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     names = [f.name for f in schema.fields]
     # The parse gets its own projection and the checks refer to its result column: the optimizer
@@ -97,7 +91,20 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
               .when(~F.coalesce(keys_ok, F.lit(False)), F.lit(REASON_UNKNOWN_FIELD))
               .when(~nested_ok, F.lit(REASON_NESTED))
               .when(~required_ok, F.lit(REASON_REQUIRED)))
-    staged = with_rec.select("*", reason.alias("_reason"))
+    return with_rec.select("*", reason.alias("_reason"))
+
+
+def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
+                required: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Decode ``value_col`` (string or UTF-8 binary) into ``schema``.
+
+    Returns ``(accepted, rejected)``. ``accepted`` has the schema's columns (plus ``keep``);
+    ``rejected`` has ``keep``, the raw ``value`` text and a ``reason``. Each parses the text once
+    per row (the variant parse only runs for values that look nested).
+    ``required`` names fields that must be present and not null.
+    """
+    names = [f.name for f in schema.fields]
+    staged = _staged(df, schema, value_col, required, keep)
     # Split with a generator over a 0- or 1-element array rather than a filter: a filter on
     # ``_reason`` would be pushed below this projection with the parse inlined once per reference.
     # A generator is not pushed through, so the text is parsed once per row.
@@ -114,6 +121,17 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
     return accepted, rejected
 
 
+def decode_json_report(df: DataFrame, schema: T.StructType, value_col: str = "value",
+                       required: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input: ``keep``, the schema's fields (null when rejected) and ``reason``
+    (null when accepted) -- both outcomes from a single parse."""
+    staged = _staged(df, schema, value_col, required, keep)
+    ok = F.col("_reason").isNull()
+    return staged.select(*[F.col(k) for k in keep],
+                         *[F.when(ok, F.col("_rec")[f.name]).alias(f.name) for f in schema.fields],
+                         F.col("_reason").alias("reason"))
+
+
 def encode_json(*cols: str | Column) -> Column:
     """JSON text of the record made of ``cols``; null fields are written as ``null``."""
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})

@@ -27,6 +27,8 @@ from tidal.session import checkpoint_root, default_blocks
 
 BLOCK = "_blk"
 
+_PERSISTED: list[DataFrame] = []
+
 
 def ordered_blocks(df: DataFrame, order: list[str], keys: list[str] | tuple = (),
                    blocks: int | None = None) -> DataFrame:
@@ -38,9 +40,17 @@ def ordered_blocks(df: DataFrame, order: list[str], keys: list[str] | tuple = ()
 def materialize(df: DataFrame, durable: bool = False) -> DataFrame:
     """Fix one execution of ``df`` for several consumers (see the module notes)."""
     if not durable:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _PERSISTED.append(out)
+        return out
     checkpoint_root(df.sparkSession)
     df.persist(StorageLevel.MEMORY_AND_DISK)
     out = df.checkpoint(eager=True)           # written from the cache, not recomputed
     df.unpersist()
     return out
+
+
+def release() -> None:
+    """Drop the cached blocks of earlier calls, once their results have been consumed."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
