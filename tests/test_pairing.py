@@ -97,6 +97,16 @@ def hot_user_events(n_hot=3000, n_cold=300):
     return ev
 
 
+def test_durable_blocks_and_release(spark):
+    from tidal.operators.blocks import release
+    events = hot_user_events(400, 60)
+    users, actions = frames(spark, events)
+    out = pair_user_action(users, actions, blocks=5, durable=True)
+    assert counts((r.userId, r.name, r.action, r.seq) for r in out.collect()) == expected(events)
+    assert run_batch(spark, events, blocks=5) == expected(events)
+    release()
+
+
 def test_hot_user_is_split_and_exact(spark):
     events = hot_user_events()
     users, actions = frames(spark, events)

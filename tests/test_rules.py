@@ -114,3 +114,15 @@ def test_stream_matches_simulation(spark, tmpdir_path):
     r = spark.readStream.schema(RULES).parquet(f"{tmpdir_path}/rules")
     out = run_to_table(rule_filter_stream(a, r, shards=4), "rules-test")
     assert counts((x.actionId, x.action, x.seq) for x in out.collect()) == expected(events)
+
+
+def test_interval_join_ignores_session_time_zone(spark):
+    events = [("r", "R1", ["p"], 0, 0), ("r", "R2", ["q"], 7200, 1)]
+    events += [("a", f"a{t}", "p" if t % 2 else "q", t, 10 + t) for t in range(0, 9000, 450)]
+    exp = expected(events)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert run(spark, events, "intervals") == exp
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

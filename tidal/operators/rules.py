@@ -26,6 +26,7 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidal.functions.predicates import null_safe_contains
 from tidal.operators.blocks import BLOCK, materialize, ordered_blocks
@@ -39,10 +40,20 @@ BROADCAST_ROW_LIMIT = 2_000_000     # exploded interval rows sent to every task
 BUCKETS_PER_RULE = 4
 
 
-def _micros(ts):
+def _micros(ts, dtype):
+    """Microseconds on a monotone scale: epoch offset of a zone-free ``timestamp_ntz`` (no
+    daylight-saving gaps), or the instant of a ``timestamp``."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def _ts_literal(value, dtype):
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def _tagged(actions: DataFrame, rules: DataFrame) -> DataFrame:
     null = F.lit(None).cast("string")
     r = rules.select(F.lit(RULE_RANK).alias("_rank"), "ts", "seq",
@@ -61,21 +72,22 @@ def rule_filter(actions: DataFrame, rules: DataFrame, blocks: int | None = None,
     seq``. Output: the passing actions with the same columns. ``method``: ``"intervals"``,
     ``"blocks"`` or ``"auto"`` (intervals unless the rule count exceeds ``RULES_SORT_LIMIT``).
     """
-    rules = rules.where(F.col("ts").isNotNull())
+    ts_type = actions.schema["ts"].dataType
+    rules = rules.where(F.col("ts").isNotNull()).withColumn("ts", F.col("ts").cast(ts_type))
     if method == "blocks":
         return _rule_filter_blocked(actions, rules, blocks)
     # one aggregate over the (small) rule side: size, time span and the last rule
     stats = rules.agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(_micros(F.col("ts"))).alias("lo"),
-        F.max(_micros(F.col("ts"))).alias("hi"),
+        F.min(_micros(F.col("ts"), ts_type)).alias("lo"),
+        F.max(_micros(F.col("ts"), ts_type)).alias("hi"),
         F.max_by(F.struct("ts", "ruleId", "allowedActions"), F.struct("ts", "seq")).alias("tail"),
     ).first()
     if stats["n"] == 0:
         return actions.where(F.lit(False)).select(*OUTPUT)
     if method == "auto" and stats["n"] > RULES_SORT_LIMIT:
         return _rule_filter_blocked(actions, rules, blocks)
-    return _rule_filter_intervals(actions, rules, stats)
+    return _rule_filter_intervals(actions, rules, stats, ts_type)
 
 
 def _literal_rule(tail) -> F.Column:
@@ -86,10 +98,10 @@ def _literal_rule(tail) -> F.Column:
                     items.alias("allowedActions"))
 
 
-def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats) -> DataFrame:
+def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats, ts_type) -> DataFrame:
     tail = stats["tail"]
     # the open last interval: one rule, applied as a literal
-    tail_rule = F.when(F.col("ts") >= F.lit(tail["ts"]), _literal_rule(tail))
+    tail_rule = F.when(F.col("ts") >= _ts_literal(tail["ts"], ts_type), _literal_rule(tail))
     if stats["n"] == 1 or stats["hi"] == stats["lo"]:
         rule, kept = tail_rule, actions
     else:
@@ -101,11 +113,11 @@ def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats) -> DataF
                           F.col("ts").alias("_from"), F.lead("ts").over(by_time).alias("_to"))
         exploded = iv.where(F.col("_to") > F.col("_from")).select(
             "_rule", "_from", "_to",
-            F.explode(F.sequence(F.floor(_micros(F.col("_from")) / width),
-                                 F.floor((_micros(F.col("_to")) - 1) / width))).alias("_b"))
+            F.explode(F.sequence(F.floor(_micros(F.col("_from"), ts_type) / width),
+                                 F.floor((_micros(F.col("_to"), ts_type) - 1) / width))).alias("_b"))
         est_rows = stats["n"] + (stats["hi"] - stats["lo"]) // width + 1
         side = F.broadcast(exploded) if est_rows <= BROADCAST_ROW_LIMIT else exploded
-        bucketed = actions.withColumn("_ab", F.floor(_micros(F.col("ts")) / width))
+        bucketed = actions.withColumn("_ab", F.floor(_micros(F.col("ts"), ts_type) / width))
         kept = bucketed.join(side, (F.col("_ab") == F.col("_b")) & (F.col("ts") >= F.col("_from"))
                              & (F.col("ts") < F.col("_to")), "left")
         rule = F.coalesce(F.col("_rule"), tail_rule)

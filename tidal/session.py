@@ -49,6 +49,13 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         spark.conf.set(k, DEFAULT_CONF[k])
 
 
+def ensure_state_store(spark: SparkSession) -> None:
+    """``transformWithState`` keeps its state in RocksDB; select that provider for new queries."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

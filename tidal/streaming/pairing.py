@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidal.operators.pairing import USER_RANK, _tagged
-from tidal.session import ship_package
+from tidal.session import ensure_state_store, ship_package
 
 OUTPUT_SCHEMA = "userId string, name string, action string, ts timestamp_ntz, seq long"
 _MIN_TS = _dt.datetime.min
@@ -70,5 +70,6 @@ def pair_user_action_stream(users: DataFrame, actions: DataFrame) -> DataFrame:
 def pair_tagged_stream(ev: DataFrame) -> DataFrame:
     """Streaming pairing over an already tagged sequence (``TAGGED_COLUMNS``)."""
     ship_package(ev.sparkSession)
+    ensure_state_store(ev.sparkSession)
     return ev.where(F.col("userId").isNotNull()).groupBy("userId").transformWithState(
         PairingProcessor(), OUTPUT_SCHEMA, "Append", "None")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidal.operators.rules import ACTION_RANK, RULE_RANK
-from tidal.session import default_blocks, ship_package
+from tidal.session import default_blocks, ensure_state_store, ship_package
 from tidal.streaming.pairing import arrival_order
 
 OUTPUT_SCHEMA = "actionId string, userId string, action string, ts timestamp_ntz, seq long"
@@ -48,6 +48,7 @@ class RuleGateProcessor(StatefulProcessor):
 def rule_filter_stream(actions: DataFrame, rules: DataFrame, shards: int | None = None) -> DataFrame:
     """Streaming latest-rule filter; same inputs and output columns as the batch form."""
     ship_package(actions.sparkSession)
+    ensure_state_store(actions.sparkSession)
     n = shards or default_blocks(actions.sparkSession)
     null = F.lit(None).cast("string")
     r = rules.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_shard"),
