@@ -1,29 +1,113 @@
-"""Keyed pairing on streams: ``groupBy(userId).transformWithState``.
+"""Keyed pairing on streams: ``groupBy(userId).transformWithStateInPandas``.
 
 The state machine is the one documented in ``tidal.operators.pairing``: two value states per user
-id (remembered user, waiting action). Rows of one key within a micro-batch are ordered by
-``(ts, user before action, seq)`` before they are applied; across micro-batches, processing order
-rules. A hot user id is handled by one task per micro-batch, as any per-key sequential state
-machine must be; bound the batch with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``.
+id (remembered user, waiting action). Each key's rows of a micro-batch arrive as pandas frames and
+are ordered by ``(ts, user before action, seq)``; the state carried in from earlier batches
+becomes a virtual first event, and the closed form of the batch operator is then evaluated with
+vectorised numpy (shifts, cumulative counts, forward index fills) -- no per-row Python. Across
+micro-batches, processing order rules. A hot user id is handled by one task per micro-batch, as
+any per-key sequential state machine must be; bound the batch with ``maxFilesPerTrigger`` /
+``maxOffsetsPerTrigger``.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidal.operators.pairing import USER_RANK, _tagged
+from tidal.operators.pairing import ACTION_RANK, USER_RANK, _tagged
 from tidal.session import ensure_state_store, ship_package
 
 OUTPUT_SCHEMA = "userId string, name string, action string, ts timestamp_ntz, seq long"
-_MIN_TS = _dt.datetime.min
-
-
-def arrival_order(r):
-    return (r.ts or _MIN_TS, r._rank, r.seq if r.seq is not None else -1)
+OUTPUT_COLUMNS = ["userId", "name", "action", "ts", "seq"]
+NO_KIND = -1
+
+
+# The pandas path gets plain column names (names with a leading underscore do not survive the
+# Arrow hand-over intact), so the kind rank travels as ``kind``.
+KIND = "kind"
+
+
+def _sort_key(col: pd.Series) -> np.ndarray:
+    """int64 sort key with missing values first."""
+    if pd.api.types.is_datetime64_any_dtype(col):
+        return col.to_numpy(dtype="datetime64[ns]").view(np.int64)   # NaT is the least int64
+    if col.isna().any():
+        return col.fillna(np.iinfo(np.int64).min).to_numpy(dtype=np.int64)
+    return col.to_numpy(dtype=np.int64)
+
+
+def arrival_sorted(frames) -> pd.DataFrame:
+    """One key's rows of a micro-batch in arrival order (missing times first, as in batch)."""
+    frames = list(frames)
+    batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    if len(batch) > 1:
+        order = np.lexsort((_sort_key(batch["seq"]), _sort_key(batch[KIND]),
+                            _sort_key(batch["ts"])))
+        if (np.diff(order) < 0).any():
+            return batch.take(order).reset_index(drop=True)
+    return batch.reset_index(drop=True)
+
+
+def pair_batch(b: pd.DataFrame, user: tuple | None, waiting: tuple | None):
+    """Apply one key's sorted rows to the state ``(user, waiting)``.
+
+    Returns ``(emitted rows, user, waiting)`` with the state after the batch.
+    """
+    n = len(b)
+    kind = b[KIND].to_numpy(dtype=np.int64)
+    names = b["name"].to_numpy(dtype=object)
+    acts = b["action"].to_numpy(dtype=object)
+    is_u = kind == USER_RANK
+    # the state carried in, as the kind/action of a virtual event before the first row
+    first_pk = USER_RANK if user is not None else ACTION_RANK if waiting is not None else NO_KIND
+    pk = np.concatenate(([first_pk], kind[:-1])).astype(np.int64)
+    pa = np.empty(n, dtype=object)
+    if n:
+        pa[0] = waiting[0] if waiting is not None else None
+        pa[1:] = acts[:-1]
+    locking = is_u & ((pk == NO_KIND) | (pk == USER_RANK))
+    locked_before = (user is not None) | ((np.cumsum(locking) - locking) > 0)
+    latest_u = np.maximum.accumulate(np.where(is_u, np.arange(n), -1)) if n else kind
+    held_name = user[0] if user is not None else None
+    user_name = np.where(latest_u >= 0, names[np.maximum(latest_u, 0)], held_name) if n else names
+
+    emit = (is_u & (pk == ACTION_RANK) & ~locked_before) | (~is_u & locked_before)
+    if not emit.any():
+        out = pd.DataFrame()
+    else:
+        out = pd.DataFrame({
+            "name": np.where(is_u, names, user_name)[emit],
+            "action": np.where(is_u, pa, acts)[emit],
+            "ts": b["ts"].to_numpy()[emit],
+            "seq": b["seq"].to_numpy()[emit],
+        })
+    # state after the batch
+    if user is not None or locking.any():
+        last_u = np.flatnonzero(is_u)
+        user = (names[last_u[-1]],) if len(last_u) else user
+        waiting = None
+    elif n:
+        user = None
+        waiting = (acts[-1],) if kind[-1] == ACTION_RANK else None
+    return out, user, waiting
+
+
+def _read(state) -> tuple | None:
+    value = state.get()
+    return None if value is None else tuple(value)
+
+
+def _write(state, before: tuple | None, after: tuple | None) -> None:
+    if after == before:
+        return
+    if after is None:
+        state.clear()
+    else:
+        state.update(after)
 
 
 class PairingProcessor(StatefulProcessor):
@@ -34,29 +118,15 @@ class PairingProcessor(StatefulProcessor):
         self.action = handle.getValueState("action", "action string")
 
     def handleInputRows(self, key, rows, timerValues):
-        user = tuple(self.user.get()) if self.user.exists() else None
-        waiting = tuple(self.action.get()) if self.action.exists() else None
-        out = []
-        for r in sorted(rows, key=arrival_order):
-            if r._rank == USER_RANK:
-                if waiting is not None:
-                    out.append(Row(userId=r.userId, name=r.name, action=waiting[0], ts=r.ts, seq=r.seq))
-                    waiting = None
-                else:
-                    user = (r.name,)
-            elif user is not None:
-                out.append(Row(userId=r.userId, name=user[0], action=r.action, ts=r.ts, seq=r.seq))
-            else:
-                waiting = (r.action,)
-        if user is None:
-            self.user.clear()
-        else:
-            self.user.update(user)
-        if waiting is None:
-            self.action.clear()
-        else:
-            self.action.update(waiting)
-        return iter(out)
+        # every state call is a round trip to the state store: read once, write on change only
+        batch = arrival_sorted(rows)
+        user0, waiting0 = _read(self.user), _read(self.action)
+        out, user, waiting = pair_batch(batch, user0, waiting0)
+        _write(self.user, user0, user)
+        _write(self.action, waiting0, waiting)
+        if len(out):
+            out.insert(0, "userId", key[0])
+            yield out[OUTPUT_COLUMNS]
 
     def close(self) -> None:
         pass
@@ -71,5 +141,6 @@ def pair_tagged_stream(ev: DataFrame) -> DataFrame:
     """Streaming pairing over an already tagged sequence (``TAGGED_COLUMNS``)."""
     ship_package(ev.sparkSession)
     ensure_state_store(ev.sparkSession)
-    return ev.where(F.col("userId").isNotNull()).groupBy("userId").transformWithState(
+    ev = ev.where(F.col("userId").isNotNull()).withColumnRenamed("_rank", KIND)
+    return ev.groupBy("userId").transformWithStateInPandas(
         PairingProcessor(), OUTPUT_SCHEMA, "Append", "None")

@@ -5,20 +5,50 @@ each action goes to one shard by ``hash(actionId)``, and each shard keeps the la
 value state -- the same replication broadcast state performs, one copy per parallel worker. The
 decision never depends on the action's key, so spreading actions by their id keeps shards even
 (a hot user or a hot action name does not pile onto one task). Within a micro-batch each shard's
-rows are applied in ``(ts, rule before action, seq)`` order.
+rows are ordered by ``(ts, rule before action, seq)``; every action takes the latest rule before
+it (a forward index fill), and membership is tested per run of actions under one rule with a
+vectorised ``isin`` (null-safe: a null action is found when the list holds null).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidal.operators.rules import ACTION_RANK, RULE_RANK
 from tidal.session import default_blocks, ensure_state_store, ship_package
-from tidal.streaming.pairing import arrival_order
+from tidal.streaming.pairing import KIND, _read, arrival_sorted
 
 OUTPUT_SCHEMA = "actionId string, userId string, action string, ts timestamp_ntz, seq long"
+OUTPUT_COLUMNS = ["actionId", "userId", "action", "ts", "seq"]
+
+
+def gate_batch(b: pd.DataFrame, rule: tuple | None):
+    """Apply one shard's sorted rows to the held ``rule``: ``(kept actions, rule after)``."""
+    n = len(b)
+    is_rule = b[KIND].to_numpy(dtype=np.int64) == RULE_RANK
+    governing = np.maximum.accumulate(np.where(is_rule, np.arange(n), -1)) if n else np.zeros(0, int)
+    acts = b["action"]
+    keep = np.zeros(n, dtype=bool)
+    is_action = ~is_rule
+    for g in np.unique(governing[is_action]):
+        if g >= 0:
+            allowed = b["allowedActions"].iat[g]
+        else:
+            allowed = rule[1] if rule is not None else None
+        if allowed is None:
+            continue
+        sel = is_action & (governing == g)
+        keep[sel] = acts[sel].isin(list(allowed)).to_numpy()
+    last_rule = np.flatnonzero(is_rule)
+    if len(last_rule):
+        r = b.iloc[last_rule[-1]]
+        allowed = r["allowedActions"]
+        rule = (r["ruleId"], None if allowed is None else list(allowed))
+    return b.loc[keep, OUTPUT_COLUMNS], rule
 
 
 class RuleGateProcessor(StatefulProcessor):
@@ -28,18 +58,13 @@ class RuleGateProcessor(StatefulProcessor):
         self.rule = handle.getValueState("rule", "ruleId string, allowedActions array<string>")
 
     def handleInputRows(self, key, rows, timerValues):
-        rule = tuple(self.rule.get()) if self.rule.exists() else None
-        changed = False
-        out = []
-        for r in sorted(rows, key=arrival_order):
-            if r._rank == RULE_RANK:
-                rule, changed = (r.ruleId, r.allowedActions), True
-            elif rule is not None and rule[1] is not None and r.action in rule[1]:
-                out.append(Row(actionId=r.actionId, userId=r.userId, action=r.action, ts=r.ts,
-                               seq=r.seq))
-        if changed:
+        batch = arrival_sorted(rows)
+        held = _read(self.rule)
+        kept, rule = gate_batch(batch, held)
+        if rule is not held:
             self.rule.update(rule)
-        return iter(out)
+        if len(kept):
+            yield kept
 
     def close(self) -> None:
         pass
@@ -51,12 +76,12 @@ def rule_filter_stream(actions: DataFrame, rules: DataFrame, shards: int | None
     ensure_state_store(actions.sparkSession)
     n = shards or default_blocks(actions.sparkSession)
     null = F.lit(None).cast("string")
-    r = rules.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_shard"),
-                     F.lit(RULE_RANK).alias("_rank"), "ts", "seq", null.alias("actionId"),
+    r = rules.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"),
+                     F.lit(RULE_RANK).alias(KIND), "ts", "seq", null.alias("actionId"),
                      null.alias("userId"), null.alias("action"), "ruleId", "allowedActions")
-    a = actions.select(F.pmod(F.xxhash64("actionId"), F.lit(n)).cast("int").alias("_shard"),
-                       F.lit(ACTION_RANK).alias("_rank"), "ts", "seq", "actionId", "userId",
+    a = actions.select(F.pmod(F.xxhash64("actionId"), F.lit(n)).cast("int").alias("shard"),
+                       F.lit(ACTION_RANK).alias(KIND), "ts", "seq", "actionId", "userId",
                        "action", null.alias("ruleId"),
                        F.lit(None).cast("array<string>").alias("allowedActions"))
-    return r.unionByName(a).groupBy("_shard").transformWithState(
+    return r.unionByName(a).groupBy("shard").transformWithStateInPandas(
         RuleGateProcessor(), OUTPUT_SCHEMA, "Append", "None")
