@@ -26,11 +26,14 @@ def _pairing_frames(spark, n=2000):
 
 def test_pairing_windows_are_per_block(spark):
     users, actions = _pairing_frames(spark)
-    plan = executed(pair_user_action(users, actions, blocks=4))
+    plain = executed(pair_user_action(users, actions, blocks=4))     # no hot user: one window pass
+    assert "rangepartitioning" not in plain and "InMemoryTableScan" not in plain
+    plan = executed(pair_user_action(users, actions, blocks=4, hot_key_rows=10))
+    # hot users: range-cut into blocks, windows per (user, block). (Cold users keep a window per
+    # user: their groups are bounded by the hot threshold.)
     assert "Exchange rangepartitioning(userId" in plan
     windows = re.findall(r"windowspecdefinition\(([^,]+), ([^,]+),", plan)
-    per_user = [w for w in windows if w[0].startswith("userId") and not w[1].startswith("_blk")]
-    assert not per_user, "a window partitioned by the user id alone would hold a hot user in one task"
+    assert any(w[0].startswith("userId") and w[1].startswith("_blk") for w in windows)
     # the carry table is broadcast; its size is bounded by the block count
     assert "BroadcastHashJoin" in plan
     release()

@@ -19,9 +19,14 @@ and action; an u event is *locking* when ``pk`` is null or u -- from then on a u
 * an u event emits ``(user, pa)`` when ``pk = a`` and no locking event came before it;
 * an a event emits ``(latest user so far, action)`` when a locking event came before it.
 
-Everything is a forward scan, computed per ordered block (``tidal.operators.blocks``) with window
-functions, then stitched across blocks with a carry table of at most one row per block, which is
-broadcast (its size is bounded by the number of blocks, not by the data).
+Everything is a forward scan of each user's events. Users are split by size first: a partial
+aggregate counts rows per user, and a user holding more than ``rows / (4 x blocks)`` rows is hot
+(so there are at most ``4 x blocks`` hot ids, collected as a bounded list). Cold users run the
+closed form with windows partitioned by user -- one shuffle, groups bounded by the threshold.
+Hot users' rows are cut into ordered blocks (``tidal.operators.blocks``) so that a user holding
+a third of all rows is spread over many tasks; the windows then run per (user, block), stitched
+across blocks with a carry table of at most one row per block, broadcast (its size is bounded by
+the number of blocks, not by the data).
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidal.operators.blocks import BLOCK, materialize, ordered_blocks
+from tidal.session import default_blocks
 
 USER_RANK, ACTION_RANK = 0, 1          # on equal ``ts`` a user record sorts before an action
 ORDER = ["ts", "_rank", "seq"]
@@ -115,26 +121,49 @@ def _carry(local: DataFrame) -> DataFrame:
 
 
 def pair_user_action(users: DataFrame, actions: DataFrame, blocks: int | None = None,
-                     durable: bool = False) -> DataFrame:
+                     durable: bool = False, hot_key_rows: int | None = None) -> DataFrame:
     """Pair actions with remembered users per ``userId``.
 
     ``users``: ``userId, name, ts, seq``; ``actions``: ``userId, action, ts, seq``. Order is
     ``(ts, user before action, seq)``. Output ``userId, name, action, ts, seq`` where ``ts``/``seq``
     are those of the record that triggered the output. ``blocks`` bounds the rows per task to
-    about ``rows / blocks`` (default: the shuffle partition count); ``durable`` checkpoints the
-    blocked rows instead of persisting them.
+    about ``rows / blocks`` (default: the shuffle partition count) for hot users; ``durable``
+    checkpoints their blocked rows instead of persisting them; ``hot_key_rows`` sets the
+    hot-user threshold.
     """
-    return pair_tagged(_tagged(users, actions), blocks, durable)
+    return pair_tagged(_tagged(users, actions), blocks, durable, hot_key_rows)
 
 
-def pair_tagged(ev: DataFrame, blocks: int | None = None, durable: bool = False) -> DataFrame:
-    """``pair_user_action`` over an already tagged sequence (``TAGGED_COLUMNS``)."""
+def pair_tagged(ev: DataFrame, blocks: int | None = None, durable: bool = False,
+                hot_key_rows: int | None = None) -> DataFrame:
+    """``pair_user_action`` over an already tagged sequence (``TAGGED_COLUMNS``).
+
+    ``hot_key_rows`` overrides the hot-user threshold (default ``rows / (4 x blocks)``).
+    """
     ev = ev.where(F.col("userId").isNotNull())
-    local = materialize(_local_scan(ordered_blocks(ev, ORDER, keys=["userId"], blocks=blocks)),
-                        durable)
-    carry = _carry(local)
-    j = local.join(F.broadcast(carry),
-                   (F.col(BLOCK) == F.col("_cblk")) & (F.col("userId") == F.col("_cu")), "left")
+    n_blocks = blocks or default_blocks(ev.sparkSession)
+    if hot_key_rows is None:
+        hot_key_rows = max(1, -(-ev.count() // (4 * n_blocks)))
+    hot = [r[0] for r in ev.groupBy("userId").count()
+           .where(F.col("count") > hot_key_rows).select("userId").collect()]   # <= rows / threshold
+    if not hot:
+        return _emit(_local_scan(ev.withColumn(BLOCK, F.lit(0))), carry=None)
+    is_hot = F.col("userId").isin(hot)
+    cold = _emit(_local_scan(ev.where(~is_hot).withColumn(BLOCK, F.lit(0))), carry=None)
+    local = materialize(_local_scan(ordered_blocks(ev.where(is_hot), ORDER, keys=["userId"],
+                                                   blocks=n_blocks)), durable)
+    return cold.unionByName(_emit(local, carry=_carry(local)))
+
+
+def _emit(local: DataFrame, carry: DataFrame | None) -> DataFrame:
+    """Rows that emit, from the per-(user, block) scan plus the carry-in of each block."""
+    if carry is None:
+        j = local.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("_pk_in", "int"), ("_pa_in", "string"), ("_lu_in", "struct<name:string>"),
+            ("_lock_in", "int"))])
+    else:
+        j = local.join(F.broadcast(carry),
+                       (F.col(BLOCK) == F.col("_cblk")) & (F.col("userId") == F.col("_cu")), "left")
     first = F.col("_pk").isNull()
     pk = F.when(first, F.col("_pk_in")).otherwise(F.col("_pk"))
     pa = F.when(first, F.col("_pa_in")).otherwise(F.col("_pa"))
