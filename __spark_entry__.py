@@ -149,15 +149,22 @@ def _stream(spark, sf_dir, name):
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}*.parquet")
 
 
+def _state_partitions(spark) -> int:
+    """State partitions of the registered stream queries: one per core of the cluster."""
+    return spark.sparkContext.defaultParallelism
+
+
 def q_user_action_join_stream(spark, sf_dir):
     users = users_from_customer(_stream(spark, sf_dir, "customer"))
     actions = actions_from_events(_stream(spark, sf_dir, "events"), ordered=True)
-    return run_to_table(user_action_join(users, actions, extra=("seq",)), "user_action_join")
+    return run_to_table(user_action_join(users, actions, extra=("seq",)), "user_action_join",
+                        state_partitions=_state_partitions(spark))
 
 
 def q_pair_user_action_stream(spark, sf_dir):
     ev = pairing_events(_stream(spark, sf_dir, "events"))
-    out = run_to_table(pair_tagged_stream(ev), "pair_user_action")
+    out = run_to_table(pair_tagged_stream(ev), "pair_user_action",
+                       state_partitions=_state_partitions(spark))
     return out.select("userId", "name", "action", "seq")
 
 
@@ -167,7 +174,8 @@ def q_rule_filter_stream(spark, sf_dir):
     static_rules = rules_frame(spark)
     static_rules.coalesce(1).write.parquet(rules_dir)
     rules = spark.readStream.schema(static_rules.schema).parquet(rules_dir)
-    out = run_to_table(rule_filter_stream(actions, rules), "rule_filter")
+    out = run_to_table(rule_filter_stream(actions, rules, shards=_state_partitions(spark)),
+                       "rule_filter", state_partitions=_state_partitions(spark))
     return out.select("actionId", "userId", "action", "seq")
 
 
@@ -206,7 +214,8 @@ def q_enrich_topics(spark, sf_dir):
     """Users and actions as JSON topics -> strict decode -> streaming pairing -> JSON topic."""
     root = shared_dir(spark, "enrich-topics")
     _topic(_event_topics(spark, sf_dir, root), root, "actions", "userId", "action")
-    q = enrich_topology(spark, fmt=TOPIC_FMT, root=root, streaming=True, available_now=True)
+    q = enrich_topology(spark, fmt=TOPIC_FMT, root=root, streaming=True, available_now=True,
+                        state_partitions=_state_partitions(spark))
     q.awaitTermination()
     return _output_topic(spark, root, "user-actions")
 

@@ -21,9 +21,9 @@ def frames(spark, events):
     return spark.createDataFrame(users, USERS), spark.createDataFrame(actions, ACTIONS)
 
 
-def run_batch(spark, events, blocks=None):
+def run_batch(spark, events, blocks=None, hot=None):
     users, actions = frames(spark, events)
-    out = pair_user_action(users, actions, blocks=blocks)
+    out = pair_user_action(users, actions, blocks=blocks, hot_key_rows=hot)
     return counts((r.userId, r.name, r.action, r.seq) for r in out.collect())
 
 
@@ -77,10 +77,11 @@ event = st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.sampled_from(["u", "a"
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(event, max_size=40), st.sampled_from([1, 3, 8]))
-def test_matches_simulation(spark, evs, blocks):
+@given(st.lists(event, max_size=40), st.sampled_from([1, 3, 8]), st.sampled_from([None, 1, 4]))
+def test_matches_simulation(spark, evs, blocks, hot):
+    # hot=1 / 4: users with more rows take the ordered-block path; None: every user is cold here
     events = [(u, k, v, t, i) for i, (u, k, v, t) in enumerate(evs)]
-    assert run_batch(spark, events, blocks=blocks) == expected(events)
+    assert run_batch(spark, events, blocks=blocks, hot=hot) == expected(events)
 
 
 def hot_user_events(n_hot=3000, n_cold=300):
@@ -101,9 +102,9 @@ def test_durable_blocks_and_release(spark):
     from tidal.operators.blocks import release
     events = hot_user_events(400, 60)
     users, actions = frames(spark, events)
-    out = pair_user_action(users, actions, blocks=5, durable=True)
+    out = pair_user_action(users, actions, blocks=5, durable=True, hot_key_rows=100)
     assert counts((r.userId, r.name, r.action, r.seq) for r in out.collect()) == expected(events)
-    assert run_batch(spark, events, blocks=5) == expected(events)
+    assert run_batch(spark, events, blocks=5, hot=100) == expected(events)
     release()
 
 
@@ -114,7 +115,8 @@ def test_hot_user_is_split_and_exact(spark):
     per_block = blocked.where(F.col("userId") == "hot").groupBy(BLOCK).count().collect()
     assert len(per_block) >= 6                        # the hot key spans most blocks
     assert max(r["count"] for r in per_block) < 3000 / 3
-    assert run_batch(spark, events, blocks=8) == expected(events)
+    assert run_batch(spark, events, blocks=8, hot=3300 // 32) == expected(events)
+    assert run_batch(spark, events, blocks=8) == expected(events)      # below the floor: one pass
 
 
 def _write_events(spark, events, path):
@@ -138,7 +140,7 @@ def _stream_pairs(spark, src, checkpoint=None, out=None):
 def test_stream_matches_batch_and_simulation(spark, tmpdir_path):
     events = hot_user_events(600, 200)
     _write_events(spark, events, f"{tmpdir_path}/in")
-    assert _stream_pairs(spark, f"{tmpdir_path}/in") == expected(events) == run_batch(spark, events)
+    assert _stream_pairs(spark, f"{tmpdir_path}/in") == expected(events) == run_batch(spark, events, 4, 100)
 
 
 def test_stream_state_survives_restart(spark, tmpdir_path):

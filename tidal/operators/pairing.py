@@ -20,8 +20,9 @@ and action; an u event is *locking* when ``pk`` is null or u -- from then on a u
 * an a event emits ``(latest user so far, action)`` when a locking event came before it.
 
 Everything is a forward scan of each user's events. Users are split by size first: a partial
-aggregate counts rows per user, and a user holding more than ``rows / (4 x blocks)`` rows is hot
-(so there are at most ``4 x blocks`` hot ids, collected as a bounded list). Cold users run the
+aggregate counts rows per user, and a user holding more than ``rows / (4 x blocks)`` rows (and
+more than ``HOT_ROWS_FLOOR``, which one task windows in about a second) is hot -- so there are
+at most ``4 x blocks`` hot ids, collected as a bounded list. Cold users run the
 closed form with windows partitioned by user -- one shuffle, groups bounded by the threshold.
 Hot users' rows are cut into ordered blocks (``tidal.operators.blocks``) so that a user holding
 a third of all rows is spread over many tasks; the windows then run per (user, block), stitched
@@ -40,6 +41,7 @@ from tidal.session import default_blocks
 USER_RANK, ACTION_RANK = 0, 1          # on equal ``ts`` a user record sorts before an action
 ORDER = ["ts", "_rank", "seq"]
 OUTPUT = ["userId", "name", "action", "ts", "seq"]
+HOT_ROWS_FLOOR = 1_000_000
 
 
 TAGGED_COLUMNS = ["userId", "_rank", "ts", "seq", "name", "action"]
@@ -138,12 +140,13 @@ def pair_tagged(ev: DataFrame, blocks: int | None = None, durable: bool = False,
                 hot_key_rows: int | None = None) -> DataFrame:
     """``pair_user_action`` over an already tagged sequence (``TAGGED_COLUMNS``).
 
-    ``hot_key_rows`` overrides the hot-user threshold (default ``rows / (4 x blocks)``).
+    ``hot_key_rows`` overrides the hot-user threshold (default: ``rows / (4 x blocks)``, at
+    least ``HOT_ROWS_FLOOR``).
     """
     ev = ev.where(F.col("userId").isNotNull())
     n_blocks = blocks or default_blocks(ev.sparkSession)
     if hot_key_rows is None:
-        hot_key_rows = max(1, -(-ev.count() // (4 * n_blocks)))
+        hot_key_rows = max(HOT_ROWS_FLOOR, -(-ev.count() // (4 * n_blocks)))
     hot = [r[0] for r in ev.groupBy("userId").count()
            .where(F.col("count") > hot_key_rows).select("userId").collect()]   # <= rows / threshold
     if not hot:

@@ -35,11 +35,13 @@ USER_ACTION_COLS = ["userId", "name", "action"]
 ACTION_RECORD_COLS = ["actionId", "userId", "action"]
 
 
-def _sink(df, cols, topic, streaming, servers, fmt, root, checkpoint, name, available_now):
+def _sink(df, cols, topic, streaming, servers, fmt, root, checkpoint, name, available_now,
+          state_partitions=None):
     if streaming:
         checkpoint = checkpoint or shared_dir(df.sparkSession, f"{name}-checkpoint")
         return write_json_topic(df, topic, checkpoint, servers=servers, fmt=fmt, root=root,
-                                cols=cols, name=name, available_now=available_now)
+                                cols=cols, name=name, available_now=available_now,
+                                state_partitions=state_partitions)
     write_topic(to_topic_rows(df, cols), topic, servers=servers, fmt=fmt, root=root)
     return None
 
@@ -48,13 +50,14 @@ def enrich_topology(spark: SparkSession, servers: str | None = None, fmt: str =
                     root: str | None = None, streaming: bool = True,
                     checkpoint: str | None = None, available_now: bool = False,
                     user_topic: str = USER_TOPIC, action_topic: str = ACTION_TOPIC,
-                    out_topic: str = USER_ACTION_TOPIC) -> StreamingQuery | None:
+                    out_topic: str = USER_ACTION_TOPIC,
+                    state_partitions: int | None = None) -> StreamingQuery | None:
     """Users and actions paired per user id with remembered state; user actions out."""
     users, _ = read_json_topic(spark, schemas.USER, user_topic, servers, fmt, root, streaming)
     actions, _ = read_json_topic(spark, schemas.ACTION, action_topic, servers, fmt, root, streaming)
     op = pair_user_action_stream if streaming else pair_user_action
     return _sink(op(users, actions), USER_ACTION_COLS, out_topic, streaming, servers, fmt, root,
-                 checkpoint, "merged_user_with_action", available_now)
+                 checkpoint, "merged_user_with_action", available_now, state_partitions)
 
 
 def table_join_topology(spark: SparkSession, servers: str | None = None, fmt: str = "kafka",

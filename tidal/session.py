@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -113,3 +114,23 @@ def ship_package(spark: SparkSession) -> None:
     current = sc.environment.get("PYTHONPATH", "")
     sc.environment["PYTHONPATH"] = os.pathsep.join(p for p in (path, current) if p)
     _SHIPPED.add(sc.applicationId)
+
+
+@contextlib.contextmanager
+def shuffle_partitions(spark: SparkSession, n: int | None):
+    """Run a block (a stream start) with ``spark.sql.shuffle.partitions`` set to ``n``.
+
+    A streaming query copies the session's settings when it starts, and a stateful query keeps
+    that partition count as its number of state partitions for its whole life (it is recorded in
+    the checkpoint); the session itself is restored afterwards.
+    """
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)

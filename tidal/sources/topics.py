@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidal.functions.codec import decode_json, to_topic_rows
+from tidal.session import shuffle_partitions
 
 # A file-backed topic holds the record text plus its arrival time and position, which the Kafka
 # source provides as ``timestamp`` and ``offset``.
@@ -101,8 +102,11 @@ def read_json_topic(spark: SparkSession, schema: T.StructType, topic: str,
 def write_json_topic(df: DataFrame, topic: str, checkpoint: str, servers: str | None = None,
                      fmt: str = "kafka", root: str | None = None, key: str | None = "record",
                      cols: list[str] | None = None, name: str | None = None,
-                     available_now: bool = False) -> StreamingQuery:
-    """Stream records to a topic as JSON (key = whole record by default). At-least-once."""
+                     available_now: bool = False,
+                     state_partitions: int | None = None) -> StreamingQuery:
+    """Stream records to a topic as JSON (key = whole record by default). At-least-once.
+
+    ``state_partitions``: state partitions of a stateful upstream, fixed at the first start."""
     rows = to_topic_rows(df, cols, key=key)
     if fmt != "kafka":
         rows = rows.select("key", "value", F.current_timestamp().cast("timestamp_ntz").alias("ts"),
@@ -112,6 +116,7 @@ def write_json_topic(df: DataFrame, topic: str, checkpoint: str, servers: str |
         writer = writer.queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    if fmt == "kafka":
-        return writer.format("kafka").options(**kafka_sink_options(servers, topic)).start()
-    return writer.format(fmt).start(topic_path(root, topic))
+    with shuffle_partitions(df.sparkSession, state_partitions):
+        if fmt == "kafka":
+            return writer.format("kafka").options(**kafka_sink_options(servers, topic)).start()
+        return writer.format(fmt).start(topic_path(root, topic))

@@ -7,16 +7,18 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidal.session import shared_dir
+from tidal.session import shared_dir, shuffle_partitions
 
 
 def run_stream(df: DataFrame, name: str, path: str | None = None, checkpoint: str | None = None,
                fmt: str = "parquet", available_now: bool = True,
-               output_mode: str = "append") -> StreamingQuery:
+               output_mode: str = "append", state_partitions: int | None = None) -> StreamingQuery:
     """Start ``df`` into a sink; ``available_now`` drains what is there and stops.
 
     The query is named (unique per start); sink and checkpoint default to fresh folders under
     ``spark.checkpoint.dir`` so a restart with the same ``checkpoint`` resumes where it stopped.
+    ``state_partitions`` fixes the number of state partitions of a stateful query at its first
+    start (default: the session's shuffle partition count).
     """
     spark = df.sparkSession
     checkpoint = checkpoint or shared_dir(spark, f"{name}-checkpoint")
@@ -24,17 +26,19 @@ def run_stream(df: DataFrame, name: str, path: str | None = None, checkpoint: st
               .option("checkpointLocation", checkpoint).outputMode(output_mode).format(fmt))
     if available_now:
         writer = writer.trigger(availableNow=True)
-    if fmt in ("console", "memory", "noop"):
-        return writer.start()
-    return writer.start(path or shared_dir(spark, f"{name}-out"))
+    with shuffle_partitions(spark, state_partitions):
+        if fmt in ("console", "memory", "noop"):
+            return writer.start()
+        return writer.start(path or shared_dir(spark, f"{name}-out"))
 
 
 def run_to_table(df: DataFrame, name: str, path: str | None = None,
-                 checkpoint: str | None = None, timeout: float | None = None) -> DataFrame:
+                 checkpoint: str | None = None, timeout: float | None = None,
+                 state_partitions: int | None = None) -> DataFrame:
     """Drain a stream into a parquet folder and return that folder as a batch DataFrame."""
     spark = df.sparkSession
     path = path or shared_dir(spark, f"{name}-out")
-    q = run_stream(df, name, path=path, checkpoint=checkpoint)
+    q = run_stream(df, name, path=path, checkpoint=checkpoint, state_partitions=state_partitions)
     q.awaitTermination(timeout)
     if q.isActive:
         q.stop()
