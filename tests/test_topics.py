@@ -89,3 +89,14 @@ def test_rule_gate_json_in_json_out(spark, tmpdir_path, streaming):
         _drain(q)
     assert values(spark, tmpdir_path, "actions-filtered") == [
         '{"actionId":"a1","userId":"id1","action":"logged-in"}']
+
+
+def test_micro_batches_bounded_by_files(spark, tmpdir_path):
+    from tidal.streaming.runner import run_stream
+    for i in range(3):
+        put(spark, tmpdir_path, "in", [({"userId": f"u{i}", "name": "n"}, i, i)], fmt="parquet")
+    acc, _ = read_json_topic(spark, schemas.USER, "in", fmt="parquet", root=tmpdir_path,
+                             streaming=True, max_per_trigger=1)
+    q = run_stream(acc, "bounded", path=f"{tmpdir_path}/out")
+    q.awaitTermination(120)
+    assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == [1, 1, 1]

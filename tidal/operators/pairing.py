@@ -42,8 +42,6 @@ USER_RANK, ACTION_RANK = 0, 1          # on equal ``ts`` a user record sorts bef
 ORDER = ["ts", "_rank", "seq"]
 OUTPUT = ["userId", "name", "action", "ts", "seq"]
 HOT_ROWS_FLOOR = 1_000_000
-
-
 TAGGED_COLUMNS = ["userId", "_rank", "ts", "seq", "name", "action"]
 
 
@@ -145,10 +143,13 @@ def pair_tagged(ev: DataFrame, blocks: int | None = None, durable: bool = False,
     """
     ev = ev.where(F.col("userId").isNotNull())
     n_blocks = blocks or default_blocks(ev.sparkSession)
+    per_user = ev.groupBy("userId").count()                # partial aggregate: map-side combine
+    stats = per_user.agg(F.sum("count").alias("rows"), F.max("count").alias("top")).first()
     if hot_key_rows is None:
-        hot_key_rows = max(HOT_ROWS_FLOOR, -(-ev.count() // (4 * n_blocks)))
-    hot = [r[0] for r in ev.groupBy("userId").count()
-           .where(F.col("count") > hot_key_rows).select("userId").collect()]   # <= rows / threshold
+        hot_key_rows = max(HOT_ROWS_FLOOR, -(-(stats["rows"] or 0) // (4 * n_blocks)))
+    hot = []
+    if (stats["top"] or 0) > hot_key_rows:                 # at most rows / threshold ids
+        hot = [r[0] for r in per_user.where(F.col("count") > hot_key_rows).select("userId").collect()]
     if not hot:
         return _emit(_local_scan(ev.withColumn(BLOCK, F.lit(0))), carry=None)
     is_hot = F.col("userId").isin(hot)

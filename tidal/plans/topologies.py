@@ -69,14 +69,15 @@ def table_join_topology(spark: SparkSession, servers: str | None = None, fmt: st
                         ) -> StreamingQuery | None:
     """Users and actions registered as views and joined by SQL text; user actions out.
 
-    ``echo`` prints the two projected inputs, as the source prints its tables.
+    ``echo`` prints the two projected inputs, as the source prints its tables (on streams: two
+    console queries, drained like the main one when ``available_now``).
     """
     users, _ = read_json_topic(spark, schemas.USER, user_topic, servers, fmt, root, streaming)
     actions, _ = read_json_topic(spark, schemas.ACTION, action_topic, servers, fmt, root, streaming)
     register_views(users, actions, user_view, action_view, replace=True)
     if echo:
-        tap(project_user(users), "user_table")
-        tap(project_action(actions), "action_table")
+        tap(project_user(users), "user_table", available_now=available_now)
+        tap(project_action(actions), "action_table", available_now=available_now)
     joined = user_action_join_sql(spark, user_view, action_view)
     return _sink(joined, USER_ACTION_COLS, out_topic, streaming, servers, fmt, root, checkpoint,
                  "joined_user_with_action", available_now)

@@ -52,20 +52,26 @@ def topic_path(root: str, topic: str) -> str:
 
 def read_topic(spark: SparkSession, topic: str, servers: str | None = None,
                decode: str = "binary", fmt: str = "kafka", root: str | None = None,
-               streaming: bool = False) -> DataFrame:
+               streaming: bool = False, max_per_trigger: int | None = None) -> DataFrame:
     """Read a whole topic from the earliest record: ``key, value, ts, seq``.
 
     Batch reads stop at the current end offsets; ``decode="string"`` turns key and value into
     UTF-8 text, ``"binary"`` keeps the bytes. ``ts``/``seq`` are the record's time and offset.
+    ``max_per_trigger`` bounds a stream's micro-batch (records for Kafka, files for a folder), and
+    with it the rows one key's state step handles at once.
     """
     if fmt == "kafka":
         reader = spark.readStream if streaming else spark.read
         opts = kafka_source_options(servers, topic, bounded=not streaming, read_committed=True)
+        if streaming and max_per_trigger:
+            opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
         df = reader.format("kafka").options(**opts).load().select(
             "key", "value", F.col("timestamp").cast("timestamp_ntz").alias("ts"),
             F.col("offset").alias("seq"))
     else:
         reader = spark.readStream if streaming else spark.read
+        if streaming and max_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
         df = reader.format(fmt).schema(FILE_TOPIC_SCHEMA).load(topic_path(root, topic))
     kind = "string" if decode == "string" else "binary"
     return df.withColumn("key", F.col("key").cast(kind)).withColumn("value", F.col("value").cast(kind))
@@ -92,10 +98,11 @@ def write_topic(df: DataFrame, topic: str, servers: str | None = None, fmt: str
 def read_json_topic(spark: SparkSession, schema: T.StructType, topic: str,
                     servers: str | None = None, fmt: str = "kafka", root: str | None = None,
                     streaming: bool = True, keep: tuple[str, ...] = ("ts", "seq"),
-                    required: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+                    required: tuple[str, ...] = (),
+                    max_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
     """A topic of JSON records, strictly decoded: ``(accepted, rejected)``, with ``keep`` columns."""
     raw = read_topic(spark, topic, servers, decode="string", fmt=fmt, root=root,
-                     streaming=streaming)
+                     streaming=streaming, max_per_trigger=max_per_trigger)
     return decode_json(raw, schema, "value", required=required, keep=keep)
 
 

@@ -48,9 +48,9 @@ def run_to_table(df: DataFrame, name: str, path: str | None = None,
     return spark.read.parquet(path)
 
 
-def tap(df: DataFrame, name: str = "tap", rows: int = 20):
-    """Echo a DataFrame: console sink for a stream, ``show`` for a batch."""
+def tap(df: DataFrame, name: str = "tap", rows: int = 20, available_now: bool = False):
+    """Echo a DataFrame: console sink for a stream (returns the query), ``show`` for a batch."""
     if df.isStreaming:
-        return run_stream(df, name, fmt="console", available_now=False)
+        return run_stream(df, name, fmt="console", available_now=available_now)
     df.show(rows, truncate=False)
     return None
