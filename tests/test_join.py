@@ -84,3 +84,15 @@ def test_salted_hot_key_join(spark):
     plain = rows(user_action_join(u, a))
     salted = rows(user_action_join(u, a, hot_key_rows=50, salt=7))
     assert salted == plain and len(plain) == 602
+
+
+def test_tap_prints_batch_and_stream(spark, tmpdir_path, capsys):
+    from tidal.streaming.runner import tap
+    u, _ = frames(spark, [("userId1", "name1")], [])
+    assert tap(u) is None
+    assert "userId1" in capsys.readouterr().out
+    u.write.parquet(f"{tmpdir_path}/u")
+    q = tap(spark.readStream.schema(schemas.USER).parquet(f"{tmpdir_path}/u"), "tap-test",
+            available_now=True)
+    q.awaitTermination(60)
+    assert q.exception() is None and q.lastProgress["numInputRows"] == 1
