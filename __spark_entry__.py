@@ -6,6 +6,7 @@ latest-rule filter are query parameters (literal rows with fixed times).
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from tidal.sources.topics import read_topic, write_topic
 from tidal.sources.tables import (action_records_from_events, actions_from_events, as_text_ids,
                                   pairing_events, read_table, users_from_customer)
 from tidal.streaming.pairing import pair_tagged_stream
-from tidal.streaming.rules import rule_filter_stream
+from tidal.streaming.rules import rule_filter_microbatch, rule_filter_stream
 from tidal.streaming.runner import run_to_table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -179,6 +180,21 @@ def q_rule_filter_stream(spark, sf_dir):
     return out.select("actionId", "userId", "action", "seq")
 
 
+def q_rule_filter_stream_microbatch(spark, sf_dir):
+    """The streaming rule filter run as one batch interval join per micro-batch (JVM only)."""
+    actions = action_records_from_events(_stream(spark, sf_dir, "events"))
+    rules_dir = shared_dir(spark, "rules")
+    static_rules = rules_frame(spark)
+    static_rules.coalesce(1).write.parquet(rules_dir)
+    rules = spark.readStream.schema(static_rules.schema).parquet(rules_dir)
+    out = shared_dir(spark, "rule-filter-microbatch-out")
+    q = rule_filter_microbatch(actions, rules, out, name=f"rule_filter_mb_{os.path.basename(out)}")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(out).select("actionId", "userId", "action", "seq")
+
+
 # -- end-to-end topologies over file-folder topics derived from the tables ---------------------
 
 TOPIC_FMT = "parquet"
@@ -260,6 +276,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_action_join_stream": q_user_action_join_stream,
         "pair_user_action_stream": q_pair_user_action_stream,
         "rule_filter_stream": q_rule_filter_stream,
+        "rule_filter_stream_microbatch": q_rule_filter_stream_microbatch,
         "enrich_topics": q_enrich_topics,
         "table_join_topics": q_table_join_topics,
         "rule_gate_topics": q_rule_gate_topics,
@@ -393,4 +410,5 @@ def oracle_sql() -> dict[str, str]:
         "'userId', \"userId\", 'action', action)::VARCHAR AS j FROM (" + sql["rule_filter"] + "))")
     for name in ("user_action_join", "pair_user_action", "rule_filter"):
         sql[f"{name}_stream"] = sql[name]
+    sql["rule_filter_stream_microbatch"] = sql["rule_filter"]
     return sql

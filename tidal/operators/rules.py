@@ -65,17 +65,20 @@ def _tagged(actions: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def rule_filter(actions: DataFrame, rules: DataFrame, blocks: int | None = None,
-                method: str = "auto") -> DataFrame:
+                method: str = "auto", initial: tuple | None = None) -> DataFrame:
     """Keep the actions allowed by the rule current at their arrival.
 
     ``actions``: ``actionId, userId, action, ts, seq``; ``rules``: ``ruleId, allowedActions, ts,
     seq``. Output: the passing actions with the same columns. ``method``: ``"intervals"``,
     ``"blocks"`` or ``"auto"`` (intervals unless the rule count exceeds ``RULES_SORT_LIMIT``).
+    ``initial`` (``(ruleId, allowedActions)``) is the rule held before the first rule row, e.g.
+    the rule carried over from an earlier micro-batch; by default no rule is held.
     """
+    init = _literal_rule({"ruleId": initial[0], "allowedActions": initial[1]}) if initial else None
     ts_type = actions.schema["ts"].dataType
     rules = rules.where(F.col("ts").isNotNull()).withColumn("ts", F.col("ts").cast(ts_type))
     if method == "blocks":
-        return _rule_filter_blocked(actions, rules, blocks)
+        return _rule_filter_blocked(actions, rules, blocks, init)
     # one aggregate over the (small) rule side: size, time span and the last rule
     stats = rules.agg(
         F.count(F.lit(1)).alias("n"),
@@ -84,10 +87,13 @@ def rule_filter(actions: DataFrame, rules: DataFrame, blocks: int | None = None,
         F.max_by(F.struct("ts", "ruleId", "allowedActions"), F.struct("ts", "seq")).alias("tail"),
     ).first()
     if stats["n"] == 0:
-        return actions.where(F.lit(False)).select(*OUTPUT)
+        if init is None:
+            return actions.where(F.lit(False)).select(*OUTPUT)
+        return actions.where(null_safe_contains(init["allowedActions"], F.col("action"))) \
+            .select(*OUTPUT)
     if method == "auto" and stats["n"] > RULES_SORT_LIMIT:
-        return _rule_filter_blocked(actions, rules, blocks)
-    return _rule_filter_intervals(actions, rules, stats, ts_type)
+        return _rule_filter_blocked(actions, rules, blocks, init)
+    return _rule_filter_intervals(actions, rules, stats, ts_type, init)
 
 
 def _literal_rule(tail) -> F.Column:
@@ -98,7 +104,8 @@ def _literal_rule(tail) -> F.Column:
                     items.alias("allowedActions"))
 
 
-def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats, ts_type) -> DataFrame:
+def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats, ts_type,
+                           init: F.Column | None = None) -> DataFrame:
     tail = stats["tail"]
     # the open last interval: one rule, applied as a literal
     tail_rule = F.when(F.col("ts") >= _ts_literal(tail["ts"], ts_type), _literal_rule(tail))
@@ -121,11 +128,14 @@ def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats, ts_type)
         kept = bucketed.join(side, (F.col("_ab") == F.col("_b")) & (F.col("ts") >= F.col("_from"))
                              & (F.col("ts") < F.col("_to")), "left")
         rule = F.coalesce(F.col("_rule"), tail_rule)
+    if init is not None:                  # before the first rule row: the rule held before
+        rule = F.coalesce(rule, init)
     return kept.where(rule.isNotNull() & null_safe_contains(rule["allowedActions"], F.col("action"))) \
         .select(*OUTPUT)
 
 
-def _rule_filter_blocked(actions: DataFrame, rules: DataFrame, blocks: int | None) -> DataFrame:
+def _rule_filter_blocked(actions: DataFrame, rules: DataFrame, blocks: int | None,
+                         init: F.Column | None = None) -> DataFrame:
     ev = _tagged(actions, rules)
     blocked = ordered_blocks(ev, ORDER, blocks=blocks)
     w = Window.partitionBy(BLOCK).orderBy(*ORDER).rowsBetween(
@@ -141,6 +151,8 @@ def _rule_filter_blocked(actions: DataFrame, rules: DataFrame, blocks: int | Non
     j = local.where(F.col("_rank") == ACTION_RANK).join(
         F.broadcast(carry), F.col(BLOCK) == F.col("_cblk"), "left")
     rule = F.coalesce(F.col("_cur"), F.col("_in"))
+    if init is not None:
+        rule = F.coalesce(rule, init)
     return j.where(rule.isNotNull() & null_safe_contains(rule["allowedActions"], F.col("action"))) \
         .select(*OUTPUT)
 

@@ -12,14 +12,17 @@ vectorised ``isin`` (null-safe: a null action is found when the list holds null)
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tidal.operators.rules import ACTION_RANK, RULE_RANK
-from tidal.session import default_blocks, ensure_state_store, ship_package
+from tidal.operators.rules import ACTION_RANK, RULE_RANK, rule_filter
+from tidal.session import default_blocks, ensure_state_store, shared_dir, ship_package
 from tidal.streaming.pairing import KIND, _read, arrival_sorted
 
 OUTPUT_SCHEMA = "actionId string, userId string, action string, ts timestamp_ntz, seq long"
@@ -85,3 +88,76 @@ def rule_filter_stream(actions: DataFrame, rules: DataFrame, shards: int | None
                        F.lit(None).cast("array<string>").alias("allowedActions"))
     return r.unionByName(a).groupBy("shard").transformWithStateInPandas(
         RuleGateProcessor(), OUTPUT_SCHEMA, "Append", "None")
+
+
+# -- the same filter without Python state: one batch interval join per micro-batch ------------
+
+HELD_SCHEMA = "ruleId string, allowedActions array<string>, present boolean"
+
+
+def _held_path(root: str, batch_id: int) -> str:
+    return os.path.join(root, f"batch_id={batch_id}")
+
+
+def _read_held(spark: SparkSession, root: str, batch_id: int) -> tuple | None:
+    if batch_id < 0:
+        return None
+    try:
+        row = spark.read.schema(HELD_SCHEMA).json(_held_path(root, batch_id)).first()
+    except AnalysisException:
+        return None
+    if row is None or not row["present"]:
+        return None
+    return row["ruleId"], row["allowedActions"]
+
+
+def _write_held(spark: SparkSession, root: str, batch_id: int, held: tuple | None) -> None:
+    row = (held[0], held[1], True) if held is not None else (None, None, False)
+    spark.createDataFrame([row], HELD_SCHEMA).coalesce(1).write.mode("overwrite") \
+        .json(_held_path(root, batch_id))
+
+
+def rule_filter_microbatch(actions: DataFrame, rules: DataFrame, path: str,
+                           checkpoint: str | None = None, name: str = "rule_filter",
+                           available_now: bool = True) -> StreamingQuery:
+    """Streaming latest-rule filter that runs on the JVM only.
+
+    Each micro-batch runs the batch ``rule_filter`` (interval join, broadcast of the batch's rule
+    intervals) over its actions and rules, with the rule held after the previous micro-batch as
+    the rule held before the batch's first rule. That one rule is kept per batch id in the
+    checkpoint folder, and output goes to ``{path}/batch_id=N`` written with overwrite, so a
+    retried batch reproduces the same files (at-least-once delivery, idempotent result).
+    """
+    spark = actions.sparkSession
+    checkpoint = checkpoint or shared_dir(spark, f"{name}-checkpoint")
+    held_root = os.path.join(checkpoint, "held-rule")
+    null = F.lit(None).cast("string")
+    tagged = rules.select(F.lit(RULE_RANK).alias(KIND), "ts", "seq", null.alias("actionId"),
+                          null.alias("userId"), null.alias("action"), "ruleId",
+                          "allowedActions").unionByName(
+        actions.select(F.lit(ACTION_RANK).alias(KIND), "ts", "seq", "actionId", "userId",
+                       "action", null.alias("ruleId"),
+                       F.lit(None).cast("array<string>").alias("allowedActions")))
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        batch = batch.persist()
+        try:
+            is_rule = F.col(KIND) == RULE_RANK
+            batch_rules = batch.where(is_rule).select("ruleId", "allowedActions", "ts", "seq")
+            batch_actions = batch.where(~is_rule).select(*OUTPUT_COLUMNS)
+            held = _read_held(session, held_root, batch_id - 1)
+            rule_filter(batch_actions, batch_rules, initial=held).write.mode("overwrite") \
+                .parquet(os.path.join(path, f"batch_id={batch_id}"))
+            last = batch_rules.agg(F.max_by(F.struct("ruleId", "allowedActions"),
+                                            F.struct("ts", "seq"))).first()[0]
+            _write_held(session, held_root, batch_id,
+                        (last["ruleId"], last["allowedActions"]) if last is not None else held)
+        finally:
+            batch.unpersist()
+
+    writer = (tagged.writeStream.queryName(name).foreachBatch(step)
+              .option("checkpointLocation", os.path.join(checkpoint, "query")))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
