@@ -162,3 +162,13 @@ def test_microbatch_stream_carries_rule_across_batches(spark, tmpdir_path):
         .write.mode("append").parquet(src_a)
     spark.createDataFrame([("r2", ["q"], at(8), 4)], RULES).write.mode("append").parquet(src_r)
     assert run() == ["a1", "a2", "a3"]
+
+
+def test_uneven_rule_times_fall_back_to_blocks(spark):
+    # one rule far in the past makes span-sized buckets hold every other interval
+    events = [("r", "old", ["p"], 0, 0)]
+    events += [("r", f"r{t}", [["p"], ["q"]][t % 2], 10**8 + t, t + 1) for t in range(200)]
+    events += [("a", f"a{t}", ["p", "q"][t % 2], 10**8 + t, 1000 + t) for t in range(0, 210, 3)]
+    exp = expected(events)
+    assert run(spark, events, "auto") == exp
+    assert run(spark, events, "intervals") == exp

@@ -38,6 +38,7 @@ OUTPUT = ["actionId", "userId", "action", "ts", "seq"]
 RULES_SORT_LIMIT = 1_000_000        # rules ordered in one task to form intervals
 BROADCAST_ROW_LIMIT = 2_000_000     # exploded interval rows sent to every task
 BUCKETS_PER_RULE = 4
+MAX_INTERVALS_PER_BUCKET = 64       # candidates one action may be checked against
 
 
 def _micros(ts, dtype):
@@ -93,7 +94,9 @@ def rule_filter(actions: DataFrame, rules: DataFrame, blocks: int | None = None,
             .select(*OUTPUT)
     if method == "auto" and stats["n"] > RULES_SORT_LIMIT:
         return _rule_filter_blocked(actions, rules, blocks, init)
-    return _rule_filter_intervals(actions, rules, stats, ts_type, init)
+    out = _rule_filter_intervals(actions, rules, stats, ts_type, init,
+                                 guard=(method == "auto"))
+    return out if out is not None else _rule_filter_blocked(actions, rules, blocks, init)
 
 
 def _literal_rule(tail) -> F.Column:
@@ -105,7 +108,9 @@ def _literal_rule(tail) -> F.Column:
 
 
 def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats, ts_type,
-                           init: F.Column | None = None) -> DataFrame:
+                           init: F.Column | None = None, guard: bool = False) -> DataFrame | None:
+    """The interval join; None when ``guard`` finds a bucket crowded with intervals (rule times
+    so uneven that the span-based width lumps many of them together)."""
     tail = stats["tail"]
     # the open last interval: one rule, applied as a literal
     tail_rule = F.when(F.col("ts") >= _ts_literal(tail["ts"], ts_type), _literal_rule(tail))
@@ -122,6 +127,10 @@ def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats, ts_type,
             "_rule", "_from", "_to",
             F.explode(F.sequence(F.floor(_micros(F.col("_from"), ts_type) / width),
                                  F.floor((_micros(F.col("_to"), ts_type) - 1) / width))).alias("_b"))
+        if guard:
+            crowd = exploded.groupBy("_b").count().agg(F.max("count")).first()[0] or 0
+            if crowd > MAX_INTERVALS_PER_BUCKET:
+                return None
         est_rows = stats["n"] + (stats["hi"] - stats["lo"]) // width + 1
         side = F.broadcast(exploded) if est_rows <= BROADCAST_ROW_LIMIT else exploded
         bucketed = actions.withColumn("_ab", F.floor(_micros(F.col("ts"), ts_type) / width))
