@@ -100,3 +100,15 @@ def test_micro_batches_bounded_by_files(spark, tmpdir_path):
     q = run_stream(acc, "bounded", path=f"{tmpdir_path}/out")
     q.awaitTermination(120)
     assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == [1, 1, 1]
+
+
+def test_command_line_tools(spark, tmpdir_path, capsys):
+    from tidal.__main__ import main
+    io = ["--fmt", "json", "--root", tmpdir_path]
+    main(["write-record", "users", "k1", '{"userId":"id1","name":"name1"}', *io], spark=spark)
+    main(["write-record", "actions", "k2", '{"userId":"id1","action":"go"}', *io], spark=spark)
+    main(["read-topic", "users", *io], spark=spark)
+    assert "name1" in capsys.readouterr().out
+    main(["table-join", "--batch", *io], spark=spark)
+    assert values(spark, tmpdir_path, "user-actions") == [
+        '{"userId":"id1","name":"name1","action":"go"}']
