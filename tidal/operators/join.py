@@ -7,10 +7,11 @@ tasks. On streams the same plan runs as a symmetric hash join without a watermar
 kept, as in the source: no expiry).
 
 ``hot_key_rows`` salts hot ids explicitly instead of relying on runtime statistics: ids with more
-actions than that are found by a partial aggregate (at most ``rows / hot_key_rows`` of them, so
-the list is broadcast with a proven bound); their actions spread over ``salt`` sub-keys by a hash
-of the row (deterministic, so a retried task routes rows the same way) and their user records
-are copied to every sub-key. Other ids keep sub-key 0.
+actions than that are found by a partial aggregate (at most ``rows / hot_key_rows`` of them; AQE
+broadcasts that list once its measured size is under the broadcast threshold, and joins it by
+sort-merge otherwise); their actions spread over ``salt`` sub-keys by a hash of the row
+(deterministic, so a retried task routes rows the same way) and their user records are copied
+to every sub-key. Other ids keep sub-key 0.
 """
 
 from __future__ import annotations
@@ -48,7 +49,6 @@ def user_action_join(users: DataFrame, actions: DataFrame, extra: tuple[str, ...
 def _salted(users: DataFrame, actions: DataFrame, hot_key_rows: int, salt: int):
     hot = (actions.groupBy("userId").count().where(F.col("count") > hot_key_rows)
            .select("userId", F.lit(True).alias("_hot")))
-    hot = F.broadcast(hot)      # at most rows / hot_key_rows ids
     a = actions.join(hot, "userId", "left").select(
         *actions.columns,
         F.when(F.col("_hot"), F.pmod(F.xxhash64(*actions.columns), F.lit(salt)))
