@@ -154,3 +154,18 @@ def test_stream_state_survives_restart(spark, tmpdir_path):
     assert _stream_pairs(spark, src, ck, out) == {("k", "n", "x", 2): 1}
     _write_events(spark, third, src)
     assert _stream_pairs(spark, src, ck, out) == {("k", "n", "x", 2): 1, ("j", "m", "p", 4): 1}
+
+
+def test_stream_output_times_match_batch(spark, tmpdir_path):
+    events = hot_user_events(200, 80)
+    _write_events(spark, events, f"{tmpdir_path}/in")
+    schema = "userId string, kind string, name string, action string, ts timestamp_ntz, seq long"
+    s = spark.readStream.schema(schema).parquet(f"{tmpdir_path}/in")
+    users = s.where("kind = 'u'").select("userId", "name", "ts", "seq")
+    actions = s.where("kind = 'a'").select("userId", "action", "ts", "seq")
+    streamed = run_to_table(pair_user_action_stream(users, actions), "pairing-ts")
+    u, a = frames(spark, events)
+    batch = pair_user_action(u, a)
+    assert sorted((r.seq, r.ts) for r in streamed.collect()) == sorted(
+        (r.seq, r.ts) for r in batch.collect())
+    assert spark.conf.get("spark.sql.session.timeZone")
