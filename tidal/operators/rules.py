@@ -127,7 +127,7 @@ def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats, ts_type,
             "_rule", "_from", "_to",
             F.explode(F.sequence(F.floor(_micros(F.col("_from"), ts_type) / width),
                                  F.floor((_micros(F.col("_to"), ts_type) - 1) / width))).alias("_b"))
-        if guard:
+        if guard and stats["n"] > MAX_INTERVALS_PER_BUCKET:     # fewer rules cannot crowd a bucket
             crowd = exploded.groupBy("_b").count().agg(F.max("count")).first()[0] or 0
             if crowd > MAX_INTERVALS_PER_BUCKET:
                 return None
