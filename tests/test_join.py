@@ -67,14 +67,17 @@ def test_plan_prunes_columns_and_pushes_filters(spark, tmpdir_path):
     assert "IsNotNull(c_custkey)" in plan and "IsNotNull(user_id)" in plan
 
 
-def test_streaming_join(spark, tmpdir_path):
-    u, a = frames(spark, [("k", "n"), ("k", "m"), ("j", "o")], [("k", "x"), ("j", "y"), ("z", "w")])
+@pytest.mark.parametrize("salt", [None, 4])
+def test_streaming_join(spark, tmpdir_path, salt):
+    u, a = frames(spark, [("k", "n"), ("k", "m"), ("j", "o")],
+                  [("k", "x"), ("k", "x2"), ("j", "y"), ("z", "w")])
     u.write.parquet(f"{tmpdir_path}/u")
     a.write.parquet(f"{tmpdir_path}/a")
     us = spark.readStream.schema(schemas.USER).parquet(f"{tmpdir_path}/u")
     acts = spark.readStream.schema(schemas.ACTION).parquet(f"{tmpdir_path}/a")
-    out = run_to_table(user_action_join(us, acts), "join-test")
-    assert rows(out) == [("j", "o", "y"), ("k", "m", "x"), ("k", "n", "x")]
+    out = run_to_table(user_action_join(us, acts, salt=salt), "join-test")
+    assert rows(out) == [("j", "o", "y"), ("k", "m", "x"), ("k", "m", "x2"), ("k", "n", "x"),
+                         ("k", "n", "x2")]
 
 
 def test_salted_hot_key_join(spark):
@@ -84,6 +87,7 @@ def test_salted_hot_key_join(spark):
     plain = rows(user_action_join(u, a))
     salted = rows(user_action_join(u, a, hot_key_rows=50, salt=7))
     assert salted == plain and len(plain) == 602
+    assert rows(user_action_join(u, a, salt=5)) == plain
 
 
 def test_tap_prints_batch_and_stream(spark, tmpdir_path, capsys):

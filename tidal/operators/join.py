@@ -12,6 +12,10 @@ broadcasts that list once its measured size is under the broadcast threshold, an
 sort-merge otherwise); their actions spread over ``salt`` sub-keys by a hash of the row
 (deterministic, so a retried task routes rows the same way) and their user records are copied
 to every sub-key. Other ids keep sub-key 0.
+
+``salt`` alone (no ``hot_key_rows``) salts every id. That needs no statistics, so it also works on
+streams, where AQE does not run and a hot id would otherwise keep a whole micro-batch's share of
+that id, and its join state, in one state partition. The user side is then held ``salt`` times.
 """
 
 from __future__ import annotations
@@ -40,6 +44,9 @@ def user_action_join(users: DataFrame, actions: DataFrame, extra: tuple[str, ...
     if hot_key_rows:
         u, a = _salted(u, a, hot_key_rows, salt or default_blocks(actions.sparkSession))
         cond = cond & (F.col("U._salt") == F.col("A._salt"))
+    elif salt:
+        u, a = _salted_all(u, a, salt)
+        cond = cond & (F.col("U._salt") == F.col("A._salt"))
     u, a = u.alias("U"), a.alias("A")
     return u.join(a, cond, "inner").select(
         F.col("U.userId").alias("userId"), F.col("U.name").alias("name"),
@@ -60,6 +67,13 @@ def _salted(users: DataFrame, actions: DataFrame, hot_key_rows: int, salt: int):
     return u, a
 
 
+def _salted_all(users: DataFrame, actions: DataFrame, salt: int):
+    a = actions.select(*actions.columns,
+                       F.pmod(F.xxhash64(*actions.columns), F.lit(salt)).cast("int").alias("_salt"))
+    u = users.select(*users.columns, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt"))
+    return u, a
+
+
 def user_action_join_sql(spark: SparkSession, user_view: str = USER_VIEW,
                          action_view: str = ACTION_VIEW) -> DataFrame:
     """The same join as SQL text over two registered views, conformed to the output record."""
