@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from tidal.operators.blocks import release
 from tidal.operators.rules import ACTION_RANK, RULE_RANK, rule_filter
 from tidal.session import default_blocks, ensure_state_store, shared_dir, ship_package
 from tidal.streaming.pairing import KIND, _read, arrival_sorted
@@ -154,6 +155,7 @@ def rule_filter_microbatch(actions: DataFrame, rules: DataFrame, path: str,
             _write_held(session, held_root, batch_id,
                         (last["ruleId"], last["allowedActions"]) if last is not None else held)
         finally:
+            release()                 # cached blocks, if this batch took the blocked path
             batch.unpersist()
 
     writer = (tagged.writeStream.queryName(name).foreachBatch(step)
