@@ -27,13 +27,25 @@ from tidal.session import checkpoint_root, default_blocks
 
 BLOCK = "_blk"
 
+# Block sizing: a block is windowed by one task, and each block adds one row to the broadcast
+# carry table -- so blocks are sized by rows, with a cap on their number.
+ROWS_PER_BLOCK = 5_000_000
+MAX_BLOCKS = 20_000
+
 _PERSISTED: list[DataFrame] = []
 
 
+def blocks_for(rows: int) -> int:
+    """Blocks for ``rows`` rows: about ``ROWS_PER_BLOCK`` each, at most ``MAX_BLOCKS``."""
+    return max(1, min(MAX_BLOCKS, -(-rows // ROWS_PER_BLOCK)))
+
+
 def ordered_blocks(df: DataFrame, order: list[str], keys: list[str] | tuple = (),
                    blocks: int | None = None) -> DataFrame:
-    """Range-partition ``df`` on ``keys + order`` and tag each row with its block id."""
-    n = blocks or default_blocks(df.sparkSession)
+    """Range-partition ``df`` on ``keys + order`` and tag each row with its block id.
+
+    ``blocks`` defaults to the shuffle partition count, capped at ``MAX_BLOCKS``."""
+    n = blocks or min(default_blocks(df.sparkSession), MAX_BLOCKS)
     return df.repartitionByRange(n, *keys, *order).withColumn(BLOCK, F.spark_partition_id())
 
 

@@ -24,8 +24,9 @@ aggregate counts rows per user, and a user holding more than ``rows / (4 x block
 more than ``HOT_ROWS_FLOOR``, which one task windows in about a second) is hot -- so there are
 at most ``4 x blocks`` hot ids, collected as a bounded list. Cold users run the
 closed form with windows partitioned by user -- one shuffle, groups bounded by the threshold.
-Hot users' rows are cut into ordered blocks (``tidal.operators.blocks``) so that a user holding
-a third of all rows is spread over many tasks; the windows then run per (user, block), stitched
+Hot users' rows are cut into ordered blocks (``tidal.operators.blocks``; about
+``ROWS_PER_BLOCK`` rows each, at most ``MAX_BLOCKS``) so that a user holding a third of all rows
+is spread over many tasks; the windows then run per (user, block), stitched
 across blocks with a carry table of at most one row per block, broadcast (its size is bounded by
 the number of blocks, not by the data).
 """
@@ -35,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidal.operators.blocks import BLOCK, materialize, ordered_blocks
+from tidal.operators.blocks import BLOCK, blocks_for, materialize, ordered_blocks
 from tidal.session import default_blocks
 
 USER_RANK, ACTION_RANK = 0, 1          # on equal ``ts`` a user record sorts before an action
@@ -149,13 +150,16 @@ def pair_tagged(ev: DataFrame, blocks: int | None = None, durable: bool = False,
         hot_key_rows = max(HOT_ROWS_FLOOR, -(-(stats["rows"] or 0) // (4 * n_blocks)))
     hot = []
     if (stats["top"] or 0) > hot_key_rows:                 # at most rows / threshold ids
-        hot = [r[0] for r in per_user.where(F.col("count") > hot_key_rows).select("userId").collect()]
+        hot = per_user.where(F.col("count") > hot_key_rows).collect()
     if not hot:
         return _emit(_local_scan(ev.withColumn(BLOCK, F.lit(0))), carry=None)
-    is_hot = F.col("userId").isin(hot)
+    is_hot = F.col("userId").isin([r["userId"] for r in hot])
     cold = _emit(_local_scan(ev.where(~is_hot).withColumn(BLOCK, F.lit(0))), carry=None)
+    # hot rows: blocks sized by their number (about ROWS_PER_BLOCK each, capped), not by the
+    # shuffle partition count, unless the caller fixed ``blocks``
+    hot_blocks = blocks or blocks_for(sum(r["count"] for r in hot))
     local = materialize(_local_scan(ordered_blocks(ev.where(is_hot), ORDER, keys=["userId"],
-                                                   blocks=n_blocks)), durable)
+                                                   blocks=hot_blocks)), durable)
     return cold.unionByName(_emit(local, carry=_carry(local)))
 
 
