@@ -90,3 +90,10 @@ def test_streaming_rule_state_survives_restart(spark, tmpdir_path):
     spark.createDataFrame([("a1", "u", "p", at(5), 2), ("a2", "u", "q", at(6), 3)], a_schema) \
         .write.mode("append").parquet(src_a)
     assert run() == ["a1"]               # the rule held in state from the first run
+
+
+def test_scale_conf_sizes_partitions():
+    from tidal.session import scale_conf
+    conf = scale_conf(100 << 40)                       # 100 TiB
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert scale_conf(1)["spark.sql.shuffle.partitions"] == "8"

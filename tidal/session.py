@@ -27,6 +27,23 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for an input of ``input_bytes`` (pass them as ``extra`` to ``get_session``).
+
+    Shuffle partitions start at about one per ``partition_bytes`` of input, so a partition fits
+    an executor's memory with room to sort; AQE then coalesces small ones and splits skewed join
+    partitions at run time. Scans read ``partition_bytes`` per task.
+    """
+    shuffle = max(8, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def get_session(master: str | None = None, app: str = "tidal",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or return) a session with tidal's settings."""
