@@ -21,7 +21,7 @@ and action; an u event is *locking* when ``pk`` is null or u -- from then on a u
 
 Everything is a forward scan of each user's events. Users are split by size first: a partial
 aggregate counts rows per user, and a user holding more than ``rows / (4 x blocks)`` rows (and
-more than ``HOT_ROWS_FLOOR``, which one task windows in about a second) is hot -- so there are
+more than ``HOT_ROWS_FLOOR``, one block's worth, which one task windows in seconds) is hot -- so there are
 at most ``4 x blocks`` hot ids, collected as a bounded list. Cold users run the
 closed form with windows partitioned by user -- one shuffle, groups bounded by the threshold.
 Hot users' rows are cut into ordered blocks (``tidal.operators.blocks``; about
@@ -36,13 +36,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidal.operators.blocks import BLOCK, blocks_for, materialize, ordered_blocks
+from tidal.operators.blocks import BLOCK, ROWS_PER_BLOCK, blocks_for, materialize, ordered_blocks
 from tidal.session import default_blocks
 
 USER_RANK, ACTION_RANK = 0, 1          # on equal ``ts`` a user record sorts before an action
 ORDER = ["ts", "_rank", "seq"]
 OUTPUT = ["userId", "name", "action", "ts", "seq"]
-HOT_ROWS_FLOOR = 1_000_000
+HOT_ROWS_FLOOR = ROWS_PER_BLOCK      # a hot user always fills at least two blocks
 TAGGED_COLUMNS = ["userId", "_rank", "ts", "seq", "name", "action"]
 
 
