@@ -21,14 +21,13 @@ and action; an u event is *locking* when ``pk`` is null or u -- from then on a u
 
 Everything is a forward scan of each user's events. Users are split by size first: a partial
 aggregate counts rows per user, and a user holding more than ``rows / (4 x blocks)`` rows (and
-more than ``HOT_ROWS_FLOOR``, one block's worth, which one task windows in seconds) is hot -- so there are
-at most ``4 x blocks`` hot ids, collected as a bounded list. Cold users run the
-closed form with windows partitioned by user -- one shuffle, groups bounded by the threshold.
-Hot users' rows are cut into ordered blocks (``tidal.operators.blocks``; about
-``ROWS_PER_BLOCK`` rows each, at most ``MAX_BLOCKS``) so that a user holding a third of all rows
-is spread over many tasks; the windows then run per (user, block), stitched
-across blocks with a carry table of at most one row per block, broadcast (its size is bounded by
-the number of blocks, not by the data).
+more than ``HOT_ROWS_FLOOR``, one block's worth, which one task windows in seconds) is hot -- so
+there are at most ``4 x blocks`` hot ids, collected as a bounded list. Cold users run the closed
+form with windows partitioned by user -- one shuffle, groups bounded by the threshold. Hot users'
+rows are cut into ordered blocks (``tidal.operators.blocks``; about ``ROWS_PER_BLOCK`` rows each,
+at most ``MAX_BLOCKS``) so that a user holding a third of all rows is spread over many tasks; the
+windows then run per (user, block), stitched across blocks with a carry table of at most one row
+per block, broadcast (its size is bounded by the number of blocks, not by the data).
 """
 
 from __future__ import annotations
