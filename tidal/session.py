@@ -100,7 +100,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def default_blocks(spark: SparkSession) -> int:
-    """Number of ordered blocks for segmented scans: one per shuffle partition."""
+    """The shuffle partition count: default stream shards and salt sub-keys, the basis of the
+    pairing's hot-user threshold, and (capped) the default number of ordered blocks."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
