@@ -7,11 +7,17 @@ latest-rule filter are query parameters (literal rows with fixed times).
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# the package lives next to this file; make it importable however this file was loaded
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from tidal import schemas
 from tidal.functions.codec import decode_json, decode_json_report, encode_json, to_topic_rows
 from tidal.operators.join import user_action_join, user_action_join_sql
