@@ -168,6 +168,14 @@ def q_user_action_join_stream(spark, sf_dir):
                         state_partitions=_state_partitions(spark))
 
 
+def q_user_action_join_stream_salted(spark, sf_dir):
+    """The streaming join with every id salted over one sub-key per core (skew-safe state)."""
+    users = users_from_customer(_stream(spark, sf_dir, "customer"))
+    actions = actions_from_events(_stream(spark, sf_dir, "events"), ordered=True)
+    joined = user_action_join(users, actions, extra=("seq",), salt=_state_partitions(spark))
+    return run_to_table(joined, "user_action_join_salted", state_partitions=_state_partitions(spark))
+
+
 def q_pair_user_action_stream(spark, sf_dir):
     ev = pairing_events(_stream(spark, sf_dir, "events"))
     out = run_to_table(pair_tagged_stream(ev), "pair_user_action",
@@ -280,6 +288,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_decode": q_json_decode,
         "topic_rows": q_topic_rows,
         "user_action_join_stream": q_user_action_join_stream,
+        "user_action_join_stream_salted": q_user_action_join_stream_salted,
         "pair_user_action_stream": q_pair_user_action_stream,
         "rule_filter_stream": q_rule_filter_stream,
         "rule_filter_stream_microbatch": q_rule_filter_stream_microbatch,
@@ -417,4 +426,5 @@ def oracle_sql() -> dict[str, str]:
     for name in ("user_action_join", "pair_user_action", "rule_filter"):
         sql[f"{name}_stream"] = sql[name]
     sql["rule_filter_stream_microbatch"] = sql["rule_filter"]
+    sql["user_action_join_stream_salted"] = sql["user_action_join"]
     return sql
