@@ -112,3 +112,14 @@ def test_command_line_tools(spark, tmpdir_path, capsys):
     main(["table-join", "--batch", *io], spark=spark)
     assert values(spark, tmpdir_path, "user-actions") == [
         '{"userId":"id1","name":"name1","action":"go"}']
+
+
+def test_command_line_stream_drains(spark, tmpdir_path):
+    from tidal.__main__ import main
+    io = ["--fmt", "json", "--root", tmpdir_path]
+    put(spark, tmpdir_path, "rules", [({"ruleId": "r", "allowedActions": ["go"]}, 1, 0)])
+    put(spark, tmpdir_path, "actions", [({"actionId": "a1", "userId": "u", "action": "go"}, 2, 0),
+                                        ({"actionId": "a2", "userId": "u", "action": "stop"}, 3, 1)])
+    assert main(["rule-gate", "--available-now", "--shards", "2", *io], spark=spark) == 0
+    assert values(spark, tmpdir_path, "actions-filtered") == [
+        '{"actionId":"a1","userId":"u","action":"go"}']
