@@ -120,6 +120,7 @@ def test_command_line_stream_drains(spark, tmpdir_path):
     put(spark, tmpdir_path, "rules", [({"ruleId": "r", "allowedActions": ["go"]}, 1, 0)])
     put(spark, tmpdir_path, "actions", [({"actionId": "a1", "userId": "u", "action": "go"}, 2, 0),
                                         ({"actionId": "a2", "userId": "u", "action": "stop"}, 3, 1)])
-    assert main(["rule-gate", "--available-now", "--shards", "2", *io], spark=spark) == 0
+    assert main(["rule-gate", "--available-now", "--shards", "2", "--max-per-trigger", "1", *io],
+                spark=spark) == 0
     assert values(spark, tmpdir_path, "actions-filtered") == [
         '{"actionId":"a1","userId":"u","action":"go"}']

@@ -32,6 +32,8 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--checkpoint")
         sp.add_argument("--batch", action="store_true", help="one bounded batch run")
         sp.add_argument("--available-now", action="store_true", help="drain and stop")
+        sp.add_argument("--max-per-trigger", type=int,
+                        help="records (Kafka) or files (folders) per micro-batch and topic")
         if name == "table-join":
             sp.add_argument("--echo", action="store_true")
         if name == "rule-gate":
@@ -63,7 +65,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         write_topic(rec, args.topic, **io)
         return 0
     run = {"streaming": not args.batch, "checkpoint": args.checkpoint,
-           "available_now": args.available_now, **io}
+           "available_now": args.available_now, "max_per_trigger": args.max_per_trigger, **io}
     if args.cmd == "enrich":
         q = enrich_topology(spark, **run)
     elif args.cmd == "table-join":

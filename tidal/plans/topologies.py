@@ -51,10 +51,16 @@ def enrich_topology(spark: SparkSession, servers: str | None = None, fmt: str =
                     checkpoint: str | None = None, available_now: bool = False,
                     user_topic: str = USER_TOPIC, action_topic: str = ACTION_TOPIC,
                     out_topic: str = USER_ACTION_TOPIC,
-                    state_partitions: int | None = None) -> StreamingQuery | None:
-    """Users and actions paired per user id with remembered state; user actions out."""
-    users, _ = read_json_topic(spark, schemas.USER, user_topic, servers, fmt, root, streaming)
-    actions, _ = read_json_topic(spark, schemas.ACTION, action_topic, servers, fmt, root, streaming)
+                    state_partitions: int | None = None,
+                    max_per_trigger: int | None = None) -> StreamingQuery | None:
+    """Users and actions paired per user id with remembered state; user actions out.
+
+    ``max_per_trigger`` bounds each micro-batch per input topic (and so the rows one user's
+    state step handles at once)."""
+    users, _ = read_json_topic(spark, schemas.USER, user_topic, servers, fmt, root, streaming,
+                               max_per_trigger=max_per_trigger)
+    actions, _ = read_json_topic(spark, schemas.ACTION, action_topic, servers, fmt, root, streaming,
+                                 max_per_trigger=max_per_trigger)
     op = pair_user_action_stream if streaming else pair_user_action
     return _sink(op(users, actions), USER_ACTION_COLS, out_topic, streaming, servers, fmt, root,
                  checkpoint, "merged_user_with_action", available_now, state_partitions)
@@ -65,15 +71,17 @@ def table_join_topology(spark: SparkSession, servers: str | None = None, fmt: st
                         checkpoint: str | None = None, available_now: bool = False,
                         echo: bool = False, user_topic: str = USER_TOPIC,
                         action_topic: str = ACTION_TOPIC, out_topic: str = USER_ACTION_TOPIC,
-                        user_view: str = "UserTable", action_view: str = "ActionTable"
-                        ) -> StreamingQuery | None:
+                        user_view: str = "UserTable", action_view: str = "ActionTable",
+                        max_per_trigger: int | None = None) -> StreamingQuery | None:
     """Users and actions registered as views and joined by SQL text; user actions out.
 
     ``echo`` prints the two projected inputs, as the source prints its tables (on streams: two
     console queries, drained like the main one when ``available_now``).
     """
-    users, _ = read_json_topic(spark, schemas.USER, user_topic, servers, fmt, root, streaming)
-    actions, _ = read_json_topic(spark, schemas.ACTION, action_topic, servers, fmt, root, streaming)
+    users, _ = read_json_topic(spark, schemas.USER, user_topic, servers, fmt, root, streaming,
+                               max_per_trigger=max_per_trigger)
+    actions, _ = read_json_topic(spark, schemas.ACTION, action_topic, servers, fmt, root, streaming,
+                                 max_per_trigger=max_per_trigger)
     register_views(users, actions, user_view, action_view, replace=True)
     if echo:
         tap(project_user(users), "user_table", available_now=available_now)
@@ -88,12 +96,13 @@ def rule_gate_topology(spark: SparkSession, servers: str | None = None, fmt: str
                        checkpoint: str | None = None, available_now: bool = False,
                        shards: int | None = None, rule_topic: str = RULE_TOPIC,
                        action_topic: str = ACTION_TOPIC,
-                       out_topic: str = FILTERED_ACTION_TOPIC) -> StreamingQuery | None:
+                       out_topic: str = FILTERED_ACTION_TOPIC,
+                       max_per_trigger: int | None = None) -> StreamingQuery | None:
     """Actions kept when the latest rule lists their action name; kept actions out unchanged."""
     rules, _ = read_json_topic(spark, schemas.RULE, rule_topic, servers, fmt, root, streaming,
-                               required=("allowedActions",))
+                               required=("allowedActions",), max_per_trigger=max_per_trigger)
     actions, _ = read_json_topic(spark, schemas.ACTION_RECORD, action_topic, servers, fmt, root,
-                                 streaming)
+                                 streaming, max_per_trigger=max_per_trigger)
     kept = (rule_filter_stream(actions, rules, shards) if streaming
             else rule_filter(actions, rules, shards))
     return _sink(kept, ACTION_RECORD_COLS, out_topic, streaming, servers, fmt, root, checkpoint,
