@@ -172,3 +172,15 @@ def test_uneven_rule_times_fall_back_to_blocks(spark):
     exp = expected(events)
     assert run(spark, events, "auto") == exp
     assert run(spark, events, "intervals") == exp
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_zoned_timestamps(spark, method):
+    events = [("r", "R1", ["p"], 0, 0), ("a", "a1", "p", 5, 1), ("r", "R2", ["q"], 100, 2),
+              ("a", "a2", "p", 150, 3), ("a", "a3", "q", 200, 4), ("r", "R3", ["p", "q"], 300, 5),
+              ("a", "a4", "q", 400, 6)]
+    actions, rules = frames(spark, events)
+    actions = actions.withColumn("ts", actions["ts"].cast("timestamp"))
+    rules = rules.withColumn("ts", rules["ts"].cast("timestamp"))
+    got = sorted(r.actionId for r in rule_filter(actions, rules, method=method).collect())
+    assert got == ["a1", "a3", "a4"]
