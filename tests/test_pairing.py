@@ -169,3 +169,16 @@ def test_stream_output_times_match_batch(spark, tmpdir_path):
     assert sorted((r.seq, r.ts) for r in streamed.collect()) == sorted(
         (r.seq, r.ts) for r in batch.collect())
     assert spark.conf.get("spark.sql.session.timeZone")
+
+
+def test_stream_with_zoned_timestamps(spark, tmpdir_path):
+    events = [("k", "a", "p", 1, 1), ("k", "u", "n", 2, 2), ("k", "u", "m", 3, 3),
+              ("k", "a", "x", 4, 4), ("j", "u", "o", 1, 5), ("j", "a", "y", 2, 6)]
+    _write_events(spark, events, f"{tmpdir_path}/in")
+    schema = "userId string, kind string, name string, action string, ts timestamp, seq long"
+    s = spark.readStream.schema(schema).parquet(f"{tmpdir_path}/in")
+    users = s.where("kind = 'u'").select("userId", "name", "ts", "seq")
+    actions = s.where("kind = 'a'").select("userId", "action", "ts", "seq")
+    zoned = pair_user_action_stream(users, actions)
+    out = run_to_table(zoned.withColumn("ts", zoned["ts"].cast("timestamp")), "pairing-zoned")
+    assert counts((r.userId, r.name, r.action, r.seq) for r in out.collect()) == expected(events)
