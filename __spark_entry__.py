@@ -274,8 +274,28 @@ def q_rule_gate_topics(spark, sf_dir):
     return _output_topic(spark, root, "actions-filtered")
 
 
+def _llm():
+    """The training-data queries, when their folder is there (nothing else depends on it)."""
+    if not os.path.isfile(os.path.join(_HERE, "tidal", "llm", "queries.py")):
+        return None
+    from tidal.llm import queries as llm
+    return llm
+
+
+def _pipeline():
+    if not os.path.isfile(os.path.join(_HERE, "corpus_pipeline.py")):
+        return None
+    import corpus_pipeline
+    return corpus_pipeline
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    extra = {}
+    if (llm := _llm()) is not None:
+        extra |= llm.QUERIES
+    if (pipeline := _pipeline()) is not None:
+        extra["pipeline"] = pipeline.run
+    return extra | {
         "project_user": q_project_user,
         "project_action": q_project_action,
         "user_action_join": q_user_action_join,
@@ -427,4 +447,8 @@ def oracle_sql() -> dict[str, str]:
         sql[f"{name}_stream"] = sql[name]
     sql["rule_filter_stream_microbatch"] = sql["rule_filter"]
     sql["user_action_join_stream_salted"] = sql["user_action_join"]
+    if (llm := _llm()) is not None:
+        sql |= llm.ORACLE_SQL
+    if (pipeline := _pipeline()) is not None and pipeline.ORACLE_SQL:
+        sql["pipeline"] = pipeline.ORACLE_SQL
     return sql
