@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +45,47 @@ def long_id(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("bigint").alias(name)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, n: int):
+    """Arrow batches of at most ``n`` rows for the plans run inside (wide rows of several texts)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+# --- fixed-size bitmaps of 64-bit values, to thin out rows before a shuffle -----------------
+
+BITMAP_BITS = 24
+
+
+def bitmap_place(values: np.ndarray) -> np.ndarray:
+    return (mix(values.view(np.uint64)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def _bitmap_of_batches(batches):
+    bits = np.zeros(1 << BITMAP_BITS, bool)
+    for batch in batches:
+        bits[bitmap_place(np.ascontiguousarray(batch.column(0).to_numpy()))] = True
+    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+
+
+def bitmap(values: DataFrame) -> bytes:
+    """A bitmap of 2**24 bits (2 MB whatever the input) of one bigint column without nulls."""
+    total = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
+    for row in values.repartition(4).mapInArrow(_bitmap_of_batches, "bits binary").collect():
+        total |= np.frombuffer(row["bits"], np.uint8)
+    return total.tobytes()
+
+
+def in_bitmap(bits: bytes, values: np.ndarray) -> np.ndarray:
+    place = bitmap_place(np.ascontiguousarray(values))
+    return (np.frombuffer(bits, np.uint8)[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+
+
 # --- text columns as numpy ----------------------------------------------------------------
 
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -95,13 +137,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each run of bytes other than white space; runs end with their row."""
+#: everything in ASCII but letters and digits
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray,
+               between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each run of bytes other than ``between`` (white space); runs end with their row."""
     n = len(data)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, z
-    word = ~_SPACE[data]
+    word = ~between[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     begins = word.copy()
@@ -128,10 +175,10 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of every lower-cased word, in order."""
     low = lower_ascii(data)
-    starts, ends, rows = word_spans(low, offsets)
+    starts, ends, rows = word_spans(low, offsets, between)
     return span_hashes(low, starts, ends), rows
 
 

@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidal.llm.common import U64, mix, partitions, python_ready, shingle_sets, written
+from tidal.llm.common import (U64, arrow_rows, bitmap, in_bitmap, mix, partitions, python_ready,
+                              shingle_sets, written)
 from tidal.llm.components import components
 
 BUCKET_BITS = 18
@@ -143,27 +144,36 @@ def _batch(cols) -> pa.RecordBatch:
                                       names=["h", "salt", "cid", "n", "pos"])
 
 
-def _sets_of(width: int):
+def _of_wanted(wanted):
+    """The rows of wanted doc_ids (the bitmap lets a few more through)."""
     def run(batches):
         for batch in batches:
-            cid, sets, size = [], [], 0
-            for _, s in shingle_sets(batch.column("text"), width):
-                cid.append(_class_id(s) if len(s) else None)
-                sets.append(s.view(np.int64))
-                size += len(s)
-                if size > 1 << 19:
-                    yield _set_batch(cid, sets)
-                    cid, sets, size = [], [], 0
-            if cid:
-                yield _set_batch(cid, sets)
+            ids = batch.column("doc_id")
+            there = ids.is_valid().to_numpy(zero_copy_only=False)
+            there[there] = in_bitmap(wanted.value, ids.drop_null().to_numpy())
+            yield batch.filter(pa.array(there))
     return run
 
 
-def _set_batch(cid, sets) -> pa.RecordBatch:
-    ends = np.cumsum([0, *map(len, sets)])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(cid, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))],
-        names=["cid", "s"])
+def _class_of(width: int):
+    def run(batches):
+        for batch in batches:
+            cid = [_class_id(s) if len(s) else None for _, s in shingle_sets(batch.column("text"), width)]
+            yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), batch.column("text")], names=["cid", "text"])
+    return run
+
+
+def _compare(width: int):
+    """Pairs with both texts -> the pairs whose shingle sets link."""
+    def run(batches):
+        for batch in batches:
+            left, right = shingle_sets(batch.column("ta"), width), shingle_sets(batch.column("tb"), width)
+            ok = []
+            for (_, x), (_, y) in zip(left, right, strict=True):
+                o = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(100 * o >= 75 * (len(x) + len(y) - o))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+    return run
 
 
 def _needed(n, m):
@@ -184,16 +194,17 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int)
     left = side.toDF("a", "na", "pa")
     right = side.toDF("b", "nb", "pb")
     bound = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    spark = docs.sparkSession
     left_over = written(pairs.join(left, "a").join(right, "b").where(bound >= _needed("na", "nb"))
-                        .select("a", "b", "na", "nb"), "pairs")
+                        .select("a", "b"), "pairs")
     wanted = left_over.select(F.col("a").alias("cid")).union(left_over.select("b")).distinct()
-    ids = wanted.join(classes.select("cid", "rep"), "cid").select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.join(ids, "doc_id", "left_semi").select("text")
-    sets = written(texts.mapInArrow(_sets_of(width), "cid bigint, s array<bigint>")
-                   .where("cid is not null").dropDuplicates(["cid"]), "sets")
-    both = (left_over.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
-            .withColumn("o", F.size(F.array_intersect("sa", "sb"))))
-    return both.where("100 * o >= 75 * (na + nb - o)").select("a", "b")
+    ids = written(wanted.join(classes.select("cid", "rep"), "cid").select(F.col("rep").alias("doc_id")).distinct(), "ids")
+    bits = spark.sparkContext.broadcast(bitmap(ids))
+    texts = docs.mapInArrow(_of_wanted(bits), docs.schema).join(ids, "doc_id", "left_semi")
+    texts = written(texts.mapInArrow(_class_of(width), "cid bigint, text string").where("cid is not null"), "texts")
+    both = (left_over.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a"))
+    with arrow_rows(spark, 500):
+        return written(both.mapInArrow(_compare(width), "a bigint, b bigint"), "links")
 
 
 def _labelled(shared: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -260,9 +271,9 @@ def jaccard_links(docs: DataFrame, width: int = 5) -> tuple[DataFrame, DataFrame
         .where("lo <> hi or salt >= 0").select("h", "cid", "n", "pos").dropDuplicates(["h", "cid"]), "postings")
     # classes whose members all lack a doc_id take no part in links
     real = classes.where("rep is not null")
-    links = written(_verified(_hub_pairs(shared), real, docs, width), "links")
+    links = _verified(_hub_pairs(shared), real, docs, width)
     lists = _labelled(shared, links)
-    more = written(_verified(_cross_pairs(lists), real, docs, width), "links")
+    more = _verified(_cross_pairs(lists), real, docs, width)
     return sets, classes, links.union(more)
 
 

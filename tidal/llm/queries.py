@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidal.llm import ngram_join
+from tidal.llm import decontamination, fingerprints, mixing, ngram_join
 from tidal.llm.common import read_table
 
 
@@ -12,8 +12,23 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_ngram_join": op4_ngram_join,
+    "op6_mixing": op6_mixing,
+    "op7_decontamination": op7_decontamination,
+    "op8_fingerprints": op8_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {}
