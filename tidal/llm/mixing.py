@@ -36,6 +36,12 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def _by_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """left joined with right on source, null being a source like any other."""
+    r = right.withColumnRenamed("source", "_source")
+    return left.join(r, F.col("source").eqNullSafe(F.col("_source")), how).drop("_source")
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap: float) -> DataFrame:
     """(source, source_size, target) from (source, size).
 
@@ -72,13 +78,13 @@ def _tilts(hist: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
     mean = F.col("source_size") / F.greatest(F.col("docs"), F.lit(1))
     docs = hist.groupBy("source").agg(F.sum("n").alias("docs"))
     full = (F.col("target") >= F.col("source_size") * F.lit(cap) * (1 - 1e-12))
-    at = targets.join(docs, targets["source"].eqNullSafe(docs["source"])).drop(docs["source"])
+    at = _by_source(targets, docs)
     at = (at.withColumn("full", full).withColumn("lam", F.lit(0.0))
           .withColumn("lo", -1e3 / F.greatest(mean, F.lit(1e-9))).withColumn("hi", 1e3 / F.greatest(mean, F.lit(1e-9)))
           .withColumn("gap", F.lit(float("inf"))))
     at = written(at, "tilts")
     for _ in range(STEPS):
-        h = hist.join(at, hist["source"].eqNullSafe(at["source"])).drop(hist["source"])
+        h = _by_source(hist, at)
         r = tilted(F.col("size"), F.col("lam"), cap)
         x = F.col("size").cast("double")
         sums = h.groupBy(*at.columns).agg(F.sum(F.col("n") * x * r).alias("g"),
@@ -108,7 +114,7 @@ def _cuts(rows: DataFrame, at: DataFrame) -> DataFrame:
     at = at.withColumn("lo", F.lit(0.0)).withColumn("width", F.lit(KEYS))
     there = (F.col("key") >= F.col("lo")) & (F.col("key") < F.col("lo") + F.col("width"))
     for _ in range(ROUNDS):
-        inside = rows.join(at, rows["source"].eqNullSafe(at["source"])).drop(rows["source"]).where(there)
+        inside = _by_source(rows, at).where(there)
         place = F.least(F.floor((F.col("key") - F.col("lo")) / F.col("width") * BINS), F.lit(BINS - 1))
         bins = inside.withColumn("bin", place).groupBy(
             "source", "target", "lo", "width", "words", "bin").agg(F.sum("size").alias("s"))
@@ -117,7 +123,7 @@ def _cuts(rows: DataFrame, at: DataFrame) -> DataFrame:
         found = passed.groupBy("source").agg(
             F.max(F.when(F.col("upto") <= F.col("target"), F.struct("bin", "upto"))).alias("last"),
             F.min(F.when(F.col("upto") > F.col("target"), F.struct("bin", "s"))).alias("next"))
-        joined = at.join(found, at["source"].eqNullSafe(found["source"]), "left").drop(found["source"])
+        joined = _by_source(at, found, "left")
         at = written(joined.select(
             "source", "target",
             (F.col("lo") + F.coalesce(F.col("next.bin"), F.lit(BINS)) * F.col("width") / BINS).alias("lo"),
@@ -144,7 +150,7 @@ def mixed(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float =
     tilts = _tilts(hist, targets, cap)
     rate = tilted(F.col("size"), F.col("lam"), cap)
     unit = (F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col("doc_id")), 12).cast("double") + 0.5) / float(1 << 52)
-    rated = sizes.join(tilts, sizes["source"].eqNullSafe(tilts["source"])).drop(tilts["source"])
+    rated = _by_source(sizes, tilts)
     rated = (rated.withColumn("rate", rate).withColumn("base", F.floor("rate").cast("bigint"))
              .withColumn("rest", F.col("rate") - F.col("base"))
              .withColumn("key", F.when(F.col("rest") > 0, unit / F.col("rest"))))
@@ -158,11 +164,10 @@ def mixed(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float =
     large = _cuts(open_rows.where("not small").select("source", "size", "key"),
                   due.select("source", (F.col("base") + F.col("large")).alias("target"), F.col("base").alias("words")))
     large = written(large, "large")
-    left = due.select("source", "target").join(large, due["source"].eqNullSafe(large["source"])).drop(large["source"])
+    left = _by_source(due.select("source", "target"), large)
     small = _cuts(open_rows.where("small").select("source", "size", "key"), left.select("source", "target", "words"))
-    both = large.join(small.select(F.col("source").alias("s2"), F.col("cut").alias("small_cut")),
-                      large["source"].eqNullSafe(F.col("s2"))).select("source", "cut", "small_cut")
-    out = rated.join(both, rated["source"].eqNullSafe(both["source"]), "left").drop(both["source"])
+    both = _by_source(large.select("source", "cut"), small.select("source", F.col("cut").alias("small_cut")))
+    out = _by_source(rated, written(both, "cuts"), "left")
     cut = F.when(F.col("small"), F.col("small_cut")).otherwise(F.col("cut"))
     copies = F.col("base") + F.when((F.col("rest") > 0) & (F.col("key") < cut), 1).otherwise(0)
     return out.withColumn("copies", copies.cast("bigint")).select(
