@@ -86,6 +86,49 @@ def in_bitmap(bits: bytes, values: np.ndarray) -> np.ndarray:
     return (np.frombuffer(bits, np.uint8)[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
 
 
+def filtered(docs: DataFrame, keep) -> DataFrame:
+    """The rows of ``docs`` for which ``keep`` (text column -> boolean array, run in Arrow batches) holds."""
+    python_ready(docs.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch.column("_text")))).drop_columns(["_text"])
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, kind)
+
+
+def _flags(shared):
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("_id")
+            flag = np.zeros(len(ids), bool)
+            valid = ids.is_valid().to_numpy(zero_copy_only=False)
+            flag[valid] = in_bitmap(shared.value, ids.drop_null().to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [*[c for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != "_id"], pa.array(flag)],
+                names=[*[n for n in batch.schema.names if n != "_id"], "_flag"])
+    return run
+
+
+def split_by_ids(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose doc_id isn't among ``ids``, the rows that may be): a bitmap of the ids tells most rows
+    apart where they are, so that only the second part has to be joined (and shuffled)."""
+    spark = docs.sparkSession
+    python_ready(spark)
+    shared = spark.sparkContext.broadcast(bitmap(ids))
+    rows = docs.withColumn("_id", F.col("doc_id").cast("bigint"))
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    flagged = rows.mapInArrow(_flags(shared), kind + ", _flag boolean")
+    return flagged.where("not _flag").drop("_flag"), flagged.where("_flag").drop("_flag")
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id isn't in ``ids`` (one bigint column without nulls)."""
+    ids = ids.toDF("_drop")
+    surely, perhaps = split_by_ids(docs, ids)
+    return surely.unionByName(perhaps.join(ids, F.col("doc_id").cast("bigint") == F.col("_drop"), "left_anti"))
+
+
 # --- text columns as numpy ----------------------------------------------------------------
 
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -136,48 +136,76 @@ def _cuts(rows: DataFrame, at: DataFrame) -> DataFrame:
                      (F.col("words") + F.when(take, F.col("s")).otherwise(0)).alias("words"))
 
 
-def mixed(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """(doc_id, source, size) rows with source_size, target, rate, copies and taken (words, long).
+def _rated(rows: DataFrame, plan: DataFrame, cap: float) -> DataFrame:
+    """Rows (doc_id, source, size, ...) with the plan's columns and rate, base, rest, key, small."""
+    rate = tilted(F.col("size"), F.col("lam"), cap)
+    unit = (F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col("doc_id")), 12).cast("double") + 0.5) / float(1 << 52)
+    return (_by_source(rows, plan).withColumn("rate", rate).withColumn("base", F.floor("rate").cast("bigint"))
+            .withColumn("rest", F.col("rate") - F.col("base"))
+            .withColumn("key", F.when(F.col("rest") > 0, unit / F.col("rest")))
+            .withColumn("small", F.col("size") * F.col("docs") * 4 <= F.col("source_size")))
 
-    Rows are told apart by ``doc_id`` alone when rounding: rows that repeat a doc_id in one source get
-    the same extra copy or none of them does. A null source is a source; a null doc_id hashes like any
-    other. Sizes of 0 take nothing. An empty table gives no rows. Rows of equal input get equal copies,
-    on every run.
-    """
+
+def mixing_plan(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
+    """One row per source: source_size, target, docs, lam and the rounding cuts, from (doc_id, source, size)."""
     hist = written(sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "histogram")
     targets = written(source_targets(hist.select("source", (F.col("size") * F.col("n")).alias("size")),
                                      weights, share, cap), "targets")
-    tilts = _tilts(hist, targets, cap)
-    rate = tilted(F.col("size"), F.col("lam"), cap)
-    unit = (F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col("doc_id")), 12).cast("double") + 0.5) / float(1 << 52)
-    rated = _by_source(sizes, tilts)
-    rated = (rated.withColumn("rate", rate).withColumn("base", F.floor("rate").cast("bigint"))
-             .withColumn("rest", F.col("rate") - F.col("base"))
-             .withColumn("key", F.when(F.col("rest") > 0, unit / F.col("rest"))))
-    rated = rated.withColumn("small", F.col("size") * F.col("docs") * 4 <= F.col("source_size"))
-    rated = written(rated, "rated")
+    tilts = written(_tilts(hist, targets, cap), "tilts")
+    rated = written(_rated(sizes, tilts, cap).select("source", "size", "base", "rest", "key", "small", "target"), "rated")
     open_rows = rated.where("rest > 0")
-    due = rated.groupBy("source").agg(
+    due = written(rated.groupBy("source").agg(
         F.max("target").alias("target"), F.sum(F.col("size") * F.col("base")).alias("base"),
-        F.sum(F.when(F.col("small"), 0.0).otherwise(F.col("rest") * F.col("size"))).alias("large"))
-    due = written(due, "due")
-    large = _cuts(open_rows.where("not small").select("source", "size", "key"),
-                  due.select("source", (F.col("base") + F.col("large")).alias("target"), F.col("base").alias("words")))
-    large = written(large, "large")
+        F.sum(F.when(F.col("small"), 0.0).otherwise(F.col("rest") * F.col("size"))).alias("large")), "due")
+    large = written(_cuts(open_rows.where("not small").select("source", "size", "key"),
+                          due.select("source", (F.col("base") + F.col("large")).alias("target"),
+                                     F.col("base").alias("words"))), "large")
     left = _by_source(due.select("source", "target"), large)
     small = _cuts(open_rows.where("small").select("source", "size", "key"), left.select("source", "target", "words"))
-    both = _by_source(large.select("source", "cut"), small.select("source", F.col("cut").alias("small_cut")))
-    out = _by_source(rated, written(both, "cuts"), "left")
+    plan = _by_source(_by_source(tilts, large.select("source", "cut")),
+                      small.select("source", F.col("cut").alias("small_cut")))
+    return written(plan, "plan")
+
+
+def apply_plan(rows: DataFrame, plan: DataFrame, cap: float = 2.0) -> DataFrame:
+    """``rows`` (with doc_id, source, size) and source_size, target, rate, copies, taken. Row by row."""
+    out = _rated(rows, plan, cap)
     cut = F.when(F.col("small"), F.col("small_cut")).otherwise(F.col("cut"))
-    copies = F.col("base") + F.when((F.col("rest") > 0) & (F.col("key") < cut), 1).otherwise(0)
-    return out.withColumn("copies", copies.cast("bigint")).select(
-        "doc_id", "source", "size", "source_size", "target", "rate", "copies",
-        (F.col("copies") * F.col("size")).alias("taken"))
+    copies = (F.col("base") + F.when((F.col("rest") > 0) & (F.col("key") < cut), 1).otherwise(0)).cast("bigint")
+    return out.select(*rows.columns, "source_size", "target", "rate", copies.alias("copies"),
+                      (copies * F.col("size")).alias("taken"))
+
+
+def mixed(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
+    """(doc_id, source, size) rows with source_size, target, rate, copies and taken (words, long).
+
+    Rows are told apart by ``doc_id`` alone when rounding: rows that repeat a doc_id in one source get
+    the same extra copy or none of them does. A null source is a source; a null doc_id hashes like any
+    other. Sizes of 0 take nothing. An empty table gives no rows. Rows of equal input get equal copies,
+    on every run.
+    """
+    return apply_plan(sizes, mixing_plan(sizes, weights, share, cap), cap)
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix of a table of documents; size is the number of words of ``text`` (null: 0)."""
-    sizes = written(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                                F.col("source").cast("string").alias("source"),
-                                word_count("text").alias("size")), "sizes")
-    return mixed(sizes, **options)
+    return mixed(document_sizes(docs), **options)
+
+
+def document_sizes(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size) of documents, counted once."""
+    return written(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                               F.col("source").cast("string").alias("source"),
+                               word_count("text").alias("size")), "sizes")
+
+
+def mixed_copies(docs: DataFrame, cap: float = 2.0, **options) -> DataFrame:
+    """The mix itself: every document as many times as it has copies, with ``copy`` 1, 2, ... and its rate."""
+    plan = mixing_plan(document_sizes(docs), cap=cap, **options)
+    rows = docs.withColumnsRenamed({c: f"_d_{c}" for c in docs.columns}).select(
+        "*", F.col("_d_doc_id").cast("bigint").alias("doc_id"), F.col("_d_source").cast("string").alias("source"),
+        word_count("_d_text").alias("size"))
+    out = apply_plan(rows, plan, cap).where("copies > 0")
+    taken = [c for c in docs.columns if c not in ("copy", "copies", "rate")]
+    return out.select(*[F.col(f"_d_{c}").alias(c) for c in taken], F.col("copies"), F.col("rate"),
+                      F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))

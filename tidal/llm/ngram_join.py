@@ -297,3 +297,36 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
         "doc_id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id"),
         F.lit(None).cast("bigint").alias("class_id"), F.lit(1).cast("bigint").alias("class_size"))
     return full.unionByName(bare)
+
+
+def _with_class(width: int):
+    def run(batches):
+        for batch in batches:
+            cid = [_class_id(s) if len(s) else None for _, s in shingle_sets(batch.column("_text"), width)]
+            keep = [i for i, n in enumerate(batch.schema.names) if n != "_text"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], pa.array(cid, pa.int64())],
+                                             names=[*[batch.schema.names[i] for i in keep], "_cid"])
+    return run
+
+
+def keep_one(docs: DataFrame, width: int = 5) -> DataFrame:
+    """The rows of ``docs`` with one document left of each component: that of the least doc_id.
+
+    Texts without shingles are no copies and all stay, but rows repeating doc_id and text stay once. Rows
+    without a doc_id stay unless an equal text has one; of equal ones, one stays.
+    """
+    found = written(near_duplicates(docs, width), "components")
+    again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"),
+                                                                    F.min("component_id").alias("c"))
+    doubtful = written(again.where("n > 1 or c <> doc_id").select("doc_id"), "doubtful")
+    surely, perhaps = split_by_ids(docs.where("doc_id is not null"), doubtful)
+    perhaps = perhaps.unionByName(docs.where("doc_id is null"))
+    rows = perhaps.withColumn("_text", F.col("text").cast("string"))
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    rows = rows.mapInArrow(_with_class(width), kind + ", _cid bigint").withColumn("_id", F.col("doc_id").cast("bigint"))
+    kept = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
+        F.col("doc_id").alias("_kid"), F.col("class_id").alias("_kcid")).distinct()
+    left = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kid")) & F.col("_cid").eqNullSafe(F.col("_kcid")), "left_semi")
+    same = Window.partitionBy("_id", "_cid").orderBy(*[F.xxhash64(c) for c in docs.columns])
+    once = left.withColumn("_n", F.row_number().over(same)).where("_n = 1").drop("_n", "_id", "_cid")
+    return surely.unionByName(once)

@@ -3,15 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidal.llm import decontamination, fingerprints, mixing, ngram_join
+from tidal.llm import (decontamination, fingerprints, html_extract, language, licenses, mixing, ngram_join, quality,
+                       token_counts, toxicity)
 from tidal.llm.common import read_table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_table(read_table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    apart = language.held_out("doc_id", 3, 1)
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels").where(~apart))
+    scored = toxicity.score(docs.withColumn("held_out", apart), model, ("doc_id", "held_out")).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs))
+    return scored.withColumn("kept", (F.col("score") >= 0.5).cast("int"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(read_table(spark, sf_dir, "documents"))
 
@@ -24,11 +48,26 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(licenses.document_files(read_table(spark, sf_dir, "documents")))
+
+
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
+    "op3_quality": op3_quality,
     "op4_ngram_join": op4_ngram_join,
+    "op5_language_id": op5_language_id,
     "op6_mixing": op6_mixing,
     "op7_decontamination": op7_decontamination,
     "op8_fingerprints": op8_fingerprints,
+    "op9_licenses": op9_licenses,
+    "op10_html_extract": op10_html_extract,
 }
 
+#: None of the ten can be put in SQL as a whole; tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {}

@@ -68,6 +68,33 @@ def word_sums(text, starts, ends, table: np.ndarray, orders, bits) -> tuple[np.n
     return sums, counts
 
 
+def row_sums(text, starts, rows, tables: list[np.ndarray], orders, bits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows with words, sums of each table over their grams, number of grams).
+
+    The grams of a row's words lie from the space before its first word up to that before the next
+    row's; those with a space inside belong to no word and are left out.
+    """
+    edge = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    begin = starts[edge] - 1
+    space = text == 0x20
+    sums = np.zeros((len(edge), len(tables)))
+    counts = np.zeros(len(edge), np.int64)
+    for order in orders:
+        buckets = _grams(text, order, bits, order)
+        inside = np.zeros(len(buckets), bool)
+        for j in range(1, order - 1):
+            inside |= space[j:j + len(buckets)]
+        kept = buckets[~inside]
+        before = np.r_[0, np.cumsum(~inside)]
+        first = before[np.minimum(begin, len(buckets))]
+        n = np.diff(np.r_[first, len(kept)])
+        some = n > 0
+        counts += n
+        for k, table in enumerate(tables):
+            sums[some, k] += np.add.reduceat(table[kept], first[some], dtype=np.float64) if some.any() else 0
+    return rows[edge], sums, counts
+
+
 def word_lists(text, starts, ends, orders, bits) -> tuple[np.ndarray, np.ndarray]:
     """The buckets of each word as (flat buckets, word of each)."""
     flat, words = [], []

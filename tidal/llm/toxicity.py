@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidal.llm.common import python_ready, text_chunks
+from tidal.llm.common import filtered, python_ready, text_chunks
 from tidal.llm.subwords import padded, word_lists, word_sums
 
 ORDERS = (3, 4, 5, 6)
@@ -243,3 +243,9 @@ def score(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_i
     cols = docs.select(*[c for c in keep if c != "text"], F.col("text").cast("string").alias("text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema) + ", score double"
     return cols.mapInArrow(_scorer(spark.sparkContext.broadcast(model)), schema)
+
+
+def below(docs: DataFrame, model: ToxicityModel, limit: float) -> DataFrame:
+    """The rows of ``docs`` with all their columns whose score is below ``limit``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return filtered(docs, lambda texts: shared.value.score(max_logits(texts, shared.value)) < limit)
