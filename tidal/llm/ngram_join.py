@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidal.llm.common import (U64, arrow_rows, bitmap, in_bitmap, mix, partitions, python_ready,
-                              shingle_sets, written)
+                              shingle_sets, split_by_ids, written)
 from tidal.llm.components import components
 
 BUCKET_BITS = 18
