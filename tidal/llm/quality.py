@@ -23,7 +23,7 @@ from tidal.llm.common import filtered, python_ready, span_hashes, text_chunks, w
 from tidal.llm.subwords import padded, row_sums, word_lists
 
 LABELLERS = ("signs", "signed words", "capitals", "marks", "bars", "repeats", "variety", "sentences", "starts", "lines")
-ORDERS = (1, 2, 3)
+ORDERS = (2, 3)
 BITS = 16
 EMPTY_SCORE = 0.0
 FALSE_ALARM = 0.003

@@ -71,7 +71,7 @@ def word_sums(text, starts, ends, table: np.ndarray, orders, bits) -> tuple[np.n
 def row_sums(text, starts, rows, tables: list[np.ndarray], orders, bits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rows with words, sums of each table over their grams, number of grams).
 
-    The grams of a row's words lie from the space before its first word up to that before the next
+    Orders are 2 or more. The grams of a row's words lie from the space before its first word up to that before the next
     row's; those with a space inside belong to no word and are left out.
     """
     edge = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])

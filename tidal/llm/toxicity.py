@@ -2,7 +2,8 @@
 
 A text is read as overlapping windows of ``window`` words. A window's embedding is the mean of its
 words' character n-gram vectors (with word edges), so a misspelt word shares most of its vectors
-with the word it stands for. A linear softmax over two classes scores the window; the text's logit
+with the word it stands for; n-gram dropout and copies of the training texts with misspelt words make
+those shared vectors carry the meaning. A linear softmax over two classes scores the window; the text's logit
 is a soft maximum over all its windows (a few toxic words in a long text count as much as in a short
 one), sharpened while training goes on. Vectors and softmax are trained together by AdaGrad on a
 bounded sample of labelled texts (``max_per_class`` of either label, taken in order of a hash of the
@@ -106,8 +107,34 @@ class _Sample:
         return self.flat[at], n
 
 
+# Signs that stand for letters in disguised words.
+_LOOKS_LIKE = {"a": "@", "e": "3", "i": "1", "l": "1", "o": "0", "s": "$", "t": "7"}
+
+
+def _misspelt(text: str, rng: np.random.Generator, share: float) -> str:
+    """A copy of a text in which ``share`` of the longer words have one letter wrong."""
+    words = text.split()
+    hit = np.flatnonzero(rng.random(len(words)) < share)
+    kinds, places = rng.integers(0, 4, len(hit)), rng.random(len(hit))
+    for at, kind, place in zip(hit, kinds, places, strict=True):
+        w = words[at]
+        if len(w) < 4:
+            continue
+        i = 1 + int(place * (len(w) - 2))
+        if kind == 0:
+            w = w[:i] + w[i] + w[i:]
+        elif kind == 1:
+            w = w[:i] + w[i + 1:]
+        elif kind == 2:
+            w = w[:i] + _LOOKS_LIKE.get(w[i], "*") + w[i + 1:]
+        else:
+            w = w[:i] + w[i + 1:i + 2] + w[i] + w[i + 2:]
+        words[at] = w
+    return " ".join(words)
+
+
 def train(texts: list[str], labels: list[int], window: int = 2, dim: int = 8, epochs: int = 8,
-          rate: float = 0.5, seed: int = 7) -> ToxicityModel:
+          dropout: float = 0.2, misspelt: float = 0.6, rate: float = 0.5, seed: int = 7) -> ToxicityModel:
     """Fit vectors and softmax on labelled texts. With one label only, every score is its share."""
     rng = np.random.default_rng(seed)
     size = 1 << BITS
@@ -115,14 +142,17 @@ def train(texts: list[str], labels: list[int], window: int = 2, dim: int = 8, ep
         share = float(np.mean(labels)) if labels else 0.0
         p = min(max(share, 1e-6), 1 - 1e-6)
         return ToxicityModel(np.zeros(size, np.float32), 0.0, 0.0, float(np.log(p / (1 - p))), window)
-    s = _Sample(texts, labels)
+    total = len(texts)
+    order = rng.permutation(total)
+    apart = set(order[: max(2, total // 5)].tolist())
+    # copies with misspelt words, of either label, join the texts learned from
+    copied = [i for i in range(total) if i not in apart]
+    s = _Sample(texts + [_misspelt(texts[i], rng, misspelt) for i in copied], labels + [labels[i] for i in copied])
     vectors = rng.normal(0, 0.05, (size, dim)).astype(np.float32)
     weights = rng.normal(0, 0.5, (dim, 2))
     bias = np.zeros(2)
     seen, seen_w = np.full(size, 1e-3), np.full((dim, 2), 1e-3)
-    order = rng.permutation(len(texts))
-    apart = set(order[: max(2, len(order) // 5)].tolist())
-    learn = np.array([i for i in order if i not in apart and len(s.docs[i])])
+    learn = np.array([i for i in range(len(s.docs)) if i not in apart and len(s.docs[i])])
     share = max(s.y[learn].mean() if len(learn) else 0.5, 1e-3)
     for epoch in range(epochs):
         sharp = 2.0 + 4.0 * epoch / max(1, epochs - 1)
@@ -138,6 +168,10 @@ def train(texts: list[str], labels: list[int], window: int = 2, dim: int = 8, ep
             rows = np.repeat(np.arange(len(group)), [len(s.docs[i]) for i in group])
             used, place = np.unique(seq, return_inverse=True)
             flat, n = s.grams(used)
+            # some n-grams are left out each time, so that a part of a word's is enough (misspellings)
+            left = rng.random(len(flat)) >= dropout
+            n = np.add.reduceat(np.r_[left, False].astype(np.int64), np.cumsum(n) - n) * (n > 0)
+            flat = flat[left]
             cut = np.r_[0, np.cumsum(n)]
             gathered = vectors[flat]
             sums = np.zeros((len(used), dim))
@@ -177,8 +211,9 @@ def train(texts: list[str], labels: list[int], window: int = 2, dim: int = 8, ep
     u = (weights[:, 1] - weights[:, 0]).astype(np.float32)
     model = ToxicityModel(vectors @ u, float(bias[1] - bias[0]), 1.0, 0.0, window)
     held = sorted(apart)
-    logits = max_logits(pa.array([texts[i] for i in held], pa.large_string()), model)
-    slope, shift = _logistic(logits, s.y[held])
+    known = [texts[i] for i in held]
+    logits = max_logits(pa.array(known + [_misspelt(t, rng, misspelt) for t in known], pa.large_string()), model)
+    slope, shift = _logistic(logits, np.r_[s.y[held], s.y[held]])
     return ToxicityModel(model.table, model.bias, slope, shift, window)
 
 
@@ -217,7 +252,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_per_class: int) -> t
     return texts, out
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 1500, **options) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 1000, **options) -> ToxicityModel:
     """Train on ``labels.toxic`` (0/1, other values ignored; a doc_id labelled twice is toxic if once so)."""
     return train(*labelled_sample(docs, labels, max_per_class), **options)
 
