@@ -90,7 +90,7 @@ def _tilts(hist: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
         sums = h.groupBy(*at.columns).agg(F.sum(F.col("n") * x * r).alias("g"),
                                           F.sum(F.col("n") * x * x * r * (1 - r / F.lit(cap))).alias("h"))
         off = F.col("g") - F.col("target")
-        step = F.col("lam") - off / F.col("h")
+        step = F.col("lam") - F.try_divide(off, F.col("h"))
         lo = F.when(off < 0, F.col("lam")).otherwise(F.col("lo"))
         hi = F.when(off >= 0, F.col("lam")).otherwise(F.col("hi"))
         nxt = (sums.withColumn("lo2", lo).withColumn("hi2", hi).withColumn("step", step)
