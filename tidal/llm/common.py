@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidal.session import ship_package, shared_dir
 
 CHUNK_BYTES = 1 << 20           # text bytes a numpy step looks at together (a longer text alone)
+BATCH_ROWS = 1000               # most rows of an Arrow batch while a table is written
 U64 = np.uint64
 
 
@@ -27,7 +28,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    with arrow_rows(spark, BATCH_ROWS):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -50,7 +52,7 @@ def arrow_rows(spark: SparkSession, n: int):
     """Arrow batches of at most ``n`` rows for the plans run inside (wide rows of several texts)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+    spark.conf.set(key, str(min(n, int(old)) if int(old) > 0 else n))
     try:
         yield
     finally:

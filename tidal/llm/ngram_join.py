@@ -203,7 +203,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int)
     texts = docs.mapInArrow(_of_wanted(bits), docs.schema).join(ids, "doc_id", "left_semi")
     texts = written(texts.mapInArrow(_class_of(width), "cid bigint, text string").where("cid is not null"), "texts")
     both = (left_over.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a"))
-    with arrow_rows(spark, 500):
+    with arrow_rows(spark, 250):
         return written(both.mapInArrow(_compare(width), "a bigint, b bigint"), "links")
 
 
@@ -245,11 +245,12 @@ def _cross_pairs(lists: DataFrame) -> DataFrame:
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def jaccard_links(docs: DataFrame, width: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
+def jaccard_links(docs: DataFrame, width: int = 5, hot_over: float | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sets, classes, links) of a table with ``doc_id`` and ``text``.
 
     ``sets``: doc_id, n, cid per row. ``classes``: cid, n, rep (least doc_id), members, parts per
     distinct set. ``links``: pairs (a, b) of class ids, enough to connect all that links connect.
+    ``hot_over``: bucket counts beyond which postings are salted (by default from the mean count).
     """
     spark = docs.sparkSession
     python_ready(spark)
@@ -261,7 +262,8 @@ def jaccard_links(docs: DataFrame, width: int = 5) -> tuple[DataFrame, DataFrame
         F.first("parts").alias("parts")), "classes")
     counts = _bucket_counts(sums)
     total = int(counts.sum())
-    hot_over = max(HOT * total / len(counts), 1000.0)
+    if hot_over is None:
+        hot_over = max(HOT * total / len(counts), 1000.0)
     post = docs.select("text").mapInArrow(
         _postings(width, spark.sparkContext.broadcast(counts), hot_over, partitions(spark)),
         "h bigint, salt int, cid bigint, n int, pos int")
@@ -277,7 +279,7 @@ def jaccard_links(docs: DataFrame, width: int = 5) -> tuple[DataFrame, DataFrame
     return sets, classes, links.union(more)
 
 
-def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, **options) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, class_id, class_size.
 
     ``component_id`` is the least doc_id reachable by links, itself included. An empty or null text
@@ -285,7 +287,7 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     shingle (its whole sequence). Equal texts are linked. A row without doc_id gets the component of
     equal texts that have one, else null. Rows that repeat a doc_id are compared by their own text.
     """
-    sets, classes, links = jaccard_links(docs, width)
+    sets, classes, links = jaccard_links(docs, width, **options)
     found = components(links, "a", "b").toDF("cid", "root")
     rooted = classes.join(found, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
