@@ -27,6 +27,7 @@ ORDERS = (2, 3)
 BITS = 16
 EMPTY_SCORE = 0.0
 FALSE_ALARM = 0.003
+MOST_SEEN = 0.7
 
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
@@ -124,8 +125,9 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, steps: in
     """Fit the weak-label model to counted vote patterns (rows of -1, 0, 1).
 
     Each labeller catches only some kinds of bad text, but hardly ever accuses a good one: the rate of that
-    has a prior of ``FALSE_ALARM`` worth as much as the texts, so that a rarer kind of bad text isn't taken for
-    good with a wrong labeller. The other rates have a prior worth a thousandth of the texts.
+    has a strong prior (``FALSE_ALARM``, worth ten times the texts) and no labeller is taken to see more than
+    ``MOST_SEEN`` of all bad texts, so that a rarer kind of bad text isn't taken for good with a wrong
+    labeller. The other rates have a prior worth a thousandth of the texts.
     """
     n = len(LABELLERS)
     model = WeakModel(0.85, np.array([[0.4] * n, [FALSE_ALARM] * n]))
@@ -136,9 +138,10 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, steps: in
     for _ in range(steps):
         p = model.posterior(patterns)
         rates = []
-        for q, start, prior in ((1 - p, 0.4, max(1.0, total / 1000)), (p, FALSE_ALARM, total)):
+        for q, start, prior in ((1 - p, 0.4, max(1.0, total / 1000)), (p, FALSE_ALARM, 10 * total)):
             w = counts * q
             rates.append((w @ against + prior * start) / (w @ (against + for_) + prior))
+        rates[0] = np.minimum(rates[0], MOST_SEEN)
         new = WeakModel(float(np.clip((counts @ p + 1) / (total + 2), 1e-4, 1 - 1e-4)), np.stack(rates))
         done = abs(new.share_good - model.share_good) < 1e-9 and np.abs(new.bad_vote - model.bad_vote).max() < 1e-8
         model = new
