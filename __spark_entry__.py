@@ -77,7 +77,7 @@ def q_user_action_join(spark, sf_dir):
 
 
 def q_user_action_join_salted(spark, sf_dir):
-    """The same join with explicit salting of ids above 1/1000 of the actions."""
+    """The same join with explicit salting of ids above 1/2000 of the actions."""
     users = users_from_customer(_customer(spark, sf_dir), text_ids=False)
     events = _events(spark, sf_dir)
     actions = actions_from_events(events, ordered=True, text_ids=False)
@@ -86,8 +86,13 @@ def q_user_action_join_salted(spark, sf_dir):
 
 
 def hot_threshold(events) -> int:
-    """Ids with more than 1/1000 of all actions count as hot (a count over the input)."""
-    return max(1, events.count() // 1000)
+    """Ids with more than 1/2000 of all actions count as hot (a count over the input)."""
+    return max(1, events.count() // 2000)
+
+
+def micros(ts: str = "ts"):
+    """A zone-free time as microseconds since 1970."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
 
 
 def q_user_action_join_sql(spark, sf_dir):
@@ -99,10 +104,45 @@ def q_user_action_join_sql(spark, sf_dir):
 
 def q_pair_user_action(spark, sf_dir):
     ev = pairing_events(_events(spark, sf_dir), text_ids=False)     # users and actions, one scan
-    out = pair_tagged(ev).select("userId", "name", "action", "seq")
+    out = pair_tagged(ev).select("userId", "name", "action", "seq", micros().alias("ts_us"))
     return as_text_ids(out, "userId")
 
 
+def _three_users(events):
+    """The events with their ids folded to three users, each a third of all rows."""
+    return events.withColumn("user_id", F.col("user_id") % 3)
+
+
+def q_pair_user_action_hot(spark, sf_dir):
+    """Pairing of three very hot users through ordered blocks (a user spans several blocks)."""
+    ev = pairing_events(_three_users(_events(spark, sf_dir)), text_ids=False)
+    out = pair_tagged(ev, blocks=8, hot_key_rows=1).select("userId", "name", "action", "seq", micros().alias("ts_us"))
+    return as_text_ids(out, "userId")
+
+
+def error_rules(events):
+    """A rule per ``error`` event, with its list chosen by the event's id."""
+    k = F.col("event_id") % 3
+    lists = [F.array(*[F.lit(a) for a in allowed]) for _, allowed, _, _ in RULES]
+    allowed = F.when(k == 0, lists[0]).when(k == 1, lists[1]).otherwise(lists[2])
+    return events.where(F.col("event_type") == "error").select(
+        F.col("event_id").cast("string").alias("ruleId"), allowed.alias("allowedActions"), "ts",
+        F.col("event_id").alias("seq"))
+
+
+def q_rule_filter_many(spark, sf_dir):
+    """The rule filter with as many rules as there are ``error`` events."""
+    events = _events(spark, sf_dir)
+    out = rule_filter(action_records_from_events(events), error_rules(events))
+    return out.select("actionId", "userId", "action", "seq")
+
+
+def q_rule_filter_many_blocks(spark, sf_dir):
+    """The same by the ordered-block scan (the form for rule tables too large to sort in one task)."""
+    events = _events(spark, sf_dir)
+    out = rule_filter(action_records_from_events(events), error_rules(events), blocks=8, method="blocks")
+    return out.select("actionId", "userId", "action", "seq")
+
 def q_rule_filter(spark, sf_dir):
     actions = action_records_from_events(_events(spark, sf_dir))
     return rule_filter(actions, rules_frame(spark)).select("actionId", "userId", "action", "seq")
@@ -180,7 +220,7 @@ def q_pair_user_action_stream(spark, sf_dir):
     ev = pairing_events(_stream(spark, sf_dir, "events"))
     out = run_to_table(pair_tagged_stream(ev), "pair_user_action",
                        state_partitions=_state_partitions(spark))
-    return out.select("userId", "name", "action", "seq")
+    return out.select("userId", "name", "action", "seq", micros().alias("ts_us"))
 
 
 def q_rule_filter_stream(spark, sf_dir):
@@ -209,6 +249,54 @@ def q_rule_filter_stream_microbatch(spark, sf_dir):
     return spark.read.parquet(out).select("actionId", "userId", "action", "seq")
 
 
+#: where a month of events is cut into the files of a stream that takes one file per micro-batch
+CUTS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00"]
+
+
+def _in_files(df, path, cuts=CUTS):
+    """``df`` as files in order of time, one for each stretch between ``cuts``; read as a stream of
+    one file per micro-batch."""
+    bounds = [None, *cuts, None]
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        part = df
+        if lo is not None:
+            part = part.where(F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
+        if hi is not None:
+            part = part.where(F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", "1").parquet(path)
+
+
+def q_rule_filter_stream_batches(spark, sf_dir):
+    """Four micro-batches of actions, all rules in the first: the JVM form."""
+    actions = _in_files(action_records_from_events(_events(spark, sf_dir)), shared_dir(spark, "actions"))
+    rules = _in_files(rules_frame(spark), shared_dir(spark, "rules"), cuts=[])
+    out = shared_dir(spark, "rule-filter-batches-out")
+    q = rule_filter_microbatch(actions, rules, out, name=f"rule_filter_{os.path.basename(out)}")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(out).select("actionId", "userId", "action", "seq")
+
+
+def q_rule_filter_stream_batches_spread(spark, sf_dir):
+    """Four micro-batches of actions, a rule in each of three: the form with list state."""
+    actions = _in_files(action_records_from_events(_events(spark, sf_dir)), shared_dir(spark, "actions"))
+    rules = _in_files(rules_frame(spark), shared_dir(spark, "rules"),
+                      cuts=["2024-01-08 00:00:00", "2024-01-15 00:00:00"])
+    out = run_to_table(rule_filter_stream(actions, rules, shards=_state_partitions(spark)), "rule_filter_batches",
+                       state_partitions=_state_partitions(spark))
+    return out.select("actionId", "userId", "action", "seq")
+
+
+def q_pair_user_action_stream_batches(spark, sf_dir):
+    """The streaming pairing over four micro-batches: state is carried from each to the next."""
+    ev = _in_files(pairing_events(_events(spark, sf_dir)), shared_dir(spark, "events"))
+    out = run_to_table(pair_tagged_stream(ev), "pair_user_action_batches",
+                       state_partitions=_state_partitions(spark))
+    return out.select("userId", "name", "action", "seq", micros().alias("ts_us"))
+
+
 # -- end-to-end topologies over file-folder topics derived from the tables ---------------------
 
 TOPIC_FMT = "parquet"
@@ -250,7 +338,7 @@ def q_enrich_topics(spark, sf_dir):
     return _output_topic(spark, root, "user-actions")
 
 
-def q_table_join_topics(spark, sf_dir):
+def q_table_join_topics(spark, sf_dir, streaming=False):
     """Customer users and event actions as JSON topics -> views + SQL join (batch) -> JSON topic."""
     root = shared_dir(spark, "join-topics")
     users = _customer(spark, sf_dir).select(
@@ -259,18 +347,32 @@ def q_table_join_topics(spark, sf_dir):
     _topic(users, root, "users", "userId", "name")
     _topic(_event_topics(spark, sf_dir, root, users_from_signups=False), root, "actions",
            "userId", "action")
-    table_join_topology(spark, fmt=TOPIC_FMT, root=root, streaming=False,
-                        user_view="UserTopic", action_view="ActionTopic")
+    q = table_join_topology(spark, fmt=TOPIC_FMT, root=root, streaming=streaming, available_now=streaming,
+                            user_view="UserTopic", action_view="ActionTopic", replace=True,
+                            state_partitions=_state_partitions(spark))
+    if q is not None:
+        q.awaitTermination()
     return _output_topic(spark, root, "user-actions")
 
 
-def q_rule_gate_topics(spark, sf_dir):
+def q_table_join_topics_stream(spark, sf_dir):
+    return q_table_join_topics(spark, sf_dir, streaming=True)
+
+
+def q_rule_gate_topics_stream(spark, sf_dir):
+    return q_rule_gate_topics(spark, sf_dir, streaming=True)
+
+
+def q_rule_gate_topics(spark, sf_dir, streaming=False):
     """Rules and actions as JSON topics -> strict decode -> latest-rule filter (batch) -> topic."""
     root = shared_dir(spark, "rule-topics")
     _topic(rules_frame(spark), root, "rules", "ruleId", "allowedActions")
     _topic(_event_topics(spark, sf_dir, root, users_from_signups=False), root, "actions",
            "actionId", "userId", "action")
-    rule_gate_topology(spark, fmt=TOPIC_FMT, root=root, streaming=False)
+    q = rule_gate_topology(spark, fmt=TOPIC_FMT, root=root, streaming=streaming, available_now=streaming,
+                           shards=_state_partitions(spark), state_partitions=_state_partitions(spark))
+    if q is not None:
+        q.awaitTermination()
     return _output_topic(spark, root, "actions-filtered")
 
 
@@ -315,6 +417,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "enrich_topics": q_enrich_topics,
         "table_join_topics": q_table_join_topics,
         "rule_gate_topics": q_rule_gate_topics,
+        "pair_user_action_hot": q_pair_user_action_hot,
+        "rule_filter_many": q_rule_filter_many,
+        "rule_filter_many_blocks": q_rule_filter_many_blocks,
+        "rule_filter_stream_batches": q_rule_filter_stream_batches,
+        "rule_filter_stream_batches_spread": q_rule_filter_stream_batches_spread,
+        "pair_user_action_stream_batches": q_pair_user_action_stream_batches,
+        "table_join_topics_stream": q_table_join_topics_stream,
+        "rule_gate_topics_stream": q_rule_gate_topics_stream,
     }
 
 
@@ -334,31 +444,44 @@ def _rules_values() -> str:
     return ", ".join(rows)
 
 
+# The pairing as the state machine itself, one event of each user per step.
 _SQL_PAIR = """
-WITH ev AS (
-  SELECT CAST(user_id AS VARCHAR) AS uid, ts, event_id AS seq,
-         CASE WHEN event_type = 'signup' THEN 0 ELSE 1 END AS rk,
-         CASE WHEN event_type = 'signup' THEN props END AS nm,
-         CASE WHEN event_type = 'signup' THEN NULL ELSE event_type END AS act
-  FROM events),
-s AS (
-  SELECT *, lag(rk) OVER w AS pk, lag(act) OVER w AS pa
-  FROM ev WINDOW w AS (PARTITION BY uid ORDER BY ts, rk, seq)),
-t AS (
-  SELECT *,
-    coalesce(sum(CASE WHEN rk = 0 AND (pk IS NULL OR pk = 0) THEN 1 ELSE 0 END) OVER (
-      PARTITION BY uid ORDER BY ts, rk, seq
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS locks_before,
-    max(CASE WHEN rk = 0 THEN seq END) OVER (
-      PARTITION BY uid ORDER BY ts, rk, seq
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lu_seq
-  FROM s)
-SELECT t.uid AS "userId",
-       CASE WHEN t.rk = 0 THEN t.nm ELSE u.nm END AS name,
-       CASE WHEN t.rk = 0 THEN t.pa ELSE t.act END AS action,
-       t.seq AS seq
-FROM t LEFT JOIN ev u ON u.seq = t.lu_seq
-WHERE (t.rk = 0 AND t.pk = 1 AND t.locks_before = 0) OR (t.rk = 1 AND t.locks_before > 0)
+WITH RECURSIVE ev AS MATERIALIZED (
+  SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY ts, rk, seq) AS n, rk, nm, act, ts, seq
+  FROM (SELECT CAST({uid} AS VARCHAR) AS uid, ts, event_id AS seq,
+               CASE WHEN event_type = 'signup' THEN 0 ELSE 1 END AS rk,
+               CASE WHEN event_type = 'signup' THEN props END AS nm,
+               CASE WHEN event_type <> 'signup' THEN event_type END AS act
+        FROM events)),
+cells AS (
+  SELECT DISTINCT uid, CAST(0 AS BIGINT) AS n, FALSE AS has_user, CAST(NULL AS VARCHAR) AS held_name,
+         FALSE AS has_action, CAST(NULL AS VARCHAR) AS held_action, FALSE AS emits,
+         CAST(NULL AS VARCHAR) AS out_name, CAST(NULL AS VARCHAR) AS out_action,
+         CAST(NULL AS BIGINT) AS seq, CAST(NULL AS BIGINT) AS ts_us
+  FROM ev
+  UNION ALL
+  SELECT e.uid, e.n,
+         CASE WHEN e.rk = 0 THEN NOT c.has_action ELSE c.has_user END,
+         CASE WHEN e.rk = 0 THEN (CASE WHEN c.has_action THEN NULL ELSE e.nm END) ELSE c.held_name END,
+         CASE WHEN e.rk = 0 THEN FALSE ELSE NOT c.has_user END,
+         CASE WHEN e.rk = 0 OR c.has_user THEN NULL ELSE e.act END,
+         CASE WHEN e.rk = 0 THEN c.has_action ELSE c.has_user END,
+         CASE WHEN e.rk = 0 THEN e.nm ELSE c.held_name END,
+         CASE WHEN e.rk = 0 THEN c.held_action ELSE e.act END,
+         e.seq, epoch_us(e.ts)
+  FROM cells c JOIN ev e ON e.uid = c.uid AND e.n = c.n + 1)
+SELECT uid AS "userId", out_name AS name, out_action AS action, seq, ts_us FROM cells WHERE emits
+"""
+
+_SQL_RULES_MANY = """
+WITH r AS (
+  SELECT ts, lead(ts) OVER (ORDER BY ts, event_id) AS next_ts,
+         CASE event_id % 3 WHEN 0 THEN {l0} WHEN 1 THEN {l1} ELSE {l2} END AS allowed
+  FROM events WHERE event_type = 'error')
+SELECT CAST(e.event_id AS VARCHAR) AS "actionId", CAST(e.user_id AS VARCHAR) AS "userId",
+       e.event_type AS action, e.event_id AS seq
+FROM events e JOIN r ON e.ts >= r.ts AND (r.next_ts IS NULL OR e.ts < r.next_ts)
+WHERE list_contains(r.allowed, e.event_type)
 """
 
 _SQL_RULES = """
@@ -414,7 +537,9 @@ def oracle_sql() -> dict[str, str]:
         "project_action": 'SELECT CAST(user_id AS VARCHAR) AS "userId", event_type AS action FROM events',
         "user_action_join": join.format(extra=", e.event_id AS seq"),
         "user_action_join_sql": join.format(extra=""),
-        "pair_user_action": _SQL_PAIR,
+        "pair_user_action": _SQL_PAIR.format(uid="user_id"),
+        "pair_user_action_hot": _SQL_PAIR.format(uid="user_id % 3"),
+        "rule_filter_many": _SQL_RULES_MANY.format(**{f"l{i}": str(r[1]) for i, r in enumerate(RULES)}),
         "rule_filter": _SQL_RULES.format(rules=_rules_values()),
         "rule_filter_single": (
             'SELECT CAST(event_id AS VARCHAR) AS "actionId", CAST(user_id AS VARCHAR) AS "userId", '
@@ -436,7 +561,7 @@ def oracle_sql() -> dict[str, str]:
     # topologies: the operator's result as JSON text, the whole record as key and value
     sql["enrich_topics"] = (
         "SELECT j AS key, j AS value FROM (SELECT json_object('userId', \"userId\", 'name', name, "
-        "'action', action)::VARCHAR AS j FROM (" + _SQL_PAIR + "))")
+        "'action', action)::VARCHAR AS j FROM (" + sql["pair_user_action"] + "))")
     sql["table_join_topics"] = (
         "SELECT j AS key, j AS value FROM (SELECT json_object('userId', \"userId\", 'name', name, "
         "'action', action)::VARCHAR AS j FROM (" + sql["user_action_join_sql"] + "))")
@@ -447,6 +572,11 @@ def oracle_sql() -> dict[str, str]:
         sql[f"{name}_stream"] = sql[name]
     sql["rule_filter_stream_microbatch"] = sql["rule_filter"]
     sql["user_action_join_stream_salted"] = sql["user_action_join"]
+    sql["rule_filter_many_blocks"] = sql["rule_filter_many"]
+    sql["rule_filter_stream_batches"] = sql["rule_filter_stream_batches_spread"] = sql["rule_filter"]
+    sql["pair_user_action_stream_batches"] = sql["pair_user_action"]
+    sql["table_join_topics_stream"] = sql["table_join_topics"]
+    sql["rule_gate_topics_stream"] = sql["rule_gate_topics"]
     if (llm := _llm()) is not None:
         sql |= llm.ORACLE_SQL
     if (pipeline := _pipeline()) is not None and pipeline.ORACLE_SQL:

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from tidal import schemas
@@ -72,9 +73,10 @@ def test_streaming_join(spark, tmpdir_path, salt):
     u, a = frames(spark, [("k", "n"), ("k", "m"), ("j", "o")],
                   [("k", "x"), ("k", "x2"), ("j", "y"), ("z", "w")])
     u.write.parquet(f"{tmpdir_path}/u")
+    a = a.withColumn("seq", F.monotonically_increasing_id())
     a.write.parquet(f"{tmpdir_path}/a")
     us = spark.readStream.schema(schemas.USER).parquet(f"{tmpdir_path}/u")
-    acts = spark.readStream.schema(schemas.ACTION).parquet(f"{tmpdir_path}/a")
+    acts = spark.readStream.schema(a.schema).parquet(f"{tmpdir_path}/a")
     out = run_to_table(user_action_join(us, acts, salt=salt), "join-test")
     assert rows(out) == [("j", "o", "y"), ("k", "m", "x"), ("k", "m", "x2"), ("k", "n", "x"),
                          ("k", "n", "x2")]
@@ -85,16 +87,35 @@ def test_salted_hot_key_join(spark):
     actions = [("hot", f"a{i}") for i in range(300)] + [("cold", "b"), ("cold", "b"), (None, "z")]
     u, a = frames(spark, users, actions)
     plain = rows(user_action_join(u, a))
+    with pytest.raises(ValueError):
+        user_action_join(u, a, hot_key_rows=50, salt=7)         # nothing tells the actions apart
+    a = a.withColumn("seq", F.monotonically_increasing_id())
     salted = rows(user_action_join(u, a, hot_key_rows=50, salt=7))
     assert salted == plain and len(plain) == 602
     assert rows(user_action_join(u, a, salt=5)) == plain
 
 
+def test_equal_actions_of_a_hot_id_reach_all_sub_keys(spark):
+    from tidal.operators import join
+    u, _ = frames(spark, [("hot", "h")], [])
+    a = spark.range(2000).selectExpr("'hot' AS userId", "'same' AS action", "id AS seq")
+    seen = []
+    real, join._salted = join._salted, lambda *args: seen.append(real(*args)) or seen[-1]
+    try:
+        assert user_action_join(u, a, hot_key_rows=10, salt=16).count() == 2000
+    finally:
+        join._salted = real
+    assert seen[0][1].select("_salt").distinct().count() == 16
+
+
 def test_tap_prints_batch_and_stream(spark, tmpdir_path, capsys):
     from tidal.streaming.runner import tap
     u, _ = frames(spark, [("userId1", "name1")], [])
     assert tap(u) is None
     assert "userId1" in capsys.readouterr().out
+    many = spark.range(57).selectExpr("concat('user', id) AS userId", "'n' AS name")
+    tap(many)
+    assert all(f"user{i} " in capsys_text for i in (0, 30, 56)) if (capsys_text := capsys.readouterr().out) else False
     u.write.parquet(f"{tmpdir_path}/u")
     q = tap(spark.readStream.schema(schemas.USER).parquet(f"{tmpdir_path}/u"), "tap-test",
             available_now=True)

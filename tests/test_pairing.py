@@ -98,14 +98,13 @@ def hot_user_events(n_hot=3000, n_cold=300):
     return ev
 
 
-def test_durable_blocks_and_release(spark):
-    from tidal.operators.blocks import release
+def test_blocks_need_no_cache(spark):
     events = hot_user_events(400, 60)
     users, actions = frames(spark, events)
-    out = pair_user_action(users, actions, blocks=5, durable=True, hot_key_rows=100)
+    out = pair_user_action(users, actions, blocks=5, hot_key_rows=100)
+    spark.catalog.clearCache()
     assert counts((r.userId, r.name, r.action, r.seq) for r in out.collect()) == expected(events)
     assert run_batch(spark, events, blocks=5, hot=100) == expected(events)
-    release()
 
 
 def test_hot_user_is_split_and_exact(spark):

@@ -5,7 +5,6 @@ import re
 from conftest import at
 from tidal import schemas
 from tidal.functions.codec import decode_json, decode_json_report
-from tidal.operators.blocks import release
 from tidal.operators.join import user_action_join
 from tidal.operators.pairing import pair_user_action
 from tidal.operators.rules import rule_filter
@@ -31,12 +30,11 @@ def test_pairing_windows_are_per_block(spark):
     plan = executed(pair_user_action(users, actions, blocks=4, hot_key_rows=10))
     # hot users: range-cut into blocks, windows per (user, block). (Cold users keep a window per
     # user: their groups are bounded by the hot threshold.)
-    assert "Exchange rangepartitioning(userId" in plan
+    assert "rangepartitioning" not in plan and "InMemoryTableScan" not in plan   # blocks are read as written
     windows = re.findall(r"windowspecdefinition\(([^,]+), ([^,]+),", plan)
     assert any(w[0].startswith("userId") and w[1].startswith("_blk") for w in windows)
-    # the carry table is broadcast; its size is bounded by the block count
+    # the carry table is small and so is broadcast
     assert "BroadcastHashJoin" in plan
-    release()
 
 
 def test_rule_filter_does_not_shuffle_actions(spark):
@@ -48,9 +46,8 @@ def test_rule_filter_does_not_shuffle_actions(spark):
     plan = executed(rule_filter(actions, rules))
     assert "BroadcastHashJoin" in plan
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
-    # the only exchanges are the broadcast of the intervals and the rules' own ordering
-    shuffles = re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan)
-    assert shuffles == ["SinglePartition"]
+    # the intervals are read as written; the only exchange is their broadcast
+    assert not re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan)
 
 
 def test_decode_parses_once_per_row(spark):
@@ -64,7 +61,8 @@ def test_decode_parses_once_per_row(spark):
 
 def test_salted_join_hot_list_joined_by_size(spark):
     u = spark.createDataFrame([("hot", "h"), ("c", "c")], schemas.USER)
-    a = spark.createDataFrame([("hot", f"x{i}") for i in range(100)] + [("c", "y")], schemas.ACTION)
+    a = spark.createDataFrame([("hot", f"x{i}", i) for i in range(100)] + [("c", "y", 100)],
+                              "userId string, action string, seq long")
     plan = executed(user_action_join(u, a, hot_key_rows=10, salt=4))
     # both sides join on (userId, _salt); the hot list is joined as AQE's size check decides
     assert re.search(r"Join \[userId#\d+, _salt#\d+\], \[userId#\d+, _salt#\d+\]", plan), plan

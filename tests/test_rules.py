@@ -157,8 +157,8 @@ def test_microbatch_stream_carries_rule_across_batches(spark, tmpdir_path):
         return sorted(x.actionId for x in spark.read.parquet(out).collect())
 
     assert run() == ["a1"]                     # a0 came before the rule
-    # a later batch: the held rule applies to actions before the batch's own first rule
-    spark.createDataFrame([("a2", "u", "p", at(0), 3), ("a3", "u", "q", at(9), 5)], ACTIONS) \
+    # a later batch: an action takes the rule as of its own time, whichever batch brought the rule
+    spark.createDataFrame([("a2", "u", "p", at(5), 3), ("late", "u", "p", at(0), 4), ("a3", "u", "q", at(9), 5)], ACTIONS) \
         .write.mode("append").parquet(src_a)
     spark.createDataFrame([("r2", ["q"], at(8), 4)], RULES).write.mode("append").parquet(src_r)
     assert run() == ["a1", "a2", "a3"]

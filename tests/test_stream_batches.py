@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from sim import counts, simulate_pairing, simulate_rules
 from tidal.streaming.pairing import KIND, arrival_sorted, pair_batch
-from tidal.streaming.rules import gate_batch
+from tidal.streaming.rules import gate_actions
 
 BASE = dt.datetime(2024, 1, 1)
 
@@ -54,19 +54,15 @@ def test_gate_batches_match_simulation(evs, cuts):
     events = sorted([(k, f"{k}{i}", p, BASE + dt.timedelta(seconds=t), i)
                      for i, (k, p, t) in enumerate(evs)],
                     key=lambda e: (e[3], 0 if e[0] == "r" else 1, e[4]))
-    rule = None
-    got = []
+    # rules and actions fall into batches apart: all rules of a batch and of those before are known to its actions
+    held, got = [], []
     for part in chunks(events, cuts):
-        if not part:
+        held += [((e[3] - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1), e[4], e[2]) for e in part if e[0] == "r"]
+        acts = [e for e in part if e[0] == "a"][::-1]
+        if not acts:
             continue
         frame = pd.DataFrame({
-            KIND: [0 if e[0] == "r" else 1 for e in part],
-            "ts": [e[3] for e in part], "seq": [e[4] for e in part],
-            "actionId": [e[1] if e[0] == "a" else None for e in part],
-            "userId": ["u" if e[0] == "a" else None for e in part],
-            "action": [e[2] if e[0] == "a" else None for e in part],
-            "ruleId": [e[1] if e[0] == "r" else None for e in part],
-            "allowedActions": [e[2] if e[0] == "r" else None for e in part]})
-        kept, rule = gate_batch(arrival_sorted([frame]), rule)
-        got += [(r.actionId, r.action, r.seq) for r in kept.itertuples()]
+            "ts": [e[3] for e in acts], "seq": [e[4] for e in acts], "actionId": [e[1] for e in acts],
+            "userId": ["u"] * len(acts), "action": [e[2] for e in acts]})
+        got += [(r.actionId, r.action, r.seq) for r in gate_actions(frame, sorted(held, key=lambda r: r[:2])).itertuples()]
     assert counts(got) == counts(simulate_rules(events))

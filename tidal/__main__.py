@@ -25,6 +25,8 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--servers")
         sp.add_argument("--fmt", default="kafka")
         sp.add_argument("--root")
+        sp.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
+                        help="passed on to the source and the sink, as often as needed")
         return sp
 
     for name in ("enrich", "table-join", "rule-gate"):
@@ -34,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--available-now", action="store_true", help="drain and stop")
         sp.add_argument("--max-per-trigger", type=int,
                         help="records (Kafka) or files (folders) per micro-batch and topic")
+        sp.add_argument("--state-partitions", type=int)
         if name == "table-join":
             sp.add_argument("--echo", action="store_true")
         if name == "rule-gate":
@@ -41,7 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     sp = common(sub.add_parser("read-topic"))
     sp.add_argument("topic")
     sp.add_argument("--decode", default="string", choices=["string", "binary"])
-    sp.add_argument("--rows", type=int, default=20)
+    sp.add_argument("--rows", type=int, help="print so many records at most (default: all)")
     sp = common(sub.add_parser("write-record"))
     sp.add_argument("topic")
     sp.add_argument("key")
@@ -53,19 +56,22 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     from tidal.plans import enrich_topology, rule_gate_topology, table_join_topology
     from tidal.session import get_session
     from tidal.sources.topics import read_topic, write_topic
+    from tidal.streaming.runner import tap
 
     args = _parser().parse_args(argv)
     spark = spark or get_session(app=f"tidal-{args.cmd}")
     io = {"servers": args.servers, "fmt": args.fmt, "root": args.root}
+    options = dict(o.split("=", 1) for o in args.option)
     if args.cmd == "read-topic":
-        read_topic(spark, args.topic, decode=args.decode, **io).show(args.rows, truncate=False)
+        tap(read_topic(spark, args.topic, decode=args.decode, read_committed=True, options=options, **io), rows=args.rows)
         return 0
     if args.cmd == "write-record":
         rec = spark.createDataFrame([(args.key, args.value)], "key string, value string")
-        write_topic(rec, args.topic, **io)
+        write_topic(rec, args.topic, options=options, **io)
         return 0
     run = {"streaming": not args.batch, "checkpoint": args.checkpoint,
-           "available_now": args.available_now, "max_per_trigger": args.max_per_trigger, **io}
+           "available_now": args.available_now, "max_per_trigger": args.max_per_trigger,
+           "state_partitions": args.state_partitions, "read_options": options, "write_options": options, **io}
     if args.cmd == "enrich":
         q = enrich_topology(spark, **run)
     elif args.cmd == "table-join":

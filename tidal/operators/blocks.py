@@ -7,62 +7,35 @@ bounds cut inside a hot key, so every block holds about ``rows / blocks`` rows a
 many blocks. Block ids increase with the sort order, so the per-block results can be stitched
 together by a scan over the (tiny) table of block summaries, one row per block.
 
-The block assignment comes from sampled bounds, which differ between two *separate* executions
-of the same plan (the sample seed follows the RDD id), and column pruning makes the summary branch
-and the main branch different plans, so Spark does not reuse one exchange for both. The tagged
-rows are therefore materialised once before they feed both: by default persisted
-(``MEMORY_AND_DISK``); a lost cached partition is recomputed through the same shuffle dependency,
-whose range bounds are fixed when it is created, so the blocks come out the same. With
-``durable=True`` the rows are written as a reliable checkpoint in the shared checkpoint folder
-instead (cuts the lineage; costs a write and a read of the rows).
+The block assignment comes from sampled bounds, which differ between two executions of one plan. The
+tagged rows are therefore written once to the shared checkpoint folder, with their block ids, before
+they feed the scan and the summaries: every reader sees the same blocks, no cache is involved, and a
+lost executor rereads the files.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidal.session import checkpoint_root, default_blocks
+from tidal.session import written
 
 BLOCK = "_blk"
 
-# Block sizing: a block is windowed by one task, and each block adds one row to the broadcast
-# carry table -- so blocks are sized by rows, with a cap on their number.
+# A block is windowed by one task and adds one row to the carry table, so blocks are sized by rows.
 ROWS_PER_BLOCK = 5_000_000
-MAX_BLOCKS = 20_000
-
-_PERSISTED: list[DataFrame] = []
 
 
 def blocks_for(rows: int) -> int:
-    """Blocks for ``rows`` rows: about ``ROWS_PER_BLOCK`` each, at most ``MAX_BLOCKS``."""
-    return max(1, min(MAX_BLOCKS, -(-rows // ROWS_PER_BLOCK)))
+    """Blocks for ``rows`` rows: about ``ROWS_PER_BLOCK`` each."""
+    return max(1, -(-rows // ROWS_PER_BLOCK))
 
 
 def ordered_blocks(df: DataFrame, order: list[str], keys: list[str] | tuple = (),
                    blocks: int | None = None) -> DataFrame:
-    """Range-partition ``df`` on ``keys + order`` and tag each row with its block id.
-
-    ``blocks`` defaults to the shuffle partition count, capped at ``MAX_BLOCKS``."""
-    n = blocks or min(default_blocks(df.sparkSession), MAX_BLOCKS)
-    return df.repartitionByRange(n, *keys, *order).withColumn(BLOCK, F.spark_partition_id())
-
-
-def materialize(df: DataFrame, durable: bool = False) -> DataFrame:
-    """Fix one execution of ``df`` for several consumers (see the module notes)."""
-    if not durable:
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        _PERSISTED.append(out)
-        return out
-    checkpoint_root(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = df.checkpoint(eager=True)           # written from the cache, not recomputed
-    df.unpersist()
-    return out
-
+    """``df`` range-partitioned on ``keys + order``, each row with its block id; written and read back.
 
-def release() -> None:
-    """Drop the cached blocks of earlier calls, once their results have been consumed."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+    ``blocks`` defaults to one per ``ROWS_PER_BLOCK`` rows."""
+    n = blocks or blocks_for(df.count())
+    tagged = df.repartitionByRange(n, *keys, *order).withColumn(BLOCK, F.spark_partition_id())
+    return written(tagged, "blocks")

@@ -21,13 +21,12 @@ and action; an u event is *locking* when ``pk`` is null or u -- from then on a u
 
 Everything is a forward scan of each user's events. Users are split by size first: a partial
 aggregate counts rows per user, and a user holding more than ``rows / (4 x blocks)`` rows (and
-more than ``HOT_ROWS_FLOOR``, one block's worth, which one task windows in seconds) is hot -- so
-there are at most ``4 x blocks`` hot ids, collected as a bounded list. Cold users run the closed
-form with windows partitioned by user -- one shuffle, groups bounded by the threshold. Hot users'
-rows are cut into ordered blocks (``tidal.operators.blocks``; about ``ROWS_PER_BLOCK`` rows each,
-at most ``MAX_BLOCKS``) so that a user holding a third of all rows is spread over many tasks; the
+more than one block's worth, which one task windows in seconds) is hot. The hot ids stay a frame
+that both parts join; its size decides how. Cold users run the closed form with windows partitioned
+by user -- one shuffle, groups bounded by the threshold. Hot users' rows are cut into ordered blocks
+(``tidal.operators.blocks``) so that a user holding a third of all rows is spread over many tasks; the
 windows then run per (user, block), stitched across blocks with a carry table of at most one row
-per block, broadcast (its size is bounded by the number of blocks, not by the data).
+per block.
 """
 
 from __future__ import annotations
@@ -35,8 +34,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidal.operators.blocks import BLOCK, ROWS_PER_BLOCK, blocks_for, materialize, ordered_blocks
-from tidal.session import default_blocks
+from tidal.operators.blocks import BLOCK, ROWS_PER_BLOCK, ordered_blocks
+from tidal.session import default_blocks, written
 
 USER_RANK, ACTION_RANK = 0, 1          # on equal ``ts`` a user record sorts before an action
 ORDER = ["ts", "_rank", "seq"]
@@ -45,12 +44,6 @@ HOT_ROWS_FLOOR = ROWS_PER_BLOCK      # a hot user always fills at least two bloc
 TAGGED_COLUMNS = ["userId", "_rank", "ts", "seq", "name", "action"]
 
 
-def tag_events(users: DataFrame, actions: DataFrame) -> DataFrame:
-    """Users and actions as one sequence: ``userId, _rank (0 user, 1 action), ts, seq, name,
-    action``. Inputs that come from one table can be tagged in a single scan instead."""
-    return _tagged(users, actions)
-
-
 def _tagged(users: DataFrame, actions: DataFrame) -> DataFrame:
     null = F.lit(None).cast("string")
     u = users.select("userId", F.lit(USER_RANK).alias("_rank"), "ts", "seq", "name",
@@ -121,21 +114,18 @@ def _carry(local: DataFrame) -> DataFrame:
 
 
 def pair_user_action(users: DataFrame, actions: DataFrame, blocks: int | None = None,
-                     durable: bool = False, hot_key_rows: int | None = None) -> DataFrame:
+                     hot_key_rows: int | None = None) -> DataFrame:
     """Pair actions with remembered users per ``userId``.
 
     ``users``: ``userId, name, ts, seq``; ``actions``: ``userId, action, ts, seq``. Order is
     ``(ts, user before action, seq)``. Output ``userId, name, action, ts, seq`` where ``ts``/``seq``
-    are those of the record that triggered the output. ``blocks`` bounds the rows per task to
-    about ``rows / blocks`` (default: the shuffle partition count) for hot users; ``durable``
-    checkpoints their blocked rows instead of persisting them; ``hot_key_rows`` sets the
-    hot-user threshold.
+    are those of the record that triggered the output. ``blocks`` is the number of ordered blocks of
+    the hot users' rows (default: by their number); ``hot_key_rows`` sets the hot-user threshold.
     """
-    return pair_tagged(_tagged(users, actions), blocks, durable, hot_key_rows)
+    return pair_tagged(_tagged(users, actions), blocks, hot_key_rows)
 
 
-def pair_tagged(ev: DataFrame, blocks: int | None = None, durable: bool = False,
-                hot_key_rows: int | None = None) -> DataFrame:
+def pair_tagged(ev: DataFrame, blocks: int | None = None, hot_key_rows: int | None = None) -> DataFrame:
     """``pair_user_action`` over an already tagged sequence (``TAGGED_COLUMNS``).
 
     ``hot_key_rows`` overrides the hot-user threshold (default: ``rows / (4 x blocks)``, at
@@ -147,19 +137,13 @@ def pair_tagged(ev: DataFrame, blocks: int | None = None, durable: bool = False,
     stats = per_user.agg(F.sum("count").alias("rows"), F.max("count").alias("top")).first()
     if hot_key_rows is None:
         hot_key_rows = max(HOT_ROWS_FLOOR, -(-(stats["rows"] or 0) // (4 * n_blocks)))
-    hot = []
-    if (stats["top"] or 0) > hot_key_rows:                 # at most rows / threshold ids
-        hot = per_user.where(F.col("count") > hot_key_rows).collect()
-    if not hot:
+    if (stats["top"] or 0) <= hot_key_rows:
         return _emit(_local_scan(ev.withColumn(BLOCK, F.lit(0))), carry=None)
-    is_hot = F.col("userId").isin([r["userId"] for r in hot])
-    cold = _emit(_local_scan(ev.where(~is_hot).withColumn(BLOCK, F.lit(0))), carry=None)
-    # hot rows: blocks sized by their number (about ROWS_PER_BLOCK each, capped), not by the
-    # shuffle partition count, unless the caller fixed ``blocks``
-    hot_blocks = blocks or blocks_for(sum(r["count"] for r in hot))
-    local = materialize(_local_scan(ordered_blocks(ev.where(is_hot), ORDER, keys=["userId"],
-                                                   blocks=hot_blocks)), durable)
-    return cold.unionByName(_emit(local, carry=_carry(local)))
+    hot = written(per_user.where(F.col("count") > hot_key_rows).select("userId"), "hot-users")
+    cold = _emit(_local_scan(ev.join(hot, "userId", "left_anti").withColumn(BLOCK, F.lit(0))), carry=None)
+    blocked = ordered_blocks(ev.join(hot, "userId", "left_semi"), ORDER, keys=["userId"], blocks=blocks)
+    local = _local_scan(blocked)
+    return cold.unionByName(_emit(local, carry=written(_carry(local), "carry")))
 
 
 def _emit(local: DataFrame, carry: DataFrame | None) -> DataFrame:
@@ -169,8 +153,7 @@ def _emit(local: DataFrame, carry: DataFrame | None) -> DataFrame:
             ("_pk_in", "int"), ("_pa_in", "string"), ("_lu_in", "struct<name:string>"),
             ("_lock_in", "int"))])
     else:
-        j = local.join(F.broadcast(carry),
-                       (F.col(BLOCK) == F.col("_cblk")) & (F.col("userId") == F.col("_cu")), "left")
+        j = local.join(carry, (F.col(BLOCK) == F.col("_cblk")) & (F.col("userId") == F.col("_cu")), "left")
     first = F.col("_pk").isNull()
     pk = F.when(first, F.col("_pk_in")).otherwise(F.col("_pk"))
     pa = F.when(first, F.col("_pa_in")).otherwise(F.col("_pa"))

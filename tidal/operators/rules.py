@@ -11,8 +11,8 @@ decision depends on the rule stream only, each rule becomes a validity interval
 closed intervals are exploded into time buckets, the bucket width chosen from the rules alone so
 that there are about ``4 x`` as many buckets as rules; an action then meets its interval through
 an equi-join on its bucket plus a range check. The open last interval is one row, applied as a
-literal. This is a single pass over the actions, deterministic, with no shuffle of the actions
-when the exploded table (row count checked first) fits the broadcast limit; beyond it the join
+literal. The exploded table is written first, so its size in bytes decides the join: a single pass
+over the actions without a shuffle when it is below the broadcast threshold; beyond it the join
 shuffles on the bucket and AQE's skew join splits a hot bucket.
 
 For rule tables too large to sort in one task, the rules and actions are merged into one ordered
@@ -29,14 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidal.functions.predicates import null_safe_contains
-from tidal.operators.blocks import BLOCK, materialize, ordered_blocks
+from tidal.operators.blocks import BLOCK, ordered_blocks
+from tidal.session import written
 
 RULE_RANK, ACTION_RANK = 0, 1
 ORDER = ["ts", "_rank", "seq"]
 OUTPUT = ["actionId", "userId", "action", "ts", "seq"]
 
 RULES_SORT_LIMIT = 1_000_000        # rules ordered in one task to form intervals
-BROADCAST_ROW_LIMIT = 2_000_000     # exploded interval rows sent to every task
 BUCKETS_PER_RULE = 4
 MAX_INTERVALS_PER_BUCKET = 64       # candidates one action may be checked against
 
@@ -65,6 +65,11 @@ def _tagged(actions: DataFrame, rules: DataFrame) -> DataFrame:
     return r.unionByName(a)
 
 
+def timed_rules(rules: DataFrame) -> DataFrame:
+    """The rules that have a place in the order; one without a ``ts`` is ignored in every form."""
+    return rules.where(F.col("ts").isNotNull())
+
+
 def rule_filter(actions: DataFrame, rules: DataFrame, blocks: int | None = None,
                 method: str = "auto", initial: tuple | None = None) -> DataFrame:
     """Keep the actions allowed by the rule current at their arrival.
@@ -77,7 +82,7 @@ def rule_filter(actions: DataFrame, rules: DataFrame, blocks: int | None = None,
     """
     init = _literal_rule({"ruleId": initial[0], "allowedActions": initial[1]}) if initial else None
     ts_type = actions.schema["ts"].dataType
-    rules = rules.where(F.col("ts").isNotNull()).withColumn("ts", F.col("ts").cast(ts_type))
+    rules = timed_rules(rules).withColumn("ts", F.col("ts").cast(ts_type))
     if method == "blocks":
         return _rule_filter_blocked(actions, rules, blocks, init)
     # one aggregate over the (small) rule side: size, time span and the last rule
@@ -131,8 +136,7 @@ def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats, ts_type,
             crowd = exploded.groupBy("_b").count().agg(F.max("count")).first()[0] or 0
             if crowd > MAX_INTERVALS_PER_BUCKET:
                 return None
-        est_rows = stats["n"] + (stats["hi"] - stats["lo"]) // width + 1
-        side = F.broadcast(exploded) if est_rows <= BROADCAST_ROW_LIMIT else exploded
+        side = written(exploded, "rule-intervals")
         bucketed = actions.withColumn("_ab", F.floor(_micros(F.col("ts"), ts_type) / width))
         kept = bucketed.join(side, (F.col("_ab") == F.col("_b")) & (F.col("ts") >= F.col("_from"))
                              & (F.col("ts") < F.col("_to")), "left")
@@ -149,16 +153,16 @@ def _rule_filter_blocked(actions: DataFrame, rules: DataFrame, blocks: int | Non
     blocked = ordered_blocks(ev, ORDER, blocks=blocks)
     w = Window.partitionBy(BLOCK).orderBy(*ORDER).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    local = materialize(blocked.select(
+    local = blocked.select(
         "*", F.last("_rule", ignorenulls=True).over(w).alias("_cur"),
-        F.lead("_rank").over(Window.partitionBy(BLOCK).orderBy(*ORDER)).isNull().alias("_last")))
+        F.lead("_rank").over(Window.partitionBy(BLOCK).orderBy(*ORDER)).isNull().alias("_last"))
     # the rule held at the end of each block (local), then carried forward across blocks
     summary = local.where("_last").select(BLOCK, F.col("_cur").alias("_end"))
     prior = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)   # tiny: per block
-    carry = summary.select(F.col(BLOCK).alias("_cblk"),
-                           F.last("_end", ignorenulls=True).over(prior).alias("_in"))
+    carry = written(summary.select(F.col(BLOCK).alias("_cblk"),
+                                   F.last("_end", ignorenulls=True).over(prior).alias("_in")), "carry")
     j = local.where(F.col("_rank") == ACTION_RANK).join(
-        F.broadcast(carry), F.col(BLOCK) == F.col("_cblk"), "left")
+        carry, F.col(BLOCK) == F.col("_cblk"), "left")
     rule = F.coalesce(F.col("_cur"), F.col("_in"))
     if init is not None:
         rule = F.coalesce(rule, init)

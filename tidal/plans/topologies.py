@@ -36,13 +36,13 @@ ACTION_RECORD_COLS = ["actionId", "userId", "action"]
 
 
 def _sink(df, cols, topic, streaming, servers, fmt, root, checkpoint, name, available_now,
-          state_partitions=None):
+          state_partitions=None, options=None):
     if streaming:
         checkpoint = checkpoint or shared_dir(df.sparkSession, f"{name}-checkpoint")
         return write_json_topic(df, topic, checkpoint, servers=servers, fmt=fmt, root=root,
                                 cols=cols, name=name, available_now=available_now,
-                                state_partitions=state_partitions)
-    write_topic(to_topic_rows(df, cols), topic, servers=servers, fmt=fmt, root=root)
+                                state_partitions=state_partitions, options=options)
+    write_topic(to_topic_rows(df, cols), topic, servers=servers, fmt=fmt, root=root, options=options)
     return None
 
 
@@ -52,18 +52,19 @@ def enrich_topology(spark: SparkSession, servers: str | None = None, fmt: str =
                     user_topic: str = USER_TOPIC, action_topic: str = ACTION_TOPIC,
                     out_topic: str = USER_ACTION_TOPIC,
                     state_partitions: int | None = None,
-                    max_per_trigger: int | None = None) -> StreamingQuery | None:
+                    max_per_trigger: int | None = None, read_options: dict | None = None,
+                    write_options: dict | None = None) -> StreamingQuery | None:
     """Users and actions paired per user id with remembered state; user actions out.
 
     ``max_per_trigger`` bounds each micro-batch per input topic (and so the rows one user's
     state step handles at once)."""
     users, _ = read_json_topic(spark, schemas.USER, user_topic, servers, fmt, root, streaming,
-                               max_per_trigger=max_per_trigger)
+                               max_per_trigger=max_per_trigger, options=read_options)
     actions, _ = read_json_topic(spark, schemas.ACTION, action_topic, servers, fmt, root, streaming,
-                                 max_per_trigger=max_per_trigger)
+                                 max_per_trigger=max_per_trigger, options=read_options)
     op = pair_user_action_stream if streaming else pair_user_action
     return _sink(op(users, actions), USER_ACTION_COLS, out_topic, streaming, servers, fmt, root,
-                 checkpoint, "merged_user_with_action", available_now, state_partitions)
+                 checkpoint, "pair_users_with_actions", available_now, state_partitions, write_options)
 
 
 def table_join_topology(spark: SparkSession, servers: str | None = None, fmt: str = "kafka",
@@ -72,23 +73,27 @@ def table_join_topology(spark: SparkSession, servers: str | None = None, fmt: st
                         echo: bool = False, user_topic: str = USER_TOPIC,
                         action_topic: str = ACTION_TOPIC, out_topic: str = USER_ACTION_TOPIC,
                         user_view: str = "UserTable", action_view: str = "ActionTable",
-                        max_per_trigger: int | None = None) -> StreamingQuery | None:
+                        max_per_trigger: int | None = None, replace: bool = False,
+                        state_partitions: int | None = None, read_options: dict | None = None,
+                        write_options: dict | None = None) -> StreamingQuery | None:
     """Users and actions registered as views and joined by SQL text; user actions out.
 
-    ``echo`` prints the two projected inputs, as the source prints its tables (on streams: two
-    console queries, drained like the main one when ``available_now``).
+    ``echo`` prints the two projected inputs and the join (on streams: three console queries, drained
+    like the main one when ``available_now``). ``replace`` allows the view names to be taken already.
     """
     users, _ = read_json_topic(spark, schemas.USER, user_topic, servers, fmt, root, streaming,
-                               max_per_trigger=max_per_trigger)
+                               max_per_trigger=max_per_trigger, options=read_options)
     actions, _ = read_json_topic(spark, schemas.ACTION, action_topic, servers, fmt, root, streaming,
-                                 max_per_trigger=max_per_trigger)
-    register_views(users, actions, user_view, action_view, replace=True)
+                                 max_per_trigger=max_per_trigger, options=read_options)
+    register_views(users, actions, user_view, action_view, replace=replace)
     if echo:
         tap(project_user(users), "user_table", available_now=available_now)
         tap(project_action(actions), "action_table", available_now=available_now)
     joined = user_action_join_sql(spark, user_view, action_view)
+    if echo:
+        tap(joined, "joined", available_now=available_now)
     return _sink(joined, USER_ACTION_COLS, out_topic, streaming, servers, fmt, root, checkpoint,
-                 "joined_user_with_action", available_now)
+                 "join_users_with_actions", available_now, state_partitions, write_options)
 
 
 def rule_gate_topology(spark: SparkSession, servers: str | None = None, fmt: str = "kafka",
@@ -97,13 +102,15 @@ def rule_gate_topology(spark: SparkSession, servers: str | None = None, fmt: str
                        shards: int | None = None, rule_topic: str = RULE_TOPIC,
                        action_topic: str = ACTION_TOPIC,
                        out_topic: str = FILTERED_ACTION_TOPIC,
-                       max_per_trigger: int | None = None) -> StreamingQuery | None:
+                       max_per_trigger: int | None = None,
+                       state_partitions: int | None = None, read_options: dict | None = None,
+                       write_options: dict | None = None) -> StreamingQuery | None:
     """Actions kept when the latest rule lists their action name; kept actions out unchanged."""
     rules, _ = read_json_topic(spark, schemas.RULE, rule_topic, servers, fmt, root, streaming,
-                               required=("allowedActions",), max_per_trigger=max_per_trigger)
+                               required=("allowedActions",), max_per_trigger=max_per_trigger, options=read_options)
     actions, _ = read_json_topic(spark, schemas.ACTION_RECORD, action_topic, servers, fmt, root,
-                                 streaming, max_per_trigger=max_per_trigger)
+                                 streaming, max_per_trigger=max_per_trigger, options=read_options)
     kept = (rule_filter_stream(actions, rules, shards) if streaming
             else rule_filter(actions, rules, shards))
     return _sink(kept, ACTION_RECORD_COLS, out_topic, streaming, servers, fmt, root, checkpoint,
-                 "filtered_actions", available_now)
+                 "gate_actions_by_rule", available_now, state_partitions, write_options)

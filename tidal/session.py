@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import contextlib
 import os
+import re
 import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -62,9 +63,8 @@ def get_session(master: str | None = None, app: str = "tidal",
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings tidal needs on a session someone else built."""
-    for k in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.session.timeZone"):
-        spark.conf.set(k, DEFAULT_CONF[k])
+    """Set the one runtime setting the stateful streams need on a session someone else built."""
+    ensure_state_store(spark)
 
 
 def ensure_state_store(spark: SparkSession) -> None:
@@ -78,12 +78,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor and the driver can reach; it is read
-    from the session. Only when it is unset (local runs, tests) is a local folder created and
-    installed as the checkpoint directory.
+    from the session. Only when it is unset on a local master (local runs, tests) is a local folder
+    created and installed as the checkpoint directory; on a cluster an unset folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tidal-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
@@ -99,9 +101,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tidal", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as parquet under the shared checkpoint root and read back."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def default_blocks(spark: SparkSession) -> int:
-    """The shuffle partition count: default stream shards and salt sub-keys, the basis of the
-    pairing's hot-user threshold, and (capped) the default number of ordered blocks."""
+    """The shuffle partition count: default stream shards and salt sub-keys, and the basis of the
+    pairing's hot-user threshold."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 

@@ -52,17 +52,20 @@ def topic_path(root: str, topic: str) -> str:
 
 def read_topic(spark: SparkSession, topic: str, servers: str | None = None,
                decode: str = "binary", fmt: str = "kafka", root: str | None = None,
-               streaming: bool = False, max_per_trigger: int | None = None) -> DataFrame:
+               streaming: bool = False, max_per_trigger: int | None = None,
+               read_committed: bool = False, options: dict | None = None) -> DataFrame:
     """Read a whole topic from the earliest record: ``key, value, ts, seq``.
 
     Batch reads stop at the current end offsets; ``decode="string"`` turns key and value into
     UTF-8 text, ``"binary"`` keeps the bytes. ``ts``/``seq`` are the record's time and offset.
     ``max_per_trigger`` bounds a stream's micro-batch (records for Kafka, files for a folder), and
-    with it the rows one key's state step handles at once.
+    with it the rows one key's state step handles at once. ``read_committed`` skips records of aborted
+    transactions. ``options`` are passed on to the source (group id, security settings and so on).
     """
+    options = options or {}
     if fmt == "kafka":
         reader = spark.readStream if streaming else spark.read
-        opts = kafka_source_options(servers, topic, bounded=not streaming, read_committed=True)
+        opts = kafka_source_options(servers, topic, bounded=not streaming, read_committed=read_committed, **options)
         if streaming and max_per_trigger:
             opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
         df = reader.format("kafka").options(**opts).load().select(
@@ -72,37 +75,40 @@ def read_topic(spark: SparkSession, topic: str, servers: str | None = None,
         reader = spark.readStream if streaming else spark.read
         if streaming and max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
-        df = reader.format(fmt).schema(FILE_TOPIC_SCHEMA).load(topic_path(root, topic))
+        df = reader.options(**options).format(fmt).schema(FILE_TOPIC_SCHEMA).load(topic_path(root, topic))
     kind = "string" if decode == "string" else "binary"
     return df.withColumn("key", F.col("key").cast(kind)).withColumn("value", F.col("value").cast(kind))
 
 
 def write_topic(df: DataFrame, topic: str, servers: str | None = None, fmt: str = "kafka",
-                root: str | None = None) -> None:
+                root: str | None = None, options: dict | None = None) -> None:
     """Append ``key, value`` rows to a topic (batch).
 
     File topics also store ``ts``/``seq`` when ``df`` has them (a broker assigns them itself).
     """
     cols = [F.col("key").cast("string"), F.col("value").cast("string")]
     if fmt == "kafka":
-        df.select(*cols).write.format("kafka").options(**kafka_sink_options(servers, topic)).save()
+        df.select(*cols).write.format("kafka").options(
+            **kafka_sink_options(servers, topic, **(options or {}))).save()
         return
     has = set(df.columns)
     cols.append(F.col("ts").cast("timestamp_ntz") if "ts" in has
                 else F.current_timestamp().cast("timestamp_ntz").alias("ts"))
     cols.append(F.col("seq").cast("long") if "seq" in has
                 else F.monotonically_increasing_id().alias("seq"))
-    df.select(*cols).write.mode("append").format(fmt).save(topic_path(root, topic))
+    df.select(*cols).write.mode("append").format(fmt).options(**(options or {})).save(
+        topic_path(root, topic))
 
 
 def read_json_topic(spark: SparkSession, schema: T.StructType, topic: str,
                     servers: str | None = None, fmt: str = "kafka", root: str | None = None,
                     streaming: bool = True, keep: tuple[str, ...] = ("ts", "seq"),
                     required: tuple[str, ...] = (),
-                    max_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
+                    max_per_trigger: int | None = None,
+                    options: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """A topic of JSON records, strictly decoded: ``(accepted, rejected)``, with ``keep`` columns."""
     raw = read_topic(spark, topic, servers, decode="string", fmt=fmt, root=root,
-                     streaming=streaming, max_per_trigger=max_per_trigger)
+                     streaming=streaming, max_per_trigger=max_per_trigger, options=options)
     return decode_json(raw, schema, "value", required=required, keep=keep)
 
 
@@ -110,7 +116,8 @@ def write_json_topic(df: DataFrame, topic: str, checkpoint: str, servers: str |
                      fmt: str = "kafka", root: str | None = None, key: str | None = "record",
                      cols: list[str] | None = None, name: str | None = None,
                      available_now: bool = False,
-                     state_partitions: int | None = None) -> StreamingQuery:
+                     state_partitions: int | None = None,
+                     options: dict | None = None) -> StreamingQuery:
     """Stream records to a topic as JSON (key = whole record by default). At-least-once.
 
     ``state_partitions``: state partitions of a stateful upstream, fixed at the first start."""
@@ -125,5 +132,6 @@ def write_json_topic(df: DataFrame, topic: str, checkpoint: str, servers: str |
         writer = writer.trigger(availableNow=True)
     with shuffle_partitions(df.sparkSession, state_partitions):
         if fmt == "kafka":
-            return writer.format("kafka").options(**kafka_sink_options(servers, topic)).start()
-        return writer.format(fmt).start(topic_path(root, topic))
+            return writer.format("kafka").options(
+                **kafka_sink_options(servers, topic, **(options or {}))).start()
+        return writer.format(fmt).options(**(options or {})).start(topic_path(root, topic))

@@ -1,13 +1,16 @@
 """Latest-rule filter on streams.
 
-The rule stream is the control stream: every rule is copied to each of ``shards`` shard ids,
-each action goes to one shard by ``hash(actionId)``, and each shard keeps the latest rule in one
-value state -- the same replication broadcast state performs, one copy per parallel worker. The
-decision never depends on the action's key, so spreading actions by their id keeps shards even
-(a hot user or a hot action name does not pile onto one task). Within a micro-batch each shard's
-rows are ordered by ``(ts, rule before action, seq)``; every action takes the latest rule before
-it (a forward index fill), and membership is tested per run of actions under one rule with a
-vectorised ``isin`` (null-safe: a null action is found when the list holds null).
+Rules are kept with their ``ts`` and ``seq``, and each action takes the rule as of its own ``ts`` among all
+rules received so far. The answer therefore doesn't depend on how the input falls into micro-batches, as
+long as a rule arrives no later than the actions it governs; it is that of the batch form.
+
+``rule_filter_microbatch`` (JVM only, the form for large streams): each micro-batch runs the batch interval
+join with the rules of all batches so far, which are kept as parquet by batch id in the checkpoint folder.
+
+``rule_filter_stream`` (a streaming DataFrame, to be composed): every rule is copied to each of ``shards``
+shard ids, each action goes to one shard by ``hash(actionId)``, and each shard keeps the rules in list state,
+as broadcast state does with one copy per parallel worker. PySpark builds the frames of this operator row by
+row in Python, and a shard's share of a micro-batch is held at once: bound the batches.
 """
 
 from __future__ import annotations
@@ -16,59 +19,65 @@ import os
 
 import numpy as np
 import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tidal.operators.blocks import release
-from tidal.operators.rules import ACTION_RANK, RULE_RANK, rule_filter
+from tidal.operators.rules import ACTION_RANK, RULE_RANK, rule_filter, timed_rules
 from tidal.session import default_blocks, ensure_state_store, shared_dir, ship_package
-from tidal.streaming.pairing import KIND, _read, arrival_sorted
+from tidal.streaming.pairing import KIND
 
 OUTPUT_SCHEMA = "actionId string, userId string, action string, ts timestamp_ntz, seq long"
 OUTPUT_COLUMNS = ["actionId", "userId", "action", "ts", "seq"]
 
 
-def gate_batch(b: pd.DataFrame, rule: tuple | None):
-    """Apply one shard's sorted rows to the held ``rule``: ``(kept actions, rule after)``."""
-    n = len(b)
-    is_rule = b[KIND].to_numpy(dtype=np.int64) == RULE_RANK
-    governing = np.maximum.accumulate(np.where(is_rule, np.arange(n), -1)) if n else np.zeros(0, int)
-    acts = b["action"]
-    keep = np.zeros(n, dtype=bool)
-    is_action = ~is_rule
-    for g in np.unique(governing[is_action]):
-        if g >= 0:
-            allowed = b["allowedActions"].iat[g]
-        else:
-            allowed = rule[1] if rule is not None else None
-        if allowed is None:
+def _micros(ts: pd.Series) -> np.ndarray:
+    """Times as int64 (a missing one is the least)."""
+    return ts.to_numpy(dtype="datetime64[us]").view(np.int64)
+
+
+def gate_actions(actions: pd.DataFrame, rules: list[tuple]) -> pd.DataFrame:
+    """The actions that the rule as of their time lists. ``rules``: (micros, seq, allowed) in that order."""
+    if not rules or not len(actions):
+        return actions.iloc[:0][OUTPUT_COLUMNS]
+    governing = np.searchsorted(np.array([r[0] for r in rules], np.int64), _micros(actions["ts"]), side="right") - 1
+    order = np.argsort(governing, kind="stable")
+    runs = governing[order]
+    cuts = np.flatnonzero(np.r_[True, runs[1:] != runs[:-1], True])
+    keep = np.zeros(len(actions), dtype=bool)
+    names = actions["action"]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if runs[a] < 0 or (allowed := rules[runs[a]][2]) is None:
             continue
-        sel = is_action & (governing == g)
-        keep[sel] = acts[sel].isin(list(allowed)).to_numpy()
-    last_rule = np.flatnonzero(is_rule)
-    if len(last_rule):
-        r = b.iloc[last_rule[-1]]
-        allowed = r["allowedActions"]
-        rule = (r["ruleId"], None if allowed is None else list(allowed))
-    return b.loc[keep, OUTPUT_COLUMNS], rule
+        at = order[a:b]
+        keep[at] = names.iloc[at].isin(list(allowed)).to_numpy()
+    return actions.loc[keep, OUTPUT_COLUMNS]
 
 
 class RuleGateProcessor(StatefulProcessor):
-    """One shard: the latest rule received, applied to the shard's actions."""
+    """One shard: the rules received so far, applied to the shard's actions."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.rule = handle.getValueState("rule", "ruleId string, allowedActions array<string>")
+        self.rules = handle.getListState("rules", "micros long, seq long, allowed array<string>")
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = arrival_sorted(rows)
-        held = _read(self.rule)
-        kept, rule = gate_batch(batch, held)
-        if rule is not held:
-            self.rule.update(rule)
-        if len(kept):
-            yield kept
+        new, actions = [], []
+        for frame in rows:
+            is_rule = frame[KIND].to_numpy(dtype=np.int64) == RULE_RANK
+            if is_rule.any():
+                r = frame.loc[is_rule]
+                new += [(int(t), None if pd.isna(q) else int(q), None if a is None else list(a))
+                        for t, q, a in zip(_micros(r["ts"]), r["seq"], r["allowedActions"], strict=True)]
+            if not is_rule.all():
+                actions.append(frame.loc[~is_rule, OUTPUT_COLUMNS])
+        if new:
+            self.rules.appendList(new)
+        held = [(m, q, a) for m, q, a in self.rules.get()]
+        held.sort(key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+        for frame in actions:
+            kept = gate_actions(frame.reset_index(drop=True), held)
+            if len(kept):
+                yield kept
 
     def close(self) -> None:
         pass
@@ -80,7 +89,7 @@ def rule_filter_stream(actions: DataFrame, rules: DataFrame, shards: int | None
     ensure_state_store(actions.sparkSession)
     n = shards or default_blocks(actions.sparkSession)
     null = F.lit(None).cast("string")
-    r = rules.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"),
+    r = timed_rules(rules).select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"),
                      F.lit(RULE_RANK).alias(KIND), "ts", "seq", null.alias("actionId"),
                      null.alias("userId"), null.alias("action"), "ruleId", "allowedActions")
     a = actions.select(F.pmod(F.xxhash64("actionId"), F.lit(n)).cast("int").alias("shard"),
@@ -93,70 +102,41 @@ def rule_filter_stream(actions: DataFrame, rules: DataFrame, shards: int | None
 
 # -- the same filter without Python state: one batch interval join per micro-batch ------------
 
-HELD_SCHEMA = "ruleId string, allowedActions array<string>, present boolean"
-
-
-def _held_path(root: str, batch_id: int) -> str:
+def _rules_path(root: str, batch_id: int) -> str:
     return os.path.join(root, f"batch_id={batch_id}")
 
 
-def _read_held(spark: SparkSession, root: str, batch_id: int) -> tuple | None:
-    if batch_id < 0:
-        return None
-    try:
-        row = spark.read.schema(HELD_SCHEMA).json(_held_path(root, batch_id)).first()
-    except AnalysisException:
-        return None
-    if row is None or not row["present"]:
-        return None
-    return row["ruleId"], row["allowedActions"]
-
-
-def _write_held(spark: SparkSession, root: str, batch_id: int, held: tuple | None) -> None:
-    row = (held[0], held[1], True) if held is not None else (None, None, False)
-    spark.createDataFrame([row], HELD_SCHEMA).coalesce(1).write.mode("overwrite") \
-        .json(_held_path(root, batch_id))
-
-
 def rule_filter_microbatch(actions: DataFrame, rules: DataFrame, path: str,
                            checkpoint: str | None = None, name: str = "rule_filter",
                            available_now: bool = True) -> StreamingQuery:
     """Streaming latest-rule filter that runs on the JVM only.
 
-    Each micro-batch runs the batch ``rule_filter`` (interval join, broadcast of the batch's rule
-    intervals) over its actions and rules, with the rule held after the previous micro-batch as
-    the rule held before the batch's first rule. That one rule is kept per batch id in the
-    checkpoint folder, and output goes to ``{path}/batch_id=N`` written with overwrite, so a
-    retried batch reproduces the same files (at-least-once delivery, idempotent result).
+    Each micro-batch writes its rules (with ``ts``, ``seq``) to the checkpoint folder under its batch id and
+    runs the batch ``rule_filter`` over its actions and the rules of all batches up to its own. Output goes
+    to ``{path}/batch_id=N``. Both are written with overwrite, so a retried batch reproduces the same files
+    (at-least-once delivery, idempotent result).
     """
     spark = actions.sparkSession
     checkpoint = checkpoint or shared_dir(spark, f"{name}-checkpoint")
-    held_root = os.path.join(checkpoint, "held-rule")
+    root = os.path.join(checkpoint, "rules")
     null = F.lit(None).cast("string")
-    tagged = rules.select(F.lit(RULE_RANK).alias(KIND), "ts", "seq", null.alias("actionId"),
-                          null.alias("userId"), null.alias("action"), "ruleId",
-                          "allowedActions").unionByName(
+    tagged = timed_rules(rules).select(
+        F.lit(RULE_RANK).alias(KIND), "ts", "seq", null.alias("actionId"), null.alias("userId"),
+        null.alias("action"), "ruleId", "allowedActions").unionByName(
         actions.select(F.lit(ACTION_RANK).alias(KIND), "ts", "seq", "actionId", "userId",
                        "action", null.alias("ruleId"),
                        F.lit(None).cast("array<string>").alias("allowedActions")))
 
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        batch = batch.persist()
-        try:
-            is_rule = F.col(KIND) == RULE_RANK
-            batch_rules = batch.where(is_rule).select("ruleId", "allowedActions", "ts", "seq")
-            batch_actions = batch.where(~is_rule).select(*OUTPUT_COLUMNS)
-            held = _read_held(session, held_root, batch_id - 1)
-            rule_filter(batch_actions, batch_rules, initial=held).write.mode("overwrite") \
-                .parquet(os.path.join(path, f"batch_id={batch_id}"))
-            last = batch_rules.agg(F.max_by(F.struct("ruleId", "allowedActions"),
-                                            F.struct("ts", "seq"))).first()[0]
-            _write_held(session, held_root, batch_id,
-                        (last["ruleId"], last["allowedActions"]) if last is not None else held)
-        finally:
-            release()                 # cached blocks, if this batch took the blocked path
-            batch.unpersist()
+        is_rule = F.col(KIND) == RULE_RANK
+        batch.where(is_rule).select("ruleId", "allowedActions", "ts", "seq").coalesce(1) \
+            .write.mode("overwrite").parquet(_rules_path(root, batch_id))
+        # every batch up to this one has written its folder; a missing one is an error
+        schema = batch.select("ruleId", "allowedActions", "ts", "seq").schema
+        held = session.read.schema(schema).parquet(*[_rules_path(root, i) for i in range(batch_id + 1)])
+        rule_filter(batch.where(~is_rule).select(*OUTPUT_COLUMNS), held).write.mode("overwrite") \
+            .parquet(os.path.join(path, f"batch_id={batch_id}"))
 
     writer = (tagged.writeStream.queryName(name).foreachBatch(step)
               .option("checkpointLocation", os.path.join(checkpoint, "query")))

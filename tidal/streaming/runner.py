@@ -12,7 +12,8 @@ from tidal.session import shared_dir, shuffle_partitions
 
 def run_stream(df: DataFrame, name: str, path: str | None = None, checkpoint: str | None = None,
                fmt: str = "parquet", available_now: bool = True,
-               output_mode: str = "append", state_partitions: int | None = None) -> StreamingQuery:
+               output_mode: str = "append", state_partitions: int | None = None,
+               options: dict | None = None) -> StreamingQuery:
     """Start ``df`` into a sink; ``available_now`` drains what is there and stops.
 
     The query is named (unique per start); sink and checkpoint default to fresh folders under
@@ -23,7 +24,8 @@ def run_stream(df: DataFrame, name: str, path: str | None = None, checkpoint: st
     spark = df.sparkSession
     checkpoint = checkpoint or shared_dir(spark, f"{name}-checkpoint")
     writer = (df.writeStream.queryName(f"{name}_{uuid.uuid4().hex[:8]}")
-              .option("checkpointLocation", checkpoint).outputMode(output_mode).format(fmt))
+              .option("checkpointLocation", checkpoint).outputMode(output_mode).format(fmt)
+              .options(**(options or {})))
     if available_now:
         writer = writer.trigger(availableNow=True)
     with shuffle_partitions(spark, state_partitions):
@@ -48,9 +50,18 @@ def run_to_table(df: DataFrame, name: str, path: str | None = None,
     return spark.read.parquet(path)
 
 
-def tap(df: DataFrame, name: str = "tap", rows: int = 20, available_now: bool = False):
-    """Echo a DataFrame: console sink for a stream (returns the query), ``show`` for a batch."""
+def tap(df: DataFrame, name: str = "tap", rows: int | None = None, available_now: bool = False):
+    """Print every record: console sink for a stream (returns the query), printed rows for a batch.
+
+    ``rows`` limits what is printed (of each micro-batch on a stream) where the caller asks for that.
+    """
     if df.isStreaming:
-        return run_stream(df, name, fmt="console", available_now=available_now)
-    df.show(rows, truncate=False)
+        return run_stream(df, name, fmt="console", available_now=available_now,
+                          options={"numRows": str(rows or 2**31 - 1), "truncate": "false"})
+    if rows is not None:
+        df.show(rows, truncate=False)
+        return None
+    print(" | ".join(df.columns))
+    for r in df.toLocalIterator():                # one partition at a time
+        print(" | ".join("null" if v is None else str(v) for v in r))
     return None
