@@ -1,5 +1,7 @@
 """The driver contract: entry() runs; every registered query matches its DuckDB oracle."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -10,12 +12,17 @@ SF = "/root/testdata/sf0.001"
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.columns == ["userId", "name", "action", "seq"]
+    assert df.columns == ["userId", "name", "action", "seq", "ts_us"]
     assert df.count() > 0
 
 
+def own(names):
+    """The queries of the record operators (those of the training-data folder have tests there)."""
+    return {n for n in names if n != "pipeline" and not re.match(r"op\d+_", n)}
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert own(entry.queries()) == own(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +30,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(own(entry.queries())))
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, name, entry.queries()[name], entry.oracle_sql()[name], SF, con)
     assert res["columns_match"], res

@@ -68,7 +68,7 @@ def test_enrich_json_in_json_out(spark, tmpdir_path, streaming):
 def test_table_join_json_in_json_out(spark, tmpdir_path, streaming):
     put(spark, tmpdir_path, "users", [({"userId": "userId1", "name": "name1"}, 1, 0)])
     put(spark, tmpdir_path, "actions", [({"userId": "userId1", "action": "logged-in"}, 2, 0)])
-    q = table_join_topology(spark, fmt="json", root=tmpdir_path, streaming=streaming,
+    q = table_join_topology(spark, replace=True, fmt="json", root=tmpdir_path, streaming=streaming,
                             available_now=True)
     if streaming:
         _drain(q)
@@ -124,3 +124,30 @@ def test_command_line_stream_drains(spark, tmpdir_path):
                 spark=spark) == 0
     assert values(spark, tmpdir_path, "actions-filtered") == [
         '{"actionId":"a1","userId":"u","action":"go"}']
+
+
+def test_output_topics_carry_the_triggers_time_and_place(spark, tmpdir_path):
+    """One topology's output is read by another in the order of its triggers, in a zone with clock changes."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        from pyspark.sql import functions as F
+        from tidal.plans.topologies import enrich_topology
+        from tidal.sources.topics import utc_ntz, write_topic
+        rows = [('{"userId":"1","name":"n"}', "users", 1_699_163_940, 0),            # 05:59 and 06:01 UTC, where
+                ('{"userId":"1","action":"a"}', "actions", 1_699_163_940, 1),        # local time goes back an hour
+                ('{"userId":"1","action":"b"}', "actions", 1_699_164_060, 2)]
+        for value, topic, seconds, seq in rows:
+            df = spark.createDataFrame([(None, value, seconds, seq)], "key string, value string, s long, seq long")
+            write_topic(df.withColumn("ts", F.timestamp_seconds("s")), topic, fmt="parquet", root=tmpdir_path)
+        for streaming in (False, True):
+            out = f"out-{streaming}"
+            q = enrich_topology(spark, fmt="parquet", root=tmpdir_path, streaming=streaming, available_now=True, out_topic=out)
+            if q is not None:
+                q.awaitTermination()
+            got = spark.read.parquet(f"{tmpdir_path}/{out}").orderBy("ts", "seq").collect()
+            assert [(r.value.count('"a"'), r.seq) for r in got] == [(1, 1), (0, 2)]
+            assert (got[1].ts - got[0].ts).total_seconds() == 120 and got[0].ts.hour == 5
+        assert spark.range(1).select(utc_ntz(F.timestamp_seconds(F.lit(0)))).first()[0].year == 1970
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -75,7 +75,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.cmd == "enrich":
         q = enrich_topology(spark, **run)
     elif args.cmd == "table-join":
-        q = table_join_topology(spark, echo=args.echo, **run)
+        q = table_join_topology(spark, echo=args.echo, replace=True, **run)
     else:
         q = rule_gate_topology(spark, shards=args.shards, **run)
     if q is not None:

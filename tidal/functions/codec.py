@@ -137,12 +137,13 @@ def encode_json(*cols: str | Column) -> Column:
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
 
 
-def to_topic_rows(df: DataFrame, cols: list[str] | None = None, key: str | None = "record") -> DataFrame:
+def to_topic_rows(df: DataFrame, cols: list[str] | None = None, key: str | None = "record",
+                  keep: tuple[str, ...] = ()) -> DataFrame:
     """Topic layout ``(key, value)`` for a record DataFrame.
 
     ``key="record"`` writes the whole record's JSON as the key too (the source's sink serialises the
     key with the record serialiser); a column name keys by that column's text; ``None`` leaves
-    the key empty.
+    the key empty. ``keep`` names columns carried along (the time and position of the trigger).
     """
     cols = cols or df.columns
     value = encode_json(*cols)
@@ -152,4 +153,4 @@ def to_topic_rows(df: DataFrame, cols: list[str] | None = None, key: str | None
         key_col = F.lit(None).cast("string")
     else:
         key_col = F.col(key).cast("string")
-    return df.select(key_col.alias("key"), value.alias("value"))
+    return df.select(key_col.alias("key"), value.alias("value"), *keep)

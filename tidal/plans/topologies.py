@@ -42,7 +42,8 @@ def _sink(df, cols, topic, streaming, servers, fmt, root, checkpoint, name, avai
         return write_json_topic(df, topic, checkpoint, servers=servers, fmt=fmt, root=root,
                                 cols=cols, name=name, available_now=available_now,
                                 state_partitions=state_partitions, options=options)
-    write_topic(to_topic_rows(df, cols), topic, servers=servers, fmt=fmt, root=root, options=options)
+    keep = tuple(c for c in ("ts", "seq") if fmt != "kafka" and c in df.columns)
+    write_topic(to_topic_rows(df, cols, keep=keep), topic, servers=servers, fmt=fmt, root=root, options=options)
     return None
 
 

@@ -19,13 +19,6 @@ ACTION_RECORD = T.StructType([
 RULE = T.StructType([
     T.StructField("ruleId", STR), T.StructField("allowedActions", T.ArrayType(STR))])
 
-# Row layout of a topic (the Spark Kafka source schema); file-backed topics use the same layout.
-TOPIC_ROW = T.StructType([
-    T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType()),
-    T.StructField("topic", STR), T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()), T.StructField("timestamp", T.TimestampType()),
-    T.StructField("timestampType", T.IntegerType())])
-
 # Order columns carried by order-dependent operators: event time and a tie-breaking sequence.
 ORDER_FIELDS = [T.StructField("ts", T.TimestampNTZType()), T.StructField("seq", T.LongType())]
 

@@ -25,6 +25,19 @@ FILE_TOPIC_SCHEMA = T.StructType([
     T.StructField("ts", T.TimestampNTZType()), T.StructField("seq", T.LongType())])
 
 
+def utc_ntz(ts, dtype: T.DataType | None = None):
+    """An instant as zone-free UTC time, whatever the session's zone (a zone-free time stays as it is)."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return ts
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts.cast("timestamp")),
+                           F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def _order_columns(df: DataFrame) -> tuple[str, ...]:
+    """The time and position columns that ``df`` has."""
+    return tuple(c for c in ("ts", "seq") if c in df.columns)
+
+
 def kafka_source_options(servers: str, topic: str, bounded: bool = False,
                          read_committed: bool = False, **extra: str) -> dict[str, str]:
     """Options of a Kafka read from the earliest offset.
@@ -69,7 +82,7 @@ def read_topic(spark: SparkSession, topic: str, servers: str | None = None,
         if streaming and max_per_trigger:
             opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
         df = reader.format("kafka").options(**opts).load().select(
-            "key", "value", F.col("timestamp").cast("timestamp_ntz").alias("ts"),
+            "key", "value", utc_ntz(F.col("timestamp")).alias("ts"),
             F.col("offset").alias("seq"))
     else:
         reader = spark.readStream if streaming else spark.read
@@ -92,8 +105,8 @@ def write_topic(df: DataFrame, topic: str, servers: str | None = None, fmt: str
             **kafka_sink_options(servers, topic, **(options or {}))).save()
         return
     has = set(df.columns)
-    cols.append(F.col("ts").cast("timestamp_ntz") if "ts" in has
-                else F.current_timestamp().cast("timestamp_ntz").alias("ts"))
+    cols.append(utc_ntz(F.col("ts"), df.schema["ts"].dataType).alias("ts") if "ts" in has
+                else utc_ntz(F.current_timestamp()).alias("ts"))
     cols.append(F.col("seq").cast("long") if "seq" in has
                 else F.monotonically_increasing_id().alias("seq"))
     df.select(*cols).write.mode("append").format(fmt).options(**(options or {})).save(
@@ -120,11 +133,15 @@ def write_json_topic(df: DataFrame, topic: str, checkpoint: str, servers: str |
                      options: dict | None = None) -> StreamingQuery:
     """Stream records to a topic as JSON (key = whole record by default). At-least-once.
 
-    ``state_partitions``: state partitions of a stateful upstream, fixed at the first start."""
-    rows = to_topic_rows(df, cols, key=key)
+    ``state_partitions``: state partitions of a stateful upstream, fixed at the first start. A file topic
+    also stores the trigger's ``ts`` and ``seq`` where ``df`` has them, as ``write_topic`` does, so that
+    another topology can read it in order (a broker assigns time and offset itself)."""
+    rows = to_topic_rows(df, cols, key=key, keep=() if fmt == "kafka" else _order_columns(df))
     if fmt != "kafka":
-        rows = rows.select("key", "value", F.current_timestamp().cast("timestamp_ntz").alias("ts"),
-                           F.lit(None).cast("long").alias("seq"))
+        ts = (utc_ntz(F.col("ts"), rows.schema["ts"].dataType) if "ts" in rows.columns
+              else utc_ntz(F.current_timestamp()))
+        seq = F.col("seq").cast("long") if "seq" in rows.columns else F.lit(None).cast("long")
+        rows = rows.select("key", "value", ts.alias("ts"), seq.alias("seq"))
     writer = rows.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     if name:
         writer = writer.queryName(name)
