@@ -93,13 +93,19 @@ class _Sample:
             ids = np.array([known.setdefault(raw[s:e], len(known)) for s, e in zip(starts, ends, strict=True)], np.int64)
             cuts = np.searchsorted(rows, np.arange(len(offsets)))
             for r in range(len(offsets) - 1):
-                docs[first + r].append(ids[cuts[r]:cuts[r + 1]])
-        self.docs = [np.concatenate(d) if d else np.zeros(0, np.int64) for d in docs]
-        vocabulary = b" ".join(known) + b" "
-        data = np.frombuffer(vocabulary, np.uint8)
-        text, starts, ends, _ = padded(data, np.array([0, len(data)]))
-        self.flat, words = word_lists(text, starts, ends, ORDERS, BITS)
-        self.cuts = np.searchsorted(words, np.arange(len(known) + 1))
+                docs[first + r].append(ids[cuts[r]:cuts[r + 1]].astype(np.int32))
+        self.docs = [np.concatenate(d) if d else np.zeros(0, np.int32) for d in docs]
+        # the buckets of the words, made for some thousands of words at a time
+        words, flat, counts = list(known), [], []
+        del known
+        for at in range(0, len(words), 8192):
+            data = np.frombuffer(b" ".join(words[at:at + 8192]) + b" ", np.uint8)
+            text, starts, ends, _ = padded(data, np.array([0, len(data)]))
+            buckets, of = word_lists(text, starts, ends, ORDERS, BITS)
+            flat.append(buckets.astype(np.int32))
+            counts.append(np.bincount(of, minlength=len(starts)))
+        self.flat = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+        self.cuts = np.r_[0, np.cumsum(np.concatenate(counts))] if counts else np.zeros(1, np.int64)
 
     def grams(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = self.cuts[words + 1] - self.cuts[words]
@@ -252,7 +258,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_per_class: int) -> t
     return texts, out
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 1000, **options) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 800, **options) -> ToxicityModel:
     """Train on ``labels.toxic`` (0/1, other values ignored; a doc_id labelled twice is toxic if once so)."""
     return train(*labelled_sample(docs, labels, max_per_class), **options)
 
