@@ -198,7 +198,7 @@ class _Writer:
         return page + ("</body></html>" if r.random() < 0.9 else "")
 
 
-def training_pages(n: int = 1200, seed: int = 11) -> list[str]:
+def training_pages(n: int = 800, seed: int = 11) -> list[str]:
     """``n`` labelled pages; the same ones for the same seed."""
     writer = _Writer(random.Random(seed))
     return [writer.page() for _ in range(n)]

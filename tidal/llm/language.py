@@ -66,7 +66,7 @@ def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         text, starts, ends, _ = padded(data, np.array([0, len(data)]))
         flat, _ = word_lists(text, starts, ends, ORDERS, BITS)
         used, n = np.unique(flat, return_counts=True)
-        out.append((used, n / max(1, n.sum())))
+        out.append((used.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)))
     return out
 
 
@@ -194,7 +194,7 @@ def held_out(doc_id: str, mod: int, rest: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod == rest, F.lit(False))
 
 
-def identify(docs: DataFrame, max_rows: int = 4000, **options) -> DataFrame:
+def identify(docs: DataFrame, max_rows: int = 2000, **options) -> DataFrame:
     """doc_id, held_out, lang_pred, score, accepted of every row, with a model fitted on the rows that
     aren't held out (crc32(doc_id) mod 4 is not 2)."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"),

@@ -192,7 +192,7 @@ def train(texts: list[str], weak: WeakModel, epochs: int = 15, rate: float = 1.0
         data = np.frombuffer(t.encode(), np.uint8)
         text, starts, ends, _ = padded(data, np.array([0, len(data)]))
         used, n = np.unique(word_lists(text, starts, ends, ORDERS, BITS)[0], return_counts=True)
-        bags.append((used, n / max(1, n.sum())))
+        bags.append((used.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)))
         repeats.append(_repetition(data, np.array([0, len(data)]))[0])
     repeats = np.array(repeats)
     rng = np.random.default_rng(seed)
@@ -219,7 +219,7 @@ def train(texts: list[str], weak: WeakModel, epochs: int = 15, rate: float = 1.0
     return QualityModel(weak, weights.astype(np.float32), repeat_weight, bias)
 
 
-def fit(docs: DataFrame, max_rows: int = 3000) -> QualityModel:
+def fit(docs: DataFrame, max_rows: int = 2000) -> QualityModel:
     """Weak labels from the votes on all texts; a scorer trained on at most ``max_rows`` of them."""
     spark = docs.sparkSession
     python_ready(spark)
