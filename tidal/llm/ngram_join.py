@@ -11,7 +11,7 @@ Two sets x, y link when ``100 |x and y| >= 75 |x or y|``. Method:
   first n - ceil(6n/7) + 1.
 * *Positional filter.* A meeting at positions (p, q) can only be the first one of a similar pair if
   ``p <= n - a`` and ``q <= m - a``.
-* *Suffix filter.* Each set keeps its shingle counts over 64 hash parts; the sum of the lesser
+* *Suffix filter.* Each set keeps its shingle counts over 256 hash parts; the sum of the lesser
   counts bounds the overlap from above.
 * *Verification once per pair*: the distinct pairs left are checked on their whole sets.
 
@@ -38,7 +38,7 @@ from tidal.llm.common import (U64, arrow_rows, bitmap, in_bitmap, mix, partition
 from tidal.llm.components import components
 
 BUCKET_BITS = 18
-PARTS = 64
+PARTS = 256
 SLICE = 1 << 14                 # bucket counts in one row of the partial tables
 HOT = 8                         # times the mean bucket count: a shingle beyond this is salted
 
