@@ -1,11 +1,11 @@
 """License scans: sparse TF-IDF cosine to license templates, then inheritance from the nearest directory.
 
-Every line of every file and every file as a whole is a segment. Terms are lower-case runs of letters,
-digits and dots; a term's weight is its count times its idf over all files. Only terms of the templates
-are ever joined (a fixed small vocabulary, without the commonest words), so of a long text nothing moves
-but its few license terms; the terms outside the vocabulary count in the segment's length with the idf of
-a term seen once. A segment is a notice of the template with the greatest cosine if that passes the
-threshold, and a file has the license of its best segment.
+Every line of every file and every file as a whole is a segment. Terms are lower-case runs of letters and
+digits; a term's weight is its count times its idf over all files. Only terms of the templates (a fixed
+small vocabulary, without the commonest words) leave the text, so of a long file nothing moves but its few
+license terms; the other terms count in the segment's length with the idf of a term seen once. A segment is
+a notice of the template with the greatest cosine if that passes the threshold, and a file has the license
+of its best segment.
 
 A file without a notice inherits: licence files (named LICENSE, LICENCE or COPYING) name the license of
 their directory, and a file's ancestors are joined with those directories; the deepest one wins.
@@ -16,10 +16,14 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidal.llm.common import written
+from tidal.llm.common import (NOT_ALNUM, lower_ascii, python_ready, span_hashes, text_chunks, word_spans,
+                              written)
 
 THRESHOLD = 0.55
 # Short notices of common licenses, by SPDX identifier where there is one.
@@ -43,28 +47,59 @@ TEMPLATES = {
 }
 COMMON = frozenset("the of and this is are by in to or for as it a an any with without under you can".split())
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying)(\.[a-z0-9]+)?$"
-_TERM = r"[^a-z0-9.]+"
 
 
 def _terms(text: str) -> list[str]:
-    return [t for t in (x.strip(".") for x in re.split(_TERM, text.lower())) if t and t not in COMMON]
+    return [t for t in re.findall(r"[a-z0-9]+", text.lower()) if t not in COMMON]
 
 
 def _vocabulary() -> list[str]:
     return sorted({t for texts in TEMPLATES.values() for text in texts for t in _terms(text)})
 
 
-def _split(text: Column) -> Column:
-    """The terms of a text as in ``_terms`` (with empty and common ones)."""
-    return F.split(F.regexp_replace(F.lower(text), r"\.+(?![a-z0-9.])|(?<![a-z0-9.])\.+", " "), _TERM)
-
-
-def _segments(files: DataFrame) -> DataFrame:
-    """(file, segment, terms): segment 0 is the whole text, then its lines, if it has more than one."""
-    lines = F.split("text", "\n")
-    pieces = F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(F.array("text"))
-    return files.select("file", F.posexplode(pieces).alias("segment", "piece")).select(
-        "file", "segment", _split(F.col("piece")).alias("terms"))
+def _hashes_of(words: list[str]) -> np.ndarray:
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    starts, ends, _ = word_spans(data, np.array([0, len(data)]), NOT_ALNUM)
+    return span_hashes(data, starts, ends)
+
+
+def _known_terms(batches):
+    """(file, row, segment, size, term, tf) of the vocabulary's terms in every segment that has any."""
+    words = _vocabulary()
+    order = np.argsort(hashes := _hashes_of(words))
+    table, names = hashes[order], np.array(words)[order]
+    common = np.sort(_hashes_of(sorted(COMMON)))
+    row = TaskContext.get().partitionId() << 40
+    for batch in batches:
+        files = batch.column("file")
+        for first, data, offsets in text_chunks(batch.column("text")):
+            low = lower_ascii(data)
+            starts, ends, rows = word_spans(low, offsets, NOT_ALNUM)
+            h = span_hashes(low, starts, ends)
+            own = ~np.isin(h, common)
+            starts, rows, h = starts[own], rows[own], h[own]
+            at = np.minimum(np.searchsorted(table, h), len(table) - 1)
+            known = table[at] == h
+            if not known.any():
+                continue
+            breaks = np.r_[0, np.cumsum(low == 0x0A)]
+            lines = breaks[offsets[1:]] - breaks[offsets[:-1]]
+            line = breaks[starts] - breaks[offsets[rows]] + 1
+            parts = []
+            # segment 0 is the whole text; a text of one line has no other
+            for segment, use in ((np.zeros(len(h), np.int64), known), (line, known & (lines[rows] > 0))):
+                key = rows * (1 << 32) + segment
+                places, sizes = np.unique(key, return_counts=True)
+                k, n = np.unique(np.stack([key[use], at[use]], 1), axis=0, return_counts=True)
+                if len(k):
+                    parts.append((k[:, 0], sizes[np.searchsorted(places, k[:, 0])], k[:, 1], n))
+            key, size, term, tf = (np.concatenate(x) for x in zip(*parts, strict=True))
+            here = key >> 32
+            yield pa.RecordBatch.from_arrays(
+                [files.take(pa.array(first + here)), pa.array(row + first + here), pa.array((key & 0xFFFFFFFF).astype(np.int32)),
+                 pa.array(size.astype(np.int32)), pa.array(names[term].tolist(), pa.string()), pa.array(tf.astype(np.int32))],
+                names=["file", "row", "segment", "size", "term", "tf"])
+        row += len(files)
 
 
 def _weights(found: DataFrame, n_files: int) -> dict[str, float]:
@@ -75,15 +110,14 @@ def _weights(found: DataFrame, n_files: int) -> dict[str, float]:
 
 
 def notices(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(file, license, cosine, segment): the best notice of each file that has one."""
+    """(file, license, cosine, segment): the best notice of each file that has one.
+
+    ``files``: file, text. Rows repeating a file are scanned one by one; the best notice of any counts.
+    """
     spark = files.sparkSession
-    words = spark.createDataFrame([(t,) for t in _vocabulary()], "term string")
-    common = F.array(*[F.lit(c) for c in sorted(COMMON | {""})])
-    parts = _segments(files)
-    own = F.size(F.filter("terms", lambda t: ~F.array_contains(common, t)))
-    rows = (parts.withColumn("size", own).withColumn("term", F.explode("terms")).drop("terms")
-            .join(F.broadcast(words), "term"))                  # the templates' vocabulary
-    found = written(rows.groupBy("file", "segment", "size", "term").agg(F.count(F.lit(1)).alias("tf")), "terms")
+    python_ready(spark)
+    found = written(files.mapInArrow(_known_terms, "file string, row bigint, segment int, size int, term string, tf int"),
+                    "terms")
     n = files.count()
     idf = _weights(found, n)
     once = math.log((1 + n) / 2) + 1
@@ -97,13 +131,13 @@ def notices(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     templates = spark.createDataFrame(template_rows, "license string, variant int, term string, tw double")
     weights = spark.createDataFrame(list(idf.items()), "term string, idf double")
     weighed = found.join(F.broadcast(weights), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = weighed.groupBy("file", "segment", "size").agg(
+    norms = weighed.groupBy("row", "segment", "size").agg(
         F.sum(F.col("w") * F.col("w")).alias("inside"), F.sum("tf").alias("known"))
-    norms = norms.select("file", "segment", F.sqrt(
+    norms = norms.select("row", "segment", F.sqrt(
         F.col("inside") + (F.col("size") - F.col("known")) * (once * once)).alias("norm"))
-    dots = (weighed.join(F.broadcast(templates), "term").groupBy("file", "segment", "license", "variant")
+    dots = (weighed.join(F.broadcast(templates), "term").groupBy("file", "row", "segment", "license", "variant")
             .agg(F.sum(F.col("w") * F.col("tw")).alias("dot")))
-    scored = dots.join(norms, ["file", "segment"]).withColumn("cosine", F.col("dot") / F.col("norm"))
+    scored = dots.join(norms, ["row", "segment"]).withColumn("cosine", F.col("dot") / F.col("norm"))
     best = scored.where(F.col("cosine") >= threshold).groupBy("file").agg(
         F.max(F.struct(F.round("cosine", 9).alias("cosine"), -F.col("segment"), "license")).alias("m"))
     return best.select("file", F.col("m.license").alias("license"), F.col("m.cosine").alias("cosine"),
@@ -113,16 +147,15 @@ def notices(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per distinct path: path, license, cosine, via ('notice', 'directory' or null), from_path.
 
-    ``files``: path, text. Paths are split at slashes; a null path is left out; of rows repeating a path the
-    one with the greatest text counts. A null or empty text has no notice. A file without a notice has the
+    ``files``: path, text. Paths are split at slashes; a null path is left out; rows
+    repeating a path are scanned one by one and the best notice of any counts. A null or empty text has no notice. A file without a notice has the
     license of the nearest directory above it that holds a licence file with one (of several in a
     directory, the first by name), else null. An empty table gives no rows.
     """
-    once = (files.where("path is not null").select(F.regexp_replace("path", "/+", "/").alias("file"),
-                                                   F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-            .groupBy("file").agg(F.max("text").alias("text")))
-    found = written(notices(once, threshold), "notices")
-    paths = once.select("file")
+    rows = files.where("path is not null").select(F.regexp_replace("path", "/+", "/").alias("file"),
+                                                  F.col("text").cast("string").alias("text"))
+    found = written(notices(rows, threshold), "notices")
+    paths = written(rows.select("file").distinct(), "paths")
     name = F.regexp_extract("file", r"([^/]*)$", 1)
     folder = F.regexp_replace("file", r"/?[^/]*$", "")
     own = found.where(name.rlike(LICENSE_FILE)).groupBy(folder.alias("folder")).agg(
