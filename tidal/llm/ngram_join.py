@@ -144,22 +144,17 @@ def _batch(cols) -> pa.RecordBatch:
                                       names=["h", "salt", "cid", "n", "pos"])
 
 
-def _of_wanted(wanted):
-    """The rows of wanted doc_ids (the bitmap lets a few more through)."""
+def _of_wanted(wanted, width: int):
+    """(doc_id, cid, text) of the wanted doc_ids (the bitmap lets a few more through)."""
     def run(batches):
         for batch in batches:
             ids = batch.column("doc_id")
             there = ids.is_valid().to_numpy(zero_copy_only=False)
             there[there] = in_bitmap(wanted.value, ids.drop_null().to_numpy())
-            yield batch.filter(pa.array(there))
-    return run
-
-
-def _class_of(width: int):
-    def run(batches):
-        for batch in batches:
-            cid = [_class_id(s) if len(s) else None for _, s in shingle_sets(batch.column("text"), width)]
-            yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), batch.column("text")], names=["cid", "text"])
+            kept = batch.filter(pa.array(there))
+            cid = [_class_id(s) if len(s) else None for _, s in shingle_sets(kept.column("text"), width)]
+            yield pa.RecordBatch.from_arrays([kept.column("doc_id"), pa.array(cid, pa.int64()), kept.column("text")],
+                                             names=["doc_id", "cid", "text"])
     return run
 
 
@@ -200,8 +195,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int)
     wanted = left_over.select(F.col("a").alias("cid")).union(left_over.select("b")).distinct()
     ids = written(wanted.join(classes.select("cid", "rep"), "cid").select(F.col("rep").alias("doc_id")).distinct(), "ids")
     bits = spark.sparkContext.broadcast(bitmap(ids))
-    texts = docs.mapInArrow(_of_wanted(bits), docs.schema).join(ids, "doc_id", "left_semi")
-    texts = written(texts.mapInArrow(_class_of(width), "cid bigint, text string").where("cid is not null"), "texts")
+    texts = docs.mapInArrow(_of_wanted(bits, width), "doc_id bigint, cid bigint, text string").where("cid is not null")
+    texts = written(texts.join(ids, "doc_id", "left_semi").select("cid", "text"), "texts")
     both = (left_over.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a"))
     with arrow_rows(spark, 250):
         return written(both.mapInArrow(_compare(width), "a bigint, b bigint"), "links")
@@ -301,13 +296,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, **options) -> DataFrame:
     return full.unionByName(bare)
 
 
-def _with_class(width: int):
+def _doubtful_with_class(shared, width: int):
+    """The rows without an id or with one in the bitmap, and the class of their text."""
     def run(batches):
         for batch in batches:
-            cid = [_class_id(s) if len(s) else None for _, s in shingle_sets(batch.column("_text"), width)]
-            keep = [i for i, n in enumerate(batch.schema.names) if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], pa.array(cid, pa.int64())],
-                                             names=[*[batch.schema.names[i] for i in keep], "_cid"])
+            ids = batch.column("_id")
+            perhaps = np.ones(len(ids), bool)
+            valid = ids.is_valid().to_numpy(zero_copy_only=False)
+            perhaps[valid] = in_bitmap(shared.value, ids.drop_null().to_numpy())
+            kept = batch.filter(pa.array(perhaps))
+            cid = [_class_id(s) if len(s) else None for _, s in shingle_sets(kept.column("_text"), width)]
+            keep = [i for i, n in enumerate(kept.schema.names) if n != "_text"]
+            yield pa.RecordBatch.from_arrays([*[kept.column(i) for i in keep], pa.array(cid, pa.int64())],
+                                             names=[*[kept.schema.names[i] for i in keep], "_cid"])
     return run
 
 
@@ -321,11 +322,11 @@ def keep_one(docs: DataFrame, width: int = 5) -> DataFrame:
     again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"),
                                                                     F.min("component_id").alias("c"))
     doubtful = written(again.where("n > 1 or c <> doc_id").select("doc_id"), "doubtful")
-    surely, perhaps = split_by_ids(docs.where("doc_id is not null"), doubtful)
-    perhaps = perhaps.unionByName(docs.where("doc_id is null"))
-    rows = perhaps.withColumn("_text", F.col("text").cast("string"))
+    surely, _ = split_by_ids(docs.where("doc_id is not null"), doubtful)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(doubtful))
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    rows = rows.mapInArrow(_with_class(width), kind + ", _cid bigint").withColumn("_id", F.col("doc_id").cast("bigint"))
+    rows = docs.withColumn("_text", F.col("text").cast("string")).withColumn("_id", F.col("doc_id").cast("bigint"))
+    rows = rows.mapInArrow(_doubtful_with_class(shared, width), kind + ", _id bigint, _cid bigint")
     kept = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
         F.col("doc_id").alias("_kid"), F.col("class_id").alias("_kcid")).distinct()
     left = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kid")) & F.col("_cid").eqNullSafe(F.col("_kcid")), "left_semi")
