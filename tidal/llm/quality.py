@@ -230,8 +230,10 @@ def fit(docs: DataFrame, max_rows: int = 2000) -> QualityModel:
     patterns = (ids[:, None] // 3 ** np.arange(len(LABELLERS))) % 3 - 1 if len(ids) else np.zeros((0, len(LABELLERS)))
     voted = (patterns != 0).any(1) if len(ids) else np.zeros(0, bool)           # texts without words don't count
     weak = expectation_maximisation(patterns[voted], np.array([r["n"] for r in rows])[voted] if len(ids) else np.zeros(0))
-    sample = (texts.where("text is not null").select("text", F.xxhash64("text").alias("k"))
-              .orderBy("k", "text").limit(max_rows).collect())
+    # the least hashes first (8 bytes a row), then only their texts
+    keyed = texts.where("text is not null").select("text", F.xxhash64("text").alias("k"))
+    last = keyed.select("k").orderBy("k").limit(max_rows).agg(F.max("k")).first()[0]
+    sample = (keyed.where(F.col("k") <= last).dropDuplicates(["k"]).orderBy("k").collect() if last is not None else [])
     return train([r["text"] for r in sample], weak)
 
 
