@@ -20,9 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidal.llm.common import written
+from tidal.llm.common import partitions, written
 
-SAMPLES = 16
+SAMPLES = 32
 GROUP = 4                       # samples made by one row
 HASH_BITS = 20
 HEX = HASH_BITS // 4
@@ -89,22 +89,29 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
     return total / float(samples)
 
 
-def _cuts(docs: DataFrame, rows_per_block: int, most: int = 10_000) -> list[int]:
-    """Ascending doc_ids at which blocks of about ``rows_per_block`` rows begin (at most ``most``)."""
-    blocks = min(-(-docs.count() // rows_per_block), most)
-    if blocks < 2:
-        return []
-    found = docs.stat.approxQuantile("doc_id", [i / blocks for i in range(1, blocks)], 0.2 / blocks)
-    return sorted({int(c) for c in found})
+def _block(ids: DataFrame, rows_per_block: int = 500, most: int = 100_000, segments: int = 256) -> Column:
+    """The block of a doc_id: ascending runs of ids, about ``rows_per_block`` rows each, at most ``most``.
 
-
-def _block(cuts: list[int], lo: int = 0, hi: int | None = None) -> Column:
-    """The number of cuts at or below doc_id (0 for null), as a balanced tree of comparisons."""
-    hi = len(cuts) if hi is None else hi
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(F.col("doc_id") >= cuts[mid], _block(cuts, mid + 1, hi)).otherwise(_block(cuts, lo, mid))
+    Segments are cut at approximate quantiles; each is cut into equal widths of ids. Null is in block 0.
+    """
+    size = ids.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
+    wanted = min(-(-size["n"] // rows_per_block), most)
+    if wanted < 2 or size["lo"] is None:
+        return F.lit(0)
+    count = min(wanted, segments)
+    each = -(-wanted // count)
+    found = ids.stat.approxQuantile("doc_id", [i / count for i in range(1, count)], 0.2 / count)
+    cuts = sorted({int(c) for c in found if size["lo"] < int(c) <= size["hi"]})
+    starts = [size["lo"], *cuts]
+    ends = [*cuts, size["hi"] + 1]
+    step = [max(1, -(-(b - a) // each)) for a, b in zip(starts, ends, strict=True)]
+
+    def place(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo * each) + F.floor((F.col("doc_id") - starts[lo]) / step[lo]).cast("int")
+        mid = (lo + hi) // 2
+        return F.when(F.col("doc_id") >= starts[mid + 1], place(mid + 1, hi)).otherwise(place(lo, mid))
+    return F.coalesce(place(0, len(starts) - 1), F.lit(0))
 
 
 def _first_rows(placed: DataFrame) -> DataFrame:
@@ -112,15 +119,15 @@ def _first_rows(placed: DataFrame) -> DataFrame:
     block before; that of the first block closes the last one. One row per block."""
     spark = placed.sparkSession
     least = placed.groupBy("block").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id")).alias("m"))
-    rows = sorted((r["block"], r["m"]["doc_id"]) for r in least.collect())      # at most 10,000
+    rows = sorted((r["block"], r["m"]["doc_id"]) for r in least.collect())      # at most 100,000 blocks
     ends = [(rows[i - 1][0], b, d) for i, (b, d) in enumerate(rows)]
-    at = spark.createDataFrame(ends, "ends int, b int, d bigint")
+    at = F.broadcast(spark.createDataFrame(ends, "ends int, b int, d bigint"))
     found = placed.join(at, (placed["block"] == at["b"]) & placed["doc_id"].eqNullSafe(at["d"]))
     return found.groupBy("ends", "doc_id").agg(F.min("text").alias("text")).select(
-        F.col("ends").alias("block"), "doc_id", "text", F.lit(1).alias("ghost"))
+        F.coalesce("ends", F.lit(0)).alias("block"), "doc_id", "text", F.lit(1).alias("ghost"))
 
 
-def with_next(docs: DataFrame, rows_per_block: int = 2_000) -> DataFrame:
+def with_next(docs: DataFrame) -> DataFrame:
     """(block, rn, ghost, doc_id, text, next_text): rows in order of (doc_id nulls first, text).
 
     Rows are sorted within blocks (runs of doc_ids). Each block ends with a ghost row, a copy of the
@@ -128,10 +135,12 @@ def with_next(docs: DataFrame, rows_per_block: int = 2_000) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    cuts = _cuts(docs.select("doc_id"), rows_per_block)
-    placed = docs.withColumn("block", _block(cuts).cast("int"))
-    ghosts = written(_first_rows(placed), "ghosts")
-    rows = placed.withColumn("ghost", F.lit(0)).unionByName(ghosts)
+    placed = docs.withColumn("block", _block(docs.select("doc_id")).cast("int"))
+    # read back as never null, so that both readers of the shuffle below have one plan and share it
+    ghosts = written(_first_rows(placed), "ghosts").withColumns(
+        {c: F.coalesce(c, F.lit(v)) for c, v in (("block", 0), ("ghost", 1))})
+    rows = (placed.withColumn("ghost", F.lit(0)).unionByName(ghosts)
+            .repartition(2 * partitions(docs.sparkSession), "block"))
     order = Window.partitionBy("block").orderBy("ghost", F.col("doc_id").asc_nulls_first(), "text")
     return rows.select("block", F.row_number().over(order).alias("rn"), "ghost", "doc_id", "text",
                        F.lead("text").over(order).alias("next_text"))
