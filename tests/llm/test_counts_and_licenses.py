@@ -1,8 +1,11 @@
 """Token histograms against plain sums; license notices and their inheritance."""
 
+import math
 import os
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidal.llm import licenses, token_counts as tc
 
@@ -51,3 +54,39 @@ def test_every_template_names_its_own_license(spark, frame):
     rows = [(f"{name}/{i}", text) for name, texts in licenses.TEMPLATES.items() for i, text in enumerate(texts)]
     got = {r.path: r.license for r in licenses.scan(frame(rows, "path string, text string")).collect()}
     assert got == {p: p.split("/")[0] for p, _ in rows}
+
+
+def cosine(text, texts, template):
+    """TF-IDF cosine by hand."""
+    def weigh(t):
+        terms = licenses._terms(t)
+        return {x: terms.count(x) * (math.log((1 + len(texts)) / (1 + sum(x in licenses._terms(o) for o in texts))) + 1) for x in terms}
+    a, b = weigh(text), weigh(template)
+    return sum(a[x] * b.get(x, 0) for x in a) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+
+
+def test_a_common_word_beside_the_notice_at_two_corpus_sizes(spark):
+    for n in (2_000, 200_000):
+        files = spark.range(n).selectExpr("cast(id as string) file", """case when id % 20 = 0 then
+            'This file is licensed under the MIT License.' else 'A file of other words.' end text""")
+        rare = math.log((1 + n) / (1 + n / 20)) + 1
+        expected = 3 * rare * rare / math.sqrt(3 * rare * rare * (3 * rare * rare + 1))
+        got = licenses.notices(files).agg(F.count("*").alias("n"), F.min("license").alias("l"), F.min("cosine").alias("lo"),
+                                          F.max("cosine").alias("hi")).first()
+        assert (got.n, got.l) == (n / 20, "MIT") and got.lo == got.hi == pytest.approx(expected, abs=1e-8)
+
+
+def test_cosines_are_those_of_all_terms(spark, frame, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{int(k ** 1.7)}" for k in range(60)]
+    base = [t for texts in licenses.TEMPLATES.values() for t in texts]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 6)) + rng.choice(base).split() + [f"only{i}"] * (i % 3)) for i in range(150)]
+    rows = [(str(i), t) for i, t in enumerate(texts)]
+    expected = {str(i): max(cosine(t, texts, b) for b in base) for i, t in enumerate(texts)}
+    expected = {k: v for k, v in expected.items() if v >= licenses.THRESHOLD}
+    assert 0 < len(expected) < len(texts)
+    for bits, frequent in ((20, 1e-3), (20, 1.1), (2, 1.1)):        # also when terms aren't held, or share buckets
+        monkeypatch.setattr(licenses, "BUCKET_BITS", bits)
+        monkeypatch.setattr(licenses, "FREQUENT", frequent)
+        got = {r.file: r.cosine for r in licenses.notices(frame(rows, "file string, text string")).collect()}
+        assert got == pytest.approx(expected, abs=1e-8)
