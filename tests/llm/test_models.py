@@ -1,11 +1,12 @@
 """Trained models: held-out accuracy, edge cases, the weak-label model."""
 
+import inspect
 import random
 
 import numpy as np
 import pyarrow as pa
 
-from tidal.llm import language, quality, toxicity
+from tidal.llm import html_training, language, quality, toxicity
 
 
 def prose(rng, n, letters="aeinorst"):
@@ -112,3 +113,9 @@ def test_quality_edges(spark, frame):
     assert [r.score for r in got if r.doc_id in (1, 2, 3)] == [0.0] * 3
     assert quality.at_least(docs, model, 0.0).columns == docs.columns
     assert quality.score(frame([]), quality.fit(frame([]))).count() == 0
+
+
+def test_documented_training_bounds():
+    bound = lambda f, name: inspect.signature(f).parameters[name].default
+    assert (bound(toxicity.fit, "max_per_class"), bound(quality.fit, "max_rows"), bound(language.identify, "max_rows"),
+            bound(html_training.training_pages, "n")) == (1500, 3000, 4000, 1200)
