@@ -2,6 +2,7 @@
 
 import inspect
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -119,3 +120,16 @@ def test_documented_training_bounds():
     bound = lambda f, name: inspect.signature(f).parameters[name].default
     assert (bound(toxicity.fit, "max_per_class"), bound(quality.fit, "max_rows"), bound(language.identify, "max_rows"),
             bound(html_training.training_pages, "n")) == (1500, 3000, 4000, 1200)
+
+
+def test_language_sample_has_every_language(spark, frame):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, 20, "vwxyz" if i % 1000 == 1 else "abcde"), "rare" if i % 1000 == 1 else "often") for i in range(8000)]
+    rows += rows[1:2] * 3000
+    docs = frame(rows, "doc_id bigint, text string, lang string")
+    learned = {i for i, _, v in rows if v == "rare" and zlib.crc32(str(i).encode()) % 4 != 2}
+    texts, languages = language.labelled_sample(docs, language.held_out("doc_id", 4, 2), 100)
+    assert languages.count("rare") == len(learned) > 3 and len(texts) == 100
+    assert (texts, languages) == language.labelled_sample(docs.repartition(7), language.held_out("doc_id", 4, 2), 100)
+    got = language.identify(docs, max_rows=100).where("doc_id % 1000 = 1").collect()
+    assert {r.lang_pred for r in got} == {"rare"}

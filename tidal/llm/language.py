@@ -3,8 +3,8 @@
 A text is the mean of the vectors of its words' byte n-grams (orders 2 to 4, with word edges, hashed
 into 2**16 buckets); a linear softmax over the learned languages scores the mean. Vectors and softmax
 are trained together by stochastic gradient descent (AdaGrad steps) on a bounded sample of labelled
-texts (``max_rows``, in order of a hash of the doc_id), each text once whole and once by a short piece,
-so that short texts are scored sensibly too. One fifth of the sample is kept back to calibrate: a
+texts (``max_rows``, dealt evenly over the languages, in order of a hash of the doc_id), each text once whole and once by a short piece,
+so that short texts are scored sensibly too. One fifth of each language is kept back to calibrate: a
 temperature is fitted, and the rejection limit is the least score at which kept-back predictions are right
 with the wanted precision.
 
@@ -22,12 +22,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidal.llm.common import python_ready, text_chunks
+from tidal.llm.common import python_ready, text_chunks, written
 from tidal.llm.subwords import padded, row_sums, word_lists
 
 ORDERS = (2, 3, 4)
 BITS = 16
 UNKNOWN = "und"
+LEAST_ROWS = 50
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -80,8 +81,11 @@ def train(texts: list[str], languages: list[str], dim: int = 12, epochs: int = 1
         return LanguageModel(known, np.zeros((size, 1), np.float32), np.zeros(1), 1.0, 0.0)
     y_all = np.array([known.index(v) for v in languages])
     order = rng.permutation(len(texts))
-    apart = order[: max(1, len(order) // 5)]
-    learn = order[len(apart):]
+    by_language = [order[y_all[order] == k] for k in range(len(known))]
+    apart = np.concatenate([i[:len(i) // 5] for i in by_language])
+    learn = rng.permutation(np.concatenate([i[len(i) // 5:] for i in by_language]))
+    if not len(apart):          # a few texts: calibrated on those learned from
+        apart = learn
     pieces, y = [], []
     for i in learn:
         words = texts[i].split()
@@ -146,13 +150,41 @@ def _limit(score: np.ndarray, right: np.ndarray, precision: float) -> float:
     return float(score[order][good[-1]]) if len(good) else 1.0
 
 
+def _quotas(counts: dict[str, int], max_rows: int) -> dict[str, int]:
+    """Rows to take per language: equal shares of ``max_rows``, what a rare one leaves going to the others,
+    and ``LEAST_ROWS`` of any language that has them."""
+    out, left = {}, max_rows
+    for k, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        share = min(n, -(-max(left, 0) // (len(counts) - k)))
+        left -= share
+        out[lang] = max(share, min(n, LEAST_ROWS))
+    return out
+
+
 def labelled_sample(docs: DataFrame, held_out: Column, max_rows: int) -> tuple[list[str], list[str]]:
-    """At most ``max_rows`` texts with their language that aren't held out, in order of a hash of doc_id."""
-    learn = docs.where(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    chosen = (learn.select("doc_id", "lang").orderBy(F.xxhash64(F.lit("lang"), "doc_id"), "doc_id").limit(max_rows)
-              .distinct())
-    rows = learn.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).limit(2 * max_rows).collect()
-    rows = sorted((r["doc_id"], r["lang"], r["text"]) for r in rows)[:max_rows]
+    """Texts with their language that aren't held out: of every language its quota, in order of a hash of
+    doc_id. At most ``max_rows`` in all, or ``LEAST_ROWS`` per language where that is more. Of rows that
+    repeat a doc_id and language one text is taken, by its hash."""
+    learn = docs.where(~held_out & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    ids = written(learn.select("doc_id", "lang").distinct(), "ids").withColumn("k", F.xxhash64(F.lit("lang"), "doc_id"))
+    counts = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return [], []
+    quotas = _quotas(counts, max_rows)
+    # hashes are spread evenly: a few more than the quota lie below its share of the range
+    bounds = [(lang, min(2**63 - 1, int(-2**63 + 2**64 * min(1.0, (q + 6 * q ** 0.5 + 20) / counts[lang]))))
+              for lang, q in quotas.items()]
+    spark = docs.sparkSession
+    below = F.broadcast(spark.createDataFrame(bounds, "lang string, below bigint"))
+    chosen, taken = [], dict.fromkeys(quotas, 0)
+    for r in sorted(ids.join(below, "lang").where("k <= below").select("k", "doc_id", "lang").collect()):
+        if taken[r["lang"]] < quotas[r["lang"]]:
+            taken[r["lang"]] += 1
+            chosen.append((r["doc_id"], r["lang"]))
+    picked = F.broadcast(spark.createDataFrame(chosen, "doc_id bigint, lang string"))
+    rows = learn.select("doc_id", "lang", "text").join(picked, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(
+        F.min(F.struct(F.xxhash64("text"), "text")).alias("m")).select("doc_id", "lang", "m.text").collect()
+    rows = sorted((r["doc_id"], r["lang"], r["text"]) for r in rows)
     return [t for _, _, t in rows], [v for _, v, _ in rows]
 
 
