@@ -133,3 +133,13 @@ def test_language_sample_has_every_language(spark, frame):
     assert (texts, languages) == language.labelled_sample(docs.repartition(7), language.held_out("doc_id", 4, 2), 100)
     got = language.identify(docs, max_rows=100).where("doc_id % 1000 = 1").collect()
     assert {r.lang_pred for r in got} == {"rare"}
+
+
+def test_quality_sample_holds_distinct_texts(spark, frame, monkeypatch):
+    rng = random.Random(7)
+    texts = [prose(rng, 12) for _ in range(120)]
+    least = frame([(i, t) for i, t in enumerate(texts)]).selectExpr("min(struct(xxhash64(text) k, text)).text t").first().t
+    docs = frame([(i, t) for i, t in enumerate(texts + [least] * 5000)])
+    monkeypatch.setattr(quality, "train", lambda sample, weak: sample)
+    assert set(quality.fit(docs, max_rows=500)) == set(texts)
+    assert len(quality.fit(docs, max_rows=50)) == 50

@@ -4,7 +4,7 @@ Ten labellers look at a whole text and vote good (+1), bad (-1) or abstain (0);
 Their votes are counted by pattern over the whole corpus. Expectation-maximisation on those counts
 estimates each labeller's vote probabilities given the hidden class (so its accuracy) and the share of
 good texts; the posterior of a pattern labels its texts. The posterior labels of a bounded sample of texts
-(``max_rows``, in order of a hash of the text) train a logistic scorer on the mean of hashed byte n-grams
+(``max_rows`` distinct ones, in order of a hash of the text) train a logistic scorer on the mean of hashed byte n-grams
 and the share of repeated words, which scores every text. No given label is used.
 
 The votes of a text cost a few array operations in Arrow batches; the pattern table has at most 3**10 rows.
@@ -220,7 +220,7 @@ def train(texts: list[str], weak: WeakModel, epochs: int = 15, rate: float = 1.0
 
 
 def fit(docs: DataFrame, max_rows: int = 3000) -> QualityModel:
-    """Weak labels from the votes on all texts; a scorer trained on at most ``max_rows`` of them."""
+    """Weak labels from the votes on all texts; a scorer trained on at most ``max_rows`` distinct ones."""
     spark = docs.sparkSession
     python_ready(spark)
     texts = docs.select(F.col("text").cast("string").alias("text"))
@@ -230,9 +230,9 @@ def fit(docs: DataFrame, max_rows: int = 3000) -> QualityModel:
     patterns = (ids[:, None] // 3 ** np.arange(len(LABELLERS))) % 3 - 1 if len(ids) else np.zeros((0, len(LABELLERS)))
     voted = (patterns != 0).any(1) if len(ids) else np.zeros(0, bool)           # texts without words don't count
     weak = expectation_maximisation(patterns[voted], np.array([r["n"] for r in rows])[voted] if len(ids) else np.zeros(0))
-    # the least hashes first (8 bytes a row), then only their texts
+    # the least distinct hashes first (8 bytes each), then only their texts
     keyed = texts.where("text is not null").select("text", F.xxhash64("text").alias("k"))
-    last = keyed.select("k").orderBy("k").limit(max_rows).agg(F.max("k")).first()[0]
+    last = keyed.select("k").distinct().orderBy("k").limit(max_rows).agg(F.max("k")).first()[0]
     sample = (keyed.where(F.col("k") <= last).dropDuplicates(["k"]).orderBy("k").collect() if last is not None else [])
     return train([r["text"] for r in sample], weak)
 
