@@ -6,6 +6,7 @@ latest-rule filter are query parameters (literal rows with fixed times).
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -376,19 +377,24 @@ def q_rule_gate_topics(spark, sf_dir, streaming=False):
     return _output_topic(spark, root, "actions-filtered")
 
 
+def _optional(name: str):
+    """The module, or None when it, or the training-data folder it stands on, is not there."""
+    try:
+        return importlib.import_module(name)
+    except ImportError as e:
+        absent = e.name or ""
+        if absent == name or absent == "tidal.llm" or absent.startswith("tidal.llm."):
+            return None
+        raise
+
+
 def _llm():
     """The training-data queries, when their folder is there (nothing else depends on it)."""
-    if not os.path.isfile(os.path.join(_HERE, "tidal", "llm", "queries.py")):
-        return None
-    from tidal.llm import queries as llm
-    return llm
+    return _optional("tidal.llm.queries")
 
 
 def _pipeline():
-    if not os.path.isfile(os.path.join(_HERE, "corpus_pipeline.py")):
-        return None
-    import corpus_pipeline
-    return corpus_pipeline
+    return _optional("corpus_pipeline")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

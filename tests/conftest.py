@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 import tempfile
@@ -9,14 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tidal.session import get_session  # noqa: E402
 
-BASE = dt.datetime(2024, 1, 1)
-
-
-def at(seconds: int) -> dt.datetime:
-    """Timestamp ``seconds`` after a fixed base."""
-    return BASE + dt.timedelta(seconds=seconds)
-
-
 @pytest.fixture(scope="session")
 def spark():
     ckpt = tempfile.mkdtemp(prefix="tidal-test-ckpt-")

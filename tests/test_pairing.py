@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import at
+from moments import at
 from sim import counts, simulate_pairing
 from tidal.operators.blocks import BLOCK, ordered_blocks
 from tidal.operators.pairing import ORDER, _tagged, pair_user_action

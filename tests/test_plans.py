@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import at
+from moments import at
 from tidal import schemas
 from tidal.functions.codec import decode_json, decode_json_report
 from tidal.operators.join import user_action_join

@@ -2,7 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import at
+from moments import at
 from sim import counts, simulate_rules
 from tidal.operators.rules import rule_filter, rule_filter_single
 from tidal.streaming.rules import rule_filter_stream

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from conftest import at
+from moments import at
 from tidal import schemas
 from tidal.plans import enrich_topology, rule_gate_topology, table_join_topology
 from tidal.sources.topics import (kafka_sink_options, kafka_source_options, read_json_topic,
