@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidal.llm import (decontamination, fingerprints, html_extract, language, licenses, merkle, mixing, ngram_join, quality,
+from tidal.llm import (conversations, decontamination, fingerprints, html_extract, language, licenses, merkle, mixing, ngram_join, quality,
                        token_counts, toxicity)
 from tidal.llm.common import read_table
 
@@ -60,6 +60,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(read_table(spark, sf_dir, "conversations")), "gone")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -72,9 +76,11 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_html_extract": op10_html_extract,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 #: The first ten can't be put in SQL as a whole; tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op12_merkle_manifest": merkle.oracle(),
+    "op13_conversation_repair": conversations.oracle(),
 }
