@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidal.llm import (conversations, decontamination, fingerprints, html_extract, language, licenses, merkle, mixing, ngram_join, quality,
-                       token_counts, toxicity)
+from tidal.llm import (conversations, decontamination, fingerprints, html_extract, language, language_model, licenses,
+                       merkle, mixing, ngram_join, quality, token_counts, toxicity)
 from tidal.llm.common import read_table
 
 
@@ -56,6 +56,10 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read_table(spark, sf_dir, "documents"))
 
@@ -75,11 +79,12 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_licenses": op9_licenses,
     "op10_html_extract": op10_html_extract,
+    "op11_language_model": op11_language_model,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
-#: The first ten can't be put in SQL as a whole; tests hold them against brute force.
+#: The others can't be put in SQL as a whole; tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op12_merkle_manifest": merkle.oracle(),
     "op13_conversation_repair": conversations.oracle(),
