@@ -61,12 +61,35 @@ class Vocabulary:
     distinct: int           # V: distinct training tokens
     others: np.ndarray      # smoothed mass of the words of each ending
 
+    def __post_init__(self):
+        bits = max(4, int(len(self.hashes)).bit_length() + 2)
+        tops = np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(64 - bits) if len(self.hashes) else np.zeros(1, np.uint64)
+        starts = np.searchsorted(self.hashes, tops[:-1])
+        # where the hashes with each leading bits begin (the one past the last bits: their number)
+        object.__setattr__(self, "starts", np.r_[starts, len(self.hashes)].astype(np.int32))
+        object.__setattr__(self, "shift", np.uint64(64 - bits))
+
+    def own(self) -> Vocabulary:
+        """The words with vectors only."""
+        keep = self.number < self.size
+        return Vocabulary(self.hashes[keep], self.counts[keep], self.number[keep], self.size, self.total, self.distinct, self.others)
+
     def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in the table, found) of word hashes."""
         if not len(self.hashes):
             return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return at, self.hashes[at] == h
+        top = h >> self.shift
+        at, end = self.starts[top], self.starts[1:][top]
+        found = at < end
+        np.minimum(at, len(self.hashes) - 1, out=at)
+        found &= self.hashes[at] == h
+        left = np.flatnonzero(~found & (at + 1 < end))
+        while len(left):
+            at[left] += 1
+            hit = self.hashes[at[left]] == h[left]
+            found[left] = hit
+            left = left[~hit & (at[left] + 1 < end[left])]
+        return at, found
 
     def numbers(self, at: np.ndarray, found: np.ndarray, endings: np.ndarray) -> np.ndarray:
         own = self.number[at] if len(self.hashes) else 0
@@ -213,6 +236,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def _order(numbers: np.ndarray) -> np.ndarray:
+    """A stable sorting order (of 16-bit numbers by radix, where they fit)."""
+    return np.argsort(numbers.astype(np.uint16) if not len(numbers) or numbers.max() < 1 << 16 else numbers, kind="stable")
+
+
 class _Trainer:
     """NCE steps on one task's tokens."""
 
@@ -239,7 +267,7 @@ class _Trainer:
 
     def step(self, w1: np.ndarray, w2: np.ndarray, y: np.ndarray) -> None:
         p, rng, n = self.p, self.rng, len(y)
-        order = np.argsort(y, kind="stable")
+        order = _order(y)
         w1, w2, y = w1[order], w2[order], y[order]
         c, q, r, w = (x[:, :DIM] for x in p.parts())
         cb, qb = p.parts()[0][:, DIM], p.parts()[1][:, DIM]
@@ -288,14 +316,14 @@ class _Trainer:
             rows = np.concatenate([yk[at], noise.reshape(-1)])
             grads = np.concatenate([np.c_[np.add.reduceat(gw[:, None] * hk, at), np.add.reduceat(gw, at)],
                                     dn.reshape(-1, DIM + 1)])
-            order = np.argsort(rows, kind="stable")
+            order = _order(rows)
             rows = rows[order]
             at2 = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
             word_step = rows[at2], np.add.reduceat(grads[order], at2), np.add.reduceat(
                 np.r_[np.diff(np.r_[at, known]), np.ones(noise.size)][order], at2)
         both, rows = np.concatenate([dh * w[0], dh * w[1]]), np.concatenate([w1, w2])
         dw = np.stack([(dh * r1).sum(0), (dh * r2).sum(0)])
-        order = np.argsort(rows, kind="stable")
+        order = _order(rows)
         rows = rows[order]
         at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
         dr = np.zeros((len(at), DIM + 1), np.float32)
@@ -318,6 +346,7 @@ def _train(shared, rate: float, seed: int):
     """A task's texts -> its parameters, in slices, each row times its use."""
     def run(batches):
         v, start = shared.value
+        v = v.own()
         context = TaskContext.get()
         trainer = _Trainer(start, rate, seed + 7919 * (context.partitionId() if context else 0))
         for batch in batches:
@@ -368,17 +397,24 @@ def train(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS, rate: float = R
 # --- scoring --------------------------------------------------------------------------------
 
 def _log_sum(x: np.ndarray) -> np.ndarray:
+    """Log of the sum of exponentials of each row; ``x`` is used up."""
+    top = x.max()
+    if x.min() > top - 60:          # one shift will do for all rows
+        x -= top
+        np.exp(x, out=x)
+        return np.log(x @ np.ones(x.shape[1], x.dtype)) + top
     top = x.max(1)
-    np.exp(x - top[:, None], out=x)
-    return np.log(x.sum(1)) + top
+    x -= top[:, None]
+    np.exp(x, out=x)
+    return np.log(x @ np.ones(x.shape[1], x.dtype)) + top
 
 
-def log_probabilities(p: Parameters, w1: np.ndarray, w2: np.ndarray, y: np.ndarray, block: int = 1 << 15) -> np.ndarray:
+def log_probabilities(p: Parameters, w1: np.ndarray, w2: np.ndarray, y: np.ndarray, block: int = 1 << 14) -> np.ndarray:
     """Natural log-probability of each token number after its context (of an ending for words without a vector)."""
     out = np.empty(len(y))
     c, q, r, w = p.parts()
     for at in range(0, len(y), block):
-        order = np.argsort(y[at:at + block], kind="stable")
+        order = _order(y[at:at + block])
         yk = y[at:at + block][order]
         h = r[w1[at:at + block][order], :DIM] * w[0, :DIM] + r[w2[at:at + block][order], :DIM] * w[1, :DIM]
         of = p.class_of(yk)
