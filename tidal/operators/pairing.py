@@ -38,17 +38,30 @@ from tidal.operators.blocks import BLOCK, ROWS_PER_BLOCK, ordered_blocks
 from tidal.session import default_blocks, written
 
 USER_RANK, ACTION_RANK = 0, 1          # on equal ``ts`` a user record sorts before an action
-ORDER = ["ts", "_rank", "seq"]
+# the order of a user's events; a column that the input lacks is left out. ``HELD`` puts a state carried in first.
+HELD = "_held"
+ORDER = [HELD, "ts", "_rank", "topic", "partition", "seq"]
+POSITION = ("topic", "partition")
 OUTPUT = ["userId", "name", "action", "ts", "seq"]
 HOT_ROWS_FLOOR = ROWS_PER_BLOCK      # a hot user always fills at least two blocks
 TAGGED_COLUMNS = ["userId", "_rank", "ts", "seq", "name", "action"]
 
 
+def positions(*frames: DataFrame) -> list[str]:
+    """The columns of a record's place (topic, partition) that all ``frames`` have."""
+    return [c for c in POSITION if all(c in df.columns for df in frames)]
+
+
+def order_of(ev: DataFrame) -> list[str]:
+    return [c for c in ORDER if c in ev.columns]
+
+
 def _tagged(users: DataFrame, actions: DataFrame) -> DataFrame:
     null = F.lit(None).cast("string")
-    u = users.select("userId", F.lit(USER_RANK).alias("_rank"), "ts", "seq", "name",
+    place = positions(users, actions)
+    u = users.select("userId", F.lit(USER_RANK).alias("_rank"), "ts", *place, "seq", "name",
                      null.alias("action"))
-    a = actions.select("userId", F.lit(ACTION_RANK).alias("_rank"), "ts", "seq",
+    a = actions.select("userId", F.lit(ACTION_RANK).alias("_rank"), "ts", *place, "seq",
                        null.alias("name"), "action")
     # Null ids are dropped: keyed partitioning of the source rejects them.
     return u.unionByName(a).where(F.col("userId").isNotNull())
@@ -56,7 +69,7 @@ def _tagged(users: DataFrame, actions: DataFrame) -> DataFrame:
 
 def _local_scan(blocked: DataFrame) -> DataFrame:
     """Per (user, block) forward scan; every column is local to the block."""
-    w = Window.partitionBy("userId", BLOCK).orderBy(*ORDER)
+    w = Window.partitionBy("userId", BLOCK).orderBy(*order_of(blocked))
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     is_u = F.col("_rank") == USER_RANK
@@ -118,8 +131,9 @@ def pair_user_action(users: DataFrame, actions: DataFrame, blocks: int | None =
     """Pair actions with remembered users per ``userId``.
 
     ``users``: ``userId, name, ts, seq``; ``actions``: ``userId, action, ts, seq``. Order is
-    ``(ts, user before action, seq)``. Output ``userId, name, action, ts, seq`` where ``ts``/``seq``
-    are those of the record that triggered the output. ``blocks`` is the number of ordered blocks of
+    ``(ts, user before action, seq)``, with ``topic`` and ``partition`` before ``seq`` where both inputs have
+    them. Output ``userId, name, action, ts, seq`` (and those two) where ``ts``/``seq`` are those of the record
+    that triggered the output. ``blocks`` is the number of ordered blocks of
     the hot users' rows (default: by their number); ``hot_key_rows`` sets the hot-user threshold.
     """
     return pair_tagged(_tagged(users, actions), blocks, hot_key_rows)
@@ -131,6 +145,30 @@ def pair_tagged(ev: DataFrame, blocks: int | None = None, hot_key_rows: int | No
     ``hot_key_rows`` overrides the hot-user threshold (default: ``rows / (4 x blocks)``, at
     least ``HOT_ROWS_FLOOR``).
     """
+    return _both(_scanned(ev, blocks, hot_key_rows), _emit)
+
+
+def pair_and_hold(ev: DataFrame, blocks: int | None = None, hot_key_rows: int | None = None) -> DataFrame:
+    """The pairing's output and the cells held at the end, from one scan.
+
+    ``kind`` is ``out`` (rows of ``pair_tagged``) or ``cell`` (per user and block: ``name`` and ``action`` held, with
+    ``has_user`` and ``has_action`` as they may be null; a user's last ``block`` counts). Held cells of earlier input take part as
+    events of their own kind in front (``HELD`` 0, all others 1): such an event sets the cell and emits nothing.
+    """
+    return _both(_scanned(ev, blocks, hot_key_rows), _emit_and_hold)
+
+
+def held_events(cells: DataFrame, like: DataFrame) -> DataFrame:
+    """Non-empty cells as first events for ``pair_and_hold``, with the columns of ``like``."""
+    own = {"userId": F.col("userId"), HELD: F.lit(0), "name": F.when(F.col("has_user"), F.col("name")),
+           "action": F.when(F.col("has_action"), F.col("action")),
+           "_rank": F.when(F.col("has_user"), F.lit(USER_RANK)).otherwise(F.lit(ACTION_RANK))}
+    return cells.where(F.col("has_user") | F.col("has_action")).select(
+        *[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+
+
+def _scanned(ev: DataFrame, blocks: int | None, hot_key_rows: int | None) -> list[DataFrame]:
+    """The scans of the cold users and, if there are any, of the hot ones, with each block's carry-in."""
     ev = ev.where(F.col("userId").isNotNull())
     n_blocks = blocks or default_blocks(ev.sparkSession)
     per_user = ev.groupBy("userId").count()                # partial aggregate: map-side combine
@@ -138,36 +176,70 @@ def pair_tagged(ev: DataFrame, blocks: int | None = None, hot_key_rows: int | No
     if hot_key_rows is None:
         hot_key_rows = max(HOT_ROWS_FLOOR, -(-(stats["rows"] or 0) // (4 * n_blocks)))
     if (stats["top"] or 0) <= hot_key_rows:
-        return _emit(_local_scan(ev.withColumn(BLOCK, F.lit(0))), carry=None)
+        return [_carried(_local_scan(ev.withColumn(BLOCK, F.lit(0))), None)]
     hot = written(per_user.where(F.col("count") > hot_key_rows).select("userId"), "hot-users")
-    cold = _emit(_local_scan(ev.join(hot, "userId", "left_anti").withColumn(BLOCK, F.lit(0))), carry=None)
-    blocked = ordered_blocks(ev.join(hot, "userId", "left_semi"), ORDER, keys=["userId"], blocks=blocks)
+    cold = _local_scan(ev.join(hot, "userId", "left_anti").withColumn(BLOCK, F.lit(0)))
+    blocked = ordered_blocks(ev.join(hot, "userId", "left_semi"), order_of(ev), keys=["userId"], blocks=blocks)
     local = _local_scan(blocked)
-    return cold.unionByName(_emit(local, carry=written(_carry(local), "carry")))
+    return [_carried(cold, None), _carried(local, written(_carry(local), "carry"))]
 
 
-def _emit(local: DataFrame, carry: DataFrame | None) -> DataFrame:
-    """Rows that emit, from the per-(user, block) scan plus the carry-in of each block."""
+def _both(scans: list[DataFrame], result) -> DataFrame:
+    out = result(scans[0])
+    return out if len(scans) == 1 else out.unionByName(result(scans[1]))
+
+
+def _carried(local: DataFrame, carry: DataFrame | None) -> DataFrame:
+    """The per-(user, block) scan with the carry-in of each block."""
     if carry is None:
-        j = local.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
+        return local.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
             ("_pk_in", "int"), ("_pa_in", "string"), ("_lu_in", "struct<name:string>"),
             ("_lock_in", "int"))])
-    else:
-        j = local.join(carry, (F.col(BLOCK) == F.col("_cblk")) & (F.col("userId") == F.col("_cu")), "left")
+    return local.join(carry, (F.col(BLOCK) == F.col("_cblk")) & (F.col("userId") == F.col("_cu")), "left")
+
+
+def _rows(j: DataFrame) -> tuple[F.Column, list[F.Column]]:
+    """Whether a row emits, and the columns it emits."""
     first = F.col("_pk").isNull()
     pk = F.when(first, F.col("_pk_in")).otherwise(F.col("_pk"))
     pa = F.when(first, F.col("_pa_in")).otherwise(F.col("_pa"))
-    group_first_locks = (F.col("_fk") == USER_RANK) & (F.col("_pk_in").isNull()
-                                                       | (F.col("_pk_in") == USER_RANK))
     locked_before = ((F.coalesce(F.col("_lock_in"), F.lit(0)) == 1)
                      | (F.col("_lock_before") == 1)
-                     | (~first & group_first_locks))
+                     | (~first & _first_locks()))
     is_u = F.col("_rank") == USER_RANK
     user_emits = is_u & (pk == ACTION_RANK) & ~locked_before
     action_emits = ~is_u & locked_before
-    latest_user = F.coalesce(F.col("_lu"), F.col("_lu_in"))
-    return j.where(user_emits | action_emits).select(
+    return user_emits | action_emits, [
         F.col("userId"),
-        F.when(is_u, F.col("name")).otherwise(latest_user["name"]).alias("name"),
+        F.when(is_u, F.col("name")).otherwise(_latest_user()["name"]).alias("name"),
         F.when(is_u, pa).otherwise(F.col("action")).alias("action"),
-        F.col("ts"), F.col("seq"))
+        F.col("ts"), *[F.col(c) for c in positions(j)], F.col("seq")]
+
+
+def _first_locks():
+    """The first row of the (user, block) group is a locking event."""
+    return (F.col("_fk") == USER_RANK) & (F.col("_pk_in").isNull() | (F.col("_pk_in") == USER_RANK))
+
+
+def _latest_user():
+    return F.coalesce(F.col("_lu"), F.col("_lu_in"))
+
+
+def _emit(j: DataFrame) -> DataFrame:
+    emits, row = _rows(j)
+    return j.where(emits).select(*row)
+
+
+def _emit_and_hold(j: DataFrame) -> DataFrame:
+    """Rows that emit, and each group's cells after its last row."""
+    emits, row = _rows(j)
+    locked = (F.coalesce(F.col("_lock_in"), F.lit(0)) == 1) | (F.col("_lock_upto") == 1) | _first_locks()
+    waits = ~locked & (F.col("_rank") == ACTION_RANK)
+    no = F.lit(False)
+    out = F.struct(F.lit("out").alias("kind"), *row, no.alias("has_user"), no.alias("has_action"), F.lit(0).alias("block"))
+    rest = [F.lit(None).cast(j.schema[c].dataType).alias(c) for c in ("ts", *positions(j), "seq")]
+    cell = F.struct(F.lit("cell").alias("kind"), F.col("userId"), F.when(locked, _latest_user()["name"]).alias("name"),
+                    F.when(waits, F.col("action")).alias("action"), *rest, locked.alias("has_user"), waits.alias("has_action"),
+                    F.col(BLOCK).alias("block"))
+    both = F.array_compact(F.array(F.when(emits, out), F.when(F.col("_end"), cell)))
+    return j.select(F.explode(both).alias("r")).select("r.*")

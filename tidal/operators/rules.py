@@ -15,9 +15,14 @@ literal. The exploded table is written first, so its size in bytes decides the j
 over the actions without a shuffle when it is below the broadcast threshold; beyond it the join
 shuffles on the bucket and AQE's skew join splits a hot bucket.
 
-For rule tables too large to sort in one task, the rules and actions are merged into one ordered
-sequence and cut into ordered blocks instead (``tidal.operators.blocks``): a running ``last``
+The intervals come from a ``lead`` within range-partitioned blocks of the rules; a block's last rule ends at
+the next block's first time, from a table of one row per block. No task sorts all rules, whatever their number.
+
+Where rule times are so uneven that a bucket is crowded with intervals, rules and actions are merged into one
+ordered sequence and cut into ordered blocks instead (``tidal.operators.blocks``): a running ``last``
 within each block, and the rule carried in from earlier blocks from a one-row-per-block table.
+
+Among rules (and actions) of one time, ``topic`` and ``partition`` come before ``seq`` where the rows have them.
 """
 
 from __future__ import annotations
@@ -30,13 +35,13 @@ from pyspark.sql import types as T
 
 from tidal.functions.predicates import null_safe_contains
 from tidal.operators.blocks import BLOCK, ordered_blocks
+from tidal.operators.pairing import positions
 from tidal.session import written
 
 RULE_RANK, ACTION_RANK = 0, 1
-ORDER = ["ts", "_rank", "seq"]
-OUTPUT = ["actionId", "userId", "action", "ts", "seq"]
+ORDER = ["ts", "_rank", "topic", "partition", "seq"]        # a column that the input lacks is left out
 
-RULES_SORT_LIMIT = 1_000_000        # rules ordered in one task to form intervals
+RULES_PER_BLOCK = 250_000           # rules that one task orders
 BUCKETS_PER_RULE = 4
 MAX_INTERVALS_PER_BUCKET = 64       # candidates one action may be checked against
 
@@ -49,18 +54,27 @@ def _micros(ts, dtype):
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def _ts_literal(value, dtype):
+def ts_literal(value, dtype):
     if isinstance(dtype, T.TimestampNTZType):
         return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
     return F.lit(value)
 
 
+def _order(df: DataFrame) -> list[str]:
+    return [c for c in ORDER if c in df.columns]
+
+
+def _output(actions: DataFrame) -> list[str]:
+    return ["actionId", "userId", "action", "ts", *positions(actions), "seq"]
+
+
 def _tagged(actions: DataFrame, rules: DataFrame) -> DataFrame:
     null = F.lit(None).cast("string")
-    r = rules.select(F.lit(RULE_RANK).alias("_rank"), "ts", "seq",
+    place = positions(actions, rules)
+    r = rules.select(F.lit(RULE_RANK).alias("_rank"), "ts", *place, "seq",
                      null.alias("actionId"), null.alias("userId"), null.alias("action"),
                      F.struct(F.col("ruleId"), F.col("allowedActions")).alias("_rule"))
-    a = actions.select(F.lit(ACTION_RANK).alias("_rank"), "ts", "seq", "actionId", "userId",
+    a = actions.select(F.lit(ACTION_RANK).alias("_rank"), "ts", *place, "seq", "actionId", "userId",
                        "action", F.lit(None).cast(r.schema["_rule"].dataType).alias("_rule"))
     return r.unionByName(a)
 
@@ -76,7 +90,7 @@ def rule_filter(actions: DataFrame, rules: DataFrame, blocks: int | None = None,
 
     ``actions``: ``actionId, userId, action, ts, seq``; ``rules``: ``ruleId, allowedActions, ts,
     seq``. Output: the passing actions with the same columns. ``method``: ``"intervals"``,
-    ``"blocks"`` or ``"auto"`` (intervals unless the rule count exceeds ``RULES_SORT_LIMIT``).
+    ``"blocks"`` or ``"auto"`` (intervals unless rule times crowd a bucket).
     ``initial`` (``(ruleId, allowedActions)``) is the rule held before the first rule row, e.g.
     the rule carried over from an earlier micro-batch; by default no rule is held.
     """
@@ -90,15 +104,13 @@ def rule_filter(actions: DataFrame, rules: DataFrame, blocks: int | None = None,
         F.count(F.lit(1)).alias("n"),
         F.min(_micros(F.col("ts"), ts_type)).alias("lo"),
         F.max(_micros(F.col("ts"), ts_type)).alias("hi"),
-        F.max_by(F.struct("ts", "ruleId", "allowedActions"), F.struct("ts", "seq")).alias("tail"),
+        F.max_by(F.struct("ts", "ruleId", "allowedActions"), F.struct(*_order(rules))).alias("tail"),
     ).first()
     if stats["n"] == 0:
         if init is None:
-            return actions.where(F.lit(False)).select(*OUTPUT)
+            return actions.where(F.lit(False)).select(*_output(actions))
         return actions.where(null_safe_contains(init["allowedActions"], F.col("action"))) \
-            .select(*OUTPUT)
-    if method == "auto" and stats["n"] > RULES_SORT_LIMIT:
-        return _rule_filter_blocked(actions, rules, blocks, init)
+            .select(*_output(actions))
     out = _rule_filter_intervals(actions, rules, stats, ts_type, init,
                                  guard=(method == "auto"))
     return out if out is not None else _rule_filter_blocked(actions, rules, blocks, init)
@@ -112,22 +124,35 @@ def _literal_rule(tail) -> F.Column:
                     items.alias("allowedActions"))
 
 
+def with_next(rules: DataFrame, n: int, per_block: int | None = None) -> DataFrame:
+    """``rules`` with ``next_ts``, the time of the rule after it (null for the last). ``n`` is their number."""
+    order = _order(rules)
+    blocks = max(1, -(-n // (per_block or RULES_PER_BLOCK)))
+    by_time = Window.partitionBy(BLOCK).orderBy(*order)
+    if blocks == 1:
+        return rules.withColumn(BLOCK, F.lit(0)).withColumn("next_ts", F.lead("ts").over(by_time)).drop(BLOCK)
+    blocked = ordered_blocks(rules, order, blocks=blocks)
+    local = blocked.withColumn("next_ts", F.lead("ts").over(by_time))
+    after = blocked.groupBy(BLOCK).agg(F.min("ts").alias("_first")).select(
+        BLOCK, F.lead("_first").over(Window.orderBy(BLOCK)).alias("_after"))        # one row per block
+    return local.join(after, BLOCK).withColumn("next_ts", F.coalesce("next_ts", "_after")).drop(BLOCK, "_after")
+
+
 def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats, ts_type,
                            init: F.Column | None = None, guard: bool = False) -> DataFrame | None:
     """The interval join; None when ``guard`` finds a bucket crowded with intervals (rule times
     so uneven that the span-based width lumps many of them together)."""
     tail = stats["tail"]
     # the open last interval: one rule, applied as a literal
-    tail_rule = F.when(F.col("ts") >= _ts_literal(tail["ts"], ts_type), _literal_rule(tail))
+    tail_rule = F.when(F.col("ts") >= ts_literal(tail["ts"], ts_type), _literal_rule(tail))
     if stats["n"] == 1 or stats["hi"] == stats["lo"]:
         rule, kept = tail_rule, actions
     else:
         # Any bucket function monotone in time is exact here: an action inside [from, to) has a
         # bucket between those of ``from`` and ``to - 1us``, which the interval is exploded over.
         width = max(1, math.ceil((stats["hi"] - stats["lo"]) / (BUCKETS_PER_RULE * stats["n"])))
-        by_time = Window.orderBy("ts", "seq")        # one task; rule count checked above
-        iv = rules.select(F.struct("ruleId", "allowedActions").alias("_rule"),
-                          F.col("ts").alias("_from"), F.lead("ts").over(by_time).alias("_to"))
+        iv = with_next(rules, stats["n"]).select(F.struct("ruleId", "allowedActions").alias("_rule"),
+                                                 F.col("ts").alias("_from"), F.col("next_ts").alias("_to"))
         exploded = iv.where(F.col("_to") > F.col("_from")).select(
             "_rule", "_from", "_to",
             F.explode(F.sequence(F.floor(_micros(F.col("_from"), ts_type) / width),
@@ -144,18 +169,19 @@ def _rule_filter_intervals(actions: DataFrame, rules: DataFrame, stats, ts_type,
     if init is not None:                  # before the first rule row: the rule held before
         rule = F.coalesce(rule, init)
     return kept.where(rule.isNotNull() & null_safe_contains(rule["allowedActions"], F.col("action"))) \
-        .select(*OUTPUT)
+        .select(*_output(actions))
 
 
 def _rule_filter_blocked(actions: DataFrame, rules: DataFrame, blocks: int | None,
                          init: F.Column | None = None) -> DataFrame:
     ev = _tagged(actions, rules)
-    blocked = ordered_blocks(ev, ORDER, blocks=blocks)
-    w = Window.partitionBy(BLOCK).orderBy(*ORDER).rowsBetween(
+    order = _order(ev)
+    blocked = ordered_blocks(ev, order, blocks=blocks)
+    w = Window.partitionBy(BLOCK).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = blocked.select(
         "*", F.last("_rule", ignorenulls=True).over(w).alias("_cur"),
-        F.lead("_rank").over(Window.partitionBy(BLOCK).orderBy(*ORDER)).isNull().alias("_last"))
+        F.lead("_rank").over(Window.partitionBy(BLOCK).orderBy(*order)).isNull().alias("_last"))
     # the rule held at the end of each block (local), then carried forward across blocks
     summary = local.where("_last").select(BLOCK, F.col("_cur").alias("_end"))
     prior = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)   # tiny: per block
@@ -166,8 +192,9 @@ def _rule_filter_blocked(actions: DataFrame, rules: DataFrame, blocks: int | Non
     rule = F.coalesce(F.col("_cur"), F.col("_in"))
     if init is not None:
         rule = F.coalesce(rule, init)
+    place = positions(actions, rules)
     return j.where(rule.isNotNull() & null_safe_contains(rule["allowedActions"], F.col("action"))) \
-        .select(*OUTPUT)
+        .select("actionId", "userId", "action", "ts", *place, "seq")
 
 
 def rule_filter_single(actions: DataFrame, allowed: list[str | None]) -> DataFrame:

@@ -1,28 +1,37 @@
-"""Keyed pairing on streams: ``groupBy(userId).transformWithStateInPandas``.
+"""Keyed pairing on streams.
 
 The state machine is the one documented in ``tidal.operators.pairing``: two value states per user
-id (remembered user, waiting action). Each key's rows of a micro-batch arrive as pandas frames and
-are ordered by ``(ts, user before action, seq)``; the state carried in from earlier batches
-becomes a virtual first event, and the closed form of the batch operator is then evaluated with
-vectorised numpy (shifts, cumulative counts, forward index fills) -- no per-row Python. Across
-micro-batches, processing order rules. A hot user id is handled by one task per micro-batch, as
-any per-key sequential state machine must be; bound the batch with ``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``.
+id (remembered user, waiting action). Across micro-batches, processing order rules; within one, records
+are taken in ``(ts, user before action, topic, partition, seq)`` order.
+
+``pair_microbatch`` (JVM only, the form for large streams): the cells are a table of versions by batch id
+(``tidal.streaming.batchlog``). A micro-batch joins its users' latest cells, puts them in front as events of their
+own, and runs the batch operator over the lot: windows per user, and ordered blocks for a user with too many
+rows for one task. The cells after the batch are appended to the table. A retried batch writes the same files.
+
+``pair_tagged_stream`` (a streaming DataFrame, to be composed): ``groupBy(userId).transformWithStateInPandas``. Each
+key's rows of a micro-batch arrive as pandas frames; the state carried in becomes a virtual first event, and the closed
+form of the batch operator is evaluated with vectorised numpy. PySpark builds those frames row by row in Python and one
+task handles a user's micro-batch: bound the batches with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``.
 """
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tidal.operators.pairing import ACTION_RANK, USER_RANK, _tagged
-from tidal.session import ensure_state_store, ship_package
+from tidal.operators.pairing import (ACTION_RANK, HELD, USER_RANK, _tagged, held_events, pair_and_hold,
+                                     positions)
+from tidal.session import ensure_state_store, shared_dir, ship_package
+from tidal.streaming.batchlog import BatchLog, delete, fixed_setting
 
-OUTPUT_SCHEMA = "userId string, name string, action string, ts timestamp_ntz, seq long"
-OUTPUT_COLUMNS = ["userId", "name", "action", "ts", "seq"]
 NO_KIND = -1
 
 
@@ -32,7 +41,11 @@ KIND = "kind"
 
 
 def _sort_key(col: pd.Series) -> np.ndarray:
-    """int64 sort key with missing values first."""
+    """int64 sort key with missing values first (of texts: their rank by UTF-8 bytes)."""
+    if col.dtype == object:
+        known = sorted({v for v in col if v is not None}, key=lambda v: v.encode())
+        rank = {v: i for i, v in enumerate(known)}
+        return np.array([rank.get(v, -1) for v in col], np.int64)
     if pd.api.types.is_datetime64_any_dtype(col):
         return col.to_numpy(dtype="datetime64[ns]").view(np.int64)   # NaT is the least int64
     if col.isna().any():
@@ -45,8 +58,9 @@ def arrival_sorted(frames) -> pd.DataFrame:
     frames = list(frames)
     batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
     if len(batch) > 1:
-        order = np.lexsort((_sort_key(batch["seq"]), _sort_key(batch[KIND]),
-                            _sort_key(batch["ts"])))
+        place = [c for c in ("partition", "topic") if c in batch.columns]
+        order = np.lexsort((_sort_key(batch["seq"]), *[_sort_key(batch[c]) for c in place],
+                            _sort_key(batch[KIND]), _sort_key(batch["ts"])))
         if (np.diff(order) < 0).any():
             return batch.take(order).reset_index(drop=True)
     return batch.reset_index(drop=True)
@@ -83,6 +97,7 @@ def pair_batch(b: pd.DataFrame, user: tuple | None, waiting: tuple | None):
             "name": np.where(is_u, names, user_name)[emit],
             "action": np.where(is_u, pa, acts)[emit],
             "ts": b["ts"].to_numpy()[emit],
+            **{c: b[c].to_numpy()[emit] for c in ("topic", "partition") if c in b.columns},
             "seq": b["seq"].to_numpy()[emit],
         })
     # state after the batch
@@ -126,7 +141,7 @@ class PairingProcessor(StatefulProcessor):
         _write(self.action, waiting0, waiting)
         if len(out):
             out.insert(0, "userId", key[0])
-            yield out[OUTPUT_COLUMNS]
+            yield out
 
     def close(self) -> None:
         pass
@@ -143,4 +158,74 @@ def pair_tagged_stream(ev: DataFrame) -> DataFrame:
     ensure_state_store(ev.sparkSession)
     ev = ev.where(F.col("userId").isNotNull()).withColumnRenamed("_rank", KIND)
     return ev.groupBy("userId").transformWithStateInPandas(
-        PairingProcessor(), OUTPUT_SCHEMA, "Append", "None")
+        PairingProcessor(), output_schema(ev), "Append", "None")
+
+
+def output_schema(ev: DataFrame) -> T.StructType:
+    names = ["userId", "name", "action", "ts", *positions(ev), "seq"]
+    return T.StructType([T.StructField(n, ev.schema[n].dataType) for n in names])
+
+
+# -- the same pairing without Python state: the batch operator on each micro-batch ---------------
+
+CELLS = T.StructType([T.StructField("userId", T.StringType()), T.StructField("name", T.StringType()),
+                      T.StructField("action", T.StringType()), T.StructField("has_user", T.BooleanType()),
+                      T.StructField("has_action", T.BooleanType()), T.StructField("batch", T.LongType()),
+                      T.StructField("block", T.IntegerType())])
+
+
+def _latest(cells: DataFrame, whole: bool = False) -> DataFrame:
+    """Each user's last cells; emptied ones are dropped where nothing older is left that they would hide."""
+    last = cells.groupBy("userId").agg(F.max_by(F.struct("name", "action", "has_user", "has_action", "batch", "block"),
+                                                F.struct("batch", "block")).alias("c")).select("userId", "c.*")
+    return last.where(F.col("has_user") | F.col("has_action")) if whole else last
+
+
+def cells_log(checkpoint: str, every: int) -> BatchLog:
+    return BatchLog(os.path.join(checkpoint, "cells"), CELLS, every, merge=_latest)
+
+
+def pair_microbatch(ev: DataFrame, path: str | None = None, checkpoint: str | None = None, name: str = "pair_user_action",
+                    available_now: bool = True, every: int = 8, blocks: int | None = None, hot_key_rows: int | None = None,
+                    sink: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+    """Streaming pairing on the JVM over a tagged sequence (``TAGGED_COLUMNS``, ids as text).
+
+    Output goes to ``{path}/batch_id=N``, written over when a batch is retried, or to ``sink(rows, batch_id)``, which may see
+    a batch twice. ``every``: folders of cells merged into one (kept as first started). ``blocks`` and
+    ``hot_key_rows`` are those of the batch operator. Rows without a user id are ignored.
+    """
+    spark = ev.sparkSession
+    checkpoint = checkpoint or shared_dir(spark, f"{name}-checkpoint")
+    every = fixed_setting(spark, os.path.join(checkpoint, "every"), every)
+    log = cells_log(checkpoint, every)
+    staged = os.path.join(checkpoint, "batches")
+    if path is None and sink is None:
+        raise ValueError("give a path or a sink")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        # written once: the rows are needed for the users' cells, their counts and the scan. The steps run in the
+        # caller's session, as a stream's own has adaptive execution turned off.
+        session = spark
+        rows, result = os.path.join(staged, f"{batch_id}", "rows"), os.path.join(staged, f"{batch_id}", "result")
+        batch.write.mode("overwrite").parquet(rows)
+        now = session.read.schema(batch.schema).parquet(rows).withColumn(HELD, F.lit(1))
+        mine = now.select("userId").distinct()
+        before = _latest(log.before(session, batch_id).join(mine, "userId", "left_semi"))
+        both = pair_and_hold(now.unionByName(held_events(before, now)), blocks, hot_key_rows)
+        both.write.mode("overwrite").partitionBy("kind").parquet(result)
+        done = session.read.schema(both.schema).parquet(result)
+        log.append(done.where("kind = 'cell'").select("userId", "name", "action", "has_user", "has_action",
+                                                      F.lit(batch_id).cast("long").alias("batch"), "block"), batch_id)
+        out = done.where("kind = 'out'").select("userId", "name", "action", "ts", *positions(now), "seq")
+        if sink is not None:
+            sink(out, batch_id)
+        else:
+            out.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+        if batch_id:
+            delete(session, os.path.join(staged, f"{batch_id - 1}"))
+
+    writer = (ev.where(F.col("userId").isNotNull()).writeStream.queryName(name).foreachBatch(step)
+              .option("checkpointLocation", os.path.join(checkpoint, "query")))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
