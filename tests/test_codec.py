@@ -92,3 +92,21 @@ def test_round_trip(spark):
     acc, rej = decode_json(enc, schemas.ACTION_RECORD)
     assert sorted(map(tuple, acc.collect()), key=str) == sorted(rows, key=str)
     assert rej.count() == 0
+
+
+def test_numbers_keep_the_text_they_were_sent_with(spark):
+    """Text fields take numbers as written; strings, duplicates and escapes are left as parsed."""
+    sent = ["1.50", "1e3", "-0", "0", "0.10", "1E+2", "12345678901234567890123", "-7", "1.0", "true", "1e400",
+            "100000000000000000000000.5"]
+    rows = [(i, f'{{"userId": {v},"action":"a {v}"}}') for i, v in enumerate(sent)]
+    rows += [(100, '{"userId":"1.50","action":"x"}'), (101, '{"userId":1.50,"userId":"2.5","action":"x"}'),
+             (102, '{"action":"\\"userId\\": 9.50,","userId":1.50}'), (103, '{"user\\u0049d":1.50,"action":"x"}'),
+             (104, '{"userId" :\n 2.500 ,"action":null}')]
+    acc, rej = decode_json(spark.createDataFrame(rows, "k int, value string"), schemas.ACTION, keep=("k",))
+    got = {r.k: r.userId for r in acc.collect()}
+    assert {i: got[i] for i in range(len(sent))} == dict(enumerate(sent))
+    assert got[100] == "1.50" and got[101] == "2.5" and got[102] == "1.50" and got[104] == "2.500"
+    assert got[103] in ("1.5", "1.50") and rej.count() == 0
+    rules = [(0, '{"ruleId":"r","allowedActions":["a,b]", 1.50, "2.50", 1e3, null, -0, 7]}'), (1, '{"ruleId":"r","allowedActions":[]}')]
+    out = {r.k: r.allowedActions for r in decode_json(spark.createDataFrame(rules, "k int, value string"), schemas.RULE, keep=("k",))[0].collect()}
+    assert out == {0: ["a,b]", "1.50", "2.50", "1e3", None, "-0", "7"], 1: []}

@@ -151,3 +151,52 @@ def test_output_topics_carry_the_triggers_time_and_place(spark, tmpdir_path):
         assert spark.range(1).select(utc_ntz(F.timestamp_seconds(F.lit(0)))).first()[0].year == 1970
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("streaming", [True, False])
+def test_rejects_have_a_topic_with_reason_place_and_text(spark, tmpdir_path, streaming):
+    """Each record set aside comes out once, with its reason, position and raw text; the rest goes on."""
+    put(spark, tmpdir_path, "users", [({"userId": "u", "name": "n"}, 1, 0), ("{broken", 2, 7), ({"userId": "v", "nick": "x"}, 3, 8)])
+    put(spark, tmpdir_path, "actions", [({"userId": "u", "action": "go"}, 4, 0), ("  ", 5, 9), ('{"userId":{"a":1},"action":"x"}', 6, 10)])
+    q = enrich_topology(spark, fmt="json", root=tmpdir_path, streaming=streaming, available_now=True)
+    if streaming:
+        _drain(q)
+        seen = [p.observedMetrics["decoded"] for p in q.recentProgress if p.observedMetrics]
+        assert sum(m["records"] for m in seen) == 6
+        assert sum(m["empty text"] for m in seen) == 1 and sum(m["unknown field"] for m in seen) == 1
+    assert values(spark, tmpdir_path, "user-actions") == ['{"userId":"u","name":"n","action":"go"}']
+    got = sorted((r["topic"], r["position"], r["reason"], r["value"]) for r in map(json.loads, values(spark, tmpdir_path, "rejected")))
+    assert got == [("actions", 9, "empty text", "  "),
+                   ("actions", 10, "object or array in a text field", '{"userId":{"a":1},"action":"x"}'),
+                   ("users", 7, "not a JSON object", "{broken"),
+                   ("users", 8, "unknown field", '{"userId":"v","nick":"x"}')]
+
+
+@pytest.mark.parametrize("name", ["join", "gate"])
+def test_rejects_of_the_other_topologies(spark, tmpdir_path, name):
+    put(spark, tmpdir_path, "users", [({"userId": "u", "name": "n"}, 1, 0), ("[1]", 2, 3)])
+    put(spark, tmpdir_path, "rules", [({"ruleId": "r", "allowedActions": ["go"]}, 1, 0), ({"ruleId": "s"}, 2, 3)])
+    record = {"userId": "u", "action": "go"} | ({"actionId": "a"} if name == "gate" else {})
+    put(spark, tmpdir_path, "actions", [(record, 3, 1), ("x", 4, 5)])
+    run = {"fmt": "json", "root": tmpdir_path, "available_now": True}
+    for streaming in (True, False):
+        out, bad = f"out-{streaming}", f"bad-{streaming}"
+        q = (table_join_topology(spark, streaming=streaming, replace=True, out_topic=out, reject_topic=bad, **run) if name == "join"
+             else rule_gate_topology(spark, streaming=streaming, out_topic=out, reject_topic=bad, **run))
+        if q is not None:
+            _drain(q)
+        assert len(values(spark, tmpdir_path, out)) == 1
+        got = sorted((r["topic"], r["position"], r["reason"]) for r in map(json.loads, values(spark, tmpdir_path, bad)))
+        assert got == [("actions", 5, "not a JSON object"),
+                       ("users", 3, "not a JSON object") if name == "join" else ("rules", 3, "required field missing")]
+
+
+def test_keyed_state_topologies(spark, tmpdir_path):
+    put(spark, tmpdir_path, "users", [({"userId": "u", "name": "n"}, 1, 0)])
+    put(spark, tmpdir_path, "actions", [({"userId": "u", "action": "go"}, 3, 1), ("x", 4, 5)])
+    _drain(enrich_topology(spark, fmt="json", root=tmpdir_path, available_now=True, keyed_state=True, state_partitions=2))
+    assert values(spark, tmpdir_path, "user-actions") == ['{"userId":"u","name":"n","action":"go"}']
+    put(spark, tmpdir_path, "rules", [({"ruleId": "r", "allowedActions": ["go"]}, 1, 0)])
+    put(spark, tmpdir_path, "acts", [({"userId": "u", "action": "go", "actionId": "1"}, 3, 1)])
+    _drain(rule_gate_topology(spark, fmt="json", root=tmpdir_path, available_now=True, keyed_state=True, shards=2, action_topic="acts"))
+    assert values(spark, tmpdir_path, "actions-filtered") == ['{"actionId":"1","userId":"u","action":"go"}']

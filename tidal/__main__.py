@@ -36,7 +36,9 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--available-now", action="store_true", help="drain and stop")
         sp.add_argument("--max-per-trigger", type=int,
                         help="records (Kafka) or files (folders) per micro-batch and topic")
-        sp.add_argument("--state-partitions", type=int)
+        sp.add_argument("--keyed-state", action="store_true", help="run on Spark's keyed state")
+        sp.add_argument("--state-partitions", type=int, help="of a run on keyed state")
+        sp.add_argument("--reject-topic", default="rejected", help="topic of the records set aside by decoding")
         if name == "table-join":
             sp.add_argument("--echo", action="store_true")
         if name == "rule-gate":
@@ -71,7 +73,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0
     run = {"streaming": not args.batch, "checkpoint": args.checkpoint,
            "available_now": args.available_now, "max_per_trigger": args.max_per_trigger,
-           "state_partitions": args.state_partitions, "read_options": options, "write_options": options, **io}
+           "state_partitions": args.state_partitions, "keyed_state": args.keyed_state,
+           "reject_topic": args.reject_topic or None, "read_options": options, "write_options": options, **io}
     if args.cmd == "enrich":
         q = enrich_topology(spark, **run)
     elif args.cmd == "table-join":

@@ -2,8 +2,8 @@
 
 Decoding follows a default object mapper bound to a fixed record type: a value is accepted only if
 it is one JSON object whose keys all belong to the record (case-sensitive) and whose string fields
-hold scalars. Scalars of other types (numbers, booleans) become their text. Everything else is set
-aside with a reason, and the job goes on.
+hold scalars. Scalars of other types (numbers, booleans) become their text, numbers as they were sent (``1.50``,
+``1e3``). Everything else is set aside with a reason, and the job goes on.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ REASON_MALFORMED = "not a JSON object"
 REASON_UNKNOWN_FIELD = "unknown field"
 REASON_NESTED = "object or array in a text field"
 REASON_REQUIRED = "required field missing"
+REASONS = (REASON_NULL, REASON_BLANK, REASON_MALFORMED, REASON_UNKNOWN_FIELD, REASON_NESTED, REASON_REQUIRED)
 
 
 def _text(col: Column) -> Column:
@@ -67,6 +68,38 @@ def _field_ok(value: Column, name: str, dtype: T.DataType, parsed: Column) -> Co
     return F.lit(True)
 
 
+# A number or string token of a JSON array, and the inside of an array of scalars.
+_TOKEN = r'"(?:[^"\\]|\\.)*"|[^,\s\[\]]+'
+_INSIDE = r'((?:"(?:[^"\\]|\\.)*"|[^\]"])*)'
+
+
+def _reformatted(text: Column) -> Column:
+    """The parser may have written this number anew: fractions, exponents, and a zero that may have had a sign."""
+    return text.rlike(r"^(-?[0-9]*\.[0-9]|-?[0-9]+(\.[0-9]+)?E|\"-?Infinity|0$)")
+
+
+def _same_number(token: Column, text: Column) -> Column:
+    return token.rlike(r"^-?[0-9]") & (token.cast("double") == F.translate(text, '"', "").cast("double"))
+
+
+def _as_sent(value: Column, name: str, dtype: T.DataType, field: Column) -> Column:
+    """The field with its numbers as they stand in the text; looked up there only where the parser changes them.
+
+    The key's last place counts, as in the parse. Inside a string its quotes would be escaped, and an accepted
+    record has no objects in it, so what matches is the key itself."""
+    key = rf'(?s)^.*"{name}"\s*:\s*'
+    if isinstance(dtype, T.StringType):
+        token = F.regexp_extract(value, key + r"(-?[0-9][-+.0-9eE]*)", 1)
+        return F.when(_reformatted(field) & _same_number(token, field), token).otherwise(field)
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StringType):
+        tokens = F.regexp_extract_all(F.regexp_extract(value, key + r"\[" + _INSIDE + r"\]", 1), F.lit(_TOKEN), 0)
+        sent = F.zip_with(field, tokens, lambda f, t: F.when(_reformatted(f) & _same_number(t, f), t).otherwise(f))
+        # the check is one pattern over the joined elements; only then are the tokens looked up
+        some = F.array_join(field, "\u0001").rlike(r"(^|\u0001)(-?[0-9]*\.[0-9]|-?[0-9]+(\.[0-9]+)?E|\"-?Infinity|0(\u0001|$))")
+        return F.when(some & (F.size(field) == F.size(tokens)), sent).otherwise(field)
+    return field
+
+
 def _staged(df: DataFrame, schema: T.StructType, value_col: str, required: tuple[str, ...],
             keep: tuple[str, ...]) -> DataFrame:
     """``keep..., _raw, _rec, _reason``: the text, its parse and why it is rejected (or null)."""
@@ -103,7 +136,6 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
     per row (the variant parse only runs for values that look nested).
     ``required`` names fields that must be present and not null.
     """
-    names = [f.name for f in schema.fields]
     staged = _staged(df, schema, value_col, required, keep)
     # Split with a generator over a 0- or 1-element array rather than a filter: a filter on
     # ``_reason`` would be pushed below this projection with the parse inlined once per reference.
@@ -111,7 +143,8 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
     accepted = staged.select(
         *[F.col(k) for k in keep],
         F.explode(F.when(F.col("_reason").isNull(), F.array(F.col("_rec"))))
-        .alias("_ok")).select(*[F.col(k) for k in keep], *[F.col("_ok")[n].alias(n) for n in names])
+        .alias("_ok"), "_raw").select(*[F.col(k) for k in keep], *[
+            _as_sent(F.col("_raw"), f.name, f.dataType, F.col("_ok")[f.name]).alias(f.name) for f in schema.fields])
     rejected = staged.select(
         *[F.col(k) for k in keep],
         F.explode(F.when(F.col("_reason").isNotNull(),
@@ -122,14 +155,18 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
 
 
 def decode_json_report(df: DataFrame, schema: T.StructType, value_col: str = "value",
-                       required: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input: ``keep``, the schema's fields (null when rejected) and ``reason``
-    (null when accepted) -- both outcomes from a single parse."""
+                       required: tuple[str, ...] = (), keep: tuple[str, ...] = (), reason: str = "reason",
+                       raw: str | None = None) -> DataFrame:
+    """One row per input: ``keep``, the schema's fields (null when rejected) and the ``reason``
+    (null when accepted) -- both outcomes from a single parse. ``raw`` names a column for the text of a
+    rejected record."""
     staged = _staged(df, schema, value_col, required, keep)
     ok = F.col("_reason").isNull()
+    text = [F.when(~ok, F.col("_raw")).alias(raw)] if raw else []
     return staged.select(*[F.col(k) for k in keep],
-                         *[F.when(ok, F.col("_rec")[f.name]).alias(f.name) for f in schema.fields],
-                         F.col("_reason").alias("reason"))
+                         *[F.when(ok, _as_sent(F.col("_raw"), f.name, f.dataType, F.col("_rec")[f.name])).alias(f.name)
+                           for f in schema.fields],
+                         F.col("_reason").alias(reason), *text)
 
 
 def encode_json(*cols: str | Column) -> Column:

@@ -59,12 +59,13 @@ def order_of(ev: DataFrame) -> list[str]:
 def _tagged(users: DataFrame, actions: DataFrame) -> DataFrame:
     null = F.lit(None).cast("string")
     place = positions(users, actions)
+    aside = [c for c in ("_reason", "_raw") if c in users.columns and c in actions.columns]     # of a decode
     u = users.select("userId", F.lit(USER_RANK).alias("_rank"), "ts", *place, "seq", "name",
-                     null.alias("action"))
+                     null.alias("action"), *aside)
     a = actions.select("userId", F.lit(ACTION_RANK).alias("_rank"), "ts", *place, "seq",
-                       null.alias("name"), "action")
-    # Null ids are dropped: keyed partitioning of the source rejects them.
-    return u.unionByName(a).where(F.col("userId").isNotNull())
+                       null.alias("name"), "action", *aside)
+    # Null ids are dropped by the operators: keyed partitioning of the source rejects them.
+    return u.unionByName(a)
 
 
 def _local_scan(blocked: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ rows over tasks; no record is copied per sub-key.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,20 +17,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidal.operators.join import user_action_join
 from tidal.session import shared_dir
-from tidal.streaming.batchlog import BatchLog, delete, fixed_setting
+from tidal.streaming.batchlog import BatchLog, fixed_setting
+from tidal.streaming.staged import RAW, REASON, Sink, folder_sink, staged_query
 
 SIDE, BUCKET = "side", "bucket"
 
 
 def user_action_join_microbatch(users: DataFrame, actions: DataFrame, path: str | None = None, extra: tuple[str, ...] = (),
                                 checkpoint: str | None = None, name: str = "user_action_join", available_now: bool = True,
-                                every: int = 8, buckets: int = 64,
-                                sink: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+                                every: int = 8, buckets: int = 64, sink: Sink | None = None,
+                                rejects: Sink | None = None) -> StreamingQuery:
     """Streaming ``user_action_join``: every pair of a user and an action of one id comes out once, in the later one's batch.
 
     ``extra`` names action columns to carry along. Output goes to ``{path}/batch_id=N``, written over when a batch is
     retried, or to ``sink(rows, batch_id)``, which may see a batch twice. ``every`` (folders merged into one) and ``buckets``
-    (folders by id) stay as first started. Rows without an id join nothing and are ignored.
+    (folders by id) stay as first started. Rows without an id join nothing and are ignored. ``rejects`` takes records
+    that decoding set aside (see ``staged_query``; both sides must have been decoded).
     """
     spark = actions.sparkSession
     checkpoint = checkpoint or shared_dir(spark, f"{name}-checkpoint")
@@ -41,10 +42,13 @@ def user_action_join_microbatch(users: DataFrame, actions: DataFrame, path: str
     buckets = fixed_setting(spark, os.path.join(checkpoint, "buckets"), buckets)
     bucket = F.pmod(F.xxhash64("userId"), F.lit(buckets)).cast("int").alias(BUCKET)
     kinds = {c: actions.schema[c].dataType for c in extra}
-    none = [F.lit(None).cast(t).alias(c) for c, t in kinds.items()]
     null = F.lit(None).cast("string")
-    tagged = users.select(F.lit("u").alias(SIDE), "userId", "name", null.alias("action"), *none, bucket).unionByName(
-        actions.select(F.lit("a").alias(SIDE), "userId", null.alias("name"), "action", *extra, bucket)).where("userId is not null")
+    aside = [c for c in (REASON, RAW) if c in users.columns and c in actions.columns]
+    # the place of a record is needed for those set aside only
+    place = [c for c in ("topic", "partition", "seq", "ts") if aside and c not in extra and c in actions.columns]
+    given = [F.col(c) if aside and c in users.columns else F.lit(None).cast(t).alias(c) for c, t in kinds.items()]
+    tagged = users.select(F.lit("u").alias(SIDE), "userId", "name", null.alias("action"), *given, *place, bucket, *aside).unionByName(
+        actions.select(F.lit("a").alias(SIDE), "userId", null.alias("name"), "action", *extra, *place, bucket, *aside))
 
     def log(which: str, columns: list[str]) -> BatchLog:
         schema = T.StructType([tagged.schema[c] for c in (*columns, BUCKET)])
@@ -52,12 +56,10 @@ def user_action_join_microbatch(users: DataFrame, actions: DataFrame, path: str
                         merge=lambda df, whole: df.repartition(BUCKET, F.pmod(F.xxhash64(*columns), F.lit(8))),
                         partition_by=(BUCKET,))
     user_log, action_log = log("users", ["userId", "name"]), log("actions", ["userId", "action", *extra])
-    staged = os.path.join(checkpoint, "batches")
+    deliver = sink or folder_sink(path)
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        rows = os.path.join(staged, str(batch_id))
-        batch.write.mode("overwrite").partitionBy(SIDE).parquet(rows)
-        now = spark.read.schema(batch.schema).parquet(rows)
+    def step(rows: DataFrame, batch_id: int) -> None:
+        now = rows.where("userId is not null")
         new_users, new_actions = now.where(F.col(SIDE) == "u"), now.where(F.col(SIDE) == "a")
 
         def before(history: BatchLog, new: DataFrame) -> DataFrame:
@@ -67,17 +69,7 @@ def user_action_join_microbatch(users: DataFrame, actions: DataFrame, path: str
         columns = ["userId", "action", *extra]
         out = user_action_join(new_users, old_actions.select(*columns).unionByName(new_actions.select(*columns)), extra).unionByName(
             user_action_join(old_users, new_actions, extra))
-        if sink is not None:
-            sink(out, batch_id)
-        else:
-            out.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+        deliver(out, batch_id)
         user_log.append(new_users.repartition(BUCKET), batch_id)
         action_log.append(new_actions.repartition(BUCKET, F.pmod(F.xxhash64(*columns), F.lit(8))), batch_id)
-        if batch_id:
-            delete(spark, os.path.join(staged, str(batch_id - 1)))
-
-    writer = (tagged.writeStream.queryName(name).foreachBatch(step)
-              .option("checkpointLocation", os.path.join(checkpoint, "query")))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return staged_query(tagged, step, checkpoint, name, available_now, rejects, partition_by=(SIDE,))

@@ -18,7 +18,6 @@ task handles a user's micro-batch: bound the batches with ``maxFilesPerTrigger``
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -31,6 +30,7 @@ from tidal.operators.pairing import (ACTION_RANK, HELD, USER_RANK, _tagged, held
                                      positions)
 from tidal.session import ensure_state_store, shared_dir, ship_package
 from tidal.streaming.batchlog import BatchLog, delete, fixed_setting
+from tidal.streaming.staged import Sink, folder_sink, staged_query
 
 NO_KIND = -1
 
@@ -187,45 +187,34 @@ def cells_log(checkpoint: str, every: int) -> BatchLog:
 
 def pair_microbatch(ev: DataFrame, path: str | None = None, checkpoint: str | None = None, name: str = "pair_user_action",
                     available_now: bool = True, every: int = 8, blocks: int | None = None, hot_key_rows: int | None = None,
-                    sink: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+                    sink: Sink | None = None, rejects: Sink | None = None) -> StreamingQuery:
     """Streaming pairing on the JVM over a tagged sequence (``TAGGED_COLUMNS``, ids as text).
 
     Output goes to ``{path}/batch_id=N``, written over when a batch is retried, or to ``sink(rows, batch_id)``, which may see
     a batch twice. ``every``: folders of cells merged into one (kept as first started). ``blocks`` and
-    ``hot_key_rows`` are those of the batch operator. Rows without a user id are ignored.
+    ``hot_key_rows`` are those of the batch operator. Rows without a user id are ignored. ``rejects`` takes records that
+    decoding set aside (see ``staged_query``).
     """
     spark = ev.sparkSession
     checkpoint = checkpoint or shared_dir(spark, f"{name}-checkpoint")
     every = fixed_setting(spark, os.path.join(checkpoint, "every"), every)
     log = cells_log(checkpoint, every)
-    staged = os.path.join(checkpoint, "batches")
+    results = os.path.join(checkpoint, "results")
     if path is None and sink is None:
         raise ValueError("give a path or a sink")
+    deliver = sink or folder_sink(path)
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        # written once: the rows are needed for the users' cells, their counts and the scan. The steps run in the
-        # caller's session, as a stream's own has adaptive execution turned off.
-        session = spark
-        rows, result = os.path.join(staged, f"{batch_id}", "rows"), os.path.join(staged, f"{batch_id}", "result")
-        batch.write.mode("overwrite").parquet(rows)
-        now = session.read.schema(batch.schema).parquet(rows).withColumn(HELD, F.lit(1))
+    def step(rows: DataFrame, batch_id: int) -> None:
+        result = os.path.join(results, str(batch_id))
+        now = rows.where(F.col("userId").isNotNull()).withColumn(HELD, F.lit(1))
         mine = now.select("userId").distinct()
-        before = _latest(log.before(session, batch_id).join(mine, "userId", "left_semi"))
+        before = _latest(log.before(spark, batch_id).join(mine, "userId", "left_semi"))
         both = pair_and_hold(now.unionByName(held_events(before, now)), blocks, hot_key_rows)
         both.write.mode("overwrite").partitionBy("kind").parquet(result)
-        done = session.read.schema(both.schema).parquet(result)
+        done = spark.read.schema(both.schema).parquet(result)
         log.append(done.where("kind = 'cell'").select("userId", "name", "action", "has_user", "has_action",
                                                       F.lit(batch_id).cast("long").alias("batch"), "block"), batch_id)
-        out = done.where("kind = 'out'").select("userId", "name", "action", "ts", *positions(now), "seq")
-        if sink is not None:
-            sink(out, batch_id)
-        else:
-            out.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+        deliver(done.where("kind = 'out'").select("userId", "name", "action", "ts", *positions(now), "seq"), batch_id)
         if batch_id:
-            delete(session, os.path.join(staged, f"{batch_id - 1}"))
-
-    writer = (ev.where(F.col("userId").isNotNull()).writeStream.queryName(name).foreachBatch(step)
-              .option("checkpointLocation", os.path.join(checkpoint, "query")))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+            delete(spark, os.path.join(results, str(batch_id - 1)))
+    return staged_query(ev, step, checkpoint, name, available_now, rejects)

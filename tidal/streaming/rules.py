@@ -18,7 +18,6 @@ row in Python, and a shard's share of a micro-batch is held at once: bound the b
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -30,8 +29,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from tidal.operators.pairing import positions
 from tidal.operators.rules import ACTION_RANK, RULE_RANK, rule_filter, timed_rules, ts_literal, with_next
 from tidal.session import default_blocks, ensure_state_store, shared_dir, ship_package
-from tidal.streaming.batchlog import BatchLog, delete, fixed_setting
+from tidal.streaming.batchlog import BatchLog, fixed_setting
 from tidal.streaming.pairing import KIND
+from tidal.streaming.staged import RAW, REASON, Sink, folder_sink, staged_query
 
 
 def _micros(ts: pd.Series) -> np.ndarray:
@@ -115,11 +115,12 @@ def _tagged(actions: DataFrame, rules: DataFrame) -> DataFrame:
     def place(df):
         return [(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
                 for c, t in (("topic", "string"), ("partition", "int")) if c in actions.columns or c in rules.columns]
-    r = timed_rules(rules)
+    aside = [c for c in (REASON, RAW) if c in actions.columns and c in rules.columns]
+    r = rules.where(F.col("ts").isNotNull() | F.col(REASON).isNotNull()) if aside else timed_rules(rules)
     return r.select(F.lit(RULE_RANK).alias(KIND), "ts", *place(r), "seq", null.alias("actionId"), null.alias("userId"),
-                    null.alias("action"), "ruleId", "allowedActions").unionByName(
+                    null.alias("action"), "ruleId", "allowedActions", *aside).unionByName(
         actions.select(F.lit(ACTION_RANK).alias(KIND), "ts", *place(actions), "seq", "actionId", "userId", "action",
-                       null.alias("ruleId"), F.lit(None).cast("array<string>").alias("allowedActions")))
+                       null.alias("ruleId"), F.lit(None).cast("array<string>").alias("allowedActions"), *aside))
 
 
 # -- the same filter without Python state: one batch interval join per micro-batch ------------
@@ -134,14 +135,15 @@ def _timed(rows: DataFrame, whole: bool = False) -> DataFrame:
 def rule_filter_microbatch(actions: DataFrame, rules: DataFrame, path: str | None = None,
                            checkpoint: str | None = None, name: str = "rule_filter",
                            available_now: bool = True, every: int = 8,
-                           sink: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+                           sink: Sink | None = None, rejects: Sink | None = None) -> StreamingQuery:
     """Streaming latest-rule filter that runs on the JVM only.
 
     Each micro-batch runs the batch ``rule_filter`` over its actions and the rules of all batches up to its own that
     govern their times, and appends its rules (with their places) to the log in the checkpoint folder. Output
     goes to ``{path}/batch_id=N``, or to ``sink(rows, batch_id)``, which may see a batch twice. Files are written with
     overwrite, so a retried batch reproduces the same ones (at-least-once delivery, idempotent result).
-    ``every``: folders of rules merged into one (kept as first started).
+    ``every``: folders of rules merged into one (kept as first started). ``rejects`` takes records that decoding set
+    aside (see ``staged_query``).
     """
     spark = actions.sparkSession
     checkpoint = checkpoint or shared_dir(spark, f"{name}-checkpoint")
@@ -152,13 +154,10 @@ def rule_filter_microbatch(actions: DataFrame, rules: DataFrame, path: str | Non
     held_columns = ["ruleId", "allowedActions", "ts", *positions(tagged), "seq"]
     schema = T.StructType([*tagged.select(*held_columns).schema.fields, T.StructField("next_ts", tagged.schema["ts"].dataType)])
     log = BatchLog(os.path.join(checkpoint, "rules"), schema, every, merge=_timed)
-    staged = os.path.join(checkpoint, "batches")
+    deliver = sink or folder_sink(path)
     columns = _records(actions).names
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        rows = os.path.join(staged, str(batch_id))
-        batch.write.mode("overwrite").parquet(rows)
-        now = spark.read.schema(batch.schema).parquet(rows)
+    def step(now: DataFrame, batch_id: int) -> None:
         is_rule = F.col(KIND) == RULE_RANK
         new = now.where(is_rule).select(*held_columns)
         acts = now.where(~is_rule)
@@ -172,16 +171,6 @@ def rule_filter_microbatch(actions: DataFrame, rules: DataFrame, path: str | Non
         else:
             before = before.where(F.lit(False))
         out = rule_filter(acts.select(*columns), before.select(*held_columns).unionByName(new))
-        if sink is not None:
-            sink(out, batch_id)
-        else:
-            out.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+        deliver(out, batch_id)
         log.append(_timed(new), batch_id)
-        if batch_id:
-            delete(spark, os.path.join(staged, str(batch_id - 1)))
-
-    writer = (tagged.writeStream.queryName(name).foreachBatch(step)
-              .option("checkpointLocation", os.path.join(checkpoint, "query")))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return staged_query(tagged, step, checkpoint, name, available_now, rejects)
