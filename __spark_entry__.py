@@ -30,7 +30,8 @@ from tidal.session import shared_dir
 from tidal.sources.topics import read_topic, write_topic
 from tidal.sources.tables import (action_records_from_events, actions_from_events, as_text_ids,
                                   pairing_events, read_table, users_from_customer)
-from tidal.streaming.pairing import pair_tagged_stream
+from tidal.streaming.join import user_action_join_microbatch
+from tidal.streaming.pairing import held_cells, logged_cells, pair_microbatch, pair_tagged_stream
 from tidal.streaming.rules import rule_filter_microbatch, rule_filter_stream
 from tidal.streaming.runner import run_to_table
 
@@ -184,6 +185,18 @@ def q_json_decode(spark, sf_dir):
     return decode_json_report(texts, schemas.ACTION_RECORD, keep=("seq",))
 
 
+def number_texts(events: DataFrame) -> DataFrame:
+    """One JSON text per event, its ids sent as numbers that a parser would write anew."""
+    aid, uid = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    text = F.concat(F.lit('{"actionId":'), aid, F.lit('.50,"userId":'), uid, F.lit('e1,"action":"'), F.col("event_type"), F.lit('"}'))
+    return events.select(F.col("event_id").alias("seq"), text.alias("value"))
+
+
+def q_json_numbers(spark, sf_dir):
+    """Numbers in text fields keep the text they were sent with."""
+    return decode_json(number_texts(_events(spark, sf_dir)), schemas.ACTION_RECORD, keep=("seq",))[0]
+
+
 def q_topic_rows(spark, sf_dir):
     users = users_from_customer(_customer(spark, sf_dir), text_ids=False)
     actions = actions_from_events(_events(spark, sf_dir), text_ids=False)
@@ -202,6 +215,13 @@ def _state_partitions(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def _drained(q):
+    """Wait for a query to end; raise what it raised."""
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
 def q_user_action_join_stream(spark, sf_dir):
     users = users_from_customer(_stream(spark, sf_dir, "customer"))
     actions = actions_from_events(_stream(spark, sf_dir, "events"), ordered=True)
@@ -217,13 +237,29 @@ def q_user_action_join_stream_salted(spark, sf_dir):
     return run_to_table(joined, "user_action_join_salted", state_partitions=_state_partitions(spark))
 
 
+def _paired_by_batch(spark, ev, **options):
+    """The streaming pairing that runs on the JVM, drained into a table."""
+    out = shared_dir(spark, "pair-out")
+    _drained(pair_microbatch(ev, out, name=f"pair_{os.path.basename(out)}", **options))
+    return spark.read.parquet(out)
+
+
 def q_pair_user_action_stream(spark, sf_dir):
-    ev = pairing_events(_stream(spark, sf_dir, "events"))
-    out = run_to_table(pair_tagged_stream(ev), "pair_user_action",
-                       state_partitions=_state_partitions(spark))
+    """The streaming pairing as the batch operator over a micro-batch and the cells held before it (JVM only)."""
+    out = _paired_by_batch(spark, pairing_events(_stream(spark, sf_dir, "events")))
     return out.select("userId", "name", "action", "seq", micros().alias("ts_us"))
 
 
+def q_user_action_join_stream_delta(spark, sf_dir):
+    """The streaming join as a delta join over four micro-batches, a third of all actions of one id."""
+    users = users_from_customer(_stream(spark, sf_dir, "customer"))
+    events = _events(spark, sf_dir).withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
+    actions = _in_files(actions_from_events(events, ordered=True), shared_dir(spark, "actions"))
+    out = shared_dir(spark, "join-delta-out")
+    _drained(user_action_join_microbatch(users, actions, out, ("seq",), name=f"join_{os.path.basename(out)}"))
+    return spark.read.parquet(out).select("userId", "name", "action", "seq")
+
+
 def q_rule_filter_stream(spark, sf_dir):
     actions = action_records_from_events(_stream(spark, sf_dir, "events"))
     rules_dir = shared_dir(spark, "rules")
@@ -243,10 +279,7 @@ def q_rule_filter_stream_microbatch(spark, sf_dir):
     static_rules.coalesce(1).write.parquet(rules_dir)
     rules = spark.readStream.schema(static_rules.schema).parquet(rules_dir)
     out = shared_dir(spark, "rule-filter-microbatch-out")
-    q = rule_filter_microbatch(actions, rules, out, name=f"rule_filter_mb_{os.path.basename(out)}")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    _drained(rule_filter_microbatch(actions, rules, out, name=f"rule_filter_mb_{os.path.basename(out)}"))
     return spark.read.parquet(out).select("actionId", "userId", "action", "seq")
 
 
@@ -254,18 +287,24 @@ def q_rule_filter_stream_microbatch(spark, sf_dir):
 CUTS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00"]
 
 
+#: rows of a file of such a stream
+ROWS_PER_FILE = 1_000_000
+
+
 def _in_files(df, path, cuts=CUTS):
-    """``df`` as files in order of time, one for each stretch between ``cuts``; read as a stream of
-    one file per micro-batch."""
-    bounds = [None, *cuts, None]
-    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-        part = df
-        if lo is not None:
-            part = part.where(F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
-        if hi is not None:
-            part = part.where(F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", "1").parquet(path)
+    """``df`` as files in order of time, equally many for each stretch between ``cuts``; read as a stream of one
+    stretch per micro-batch. Rows without a time come in the first."""
+    stretch = sum([(F.coalesce(F.col("ts") >= F.lit(c).cast("timestamp_ntz"), F.lit(False))).cast("int") for c in cuts], F.lit(0))
+    sizes = {r[0]: r[1] for r in df.select(stretch.alias("k")).groupBy("k").count().collect()}         # one row per stretch
+    files = max(1, -(-max(sizes.values(), default=0) // ROWS_PER_FILE))
+    for k in range(len(cuts) + 1):
+        part = df.where(stretch == k)
+        # a file for every task, with or without rows, so that a stretch is as many files as any other
+        part = part.repartition(files) if sizes.get(k, 0) >= files * files else part.coalesce(1)
+        part.write.mode("append").parquet(path)
+        if files > 1 and len(df.sparkSession.read.parquet(path).inputFiles()) != (k + 1) * files:
+            raise RuntimeError("a stretch has too few rows for its files")
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", str(files)).parquet(path)
 
 
 def q_rule_filter_stream_batches(spark, sf_dir):
@@ -273,10 +312,7 @@ def q_rule_filter_stream_batches(spark, sf_dir):
     actions = _in_files(action_records_from_events(_events(spark, sf_dir)), shared_dir(spark, "actions"))
     rules = _in_files(rules_frame(spark), shared_dir(spark, "rules"), cuts=[])
     out = shared_dir(spark, "rule-filter-batches-out")
-    q = rule_filter_microbatch(actions, rules, out, name=f"rule_filter_{os.path.basename(out)}")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    _drained(rule_filter_microbatch(actions, rules, out, name=f"rule_filter_{os.path.basename(out)}"))
     return spark.read.parquet(out).select("actionId", "userId", "action", "seq")
 
 
@@ -291,13 +327,62 @@ def q_rule_filter_stream_batches_spread(spark, sf_dir):
 
 
 def q_pair_user_action_stream_batches(spark, sf_dir):
-    """The streaming pairing over four micro-batches: state is carried from each to the next."""
+    """The streaming pairing over four micro-batches: cells are carried from each to the next (JVM only)."""
     ev = _in_files(pairing_events(_events(spark, sf_dir)), shared_dir(spark, "events"))
-    out = run_to_table(pair_tagged_stream(ev), "pair_user_action_batches",
-                       state_partitions=_state_partitions(spark))
+    return _paired_by_batch(spark, ev).select("userId", "name", "action", "seq", micros().alias("ts_us"))
+
+
+def q_pair_user_action_stream_hot(spark, sf_dir):
+    """Four micro-batches of three very hot users, each spread over ordered blocks within a batch."""
+    ev = _in_files(pairing_events(_three_users(_events(spark, sf_dir))), shared_dir(spark, "events"))
+    out = _paired_by_batch(spark, ev, blocks=4, hot_key_rows=1)
     return out.select("userId", "name", "action", "seq", micros().alias("ts_us"))
 
 
+def q_pair_user_action_stream_state(spark, sf_dir):
+    """Four micro-batches of the pairing on keyed state."""
+    ev = _in_files(pairing_events(_events(spark, sf_dir)), shared_dir(spark, "events"))
+    out = run_to_table(pair_tagged_stream(ev), "pair_user_action_batches", state_partitions=_state_partitions(spark))
+    return out.select("userId", "name", "action", "seq", micros().alias("ts_us"))
+
+
+def q_pair_user_action_cells(spark, sf_dir):
+    """What the pairing on keyed state remembers after all events, read from the state in its checkpoint."""
+    ev = pairing_events(_stream(spark, sf_dir, "events"))
+    checkpoint = shared_dir(spark, "pair-checkpoint")
+    run_to_table(pair_tagged_stream(ev), "pair_user_action_cells", checkpoint=checkpoint, state_partitions=_state_partitions(spark))
+    return held_cells(spark, checkpoint)
+
+
+def q_pair_user_action_cells_logged(spark, sf_dir):
+    """The same after four micro-batches on the JVM, from the table of cells."""
+    ev = _in_files(pairing_events(_events(spark, sf_dir)), shared_dir(spark, "events"))
+    checkpoint = shared_dir(spark, "pair-checkpoint")
+    _paired_by_batch(spark, ev, checkpoint=checkpoint, every=2)
+    return logged_cells(spark, checkpoint, len(CUTS) + 1)
+
+
+def placed_events(events):
+    """The pairing's events with times cut to days, on two partitions: many records share a time."""
+    return pairing_events(events).withColumns({
+        "ts": F.date_trunc("day", "ts").cast("timestamp_ntz"), "topic": F.when(F.col("_rank") == 0, "users").otherwise("actions"),
+        "partition": (F.col("seq") % 2).cast("int"), "seq": F.expr("seq div 2")})
+
+
+_PLACED = ["userId", "name", "action", "topic", "partition", "seq"]
+
+
+def q_pair_user_action_places(spark, sf_dir):
+    """Records of one time stand by topic, partition and position."""
+    return pair_tagged(placed_events(_events(spark, sf_dir))).select(*_PLACED, micros().alias("ts_us"))
+
+
+def q_pair_user_action_places_stream(spark, sf_dir):
+    """The same on a stream of four micro-batches."""
+    ev = _in_files(placed_events(_events(spark, sf_dir)), shared_dir(spark, "events"))
+    return _paired_by_batch(spark, ev).select(*_PLACED, micros().alias("ts_us"))
+
+
 # -- end-to-end topologies over file-folder topics derived from the tables ---------------------
 
 TOPIC_FMT = "parquet"
@@ -333,9 +418,7 @@ def q_enrich_topics(spark, sf_dir):
     """Users and actions as JSON topics -> strict decode -> streaming pairing -> JSON topic."""
     root = shared_dir(spark, "enrich-topics")
     _topic(_event_topics(spark, sf_dir, root), root, "actions", "userId", "action")
-    q = enrich_topology(spark, fmt=TOPIC_FMT, root=root, streaming=True, available_now=True,
-                        state_partitions=_state_partitions(spark))
-    q.awaitTermination()
+    _drained(enrich_topology(spark, fmt=TOPIC_FMT, root=root, streaming=True, available_now=True))
     return _output_topic(spark, root, "user-actions")
 
 
@@ -349,10 +432,9 @@ def q_table_join_topics(spark, sf_dir, streaming=False):
     _topic(_event_topics(spark, sf_dir, root, users_from_signups=False), root, "actions",
            "userId", "action")
     q = table_join_topology(spark, fmt=TOPIC_FMT, root=root, streaming=streaming, available_now=streaming,
-                            user_view="UserTopic", action_view="ActionTopic", replace=True,
-                            state_partitions=_state_partitions(spark))
+                            user_view="UserTopic", action_view="ActionTopic", replace=True)
     if q is not None:
-        q.awaitTermination()
+        _drained(q)
     return _output_topic(spark, root, "user-actions")
 
 
@@ -364,16 +446,34 @@ def q_rule_gate_topics_stream(spark, sf_dir):
     return q_rule_gate_topics(spark, sf_dir, streaming=True)
 
 
+def q_rule_gate_rejects(spark, sf_dir, streaming=False):
+    """Events as JSON of different producers through the rule gate: the records that decoding sets aside."""
+    root = shared_dir(spark, "reject-topics")
+    _topic(rules_frame(spark), root, "rules", "ruleId", "allowedActions")
+    events = _events(spark, sf_dir)
+    texts = json_variants(events).join(events.select(F.col("event_id").alias("seq"), "ts"), "seq")
+    write_topic(texts.select(F.lit(None).cast("string").alias("key"), "value", "ts", (F.col("seq") % 2).alias("partition"), "seq"),
+                "actions", fmt=TOPIC_FMT, root=root)
+    q = rule_gate_topology(spark, fmt=TOPIC_FMT, root=root, streaming=streaming, available_now=streaming)
+    if q is not None:
+        _drained(q)
+    found = read_topic(spark, "rejected", fmt=TOPIC_FMT, root=root, decode="string")
+    return found.select(F.from_json("value", "topic string, partition int, position long, reason string, value string").alias("r")).select("r.*")
+
+
+def q_rule_gate_rejects_stream(spark, sf_dir):
+    return q_rule_gate_rejects(spark, sf_dir, streaming=True)
+
+
 def q_rule_gate_topics(spark, sf_dir, streaming=False):
     """Rules and actions as JSON topics -> strict decode -> latest-rule filter (batch) -> topic."""
     root = shared_dir(spark, "rule-topics")
     _topic(rules_frame(spark), root, "rules", "ruleId", "allowedActions")
     _topic(_event_topics(spark, sf_dir, root, users_from_signups=False), root, "actions",
            "actionId", "userId", "action")
-    q = rule_gate_topology(spark, fmt=TOPIC_FMT, root=root, streaming=streaming, available_now=streaming,
-                           shards=_state_partitions(spark), state_partitions=_state_partitions(spark))
+    q = rule_gate_topology(spark, fmt=TOPIC_FMT, root=root, streaming=streaming, available_now=streaming)
     if q is not None:
-        q.awaitTermination()
+        _drained(q)
     return _output_topic(spark, root, "actions-filtered")
 
 
@@ -431,6 +531,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_user_action_stream_batches": q_pair_user_action_stream_batches,
         "table_join_topics_stream": q_table_join_topics_stream,
         "rule_gate_topics_stream": q_rule_gate_topics_stream,
+        "user_action_join_stream_delta": q_user_action_join_stream_delta,
+        "pair_user_action_stream_hot": q_pair_user_action_stream_hot,
+        "pair_user_action_stream_state": q_pair_user_action_stream_state,
+        "pair_user_action_cells": q_pair_user_action_cells,
+        "pair_user_action_cells_logged": q_pair_user_action_cells_logged,
+        "pair_user_action_places": q_pair_user_action_places,
+        "pair_user_action_places_stream": q_pair_user_action_places_stream,
+        "json_numbers": q_json_numbers,
+        "rule_gate_rejects": q_rule_gate_rejects,
+        "rule_gate_rejects_stream": q_rule_gate_rejects_stream,
     }
 
 
@@ -453,8 +563,8 @@ def _rules_values() -> str:
 # The pairing as the state machine itself, one event of each user per step.
 _SQL_PAIR = """
 WITH RECURSIVE ev AS MATERIALIZED (
-  SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY ts, rk, seq) AS n, rk, nm, act, ts, seq
-  FROM (SELECT CAST({uid} AS VARCHAR) AS uid, ts, event_id AS seq,
+  SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY ts, rk, {order}) AS n, rk, nm, act, ts, seq
+  FROM (SELECT CAST({uid} AS VARCHAR) AS uid, {ts} AS ts, event_id AS seq,
                CASE WHEN event_type = 'signup' THEN 0 ELSE 1 END AS rk,
                CASE WHEN event_type = 'signup' THEN props END AS nm,
                CASE WHEN event_type <> 'signup' THEN event_type END AS act
@@ -476,9 +586,21 @@ cells AS (
          CASE WHEN e.rk = 0 THEN c.held_action ELSE e.act END,
          e.seq, epoch_us(e.ts)
   FROM cells c JOIN ev e ON e.uid = c.uid AND e.n = c.n + 1)
-SELECT uid AS "userId", out_name AS name, out_action AS action, seq, ts_us FROM cells WHERE emits
 """
 
+
+def _pair_sql(uid: str = "user_id", ts: str = "ts", order: str = "seq", columns: str = "seq") -> str:
+    """What the pairing emits."""
+    return _SQL_PAIR.format(uid=uid, ts=ts, order=order) + (
+        f'SELECT uid AS "userId", out_name AS name, out_action AS action, {columns}, ts_us FROM cells WHERE emits')
+
+
+def _cells_sql() -> str:
+    """What the pairing remembers after the last event of each user."""
+    return _SQL_PAIR.format(uid="user_id", ts="ts", order="seq") + (
+        'SELECT c.uid AS "userId", held_name AS name, held_action AS action, has_user, has_action FROM cells c '
+        "JOIN (SELECT uid, max(n) AS n FROM ev GROUP BY uid) last ON last.uid = c.uid AND last.n = c.n WHERE has_user OR has_action")
+
 _SQL_RULES_MANY = """
 WITH r AS (
   SELECT ts, lead(ts) OVER (ORDER BY ts, event_id) AS next_ts,
@@ -499,7 +621,7 @@ FROM events e JOIN r ON e.ts >= r.ts AND (r.next_ts IS NULL OR e.ts < r.next_ts)
 WHERE list_contains(r.allowed, e.event_type)
 """
 
-_SQL_JSON_DECODE = """
+_SQL_JSON_CHECKED = """
 WITH src AS (
   SELECT event_id AS seq,
     CASE event_type
@@ -523,6 +645,9 @@ c AS (
         OR coalesce(json_type(value, '$.action'), '') IN ('OBJECT', 'ARRAY') THEN '{nested}'
     END AS reason
   FROM src)
+"""
+
+_SQL_JSON_DECODE = _SQL_JSON_CHECKED + """
 SELECT seq,
   CASE WHEN reason IS NULL THEN json_extract_string(value, '$.actionId') END AS "actionId",
   CASE WHEN reason IS NULL THEN json_extract_string(value, '$.userId') END AS "userId",
@@ -535,6 +660,8 @@ FROM c
 def oracle_sql() -> dict[str, str]:
     from tidal.functions import codec
 
+    reasons = {"null": codec.REASON_NULL, "blank": codec.REASON_BLANK, "malformed": codec.REASON_MALFORMED,
+               "unknown": codec.REASON_UNKNOWN_FIELD, "nested": codec.REASON_NESTED}
     join = ("SELECT CAST(c.c_custkey AS VARCHAR) AS \"userId\", c.c_name AS name, "
             "e.event_type AS action{extra} FROM customer c, events e "
             "WHERE CAST(c.c_custkey AS VARCHAR) = CAST(e.user_id AS VARCHAR)")
@@ -543,8 +670,8 @@ def oracle_sql() -> dict[str, str]:
         "project_action": 'SELECT CAST(user_id AS VARCHAR) AS "userId", event_type AS action FROM events',
         "user_action_join": join.format(extra=", e.event_id AS seq"),
         "user_action_join_sql": join.format(extra=""),
-        "pair_user_action": _SQL_PAIR.format(uid="user_id"),
-        "pair_user_action_hot": _SQL_PAIR.format(uid="user_id % 3"),
+        "pair_user_action": _pair_sql(),
+        "pair_user_action_hot": _pair_sql("user_id % 3"),
         "rule_filter_many": _SQL_RULES_MANY.format(**{f"l{i}": str(r[1]) for i, r in enumerate(RULES)}),
         "rule_filter": _SQL_RULES.format(rules=_rules_values()),
         "rule_filter_single": (
@@ -554,9 +681,7 @@ def oracle_sql() -> dict[str, str]:
         "json_round_trip": (
             "SELECT event_id AS seq, CAST(event_id AS VARCHAR) AS \"actionId\", "
             "CAST(user_id AS VARCHAR) AS \"userId\", event_type AS action FROM events"),
-        "json_decode": _SQL_JSON_DECODE.format(
-            null=codec.REASON_NULL, blank=codec.REASON_BLANK, malformed=codec.REASON_MALFORMED,
-            unknown=codec.REASON_UNKNOWN_FIELD, nested=codec.REASON_NESTED),
+        "json_decode": _SQL_JSON_DECODE.format(**reasons),
         "topic_rows": (
             "SELECT j AS key, j AS value FROM (SELECT '{\"userId\":\"' || CAST(c.c_custkey AS VARCHAR) "
             "|| '\",\"name\":\"' || c.c_name || '\",\"action\":\"' || e.event_type || '\"}' AS j "
@@ -583,6 +708,22 @@ def oracle_sql() -> dict[str, str]:
     sql["pair_user_action_stream_batches"] = sql["pair_user_action"]
     sql["table_join_topics_stream"] = sql["table_join_topics"]
     sql["rule_gate_topics_stream"] = sql["rule_gate_topics"]
+    sql["pair_user_action_stream_hot"] = sql["pair_user_action_hot"]
+    sql["pair_user_action_stream_state"] = sql["pair_user_action"]
+    sql["pair_user_action_cells"] = sql["pair_user_action_cells_logged"] = _cells_sql()
+    sql["pair_user_action_places"] = sql["pair_user_action_places_stream"] = _pair_sql(
+        ts="date_trunc('day', ts)", order="seq % 2, seq // 2",
+        columns="CASE WHEN signup THEN 'users' ELSE 'actions' END AS topic, CAST(seq % 2 AS INT) AS partition, "
+                "CAST(seq // 2 AS BIGINT) AS seq").replace("FROM cells WHERE emits", "FROM (SELECT c.*, EXISTS (SELECT 1 FROM events x "
+        "WHERE x.event_id = c.seq AND x.event_type = 'signup') AS signup FROM cells c) WHERE emits")
+    sql["user_action_join_stream_delta"] = (
+        "SELECT CAST(c.c_custkey AS VARCHAR) AS \"userId\", c.c_name AS name, e.event_type AS action, e.event_id AS seq "
+        "FROM customer c JOIN events e ON c.c_custkey = CASE WHEN e.event_id % 3 = 0 THEN 1 ELSE e.user_id END")
+    sql["json_numbers"] = (
+        "SELECT event_id AS seq, CAST(event_id AS VARCHAR) || '.50' AS \"actionId\", CAST(user_id AS VARCHAR) || 'e1' AS \"userId\", "
+        "event_type AS action FROM events")
+    sql["rule_gate_rejects"] = sql["rule_gate_rejects_stream"] = _SQL_JSON_CHECKED.format(**reasons) + (
+        "SELECT 'actions' AS topic, CAST(seq % 2 AS INT) AS partition, seq AS position, reason, value FROM c WHERE reason IS NOT NULL")
     if (llm := _llm()) is not None:
         sql |= llm.ORACLE_SQL
     if (pipeline := _pipeline()) is not None and pipeline.ORACLE_SQL:

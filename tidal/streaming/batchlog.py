@@ -34,11 +34,11 @@ class BatchLog:
     """``merge(df, whole)`` turns the rows of several batches into the rows kept of them (``whole``: nothing came before)."""
 
     def __init__(self, root: str, schema: T.StructType, every: int = 8,
-                 merge: Callable[[DataFrame, bool], DataFrame] | None = None, partition_by: tuple[str, ...] = ()):
+                 merge: Callable[[DataFrame, bool], DataFrame] | None = None):
         if every < 2:
             raise ValueError("merge two folders at least")
         self.root, self.schema, self.every = root, schema, every
-        self.merge, self.partition_by = merge or (lambda df, whole: df), partition_by
+        self.merge = merge or (lambda df, whole: df)
 
     def path(self, level: int, number: int) -> str:
         """The folder of batches ``number * every**level`` up to the next one's."""
@@ -69,7 +69,7 @@ class BatchLog:
         return self._load(spark, self.cover(batch_id))
 
     def _write(self, df: DataFrame, path: str) -> None:
-        df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
+        df.write.mode("overwrite").parquet(path)
 
     def append(self, df: DataFrame, batch_id: int) -> None:
         """Write the rows of ``batch_id``, then the merges that it completes."""

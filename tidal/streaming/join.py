@@ -1,9 +1,9 @@
 """The user/action join on streams as a delta join (JVM only).
 
 A micro-batch's new users meet all actions so far, and its new actions the users before it; nothing expires. Both
-histories are tables by batch id (``tidal.streaming.batchlog``), in folders by a hash of the id, so that only the folders
-with an id of the batch are read. Each micro-batch runs the batch join, where adaptive execution splits a hot id's
-rows over tasks; no record is copied per sub-key.
+histories are tables by batch id (``tidal.streaming.batchlog``), sorted by a hash of the id, so that only the row groups
+that may hold an id of the batch are read. Each micro-batch runs the batch join, where adaptive execution splits a hot
+id's rows over tasks; no record is copied per sub-key.
 """
 
 from __future__ import annotations
@@ -23,15 +23,20 @@ from tidal.streaming.staged import RAW, REASON, Sink, folder_sink, staged_query
 SIDE, BUCKET = "side", "bucket"
 
 
+def _by_bucket(df: DataFrame) -> DataFrame:
+    """Rows of a bucket together, in as many files as their size asks for (adaptive execution splits a large bucket)."""
+    return df.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET)
+
+
 def user_action_join_microbatch(users: DataFrame, actions: DataFrame, path: str | None = None, extra: tuple[str, ...] = (),
                                 checkpoint: str | None = None, name: str = "user_action_join", available_now: bool = True,
-                                every: int = 8, buckets: int = 64, sink: Sink | None = None,
+                                every: int = 8, buckets: int = 256, sink: Sink | None = None,
                                 rejects: Sink | None = None) -> StreamingQuery:
     """Streaming ``user_action_join``: every pair of a user and an action of one id comes out once, in the later one's batch.
 
     ``extra`` names action columns to carry along. Output goes to ``{path}/batch_id=N``, written over when a batch is
     retried, or to ``sink(rows, batch_id)``, which may see a batch twice. ``every`` (folders merged into one) and ``buckets``
-    (folders by id) stay as first started. Rows without an id join nothing and are ignored. ``rejects`` takes records
+    (hashes of ids) stay as first started. Rows without an id join nothing and are ignored. ``rejects`` takes records
     that decoding set aside (see ``staged_query``; both sides must have been decoded).
     """
     spark = actions.sparkSession
@@ -53,8 +58,7 @@ def user_action_join_microbatch(users: DataFrame, actions: DataFrame, path: str
     def log(which: str, columns: list[str]) -> BatchLog:
         schema = T.StructType([tagged.schema[c] for c in (*columns, BUCKET)])
         return BatchLog(os.path.join(checkpoint, which), schema, every,
-                        merge=lambda df, whole: df.repartition(BUCKET, F.pmod(F.xxhash64(*columns), F.lit(8))),
-                        partition_by=(BUCKET,))
+                        merge=lambda df, whole: _by_bucket(df))
     user_log, action_log = log("users", ["userId", "name"]), log("actions", ["userId", "action", *extra])
     deliver = sink or folder_sink(path)
 
@@ -70,6 +74,6 @@ def user_action_join_microbatch(users: DataFrame, actions: DataFrame, path: str
         out = user_action_join(new_users, old_actions.select(*columns).unionByName(new_actions.select(*columns)), extra).unionByName(
             user_action_join(old_users, new_actions, extra))
         deliver(out, batch_id)
-        user_log.append(new_users.repartition(BUCKET), batch_id)
-        action_log.append(new_actions.repartition(BUCKET, F.pmod(F.xxhash64(*columns), F.lit(8))), batch_id)
+        user_log.append(_by_bucket(new_users), batch_id)
+        action_log.append(_by_bucket(new_actions), batch_id)
     return staged_query(tagged, step, checkpoint, name, available_now, rejects, partition_by=(SIDE,))

@@ -21,7 +21,7 @@ import os
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -143,22 +143,56 @@ class PairingProcessor(StatefulProcessor):
             out.insert(0, "userId", key[0])
             yield out
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for row in initialState.itertuples():
+            if row.has_user:
+                self.user.update((None if pd.isna(row.name) else row.name,))
+            if row.has_action:
+                self.action.update((None if pd.isna(row.action) else row.action,))
+
     def close(self) -> None:
         pass
 
 
-def pair_user_action_stream(users: DataFrame, actions: DataFrame) -> DataFrame:
+def pair_user_action_stream(users: DataFrame, actions: DataFrame, initial: DataFrame | None = None) -> DataFrame:
     """Streaming pairing; same inputs and output columns as the batch ``pair_user_action``."""
-    return pair_tagged_stream(_tagged(users, actions))
+    return pair_tagged_stream(_tagged(users, actions), initial)
+
 
+def pair_tagged_stream(ev: DataFrame, initial: DataFrame | None = None) -> DataFrame:
+    """Streaming pairing over an already tagged sequence (``TAGGED_COLUMNS``).
 
-def pair_tagged_stream(ev: DataFrame) -> DataFrame:
-    """Streaming pairing over an already tagged sequence (``TAGGED_COLUMNS``)."""
+    ``initial``: the cells to start from (``held_cells`` of another query's checkpoint). A stateful query keeps its number of
+    state partitions for life; to change it, stop the query, read its cells and start a new one over the records that
+    the old one hasn't read, with other ``state_partitions``.
+    """
     ship_package(ev.sparkSession)
     ensure_state_store(ev.sparkSession)
     ev = ev.where(F.col("userId").isNotNull()).withColumnRenamed("_rank", KIND)
+    state = None if initial is None else initial.select("userId", "name", "action", "has_user", "has_action").groupBy("userId")
     return ev.groupBy("userId").transformWithStateInPandas(
-        PairingProcessor(), output_schema(ev), "Append", "None")
+        PairingProcessor(), output_schema(ev), "Append", "None", initialState=state)
+
+
+def held_cells(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The non-empty cells of a keyed-state pairing, read from its checkpoint: userId, name, action, has_user, has_action.
+
+    ``batch_id``: as of the end of that micro-batch (default: the last one). ``name`` and ``action`` may be null though held.
+    """
+    def cell(variable: str, field: str, flag: str) -> DataFrame:
+        reader = spark.read.format("statestore").option("stateVarName", variable)
+        if batch_id is not None:
+            reader = reader.option("batchId", str(batch_id))
+        return reader.load(checkpoint).select(F.col("key.userId").alias("userId"), F.col(f"value.{field}").alias(field),
+                                              F.lit(True).alias(flag))
+    both = cell("user", "name", "has_user").join(cell("action", "action", "has_action"), "userId", "full")
+    return both.select("userId", "name", "action", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("has_user", "has_action")])
+
+
+def logged_cells(spark: SparkSession, checkpoint: str, batches: int) -> DataFrame:
+    """The same of a ``pair_microbatch`` checkpoint after ``batches`` micro-batches."""
+    every = spark.read.parquet(os.path.join(checkpoint, "every")).first()["value"]
+    return _latest(cells_log(checkpoint, every).before(spark, batches), whole=True).drop("batch", "block")
 
 
 def output_schema(ev: DataFrame) -> T.StructType:

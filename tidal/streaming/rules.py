@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tidal.operators.pairing import positions
-from tidal.operators.rules import ACTION_RANK, RULE_RANK, rule_filter, timed_rules, ts_literal, with_next
+from tidal.operators.rules import ACTION_RANK, RULE_RANK, RULES_PER_BLOCK, rule_filter, timed_rules, ts_literal, with_next
 from tidal.session import default_blocks, ensure_state_store, shared_dir, ship_package
 from tidal.streaming.batchlog import BatchLog, fixed_setting
 from tidal.streaming.pairing import KIND
@@ -125,11 +125,13 @@ def _tagged(actions: DataFrame, rules: DataFrame) -> DataFrame:
 
 # -- the same filter without Python state: one batch interval join per micro-batch ------------
 
-def _timed(rows: DataFrame, whole: bool = False) -> DataFrame:
-    """Rules in order of time, each with the next one's; one replaced at its own time never governs and is left out."""
-    timed = with_next(rows.drop("next_ts"), rows.count())
-    return (timed.where(F.col("next_ts").isNull() | (F.col("next_ts") > F.col("ts")))
-            .repartitionByRange("ts").sortWithinPartitions("ts"))
+def _timed(rows: DataFrame, whole: bool = False, n: int | None = None) -> DataFrame:
+    """Rows in order of time, each with the next one's; one replaced at its own time never governs and is left out."""
+    n = rows.count() if n is None else n
+    timed = with_next(rows.drop("next_ts"), n)
+    timed = timed.where(F.col("next_ts").isNull() | (F.col("next_ts") > F.col("ts")))
+    spread = timed.coalesce(1) if n <= RULES_PER_BLOCK else timed.repartitionByRange("ts")
+    return spread.sortWithinPartitions("ts")
 
 
 def rule_filter_microbatch(actions: DataFrame, rules: DataFrame, path: str | None = None,
@@ -161,8 +163,9 @@ def rule_filter_microbatch(actions: DataFrame, rules: DataFrame, path: str | Non
         is_rule = F.col(KIND) == RULE_RANK
         new = now.where(is_rule).select(*held_columns)
         acts = now.where(~is_rule)
-        span = acts.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count(F.lit(1)).alias("n"),
-                        F.count("ts").alias("timed")).first()
+        of_action = F.when(~is_rule, F.col("ts"))
+        span = now.agg(F.min(of_action).alias("lo"), F.max(of_action).alias("hi"), F.count(of_action).alias("timed"),
+                       F.count(F.when(is_rule, 1)).alias("rules")).first()
         # the rules that govern some time of the batch's actions, one per folder before their first at most
         before = log.before(spark, batch_id)
         if span["timed"]:
@@ -172,5 +175,5 @@ def rule_filter_microbatch(actions: DataFrame, rules: DataFrame, path: str | Non
             before = before.where(F.lit(False))
         out = rule_filter(acts.select(*columns), before.select(*held_columns).unionByName(new))
         deliver(out, batch_id)
-        log.append(_timed(new), batch_id)
+        log.append(_timed(new, n=span["rules"]), batch_id)
     return staged_query(tagged, step, checkpoint, name, available_now, rejects)
