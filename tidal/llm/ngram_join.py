@@ -18,12 +18,14 @@ Two sets x, y link when ``100 |x and y| >= 75 |x or y|``. Method:
 Equal sets are one class (a 64-bit hash of the set), joined through one representative. Links are
 needed only up to connectivity, so the join runs in two steps. First every posting meets one hub of
 its posting list (the set that comes earliest in it), which ties large groups of copies together in
-linear work. Then only sets of *different* components meet each other, in full. No link between
-components is lost, and the pairs inside a large group of copies are never listed.
-
-Scale: postings are shuffled once by shingle hash; shingles whose bucket count is far above the
-mean are salted, so no task gets all postings of a hot shingle. Later joins are equi-joins that
-adaptive execution splits. Only the bucket table (1 MB, whatever the input) goes to all tasks.
+linear work. Then only sets of *different* components meet each other, in full, by shingle and size band. No link
+between components is lost, and the pairs inside a large group of copies are never listed.
+
+Scale: a task posts a class once, however many copies it reads, and postings are shuffled once by shingle hash;
+one sort there drops the copies of other tasks, leaves out shingles of one class and finds the hubs. Shingles
+whose bucket count is far above the mean are salted, so no task gets all postings of a hot shingle. Later joins are
+equi-joins that adaptive execution splits. Only the bucket table (1 MB, whatever the input), bitmaps of 16 MB
+at most and, if they are few (``FEW_LABELS``), the components found first go to all tasks.
 """
 
 from __future__ import annotations
@@ -34,13 +36,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidal.llm.common import (U64, arrow_rows, bitmap, in_bitmap, mix, partitions, python_ready,
-                              shingle_sets, split_by_ids, written)
+                              shingle_sets, spare_names, split_by_ids, written)
 from tidal.llm.components import components
 
 BUCKET_BITS = 18
 PARTS = 256
 SLICE = 1 << 14                 # bucket counts in one row of the partial tables
 HOT = 8                         # times the mean bucket count: a shingle beyond this is salted
+FEW_LABELS = 500_000            # classes with a component (16 bytes each) that are sent to every task
 
 _SETS = ("doc_id bigint, n int, cid bigint, parts array<int>, slice int, counts binary")
 
@@ -115,16 +118,17 @@ def _postings(width: int, counts, hot_over: float, salts: int):
     """The rare-first prefix of every set: (h, salt, cid, n, pos)."""
     def run(batches):
         order = counts.value
+        posted: set[int] = set()            # classes of this task, at most one per row it reads
         for batch in batches:
             cols: list[list[np.ndarray]] = [[], [], [], [], []]
             for _, s in shingle_sets(batch.column("text"), width):
                 n = len(s)
-                if n == 0:
+                if n == 0 or (cid := _class_id(s)) in posted:
                     continue
+                posted.add(cid)
                 seen = order[_bucket(s)]
                 keep = n - (3 * n + 3) // 4 + 1
                 first = np.lexsort((s, seen))[:keep]
-                cid = _class_id(s)
                 hot = seen[first] > hot_over
                 cols[0].append(s[first].view(np.int64))
                 cols[1].append(np.where(hot, cid % salts, -1).astype(np.int32))
@@ -197,15 +201,17 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int)
     bits = spark.sparkContext.broadcast(bitmap(ids))
     texts = docs.mapInArrow(_of_wanted(bits, width), "doc_id bigint, cid bigint, text string").where("cid is not null")
     texts = written(texts.join(ids, "doc_id", "left_semi").select("cid", "text"), "texts")
+    bits.destroy()
     both = (left_over.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a"))
     with arrow_rows(spark, 250):
         return written(both.mapInArrow(_compare(width), "a bigint, b bigint"), "links")
 
 
-def _labelled(shared: DataFrame, links: DataFrame | None) -> DataFrame:
-    if links is None:
-        return shared.withColumn("comp", F.col("cid"))
-    found = components(links, "a", "b").toDF("cid", "found")
+def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """Each posting with the component of its class among ``links``."""
+    found = written(components(links, "a", "b").toDF("cid", "found"), "labels")
+    if found.count() <= FEW_LABELS:
+        found = F.broadcast(found)
     return shared.join(found, "cid", "left").withColumn("comp", F.coalesce("found", "cid")).drop("found")
 
 
@@ -213,30 +219,48 @@ def _index_side() -> str:
     return "pos <= n - (6 * n + 6) div 7"
 
 
+def _band(n: str):
+    """Sizes of similar sets lie in one band or in neighbouring ones."""
+    return F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(4 / 3))).cast("int")
+
+
+def _shared(post: DataFrame) -> DataFrame:
+    """The postings of shingles that two classes or more have, once per class, with a hub: the earliest posting
+    of the list in the posting's size band or the one below. One sort by (h, salt, band, cid) serves all windows."""
+    lists = Window.partitionBy("h", "salt")
+    band = lists.orderBy("band")
+    banded = post.withColumn("band", _band("n"))
+    once = banded.withColumn("again", F.col("cid") == F.lag("cid").over(lists.orderBy("band", "cid")))
+    hubs = once.withColumn("hub", F.min(F.when(F.expr(_index_side()), F.struct("pos", "n", "cid"))).over(band.rangeBetween(-1, 0)))
+    both = hubs.withColumn("lo", F.min("cid").over(lists)).withColumn("hi", F.max("cid").over(lists))
+    return both.where("(lo <> hi or salt >= 0) and again is not true").select(
+        "h", "salt", "cid", "n", "pos", "band", F.col("hub.cid").alias("b"), F.col("hub.n").alias("nb"), F.col("hub.pos").alias("qb"))
+
+
 def _hub_pairs(lists: DataFrame) -> DataFrame:
-    """Each posting with the earliest posting of its list, in its own size band and the one below."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))).cast("int")
-    banded = lists.withColumn("band", band)
-    hubs = (banded.where(_index_side()).groupBy("h", "band")
-            .agg(F.min(F.struct("pos", "n", "cid")).alias("hub"))
-            .select("h", "band", F.col("hub.cid").alias("b"), F.col("hub.n").alias("nb"),
-                    F.col("hub.pos").alias("qb")))
-    near = hubs.select("h", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), "b", "nb", "qb")
-    met = banded.join(near, ["h", "band"]).where((F.col("cid") != F.col("b")) & _meet("n", "nb", "pos", "qb"))
+    """Each posting with its hub, if they may be the first meeting of a similar pair. The sub-lists of a salted shingle
+    share the earliest of their hubs: one hub ties a large group together by one link each."""
+    hot = lists.where("salt >= 0")
+    hubs = hot.where("b is not null").groupBy("h", "band").agg(F.min(F.struct("qb", "nb", "b")).alias("hub"))
+    hot = hot.drop("b", "nb", "qb").join(hubs, ["h", "band"]).select(
+        "cid", "n", "pos", F.col("hub.b").alias("b"), F.col("hub.nb").alias("nb"), F.col("hub.qb").alias("qb"))
+    every = lists.where("salt < 0").select("cid", "n", "pos", "b", "nb", "qb").unionByName(hot)
+    met = every.where((F.col("cid") != F.col("b")) & _meet("n", "nb", "pos", "qb"))
     return met.select(F.greatest("cid", "b").alias("a"), F.least("cid", "b").alias("b")).distinct()
 
 
 def _cross_pairs(lists: DataFrame) -> DataFrame:
-    """Every meeting of two sets of different components (the smaller set by its index prefix)."""
+    """Every meeting of two sets of different components: the smaller set by its index prefix, with the larger ones of its
+    own size band and the one above."""
     mixed = (lists.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("lo <> hi").select("h"))
-    kept = written(lists.join(mixed, "h"), "mixed")
-    x = kept.where(_index_side()).select("h", F.col("cid").alias("a"), F.col("n").alias("na"),
-                                         F.col("pos").alias("qa"), F.col("comp").alias("ca"))
-    y = kept.select("h", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("qb"),
+    kept = written(lists.join(mixed, "h", "left_semi").select("h", "band", "cid", "n", "pos", "comp"), "mixed")
+    x = kept.where(_index_side()).select("h", F.explode(F.array("band", F.expr("band + 1"))).alias("band"), F.col("cid").alias("a"),
+                                         F.col("n").alias("na"), F.col("pos").alias("qa"), F.col("comp").alias("ca"))
+    y = kept.select("h", "band", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("qb"),
                     F.col("comp").alias("cb"))
     smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    met = x.join(y, "h").where((F.col("ca") != F.col("cb")) & smaller & _meet("na", "nb", "qa", "qb"))
+    met = x.join(y, ["h", "band"]).where((F.col("ca") != F.col("cb")) & smaller & _meet("na", "nb", "qa", "qb"))
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
@@ -259,13 +283,11 @@ def jaccard_links(docs: DataFrame, width: int = 5, hot_over: float | None = None
     total = int(counts.sum())
     if hot_over is None:
         hot_over = max(HOT * total / len(counts), 1000.0)
-    post = docs.select("text").mapInArrow(
-        _postings(width, spark.sparkContext.broadcast(counts), hot_over, partitions(spark)),
-        "h bigint, salt int, cid bigint, n int, pos int")
-    met = Window.partitionBy("h", "salt")
-    shared = written(
-        post.withColumn("lo", F.min("cid").over(met)).withColumn("hi", F.max("cid").over(met))
-        .where("lo <> hi or salt >= 0").select("h", "cid", "n", "pos").dropDuplicates(["h", "cid"]), "postings")
+    order = spark.sparkContext.broadcast(counts)
+    post = docs.select("text").mapInArrow(_postings(width, order, hot_over, partitions(spark)),
+                                          "h bigint, salt int, cid bigint, n int, pos int")
+    shared = written(_shared(post), "postings")
+    order.destroy()
     # classes whose members all lack a doc_id take no part in links
     real = classes.where("rep is not null")
     links = _verified(_hub_pairs(shared), real, docs, width)
@@ -296,19 +318,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, **options) -> DataFrame:
     return full.unionByName(bare)
 
 
-def _doubtful_with_class(shared, width: int):
+def _doubtful_with_class(shared, width: int, key: str, text: str, cid: str):
     """The rows without an id or with one in the bitmap, and the class of their text."""
     def run(batches):
         for batch in batches:
-            ids = batch.column("_id")
+            ids = batch.column(key)
             perhaps = np.ones(len(ids), bool)
             valid = ids.is_valid().to_numpy(zero_copy_only=False)
             perhaps[valid] = in_bitmap(shared.value, ids.drop_null().to_numpy())
             kept = batch.filter(pa.array(perhaps))
-            cid = [_class_id(s) if len(s) else None for _, s in shingle_sets(kept.column("_text"), width)]
-            keep = [i for i, n in enumerate(kept.schema.names) if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*[kept.column(i) for i in keep], pa.array(cid, pa.int64())],
-                                             names=[*[kept.schema.names[i] for i in keep], "_cid"])
+            found = [_class_id(s) if len(s) else None for _, s in shingle_sets(kept.column(text), width)]
+            rest = kept.drop_columns([text])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(found, pa.int64())], names=[*rest.schema.names, cid])
     return run
 
 
@@ -316,7 +337,7 @@ def keep_one(docs: DataFrame, width: int = 5) -> DataFrame:
     """The rows of ``docs`` with one document left of each component: that of the least doc_id.
 
     Texts without shingles are no copies and all stay, but rows repeating doc_id and text stay once. Rows
-    without a doc_id stay unless an equal text has one; of equal ones, one stays.
+    without a doc_id stay unless an equal text has one; of equal ones, one stays. Columns of any name go along.
     """
     found = written(near_duplicates(docs, width), "components")
     again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"),
@@ -324,12 +345,13 @@ def keep_one(docs: DataFrame, width: int = 5) -> DataFrame:
     doubtful = written(again.where("n > 1 or c <> doc_id").select("doc_id"), "doubtful")
     surely, _ = split_by_ids(docs.where("doc_id is not null"), doubtful)
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(doubtful))
+    text, key, cid, kept_key, kept_cid, place = spare_names(docs, "_text", "_id", "_cid", "_kid", "_kcid", "_n")
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    rows = docs.withColumn("_text", F.col("text").cast("string")).withColumn("_id", F.col("doc_id").cast("bigint"))
-    rows = rows.mapInArrow(_doubtful_with_class(shared, width), kind + ", _id bigint, _cid bigint")
+    rows = docs.withColumn(text, F.col("text").cast("string")).withColumn(key, F.col("doc_id").cast("bigint"))
+    rows = rows.mapInArrow(_doubtful_with_class(shared, width, key, text, cid), f"{kind}, `{key}` bigint, `{cid}` bigint")
     kept = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
-        F.col("doc_id").alias("_kid"), F.col("class_id").alias("_kcid")).distinct()
-    left = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kid")) & F.col("_cid").eqNullSafe(F.col("_kcid")), "left_semi")
-    same = Window.partitionBy("_id", "_cid").orderBy(*[F.xxhash64(c) for c in docs.columns])
-    once = left.withColumn("_n", F.row_number().over(same)).where("_n = 1").drop("_n", "_id", "_cid")
+        F.col("doc_id").alias(kept_key), F.col("class_id").alias(kept_cid)).distinct()
+    left = rows.join(kept, F.col(key).eqNullSafe(F.col(kept_key)) & F.col(cid).eqNullSafe(F.col(kept_cid)), "left_semi")
+    same = Window.partitionBy(key, cid).orderBy(*[F.xxhash64(c) for c in docs.columns])
+    once = left.withColumn(place, F.row_number().over(same)).where(F.col(place) == 1).drop(place, key, cid)
     return surely.unionByName(once)
