@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +15,8 @@ from pyspark.sql import functions as F
 from tidal.session import ship_package, shared_dir
 
 CHUNK_BYTES = 1 << 20           # text bytes a numpy step looks at together (a longer text alone)
-BATCH_ROWS = 1000               # most rows of an Arrow batch while a table is written
+BATCH_ROWS = 1000               # most rows of an Arrow batch
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 U64 = np.uint64
 
 
@@ -34,8 +37,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def python_ready(spark: SparkSession) -> None:
-    """Ship this package to the Python workers."""
+    """Ship this package to the Python workers, and hold the session's Arrow batches to ``BATCH_ROWS`` rows.
+
+    Rows carry whole texts here, and a batch is held by the JVM and by Python at once. Frames are often run by the
+    caller, after the operator has returned them, so the setting stays with the session."""
     ship_package(spark)
+    rows = int(spark.conf.get(_ARROW_ROWS))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(_ARROW_ROWS, str(BATCH_ROWS))
+
+
+def release_memory() -> None:
+    """Give memory freed by a training run back to the system (the driver goes on to plan long jobs)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):         # another C library
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -50,65 +67,85 @@ def long_id(df: DataFrame, name: str) -> Column:
 @contextlib.contextmanager
 def arrow_rows(spark: SparkSession, n: int):
     """Arrow batches of at most ``n`` rows for the plans run inside (wide rows of several texts)."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(min(n, int(old)) if int(old) > 0 else n))
+    old = spark.conf.get(_ARROW_ROWS)
+    spark.conf.set(_ARROW_ROWS, str(min(n, int(old)) if int(old) > 0 else n))
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        spark.conf.set(_ARROW_ROWS, old)
+
+
+def spare_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores added to those that ``df`` has already."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
 
 
-# --- fixed-size bitmaps of 64-bit values, to thin out rows before a shuffle -----------------
+# --- bitmaps of 64-bit values, to thin out rows before a shuffle ------------------------------
 
-BITMAP_BITS = 24
+MOST_BITS = 27                  # 16 MB; a fuller bitmap only lets more rows through
+BITS_PER_VALUE = 16
 
 
-def bitmap_place(values: np.ndarray) -> np.ndarray:
-    return (mix(values.view(np.uint64)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+def bitmap_place(values: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(values.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _bitmap_of_batches(batches):
-    bits = np.zeros(1 << BITMAP_BITS, bool)
-    for batch in batches:
-        bits[bitmap_place(np.ascontiguousarray(batch.column(0).to_numpy()))] = True
-    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+def _bitmap_of_batches(bits: int):
+    def run(batches):
+        packed = np.zeros(1 << (bits - 3), np.uint8)
+        for batch in batches:
+            place = np.unique(bitmap_place(np.ascontiguousarray(batch.column(0).to_numpy()), bits))
+            np.bitwise_or.at(packed, place >> 3, (128 >> (place & 7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array([packed.tobytes()], pa.binary())], names=["bits"])
+    return run
 
 
 def bitmap(values: DataFrame) -> bytes:
-    """A bitmap of 2**24 bits (2 MB whatever the input) of one bigint column without nulls."""
-    total = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    for row in values.repartition(4).mapInArrow(_bitmap_of_batches, "bits binary").collect():
+    """A bitmap of one bigint column without nulls: ``BITS_PER_VALUE`` bits for each, 8 KB to 16 MB in all. ``values``
+    is read twice."""
+    bits = min(MOST_BITS, max(16, int(values.count() * BITS_PER_VALUE).bit_length()))
+    total = np.zeros(1 << (bits - 3), np.uint8)
+    for row in values.repartition(4).mapInArrow(_bitmap_of_batches(bits), "bits binary").collect():
         total |= np.frombuffer(row["bits"], np.uint8)
     return total.tobytes()
 
 
-def in_bitmap(bits: bytes, values: np.ndarray) -> np.ndarray:
-    place = bitmap_place(np.ascontiguousarray(values))
-    return (np.frombuffer(bits, np.uint8)[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+def in_bitmap(packed: bytes, values: np.ndarray) -> np.ndarray:
+    place = bitmap_place(np.ascontiguousarray(values), (len(packed) * 8).bit_length() - 1)
+    return (np.frombuffer(packed, np.uint8)[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
 
 
 def filtered(docs: DataFrame, keep) -> DataFrame:
     """The rows of ``docs`` for which ``keep`` (text column -> boolean array, run in Arrow batches) holds."""
     python_ready(docs.sparkSession)
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    text = "text"
+    if docs.schema[text].dataType.simpleString() != "string":
+        text, = spare_names(docs, "_text")
+        docs = docs.withColumn(text, F.col("text").cast("string"))
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(keep(batch.column("_text")))).drop_columns(["_text"])
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, kind)
+            kept = batch.filter(pa.array(keep(batch.column(text)), pa.bool_()))
+            yield kept if text == "text" else kept.drop_columns([text])
+    return docs.mapInArrow(run, kind)
 
 
-def _flags(shared):
+def _flags(shared, key: str, flag: str):
     def run(batches):
         for batch in batches:
-            ids = batch.column("_id")
-            flag = np.zeros(len(ids), bool)
+            ids = batch.column(key)
+            found = np.zeros(len(ids), bool)
             valid = ids.is_valid().to_numpy(zero_copy_only=False)
-            flag[valid] = in_bitmap(shared.value, ids.drop_null().to_numpy())
-            yield pa.RecordBatch.from_arrays(
-                [*[c for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != "_id"], pa.array(flag)],
-                names=[*[n for n in batch.schema.names if n != "_id"], "_flag"])
+            found[valid] = in_bitmap(shared.value, ids.drop_null().to_numpy())
+            rest = batch.drop_columns([key])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(found)], names=[*rest.schema.names, flag])
     return run
 
 
@@ -117,18 +154,20 @@ def split_by_ids(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]
     apart where they are, so that only the second part has to be joined (and shuffled)."""
     spark = docs.sparkSession
     python_ready(spark)
+    key, flag = spare_names(docs, "_id", "_flag")
     shared = spark.sparkContext.broadcast(bitmap(ids))
-    rows = docs.withColumn("_id", F.col("doc_id").cast("bigint"))
+    rows = docs.withColumn(key, F.col("doc_id").cast("bigint"))
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    flagged = rows.mapInArrow(_flags(shared), kind + ", _flag boolean")
-    return flagged.where("not _flag").drop("_flag"), flagged.where("_flag").drop("_flag")
+    flagged = rows.mapInArrow(_flags(shared, key, flag), f"{kind}, `{flag}` boolean")
+    return flagged.where(~F.col(flag)).drop(flag), flagged.where(F.col(flag)).drop(flag)
 
 
 def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id isn't in ``ids`` (one bigint column without nulls)."""
-    ids = ids.toDF("_drop")
+    drop, = spare_names(docs, "_drop")
+    ids = ids.toDF(drop)
     surely, perhaps = split_by_ids(docs, ids)
-    return surely.unionByName(perhaps.join(ids, F.col("doc_id").cast("bigint") == F.col("_drop"), "left_anti"))
+    return surely.unionByName(perhaps.join(ids, F.col("doc_id").cast("bigint") == F.col(drop), "left_anti"))
 
 
 # --- text columns as numpy ----------------------------------------------------------------
