@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidal.llm.common import python_ready, text_chunks, written
+from tidal.llm.common import python_ready, release_memory, text_chunks, written
 from tidal.llm.subwords import padded, row_sums, word_lists
 
 ORDERS = (2, 3, 4)
@@ -233,4 +233,5 @@ def identify(docs: DataFrame, max_rows: int = 4000, **options) -> DataFrame:
                        F.col("text").cast("string").alias("text"))
     apart = held_out("doc_id", 4, 2)
     model = train(*labelled_sample(docs, apart, max_rows), **options)
+    release_memory()
     return predict(docs.withColumn("held_out", apart), model, ("doc_id", "held_out"))

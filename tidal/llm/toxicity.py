@@ -8,7 +8,8 @@ is a soft maximum over all its windows (a few toxic words in a long text count a
 one), sharpened while training goes on. Vectors and softmax are trained together by AdaGrad on a
 bounded sample of labelled texts (``max_per_class`` of either label, taken in order of a hash of the
 doc_id). One fifth of the sample is kept back to calibrate: a logistic fit turns the largest window
-logit into the score.
+logit into the score; where fewer than ``CAUGHT`` of the toxic texts kept back reach 0.7, it is shifted until they do
+or ``FALSE_ALARMS`` of the clean ones do as well.
 
 Scoring reads whole texts in Arrow batches: the softmax is linear, so each bucket has one number
 (its vector times the difference of the class weights) and a text costs a few array operations.
@@ -23,12 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidal.llm.common import filtered, python_ready, text_chunks
+from tidal.llm.common import filtered, python_ready, release_memory, text_chunks
 from tidal.llm.subwords import padded, word_lists, word_sums
 
 ORDERS = (3, 4, 5, 6)
 BITS = 18
 EMPTY_SCORE = 0.0
+DECIDED = 0.7                   # the score from which a text counts as toxic
+CAUGHT = 0.95                   # share of toxic texts kept back that should reach it
+FALSE_ALARMS = 0.008            # share of clean ones that may
 
 
 @dataclass(frozen=True)
@@ -219,10 +223,22 @@ def train(texts: list[str], labels: list[int], window: int = 2, dim: int = 8, ep
     held = sorted(apart)
     known = [texts[i] for i in held]
     logits = max_logits(pa.array(known + [_misspelt(t, rng, misspelt) for t in known], pa.large_string()), model)
-    slope, shift = _logistic(logits, np.r_[s.y[held], s.y[held]])
+    y = np.r_[s.y[held], s.y[held]]
+    slope, shift = _logistic(logits, y)
+    plain = logits[:len(held)]
+    shift = max(shift, _decided(*[plain[(s.y[held] == k) & np.isfinite(plain)] for k in (0, 1)], slope))
     return ToxicityModel(model.table, model.bias, slope, shift, window)
 
 
+def _decided(clean: np.ndarray, toxic: np.ndarray, slope: float) -> float:
+    """The shift that puts ``DECIDED`` at the logit that ``CAUGHT`` of the toxic texts kept back reach, or that no more than
+    ``FALSE_ALARMS`` of the clean ones do, whichever is higher."""
+    if len(clean) * FALSE_ALARMS < 2 or not len(toxic):       # too few to tell
+        return -np.inf
+    limit = max(np.quantile(clean, 1 - FALSE_ALARMS), np.quantile(toxic, 1 - CAUGHT))
+    return float(np.log(DECIDED / (1 - DECIDED)) - slope * limit)
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
     """Slope and intercept of a logistic fit (Newton, smoothed targets)."""
     ok = np.isfinite(x)
@@ -247,20 +263,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_per_class: int) -> t
     """At most ``max_per_class`` texts of either label, in order of a hash of the doc_id."""
     lab = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
            .groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic")))
-    texts, out = [], []
-    for value in (0, 1):
-        chosen = lab.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_class)
-        rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-                .join(F.broadcast(chosen), "doc_id").select("doc_id", "text").collect())
-        for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"] or "")):
-            texts.append(r["text"] or "")
-            out.append(value)
-    return texts, out
+    by_hash = lab.withColumn("k", F.xxhash64("doc_id"))
+    chosen = [by_hash.where(F.col("toxic") == value).orderBy("k", "doc_id").limit(max_per_class).select("doc_id", "toxic")
+              for value in (0, 1)]
+    # of rows that repeat a doc_id one text is taken, before they meet, so the bound holds for texts too
+    rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+            .join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").groupBy("doc_id")
+            .agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("toxic").alias("toxic")).collect())
+    rows.sort(key=lambda r: (r["toxic"], r["doc_id"]))
+    return [r["text"] for r in rows], [int(r["toxic"]) for r in rows]
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 1500, **options) -> ToxicityModel:
     """Train on ``labels.toxic`` (0/1, other values ignored; a doc_id labelled twice is toxic if once so)."""
-    return train(*labelled_sample(docs, labels, max_per_class), **options)
+    model = train(*labelled_sample(docs, labels, max_per_class), **options)
+    release_memory()
+    return model
 
 
 def _scorer(shared):
