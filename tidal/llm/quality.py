@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidal.llm.common import filtered, python_ready, span_hashes, text_chunks, word_spans, written
+from tidal.llm.common import filtered, python_ready, release_memory, span_hashes, text_chunks, word_spans, written
 from tidal.llm.subwords import padded, row_sums, word_lists
 
 LABELLERS = ("signs", "signed words", "capitals", "marks", "bars", "repeats", "variety", "sentences", "starts", "lines")
@@ -27,6 +27,7 @@ ORDERS = (2, 3)
 BITS = 16
 EMPTY_SCORE = 0.0
 FALSE_ALARM = 0.003
+FALSE_ALARM_WORTH = 10.0        # times the texts that the prior of the good class is worth
 MOST_SEEN = 0.7
 
 _UPPER = np.zeros(256, bool)
@@ -121,13 +122,15 @@ class WeakModel:
         return {k: (float(b), float(1 - g)) for k, b, g in zip(LABELLERS, *self.bad_vote, strict=True)}
 
 
-def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, steps: int = 500) -> WeakModel:
+def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, steps: int = 500,
+                             worth: float = FALSE_ALARM_WORTH, most: float = MOST_SEEN) -> WeakModel:
     """Fit the weak-label model to counted vote patterns (rows of -1, 0, 1).
 
     Each labeller catches only some kinds of bad text, but hardly ever accuses a good one: the rate of that
-    has a strong prior (``FALSE_ALARM``, worth ten times the texts) and no labeller is taken to see more than
-    ``MOST_SEEN`` of all bad texts, so that a rarer kind of bad text isn't taken for good with a wrong
-    labeller. The other rates have a prior worth a thousandth of the texts.
+    has a strong prior (``FALSE_ALARM``, worth ``worth`` times the texts) and no labeller is taken to see more than
+    ``most`` of all bad texts, so that a rarer kind of bad text isn't taken for good with a wrong
+    labeller. So the accuracies on good texts are largely set by the prior, those on bad texts by the data; the README
+    has the estimates under weak priors too. The other rates have a prior worth a thousandth of the texts.
     """
     n = len(LABELLERS)
     model = WeakModel(0.85, np.array([[0.4] * n, [FALSE_ALARM] * n]))
@@ -138,10 +141,10 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, steps: in
     for _ in range(steps):
         p = model.posterior(patterns)
         rates = []
-        for q, start, prior in ((1 - p, 0.4, max(1.0, total / 1000)), (p, FALSE_ALARM, 10 * total)):
+        for q, start, prior in ((1 - p, 0.4, max(1.0, total / 1000)), (p, FALSE_ALARM, max(1.0, worth * total))):
             w = counts * q
             rates.append((w @ against + prior * start) / (w @ (against + for_) + prior))
-        rates[0] = np.minimum(rates[0], MOST_SEEN)
+        rates[0] = np.minimum(rates[0], most)
         new = WeakModel(float(np.clip((counts @ p + 1) / (total + 2), 1e-4, 1 - 1e-4)), np.stack(rates))
         done = abs(new.share_good - model.share_good) < 1e-9 and np.abs(new.bad_vote - model.bad_vote).max() < 1e-8
         model = new
@@ -234,7 +237,10 @@ def fit(docs: DataFrame, max_rows: int = 3000) -> QualityModel:
     keyed = texts.where("text is not null").select("text", F.xxhash64("text").alias("k"))
     last = keyed.select("k").distinct().orderBy("k").limit(max_rows).agg(F.max("k")).first()[0]
     sample = (keyed.where(F.col("k") <= last).dropDuplicates(["k"]).orderBy("k").collect() if last is not None else [])
-    return train([r["text"] for r in sample], weak)
+    model = train([r["text"] for r in sample], weak)
+    del sample
+    release_memory()
+    return model
 
 
 def _scorer(shared):
