@@ -14,11 +14,15 @@ Rates become copies by sequential Poisson rounding: a document has ``floor(r)``
 its hash in (0, 1) is at most ``t_s`` times the rest of its rate. The cut ``t_s`` (about 1) is searched
 in rounds of histograms so that the words come as near to the target as one document allows: first over
 the source's larger documents, then over those below a quarter of its mean size, which make good what
-the larger ones left. Nothing is ordered or numbered in a single task but the table of sources (one row each).
+the larger ones left. What a source of few documents is off by then is made up by up to ``FLIPS`` of its documents, one
+after the other: that whose size comes nearest to the words missing gets a copy more (or less). Nothing is ordered or
+numbered in a single task but the table of sources (one row each).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +33,8 @@ STEPS = 60
 TOLERANCE = 1e-7              # of the target, for the rates; rounding is far coarser
 ROUNDS = 2
 BINS = 4096
+FLIPS = 4
+NEAR = 5e-4                     # of the target: a source this near is left alone
 KEYS = 4.0                      # keys of hash / rest are searched from 0 to here; the cut is about 1
 
 
@@ -164,14 +170,50 @@ def mixing_plan(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: f
     small = _cuts(open_rows.where("small").select("source", "size", "key"), left.select("source", "target", "words"))
     plan = _by_source(_by_source(tilts, large.select("source", "cut")),
                       small.select("source", F.col("cut").alias("small_cut")))
-    return written(plan, "plan")
+    return _with_flips(sizes, written(plan, "plan"), cap)
+
+
+def _with_flips(sizes: DataFrame, plan: DataFrame, cap: float) -> DataFrame:
+    """``plan`` with ``flips``: per source up to ``FLIPS`` doc_ids that get a copy more or less."""
+    none = F.expr("cast(array() as array<struct<doc_id:bigint,change:int>>)")
+    plan = plan.withColumn("flips", none)
+    rows = written(apply_plan(sizes.select("doc_id", "source", "size"), plan, cap).where("size > 0").select(
+        "doc_id", "source", "size", "copies"), "rounded")
+    taken = rows.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("words"))
+    at = written(_by_source(plan.select("source", "target", "flips"), taken).select(
+        "source", "target", "flips", (F.col("target") - F.col("words")).alias("missing")), "missing")
+    most = F.lit(math.ceil(cap))
+    sign = F.when(F.col("missing") > 0, 1).otherwise(-1)
+    changed = F.greatest(F.lit(0), F.least(most, F.col("copies") + sign)) - F.col("copies")
+    for _ in range(FLIPS):
+        far = at.where(F.abs("missing") > F.col("target") * NEAR)
+        if far.isEmpty():
+            break
+        met = _by_source(rows, far).where(F.col("doc_id").isNotNull() & ~F.exists("flips", lambda f: f["doc_id"] == F.col("doc_id")))
+        after = F.abs(F.col("missing") - F.col("size") * changed)
+        best = met.where((changed != 0) & (after < F.abs("missing"))).groupBy("source").agg(
+            F.min(F.struct(after.alias("after"), F.xxhash64(F.lit("flip"), "doc_id").alias("h"), "doc_id")).alias("best"))
+        best = written(_by_source(far, best).withColumn("chosen", F.col("best.doc_id")).drop("best"), "flips")
+        # rows that repeat the doc_id change as well: the flip stays if the source comes nearer all the same
+        effect = _by_source(rows, best).where(F.col("doc_id") == F.col("chosen")).groupBy("source").agg(
+            F.sum(F.col("size") * changed).alias("effect"))
+        done = _by_source(best, effect).where(F.abs(F.col("missing") - F.col("effect")) < F.abs("missing"))
+        done = done.select("source", "chosen", sign.cast("int").alias("change"), "effect")
+        one = F.array(F.struct(F.col("chosen").alias("doc_id"), "change"))
+        at = written(_by_source(at, done, "left").select(
+            "source", "target", F.when(F.col("chosen").isNotNull(), F.concat("flips", one)).otherwise(F.col("flips")).alias("flips"),
+            (F.col("missing") - F.coalesce("effect", F.lit(0))).alias("missing")), "missing")
+    flips = at.select("source", F.col("flips").alias("flipped"))
+    return written(_by_source(plan, flips, "left").withColumn("flips", F.coalesce("flipped", "flips")).drop("flipped"), "plan")
 
 
 def apply_plan(rows: DataFrame, plan: DataFrame, cap: float = 2.0) -> DataFrame:
     """``rows`` (with doc_id, source, size) and source_size, target, rate, copies, taken. Row by row."""
     out = _rated(rows, plan, cap)
     cut = F.when(F.col("small"), F.col("small_cut")).otherwise(F.col("cut"))
-    copies = (F.col("base") + F.when((F.col("rest") > 0) & (F.col("key") < cut), 1).otherwise(0)).cast("bigint")
+    copies = F.col("base") + F.when((F.col("rest") > 0) & (F.col("key") < cut), 1).otherwise(0)
+    flip = F.get(F.filter("flips", lambda f: f["doc_id"] == F.col("doc_id")), F.lit(0))["change"]
+    copies = F.greatest(F.lit(0), F.least(F.lit(math.ceil(cap)), copies + F.coalesce(flip, F.lit(0)))).cast("bigint")
     return out.select(*rows.columns, "source_size", "target", "rate", copies.alias("copies"),
                       (copies * F.col("size")).alias("taken"))
 
