@@ -41,6 +41,51 @@ def test_short_items_need_all_their_words(spark, frame):
     assert [r.doc_id for r in d.contaminated(docs, bench).collect()] == [1]
 
 
+def test_very_short_items_are_whole_documents(spark, frame):
+    bench = frame([(1, "two words"), (2, "One!"), (3, "a b c d")], "item_id bigint, text string")
+    docs = frame([(1, "Two, words"), (2, "here are two words"), (3, "one"), (4, "a b c d"), (5, "a b c d e"), (6, "two words two words")])
+    assert {(r.doc_id, r.item_id) for r in d.contaminated(docs, bench).collect()} == {(1, 1), (3, 2), (4, 3)}
+
+
+def test_recall_against_every_alignment(spark, frame):
+    """All overlaps of a small fixture, found by trying every alignment of every document with every item."""
+    rng = random.Random(8)
+    items = {i: prose(rng, rng.randint(14, 40)) for i in range(12)}
+    docs = {}
+    for k in range(150):
+        text = prose(rng, rng.randint(0, 80))
+        if k % 2:
+            words = items[rng.randrange(12)]
+            a = rng.randrange(len(words))
+            part = words[a:a + rng.randint(10, 40)]
+            part = ["other" if rng.random() < 0.1 else w for w in part]
+            at = rng.randint(0, len(text))
+            text = text[:at] + part + text[at:]
+        docs[k] = text
+    want, doubtful = set(), set()
+    for k, text in docs.items():
+        for i, words in items.items():
+            best = None
+            for shift in range(-len(words) + 1, len(text)):
+                lo, hi = max(0, -shift), min(len(words), len(text) - shift)
+                same = np.array([text[shift + j] == words[j] for j in range(lo, hi)], bool)
+                if same.sum() >= 8:
+                    a, b, equal = d.best_segment(same)
+                    need = min(12, -(-4 * len(words) // 5))
+                    if equal >= need and 4 * equal >= 3 * (b - a):
+                        best = max(best or 0, equal)
+                        # a run of equal tokens as long as a mask is always hit; substitutions may hide a shorter one
+                        runs = "".join("1" if x else "0" for x in same[a:b]).split("0")
+                        if max(map(len, runs)) < d.SPAN:
+                            doubtful.add((k, i))
+            if best:
+                want.add((k, i))
+    got = {(r.doc_id, r.item_id) for r in d.contaminated(frame([(k, " ".join(t)) for k, t in docs.items()]),
+                                                         frame([(i, " ".join(w)) for i, w in items.items()], "item_id bigint, text string")).collect()}
+    assert got <= want and want - doubtful <= got
+    assert len(got) >= 0.95 * len(want) and len(want) > 30, (len(got), len(want))
+
+
 def test_empty_tables(spark, frame):
     empty = frame([], "item_id bigint, text string")
     assert d.contaminated(frame([(1, "a b c")]), empty).count() == 0

@@ -4,15 +4,16 @@ Texts are read as lower-cased runs of letters and digits. Four fixed masks of ni
 six of them each and ignore the other three, so a copied passage is hit even where single words were
 replaced. The steps:
 
-1. seeds of every benchmark item (mask, place) -> hash; a bitmap of 2**24 bits of those hashes goes to
-   all tasks (2 MB whatever the benchmark's size; a fuller bitmap only lets more rows through);
+1. seeds of every benchmark item (mask, place) -> hash; a bitmap of those hashes goes to all tasks (16 MB at
+   most whatever the benchmark's size; a fuller bitmap only lets more rows through);
 2. seeds of every document that pass the bitmap join the benchmark's by hash, giving distinct
    alignments (doc_id, item_id, shift);
 3. documents with an alignment are read again, and the aligned tokens compared: the best segment,
    scoring +1 for an equal token and -2 for another, is an overlap when it has ``min_match`` equal
    tokens (or four fifths of a shorter item) and three quarters of its tokens are equal.
 
-Items of 5 to 8 tokens have one seed of all their tokens; shorter ones are too common to be found.
+Items of 5 to 8 tokens have one seed of all their tokens, so they are found without substitutions. Items of
+1 to 4 tokens stand in many texts by chance: they are found in a document that is the item and nothing else.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidal.llm.common import NOT_ALNUM, U64, _PLACES, bitmap, in_bitmap, mix, python_ready, text_chunks, word_hashes, written
+from tidal.llm.common import NOT_ALNUM, U64, _PLACES, bitmap, in_bitmap, mix, python_ready, split_by_ids, text_chunks, word_hashes, written
 
 MASKS = ((0, 1, 2, 6, 7, 8), (0, 1, 3, 4, 7, 8), (0, 2, 4, 5, 6, 8), (0, 1, 3, 5, 6, 8))
 SPAN = 9
@@ -64,7 +65,7 @@ def _item_seeds(batches):
             counts = np.bincount(rows, minlength=n)
             begin = np.cumsum(counts) - counts
             out = [_seeds(hashes, rows, m, i) for i, m in enumerate(MASKS)]
-            for k in range(SHORTEST, SPAN):
+            for k in range(1, SPAN):
                 at, h = _seeds(hashes, rows, *_short_mask(k))
                 own = counts[rows[at]] == k
                 out.append((at[own], h[own]))
@@ -87,6 +88,8 @@ def _doc_seeds(shared, short: list[int]):
                 for mask, number in _all_masks(short):
                     at, h = _seeds(hashes, rows, mask, number)
                     hit = in_bitmap(bits, h)
+                    if len(mask) < SHORTEST:
+                        hit &= counts[rows[at]] == len(mask)
                     found.append((at[hit], h[hit]))
                 at, h = (np.concatenate(x) for x in zip(*found, strict=True))
                 if len(at):
@@ -157,7 +160,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = 12) ->
     hits = docs.mapInArrow(_doc_seeds(spark.sparkContext.broadcast(bitmap(seeds.select("h"))), short), "h bigint, doc_id bigint, pos int")
     aligned = written(hits.join(seeds, "h").select("doc_id", "item_id", (F.col("pos") - F.col("off")).alias("shift"),
                                                    "length").distinct(), "aligned")
-    texts = docs.join(aligned.select("doc_id").distinct(), "doc_id", "left_semi")
+    mine = written(aligned.select("doc_id").distinct(), "aligned-ids")
+    texts = split_by_ids(docs, mine)[1].join(mine, "doc_id", "left_semi")
     tokens = texts.mapInArrow(_token_arrays("doc_id"), "doc_id bigint, tokens array<bigint>")
     item_tokens = items.mapInArrow(_token_arrays("item_id"), "item_id bigint, tokens array<bigint>").withColumnRenamed(
         "tokens", "item_tokens")
