@@ -90,3 +90,10 @@ def test_cosines_are_those_of_all_terms(spark, frame, monkeypatch):
         monkeypatch.setattr(licenses, "FREQUENT", frequent)
         got = {r.file: r.cosine for r in licenses.notices(frame(rows, "file string, text string")).collect()}
         assert got == pytest.approx(expected, abs=1e-8)
+
+
+def test_documents_without_an_id_are_one_file_of_their_source(spark, frame):
+    docs = frame([(None, "Licensed under the MIT License.", "s"), (None, "nothing here", "s"), (7, "plain words", "s")],
+                 "doc_id bigint, text string, source string")
+    got = {r.path: r.via for r in licenses.scan(licenses.document_files(docs)).collect()}
+    assert set(got) == {"s/none.txt", "s/0/0/7.txt"} and got["s/none.txt"] == "notice"

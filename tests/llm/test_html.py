@@ -74,3 +74,15 @@ def test_rows_and_edges(spark, frame, model):
     assert text[2] == text[3] == text[9] == ""
     assert text[7].count("many words of text.") == 2000
     assert h.extract(frame([], "page_id bigint, url string, html string"), model).count() == 0
+
+
+def test_very_deep_pages_keep_their_article(model):
+    """Elements have no greatest depth: an article below thousands of nested ones is read as any other."""
+    article = "".join(f"<p>This is sentence number {i} of an article that goes on for a while, with commas, and ends here.</p>" for i in range(6))
+    for depth in (10, 500, 4000):
+        page = "<html><body>" + "<div>" * depth + article + "</div>" * depth + "</body></html>"
+        trees = h.Trees()
+        trees.add(0, page)
+        assert max(trees.depth) > depth
+        assert len(h.Graph(trees).levels) == max(trees.depth)
+        assert h.main_text([page], model)[0].count("sentence number") == 6

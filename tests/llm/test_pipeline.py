@@ -82,3 +82,36 @@ def test_contaminated_stage_input_may_repeat_ids(spark, frame):
     bench = frame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")], "item_id bigint, text string")
     text = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     assert [r.doc_id for r in decontamination.contaminated(frame([(1, text), (1, text), (2, "x")]), bench).collect()] == [1]
+
+
+CLASHING = ("_text", "_id", "_flag", "_cid", "_n", "_drop", "_kid", "_kcid", "copies", "n", "comp")
+
+
+@pytest.mark.parametrize("which", range(len(corpus_pipeline.STAGES)))
+def test_stages_take_nulls_long_and_repeated_rows_and_clashing_names(spark, tables, tmp_path, which):
+    """Each stage on its own: rows go through whole or not at all, with all their columns."""
+    folder, rows, _ = tables
+    rng = random.Random(which)
+    some = [(r[0], r[1], r[2], r[3], r[4]) for r in rows[:60]]
+    odd = [(None, None, None, None, None), (None, None, None, None, None), (5000, "", "en", None, 0), (5001, None, None, "a", None),
+           (5002, "long words here. " * 8000, "en", "a", 1), (5003, prose(rng, 40), "en", "b", 2)] + [(5004, prose(random.Random(1), 50), "en", "a", 3)] * 5
+    fields = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame([(*r, *range(len(CLASHING))) for r in some + odd], fields + "".join(f", `{c}` int" for c in CLASHING))
+    name, stage = corpus_pipeline.STAGES[which]
+    docs.write.parquet(str(tmp_path / "in"))
+    docs = spark.read.parquet(str(tmp_path / "in"))
+    out = stage(spark, docs, folder)
+    got = out.collect()
+    if name != "mixing":
+        assert out.columns == docs.columns
+        before = {}
+        for r in docs.collect():
+            before[tuple(r)] = before.get(tuple(r), 0) + 1
+        after = {}
+        for r in got:
+            after[tuple(r)] = after.get(tuple(r), 0) + 1
+        assert all(n <= before.get(r, 0) for r, n in after.items())
+        if name == "ngram_join":
+            assert sum(n for r, n in after.items() if r[0] == 5004) == 1
+    else:
+        assert all(r.copies in (1, 2) for r in got) and {r.doc_id for r in got} <= {r[0] for r in some + odd}

@@ -29,7 +29,6 @@ from tidal.llm.common import python_ready
 MIXED, CONTENT, OTHER = 0, 1, 2
 FEATURES = 1 << 13
 PAGES_AT_ONCE = 256
-DEEPEST = 120                   # elements nested deeper hang on their ancestor of this depth
 
 # Elements of HTML by how they are read.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark "
@@ -175,10 +174,7 @@ class Trees:
                 y = None
             top = stack[-1][1]
             label = "MCO".index(y[1].upper()) if y else (self.label[top])
-            if len(stack) <= DEEPEST:
-                stack.append((tag, self._node(page, top, tag, names, label)))
-            else:
-                stack.append((tag, top))
+            stack.append((tag, self._node(page, top, tag, names, label)))
             opened[tag] = opened.get(tag, 0) + 1
         flush()
 
@@ -201,7 +197,8 @@ class Graph:
         self.n = n
         self.parent = np.array(trees.parent, np.int64)
         depth = np.array(trees.depth, np.int64)
-        self.levels = [np.flatnonzero(depth == d) for d in range(1, int(depth.max(initial=0)) + 1)]
+        by_depth = np.argsort(depth, kind="stable")
+        self.levels = np.split(by_depth, np.searchsorted(depth[by_depth], np.arange(1, int(depth.max(initial=0)) + 1)))[1:]
         self.kind = np.array([KINDS.get(t, 4) for t in trees.tag], np.int64)
         page = np.array(trees.page, np.int64)
         own = np.array([len(t) for t in trees.text], np.int64)

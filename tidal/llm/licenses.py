@@ -253,10 +253,10 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def document_files(docs: DataFrame) -> DataFrame:
     """Documents as files of a repository: a folder per source, folders of 1,000 and of 50 ids in it; the
-    first id of each folder is its licence file."""
+    first id of each folder is its licence file. Those without an id are one file of their source's folder."""
     i = F.col("doc_id")
     top = F.concat(F.coalesce("source", F.lit("unknown")), F.lit("/"))
-    place = (F.when(i % 1000 == 0, F.concat(top, F.lit("LICENSE.")))
+    place = (F.when(i.isNull(), top).when(i % 1000 == 0, F.concat(top, F.lit("LICENSE.")))
              .when(i % 50 == 0, F.concat(top, F.floor(i / 1000), F.lit("/"), F.floor(i / 50), F.lit("/LICENSE.")))
              .otherwise(F.concat(top, F.floor(i / 1000), F.lit("/"), F.floor(i / 50), F.lit("/"))))
-    return docs.select(F.concat(place, i.cast("string"), F.when(i % 50 != 0, F.lit(".txt")).otherwise("")).alias("path"), "text")
+    return docs.select(F.concat(place, F.coalesce(i.cast("string"), F.lit("none.txt")), F.when(i % 50 != 0, F.lit(".txt")).otherwise("")).alias("path"), "text")
