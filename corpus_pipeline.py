@@ -2,7 +2,14 @@
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next one's docs. All but the last return the columns of documents.
-Each stage decides over all rows its predecessor kept. Empty tables pass through every stage.
+Each stage decides over all rows its predecessor kept; a row goes on whole, with all its columns, or not at all.
+
+Odd rows have a defined result in every stage. Empty tables give empty tables. Columns of any name go along; only ``copies``,
+``rate`` and ``copy`` are replaced by the mix. Rows without a text, or with an empty one: never toxic; not good (a text
+without words scores 0), so the quality stage drops them; no copies of each other; not contaminated; of size 0 in the mix,
+which takes no words from them. Rows without a doc_id are judged by their text alone; the n-gram join drops them if an equal
+text has a doc_id, and keeps one of equal ones. Repeated rows: scored alike; one is left by the n-gram join; mixed alike. Very
+long texts are read whole. A score equal to the limit counts as toxic, or as good.
 """
 
 from __future__ import annotations
