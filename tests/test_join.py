@@ -121,3 +121,12 @@ def test_tap_prints_batch_and_stream(spark, tmpdir_path, capsys):
             available_now=True)
     q.awaitTermination(60)
     assert q.exception() is None and q.lastProgress["numInputRows"] == 1
+
+
+def test_views_log_their_schemas(spark, caplog):
+    u = spark.createDataFrame([("a", "n")], schemas.USER)
+    a = spark.createDataFrame([("a", "go")], schemas.ACTION)
+    with caplog.at_level("INFO", logger="tidal.operators.views"):
+        register_views(u, a, "UT_log", "AT_log", replace=True)
+    said = [r.getMessage() for r in caplog.records]
+    assert said == ["schema of UT_log: struct<userId:string,name:string>", "schema of AT_log: struct<userId:string,action:string>"]

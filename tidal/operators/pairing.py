@@ -38,9 +38,11 @@ from tidal.operators.blocks import BLOCK, ROWS_PER_BLOCK, ordered_blocks
 from tidal.session import default_blocks, written
 
 USER_RANK, ACTION_RANK = 0, 1          # on equal ``ts`` a user record sorts before an action
-# the order of a user's events; a column that the input lacks is left out. ``HELD`` puts a state carried in first.
+# the order of a user's events; of ``PLACED_ORDER``, a column that the input lacks is left out. ``HELD`` puts a
+# state carried in first.
 HELD = "_held"
-ORDER = [HELD, "ts", "_rank", "topic", "partition", "seq"]
+ORDER = ["ts", "_rank", "seq"]
+PLACED_ORDER = [HELD, "ts", "_rank", "topic", "partition", "seq"]
 POSITION = ("topic", "partition")
 OUTPUT = ["userId", "name", "action", "ts", "seq"]
 HOT_ROWS_FLOOR = ROWS_PER_BLOCK      # a hot user always fills at least two blocks
@@ -53,7 +55,7 @@ def positions(*frames: DataFrame) -> list[str]:
 
 
 def order_of(ev: DataFrame) -> list[str]:
-    return [c for c in ORDER if c in ev.columns]
+    return [c for c in PLACED_ORDER if c in ev.columns]
 
 
 def _tagged(users: DataFrame, actions: DataFrame) -> DataFrame:

@@ -39,7 +39,8 @@ from tidal.operators.pairing import positions
 from tidal.session import written
 
 RULE_RANK, ACTION_RANK = 0, 1
-ORDER = ["ts", "_rank", "topic", "partition", "seq"]        # a column that the input lacks is left out
+ORDER = ["ts", "_rank", "seq"]
+PLACED_ORDER = ["ts", "_rank", "topic", "partition", "seq"]         # a column that the input lacks is left out
 
 RULES_PER_BLOCK = 250_000           # rules that one task orders
 BUCKETS_PER_RULE = 4
@@ -61,7 +62,7 @@ def ts_literal(value, dtype):
 
 
 def _order(df: DataFrame) -> list[str]:
-    return [c for c in ORDER if c in df.columns]
+    return [c for c in PLACED_ORDER if c in df.columns]
 
 
 def _output(actions: DataFrame) -> list[str]:
