@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidal.session import ship_package, shared_dir
 
-CHUNK_BYTES = 1 << 20           # text bytes a numpy step looks at together (a longer text alone)
+CHUNK_BYTES = 1 << 19           # text bytes a numpy step looks at together (a longer text alone)
 BATCH_ROWS = 1000               # most rows of an Arrow batch
 _ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 U64 = np.uint64
@@ -47,14 +47,29 @@ def python_ready(spark: SparkSession) -> None:
         spark.conf.set(_ARROW_ROWS, str(BATCH_ROWS))
 
 
-def release_memory() -> None:
-    """Give memory freed by a training run back to the system (the driver goes on to plan long jobs)."""
-    gc.collect()
+def _trim() -> None:
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):         # another C library
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def release_memory() -> None:
+    """Give memory freed by a training run back to the system (the driver goes on to plan long jobs)."""
+    gc.collect()
+    _trim()
+
+
+def tidy(run):
+    """``run`` (a function of Arrow batches) that gives freed memory back when its task ends: Spark keeps the Python
+    workers of a stage for later ones, and several stages' idle workers would add up."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+    return wrapped
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -111,7 +126,7 @@ def bitmap(values: DataFrame) -> bytes:
     is read twice."""
     bits = min(MOST_BITS, max(16, int(values.count() * BITS_PER_VALUE).bit_length()))
     total = np.zeros(1 << (bits - 3), np.uint8)
-    for row in values.repartition(4).mapInArrow(_bitmap_of_batches(bits), "bits binary").collect():
+    for row in values.repartition(4).mapInArrow(tidy(_bitmap_of_batches(bits)), "bits binary").collect():
         total |= np.frombuffer(row["bits"], np.uint8)
     return total.tobytes()
 
@@ -134,7 +149,7 @@ def filtered(docs: DataFrame, keep) -> DataFrame:
         for batch in batches:
             kept = batch.filter(pa.array(keep(batch.column(text)), pa.bool_()))
             yield kept if text == "text" else kept.drop_columns([text])
-    return docs.mapInArrow(run, kind)
+    return docs.mapInArrow(tidy(run), kind)
 
 
 def _flags(shared, key: str, flag: str):
@@ -158,7 +173,7 @@ def split_by_ids(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]
     shared = spark.sparkContext.broadcast(bitmap(ids))
     rows = docs.withColumn(key, F.col("doc_id").cast("bigint"))
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    flagged = rows.mapInArrow(_flags(shared, key, flag), f"{kind}, `{flag}` boolean")
+    flagged = rows.mapInArrow(tidy(_flags(shared, key, flag)), f"{kind}, `{flag}` boolean")
     return flagged.where(~F.col(flag)).drop(flag), flagged.where(F.col(flag)).drop(flag)
 
 

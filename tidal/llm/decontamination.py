@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidal.llm.common import NOT_ALNUM, U64, _PLACES, bitmap, in_bitmap, mix, python_ready, split_by_ids, text_chunks, word_hashes, written
+from tidal.llm.common import NOT_ALNUM, U64, _PLACES, bitmap, in_bitmap, mix, python_ready, split_by_ids, text_chunks, tidy, word_hashes, written
 
 MASKS = ((0, 1, 2, 6, 7, 8), (0, 1, 3, 4, 7, 8), (0, 2, 4, 5, 6, 8), (0, 1, 3, 5, 6, 8))
 SPAN = 9
@@ -155,14 +155,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = 12) ->
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).where("doc_id is not null")
     items = (benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))
              .where("item_id is not null"))
-    seeds = written(items.mapInArrow(_item_seeds, "h bigint, item_id bigint, off int, length int"), "seeds")
+    seeds = written(items.mapInArrow(tidy(_item_seeds), "h bigint, item_id bigint, off int, length int"), "seeds")
     short = [r[0] for r in seeds.where(F.col("length") < SPAN).select("length").distinct().orderBy("length").collect()]
-    hits = docs.mapInArrow(_doc_seeds(spark.sparkContext.broadcast(bitmap(seeds.select("h"))), short), "h bigint, doc_id bigint, pos int")
+    hits = docs.mapInArrow(tidy(_doc_seeds(spark.sparkContext.broadcast(bitmap(seeds.select("h"))), short)), "h bigint, doc_id bigint, pos int")
     aligned = written(hits.join(seeds, "h").select("doc_id", "item_id", (F.col("pos") - F.col("off")).alias("shift"),
                                                    "length").distinct(), "aligned")
     mine = written(aligned.select("doc_id").distinct(), "aligned-ids")
     texts = split_by_ids(docs, mine)[1].join(mine, "doc_id", "left_semi")
-    tokens = texts.mapInArrow(_token_arrays("doc_id"), "doc_id bigint, tokens array<bigint>")
+    tokens = texts.mapInArrow(tidy(_token_arrays("doc_id")), "doc_id bigint, tokens array<bigint>")
     item_tokens = items.mapInArrow(_token_arrays("item_id"), "item_id bigint, tokens array<bigint>").withColumnRenamed(
         "tokens", "item_tokens")
     skip = F.greatest(F.lit(0), -F.col("shift"))
@@ -170,7 +170,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = 12) ->
              .select("doc_id", "item_id", "shift", "length", skip.alias("skip"),
                      F.slice("tokens", F.greatest(F.lit(1), F.col("shift") + 1), F.col("length") - skip).alias("part"))
              .join(item_tokens, "item_id"))
-    found = pairs.mapInArrow(_compare(min_match), "doc_id bigint, item_id bigint, shift int, length int, "
+    found = pairs.mapInArrow(tidy(_compare(min_match)), "doc_id bigint, item_id bigint, shift int, length int, "
                                                   "start int, end int, matched int")
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct(
         F.col("matched"), -F.col("start"), "end", "shift", "length")).alias("m"))

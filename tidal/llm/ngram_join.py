@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidal.llm.common import (U64, arrow_rows, bitmap, in_bitmap, mix, partitions, python_ready,
-                              shingle_sets, spare_names, split_by_ids, written)
+                              shingle_sets, spare_names, split_by_ids, tidy, written)
 from tidal.llm.components import components
 
 BUCKET_BITS = 18
@@ -199,12 +199,12 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int)
     wanted = left_over.select(F.col("a").alias("cid")).union(left_over.select("b")).distinct()
     ids = written(wanted.join(classes.select("cid", "rep"), "cid").select(F.col("rep").alias("doc_id")).distinct(), "ids")
     bits = spark.sparkContext.broadcast(bitmap(ids))
-    texts = docs.mapInArrow(_of_wanted(bits, width), "doc_id bigint, cid bigint, text string").where("cid is not null")
+    texts = docs.mapInArrow(tidy(_of_wanted(bits, width)), "doc_id bigint, cid bigint, text string").where("cid is not null")
     texts = written(texts.join(ids, "doc_id", "left_semi").select("cid", "text"), "texts")
     bits.destroy()
     both = (left_over.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a"))
     with arrow_rows(spark, 250):
-        return written(both.mapInArrow(_compare(width), "a bigint, b bigint"), "links")
+        return written(both.mapInArrow(tidy(_compare(width)), "a bigint, b bigint"), "links")
 
 
 def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
@@ -274,7 +274,7 @@ def jaccard_links(docs: DataFrame, width: int = 5, hot_over: float | None = None
     spark = docs.sparkSession
     python_ready(spark)
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    sums = written(docs.mapInArrow(_summaries(width), _SETS), "summaries")
+    sums = written(docs.mapInArrow(tidy(_summaries(width)), _SETS), "summaries")
     sets = sums.where("n is not null").select("doc_id", "n", "cid")
     classes = written(sums.where("cid is not null").groupBy("cid").agg(
         F.max("n").alias("n"), F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"),
@@ -284,7 +284,7 @@ def jaccard_links(docs: DataFrame, width: int = 5, hot_over: float | None = None
     if hot_over is None:
         hot_over = max(HOT * total / len(counts), 1000.0)
     order = spark.sparkContext.broadcast(counts)
-    post = docs.select("text").mapInArrow(_postings(width, order, hot_over, partitions(spark)),
+    post = docs.select("text").mapInArrow(tidy(_postings(width, order, hot_over, partitions(spark))),
                                           "h bigint, salt int, cid bigint, n int, pos int")
     shared = written(_shared(post), "postings")
     order.destroy()
@@ -348,7 +348,7 @@ def keep_one(docs: DataFrame, width: int = 5) -> DataFrame:
     text, key, cid, kept_key, kept_cid, place = spare_names(docs, "_text", "_id", "_cid", "_kid", "_kcid", "_n")
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     rows = docs.withColumn(text, F.col("text").cast("string")).withColumn(key, F.col("doc_id").cast("bigint"))
-    rows = rows.mapInArrow(_doubtful_with_class(shared, width, key, text, cid), f"{kind}, `{key}` bigint, `{cid}` bigint")
+    rows = rows.mapInArrow(tidy(_doubtful_with_class(shared, width, key, text, cid)), f"{kind}, `{key}` bigint, `{cid}` bigint")
     kept = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
         F.col("doc_id").alias(kept_key), F.col("class_id").alias(kept_cid)).distinct()
     left = rows.join(kept, F.col(key).eqNullSafe(F.col(kept_key)) & F.col(cid).eqNullSafe(F.col(kept_cid)), "left_semi")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidal.llm.common import filtered, python_ready, release_memory, span_hashes, text_chunks, word_spans, written
+from tidal.llm.common import filtered, python_ready, release_memory, span_hashes, text_chunks, tidy, word_spans, written
 from tidal.llm.subwords import padded, row_sums, word_lists
 
 LABELLERS = ("signs", "signed words", "capitals", "marks", "bars", "repeats", "variety", "sentences", "starts", "lines")
@@ -227,7 +227,7 @@ def fit(docs: DataFrame, max_rows: int = 3000) -> QualityModel:
     spark = docs.sparkSession
     python_ready(spark)
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    counted = texts.mapInArrow(_patterns, "pattern bigint").groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    counted = texts.mapInArrow(tidy(_patterns), "pattern bigint").groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
     rows = written(counted, "patterns").orderBy("pattern").collect()            # at most 3**10
     ids = np.array([r["pattern"] for r in rows], np.int64)
     patterns = (ids[:, None] // 3 ** np.arange(len(LABELLERS))) % 3 - 1 if len(ids) else np.zeros((0, len(LABELLERS)))
