@@ -9,10 +9,12 @@ are taken in ``(ts, user before action, topic, partition, seq)`` order.
 own, and runs the batch operator over the lot: windows per user, and ordered blocks for a user with too many
 rows for one task. The cells after the batch are appended to the table. A retried batch writes the same files.
 
-``pair_tagged_stream`` (a streaming DataFrame, to be composed): ``groupBy(userId).transformWithStateInPandas``. Each
-key's rows of a micro-batch arrive as pandas frames; the state carried in becomes a virtual first event, and the closed
-form of the batch operator is evaluated with vectorised numpy. PySpark builds those frames row by row in Python and one
-task handles a user's micro-batch: bound the batches with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``.
+``pair_tagged_stream`` (a streaming DataFrame, to be composed): ``groupBy(shard).transformWithStateInPandas``, where a shard
+is the users of one hash value and its state maps a user id to what that user's cells hold. A shard's rows of a micro-batch
+arrive as pandas frames; the state carried in becomes a virtual first event of each user, and the closed form of the batch
+operator is evaluated with numpy for all users of the shard at once: a call, its frames and its Arrow batch cost some
+milliseconds, too much for each user with a few rows. PySpark builds those frames row by row in Python and one task handles
+a shard's micro-batch: bound the batches with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``.
 """
 
 from __future__ import annotations
@@ -39,6 +41,9 @@ NO_KIND = -1
 # Arrow hand-over intact), so the kind rank travels as ``kind``.
 KIND = "kind"
 
+#: the users of a stream are dealt to so many shards by a hash of their id. A checkpoint depends on it: keep the number.
+SHARDS, SHARD = 1024, "shard"
+
 
 def _sort_key(col: pd.Series) -> np.ndarray:
     """int64 sort key with missing values first (of texts: their rank by UTF-8 bytes)."""
@@ -53,102 +58,122 @@ def _sort_key(col: pd.Series) -> np.ndarray:
     return col.to_numpy(dtype=np.int64)
 
 
+def _joined(frames: list[pd.DataFrame]) -> pd.DataFrame:
+    """The frames as one. Whole numbers that only some frames have as floats (for a missing value) stay whole numbers."""
+    for c in ("partition", "seq"):
+        if c in frames[0].columns and len({f[c].dtype for f in frames}) > 1:
+            frames = [f.astype({c: "Int64"}) for f in frames]
+    return pd.concat(frames, ignore_index=True)
+
+
 def arrival_sorted(frames) -> pd.DataFrame:
-    """One key's rows of a micro-batch in arrival order (missing times first, as in batch)."""
+    """A micro-batch's rows user by user, each in arrival order (missing times first, as in batch)."""
     frames = list(frames)
-    batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    batch = frames[0] if len(frames) == 1 else _joined(frames)
     if len(batch) > 1:
         place = [c for c in ("partition", "topic") if c in batch.columns]
+        user = [pd.factorize(batch["userId"])[0]] if "userId" in batch.columns else []
         order = np.lexsort((_sort_key(batch["seq"]), *[_sort_key(batch[c]) for c in place],
-                            _sort_key(batch[KIND]), _sort_key(batch["ts"])))
+                            _sort_key(batch[KIND]), _sort_key(batch["ts"]), *user))
         if (np.diff(order) < 0).any():
             return batch.take(order).reset_index(drop=True)
     return batch.reset_index(drop=True)
 
 
-def pair_batch(b: pd.DataFrame, user: tuple | None, waiting: tuple | None):
-    """Apply one key's sorted rows to the state ``(user, waiting)``.
+def pair_users(b: pd.DataFrame, starts: np.ndarray, cells: list[tuple | None]):
+    """Apply sorted rows to the cells of their users, whose rows begin at ``starts``.
 
-    Returns ``(emitted rows, user, waiting)`` with the state after the batch.
+    A user's cell is the ``(kind, value)`` of the record held, or None. Returns ``(emitted rows, cells)`` with the
+    cells after the batch.
     """
     n = len(b)
     kind = b[KIND].to_numpy(dtype=np.int64)
     names = b["name"].to_numpy(dtype=object)
     acts = b["action"].to_numpy(dtype=object)
     is_u = kind == USER_RANK
-    # the state carried in, as the kind/action of a virtual event before the first row
-    first_pk = USER_RANK if user is not None else ACTION_RANK if waiting is not None else NO_KIND
-    pk = np.concatenate(([first_pk], kind[:-1])).astype(np.int64)
+    of = np.zeros(n, np.int64)                       # the number of each row's user
+    of[starts[1:]] = 1
+    of = np.cumsum(of)
+    held_kind = np.array([NO_KIND if c is None else c[0] for c in cells], np.int64)
+    held = np.empty(len(cells), dtype=object)
+    held[:] = [None if c is None else c[1] for c in cells]
+    # the cell carried in, as the kind/action of a virtual event before a user's first row
+    pk = np.empty(n, np.int64)
+    pk[1:] = kind[:-1]
+    pk[starts] = held_kind
     pa = np.empty(n, dtype=object)
-    if n:
-        pa[0] = waiting[0] if waiting is not None else None
-        pa[1:] = acts[:-1]
+    pa[1:] = acts[:-1]
+    pa[starts] = held
     locking = is_u & ((pk == NO_KIND) | (pk == USER_RANK))
-    locked_before = (user is not None) | ((np.cumsum(locking) - locking) > 0)
-    latest_u = np.maximum.accumulate(np.where(is_u, np.arange(n), -1)) if n else kind
-    held_name = user[0] if user is not None else None
-    user_name = np.where(latest_u >= 0, names[np.maximum(latest_u, 0)], held_name) if n else names
+    so_far = np.cumsum(locking)
+    earlier = (so_far - locking)[starts]             # locking events of the users before
+    held_user = held_kind == USER_RANK
+    locked_before = held_user[of] | (so_far - locking > earlier[of])
+    latest_u = np.maximum.accumulate(np.where(is_u, np.arange(n), -1))
+    own = latest_u >= starts[of]
+    user_name = np.where(own, names[np.maximum(latest_u, 0)], held[of])
 
     emit = (is_u & (pk == ACTION_RANK) & ~locked_before) | (~is_u & locked_before)
-    if not emit.any():
-        out = pd.DataFrame()
-    else:
+    out = pd.DataFrame()
+    if emit.any():
         out = pd.DataFrame({
+            **{c: b[c].array[emit] for c in ("userId",) if c in b.columns},
             "name": np.where(is_u, names, user_name)[emit],
             "action": np.where(is_u, pa, acts)[emit],
-            "ts": b["ts"].to_numpy()[emit],
-            **{c: b[c].to_numpy()[emit] for c in ("topic", "partition") if c in b.columns},
-            "seq": b["seq"].to_numpy()[emit],
+            **{c: b[c].array[emit] for c in ("ts", "topic", "partition", "seq") if c in b.columns},
         })
-    # state after the batch
-    if user is not None or locking.any():
-        last_u = np.flatnonzero(is_u)
-        user = (names[last_u[-1]],) if len(last_u) else user
-        waiting = None
-    elif n:
-        user = None
-        waiting = (acts[-1],) if kind[-1] == ACTION_RANK else None
-    return out, user, waiting
+    # the cells after the batch
+    ends = np.append(starts[1:], n) - 1
+    locked = held_user | (so_far[ends] > earlier)
+    after = [(USER_RANK, user_name[e]) if lock else (ACTION_RANK, acts[e]) if kind[e] == ACTION_RANK else None
+             for e, lock in zip(ends, locked, strict=True)]
+    return out, after
 
 
-def _read(state) -> tuple | None:
-    value = state.get()
-    return None if value is None else tuple(value)
-
+def pair_batch(b: pd.DataFrame, user: tuple | None, waiting: tuple | None):
+    """Apply one user's sorted rows to the state ``(user, waiting)``.
 
-def _write(state, before: tuple | None, after: tuple | None) -> None:
-    if after == before:
-        return
-    if after is None:
-        state.clear()
-    else:
-        state.update(after)
+    Returns ``(emitted rows, user, waiting)`` with the state after the batch.
+    """
+    if not len(b):
+        return pd.DataFrame(), user, waiting
+    cell = (USER_RANK, *user) if user is not None else (ACTION_RANK, *waiting) if waiting is not None else None
+    out, [cell] = pair_users(b, np.zeros(1, np.int64), [cell])
+    held = {} if cell is None else {cell[0]: cell[1:]}
+    return out, held.get(USER_RANK), held.get(ACTION_RANK)
 
 
 class PairingProcessor(StatefulProcessor):
-    """Per-user cells: ``user`` (last user record, kept once held) and ``action`` (waiting)."""
+    """Per shard, the cells of its users: the last user record (kept once held) or the waiting action."""
+
+    def __init__(self, id_type: str = "string"):
+        self.id_type = id_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.user = handle.getValueState("user", "name string")
-        self.action = handle.getValueState("action", "action string")
+        self.cells = handle.getMapState("cells", f"userId {self.id_type}", "kind int, value string")
 
     def handleInputRows(self, key, rows, timerValues):
-        # every state call is a round trip to the state store: read once, write on change only
         batch = arrival_sorted(rows)
-        user0, waiting0 = _read(self.user), _read(self.action)
-        out, user, waiting = pair_batch(batch, user0, waiting0)
-        _write(self.user, user0, user)
-        _write(self.action, waiting0, waiting)
+        ids = batch["userId"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        users = [(u,) for u in ids[starts]]
+        # every state call is a round trip to the state store: read once, write on change only. Spark logs a warning for
+        # every value that it reads in vain.
+        cells = [tuple(self.cells.getValue(u)) if self.cells.containsKey(u) else None for u in users]
+        out, after = pair_users(batch, starts, cells)
+        for u, was, now in zip(users, cells, after, strict=True):
+            if now is None and was is not None:
+                self.cells.removeKey(u)
+            elif now != was:
+                self.cells.updateValue(u, now)
         if len(out):
-            out.insert(0, "userId", key[0])
             yield out
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         for row in initialState.itertuples():
-            if row.has_user:
-                self.user.update((None if pd.isna(row.name) else row.name,))
-            if row.has_action:
-                self.action.update((None if pd.isna(row.action) else row.action,))
+            if row.has_user or row.has_action:
+                kind, value = (USER_RANK, row.name) if row.has_user else (ACTION_RANK, row.action)
+                self.cells.updateValue((row.userId,), (kind, None if pd.isna(value) else value))
 
     def close(self) -> None:
         pass
@@ -168,10 +193,12 @@ def pair_tagged_stream(ev: DataFrame, initial: DataFrame | None = None) -> DataF
     """
     ship_package(ev.sparkSession)
     ensure_state_store(ev.sparkSession)
-    ev = ev.where(F.col("userId").isNotNull()).withColumnRenamed("_rank", KIND)
-    state = None if initial is None else initial.select("userId", "name", "action", "has_user", "has_action").groupBy("userId")
-    return ev.groupBy("userId").transformWithStateInPandas(
-        PairingProcessor(), output_schema(ev), "Append", "None", initialState=state)
+    shard = F.pmod(F.xxhash64("userId"), F.lit(SHARDS)).cast("int")
+    ev = ev.where(F.col("userId").isNotNull()).withColumnRenamed("_rank", KIND).withColumn(SHARD, shard)
+    state = None if initial is None else initial.select(
+        "userId", "name", "action", "has_user", "has_action", shard.alias(SHARD)).groupBy(SHARD)
+    return ev.groupBy(SHARD).transformWithStateInPandas(
+        PairingProcessor(ev.schema["userId"].dataType.simpleString()), output_schema(ev), "Append", "None", initialState=state)
 
 
 def held_cells(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
@@ -179,14 +206,14 @@ def held_cells(spark: SparkSession, checkpoint: str, batch_id: int | None = None
 
     ``batch_id``: as of the end of that micro-batch (default: the last one). ``name`` and ``action`` may be null though held.
     """
-    def cell(variable: str, field: str, flag: str) -> DataFrame:
-        reader = spark.read.format("statestore").option("stateVarName", variable)
-        if batch_id is not None:
-            reader = reader.option("batchId", str(batch_id))
-        return reader.load(checkpoint).select(F.col("key.userId").alias("userId"), F.col(f"value.{field}").alias(field),
-                                              F.lit(True).alias(flag))
-    both = cell("user", "name", "has_user").join(cell("action", "action", "has_action"), "userId", "full")
-    return both.select("userId", "name", "action", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("has_user", "has_action")])
+    reader = spark.read.format("statestore").option("stateVarName", "cells")
+    if batch_id is not None:
+        reader = reader.option("batchId", str(batch_id))
+    kind, value = F.col("user_map_value.kind"), F.col("user_map_value.value")
+    has_user, has_action = kind == USER_RANK, kind == ACTION_RANK
+    return reader.load(checkpoint).select(
+        F.col("user_map_key.userId").alias("userId"), F.when(has_user, value).alias("name"),
+        F.when(has_action, value).alias("action"), has_user.alias("has_user"), has_action.alias("has_action"))
 
 
 def logged_cells(spark: SparkSession, checkpoint: str, batches: int) -> DataFrame:
